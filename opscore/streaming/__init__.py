@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The analytics this library rebuilds are batch queries over warehouse
+tables: no stream sources, watermarks or stateful operators appear in them,
+so none are provided here (see README, "Not built").
+"""
