@@ -50,3 +50,44 @@ def q_sales_by_route(t):
 @register("tracking_rank")
 def q_tracking_rank(t):
     return tracking_rank(t["order_tracking"], P["route_as_of"], P["route_days"])
+
+
+# ---------------------------------------------------------------- scorecard
+def _scorecard(t):
+    from .plans.scorecard import Scorecard
+    key = "_scorecard"
+    if key not in t._built:
+        t._built[key] = Scorecard(t, start_date=P["start_date"], shift_from=P["shift_from"],
+                                  as_of_ts=P["as_of_ts"])
+    return t._built[key]
+
+
+def _sc_key(name: str, attr: str, doc: str):
+    def build(t):
+        return getattr(_scorecard(t), attr)
+    build.__name__ = f"q_{name}"
+    build.__doc__ = doc
+    register(name)(build)
+
+
+for _name, _attr, _doc in [
+    ("resolution_score_daily", "resolution_score_daily",
+     "Weighted resolution rate per agent-day, display guard, band score."),
+    ("recontact_daily", "recontact_daily", "Weighted recontacts per agent-day and roster area."),
+    ("daily_resolved", "daily_resolved", "Incidents with an attendant per agent-day."),
+    ("production_with_absence", "production_with_absence",
+     "Worst production row per agent-day after the absence overlay."),
+    ("production_score", "production_score", "Production scored by the shift's target."),
+    ("cycle_score_monthly", "cycle_score_monthly", "Team on-time cycle ratio per month, scored."),
+    ("knowledge_score_monthly", "knowledge_score_monthly", "Team knowledge grade per month."),
+    ("dto_score_monthly", "dto_score_monthly", "Team DTO grade per month."),
+    ("employee_day_spine", "employee_days", "Every agent x every contact day of the month."),
+    ("scorecard_daily", "scorecard_daily", "The 24-column daily scorecard."),
+    ("recontact_monthly", "recontact_monthly", "Monthly recontact ratio, descending score."),
+    ("loss_penalty_daily", "loss_penalty_daily", "Rounded loss amounts and step penalties."),
+    ("dto_individual", "dto_individual", "Individual DTO grade, imputed and scored."),
+    ("knowledge_individual", "knowledge_individual", "Individual knowledge grade, scored."),
+    ("csat_monthly", "csat_monthly", "Mean CSAT per agent and cut-off month, scored."),
+    ("scorecard_final", "scorecard_final", "The 41-column scorecard with hierarchy."),
+]:
+    _sc_key(_name, _attr, _doc)

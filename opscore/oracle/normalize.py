@@ -2,8 +2,11 @@
 
 Both engines must return identical values for the compare, so every
 registered query ends in the same projection: integral columns as BIGINT,
-floating columns as DOUBLE rounded to ``DIGITS`` places (float sums are not
-order-stable between engines), dates/timestamps/text unchanged.
+floating columns as DOUBLE rounded to ``SNAP`` and then ``DIGITS`` places
+(float sums are not order-stable between engines: a value that is exactly
+x.xxxx5 in decimal may come out a hair above in one engine and below in
+the other; the first rounding snaps both to the same decimal),
+dates/timestamps/text unchanged.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 4
+SNAP = 8  # first rounding step: removes summation-order noise (~1e-16 relative)
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOATING = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -40,14 +44,27 @@ def normalize_df(df: DataFrame) -> DataFrame:
         if k == "int":
             c = c.cast("bigint")
         elif k == "double":
-            c = F.round(c.cast("double"), DIGITS)
+            c = F.round(F.round(c.cast("double"), SNAP), DIGITS)
         elif k == "timestamp":
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-_DUCK = {"int": "CAST({c} AS BIGINT)", "double": "round(CAST({c} AS DOUBLE), %d)" % DIGITS,
+def duck_round(expr: str, digits: int) -> str:
+    """DuckDB text rounding a DOUBLE the way Spark's ``round`` does.
+
+    Spark rounds the shortest decimal form of the double half-up (0.285 ->
+    0.29); DuckDB's ``round`` scales the binary value (0.285 -> 0.28).  Going
+    through VARCHAR -> DECIMAL reproduces Spark; NaN/Infinity/huge values
+    pass through.
+    """
+    x = f"CAST({expr} AS DOUBLE)"
+    return (f"(CASE WHEN isnan({x}) OR isinf({x}) OR abs({x}) >= 1e15 THEN round({x}, {digits}) "
+            f"ELSE CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE) END)")
+
+
+_DUCK = {"int": "CAST({c} AS BIGINT)", "double": duck_round(duck_round("{c}", SNAP), DIGITS),
          "date": "CAST({c} AS DATE)", "timestamp": "CAST({c} AS TIMESTAMP)",
          "bool": "CAST({c} AS BOOLEAN)", "text": "CAST({c} AS VARCHAR)"}
 

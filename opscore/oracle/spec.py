@@ -1,11 +1,27 @@
 """Output columns and kinds per key (generated by tools/check.py --gen-spec)."""
 
 SPEC = {
+    'csat_monthly': [('ano_ref', 'int'), ('mes_ref', 'int'), ('matricula', 'int'), ('media__csat', 'double'), ('p_csat', 'double')],
+    'cycle_score_monthly': [('mes_ref', 'int'), ('ano_ref', 'int'), ('valor_ciclo_c', 'double'), ('p_ciclo', 'double'), ('area', 'text'), ('tipo', 'text'), ('origem', 'text')],
+    'daily_resolved': [('data_', 'date'), ('matricula', 'int'), ('resolvidos_rec', 'double')],
+    'dto_individual': [('ano_ref', 'int'), ('mes_ref', 'int'), ('matricula', 'int'), ('dto', 'double'), ('p_dto_i', 'double')],
+    'dto_score_monthly': [('mes_ref', 'int'), ('ano_ref', 'int'), ('valor_dto_c', 'double'), ('p_dto', 'double'), ('tipo', 'text'), ('origem', 'text')],
+    'employee_day_spine': [('dia', 'date'), ('matricula', 'int')],
+    'knowledge_individual': [('ano_ref', 'int'), ('mes_ref', 'int'), ('matricula', 'int'), ('conhecimento_corporativo', 'double'), ('p_cc_i', 'double')],
+    'knowledge_score_monthly': [('mes_ref', 'int'), ('ano_ref', 'int'), ('valor_conhec_c', 'double'), ('p_conhecimento', 'double'), ('tipo', 'text'), ('origem', 'text')],
+    'loss_penalty_daily': [('data_ref', 'date'), ('matricula', 'int'), ('reembolso_valor_prejuizo', 'double'), ('p_prejuizo', 'int')],
     'metasearch_by_route': [('iata_origem', 'text'), ('iata_destino', 'text'), ('metasearch_count', 'int'), ('source', 'text'), ('created_at', 'timestamp')],
+    'production_score': [('data_resolucao', 'date'), ('matricula', 'int'), ('producao', 'double'), ('p_produtividade', 'double')],
+    'production_with_absence': [('data_resolucao', 'date'), ('matricula', 'int'), ('producao', 'double'), ('area', 'text'), ('escala', 'text')],
+    'recontact_daily': [('data_', 'date'), ('matricula', 'int'), ('area_gabi', 'text'), ('recorrencia', 'double')],
+    'recontact_monthly': [('ano_ref', 'int'), ('mes_ref', 'int'), ('matricula', 'int'), ('resolvidos_rec', 'double'), ('recorrencia', 'double'), ('percent_recorrencia', 'double'), ('p_recorrencia', 'double')],
     'refund_ledger': [('ID', 'int'), ('BANCO', 'text'), ('NUMERO', 'int'), ('AGEN', 'text'), ('CONTA', 'text'), ('CORRENTEPOUPANCA', 'text'), ('NOMECOMPLETO', 'text'), ('CPFCNPJ', 'text'), ('VALORESTORNO', 'double'), ('VALOR', 'double'), ('ORConvencional', 'int'), ('ORMilhas', 'int'), ('TIPOEDEESTORNO', 'text'), ('STATUSOR', 'text'), ('AGENTE', 'text'), ('MOTIVO', 'text'), ('DATAULTIMAATUALIZACAO', 'timestamp'), ('DATACRIACAOOR', 'timestamp')],
     'refund_status_union': [('id', 'int'), ('status', 'text')],
+    'resolution_score_daily': [('data_resolucao', 'date'), ('matricula', 'int'), ('percent_resolucao', 'double'), ('resolvidos', 'double'), ('p_resolutividade', 'double'), ('matricula_supervisor', 'int'), ('matricula_coordenador', 'int'), ('matricula_gerente', 'int')],
     'route_demand': [('iata_origem', 'text'), ('iata_destino', 'text'), ('metasearch_count', 'int'), ('financial_count', 'int'), ('ultimo_fk_search_id', 'int'), ('ultimo_created_at', 'timestamp'), ('metasearch_created_at', 'timestamp'), ('source', 'text')],
     'sales_by_route': [('iata_origem', 'text'), ('iata_destino', 'text'), ('financial_count', 'int'), ('fk_search_id', 'int'), ('created_at', 'timestamp'), ('source', 'text')],
+    'scorecard_daily': [('data_resolucao', 'date'), ('matricula', 'int'), ('percent_resolucao', 'double'), ('resolvidos', 'double'), ('p_resolutividade', 'double'), ('recorrencia', 'double'), ('resolvidos_rec', 'double'), ('producao', 'double'), ('p_produtividade', 'double'), ('assiduidade', 'int'), ('valor_ciclo_c', 'double'), ('p_ciclo_c', 'double'), ('valor_conhec_c', 'double'), ('p_conhecimento_c', 'double'), ('pontos_ideia_c', 'double'), ('valor_dto_c', 'double'), ('p_dto_c', 'double'), ('reclamacoes', 'double'), ('p_reclamacoes', 'double'), ('nps', 'double'), ('p_nps', 'double'), ('redes_sociais', 'double'), ('p_redes_sociais', 'double'), ('ultima_atualizacao', 'timestamp')],
+    'scorecard_final': [('data_resolucao', 'date'), ('matricula', 'int'), ('percent_resolucao', 'double'), ('resolvidos', 'double'), ('p_resolutividade', 'double'), ('percent_recorrencia', 'double'), ('recorrencia', 'double'), ('resolvidos_rec', 'double'), ('p_recorrencia', 'double'), ('media__csat', 'double'), ('p_csat', 'double'), ('producao', 'double'), ('p_produtividade', 'double'), ('assiduidade', 'int'), ('p_prejuizo', 'int'), ('dto', 'double'), ('p_dto_i', 'double'), ('conhecimento_corporativo', 'double'), ('p_cc_i', 'double'), ('valor_ciclo_c', 'double'), ('p_ciclo_c', 'double'), ('valor_conhec_c', 'double'), ('p_conhecimento_c', 'double'), ('pontos_ideia_c', 'double'), ('valor_dto_c', 'double'), ('p_dto_c', 'double'), ('reclamacoes', 'double'), ('p_reclamacoes', 'double'), ('nps', 'double'), ('p_nps', 'double'), ('redes_sociais', 'double'), ('p_redes_sociais', 'double'), ('origem', 'text'), ('tipo', 'text'), ('matricula_supervisor', 'int'), ('supervisor', 'text'), ('matricula_coordenador', 'int'), ('coordenador', 'text'), ('matricula_gerente', 'int'), ('gerente', 'text'), ('ultima_atualizacao', 'timestamp')],
     'search_dashboard': [('Data', 'date'), ('Pesquisas', 'int'), ('destination_id', 'int'), ('Checkin', 'date'), ('ap', 'text')],
     'tracking_rank': [('fk_order_id', 'int'), ('created_at', 'timestamp'), ('source', 'text'), ('rn', 'int')],
 }
