@@ -91,3 +91,338 @@ for _name, _attr, _doc in [
     ("scorecard_final", "scorecard_final", "The 41-column scorecard with hierarchy."),
 ]:
     _sc_key(_name, _attr, _doc)
+
+
+# ---------------------------------------------------------------- operator keys
+# Each key below exercises one operator of SURVEY section 2 on the logical
+# tables, at full size (no sampling), with its own oracle SQL.
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .functions import (Bands, band_score, date_parts, fiscal_shift,  # noqa: E402
+                        imputed_band_score, interaction_discount, month_key, queue_weight,
+                        refund_kind, safe_div, shift_class)
+from .operators import (between_filter, cast_key_join, date_floor_filter,  # noqa: E402
+                        latest_per_key, month_roster_join, month_target_join, normalised,
+                        not_in_filter, partition_count, rolling_days_filter, roster_filter,
+                        status_in_filter, summed_detail_join, targets_for, trailing_id_window,
+                        union_all, union_distinct, union_null_padded)
+from .plans.refunds import newest_log_per_flight  # noqa: E402
+from .plans.route_demand import CLOSED_STATUSES  # noqa: E402
+
+FLOOR_DATE = _dt.date(2001, 1, 1)
+
+
+@register("roster_filter")
+def q_roster_filter(t):
+    """Agent roster under the three spellings of the filter (upper, lower, exact)."""
+    r = t["roster"]
+    return union_all(*[roster_filter(r, m).select(F.lit(m).alias("mode"), "matricula",
+                                                  "mes_referencia", "funcao", "area")
+                       for m in ("upper", "lower", "exact")])
+
+
+@register("rolling_days_filter")
+def q_rolling_days_filter(t):
+    return rolling_days_filter(t["order_tracking"], "created_at", P["route_as_of"],
+                               P["route_days"])
+
+
+@register("date_floor_filter")
+def q_date_floor_filter(t):
+    return date_floor_filter(t["cycle_positions"], "data_posicao", FLOOR_DATE)
+
+
+@register("between_filter")
+def q_between_filter(t):
+    return between_filter(t["trip_searches"], "created_at", P["dash_start"], P["dash_end"])
+
+
+@register("status_in_filter")
+def q_status_in_filter(t):
+    return status_in_filter(t["orders_booked"], "last_status", CLOSED_STATUSES)
+
+
+@register("queue_not_in_filter")
+def q_queue_not_in_filter(t):
+    return not_in_filter(t["cycle_positions"], "fila", ("Hotel", "Pacote"))
+
+
+@register("null_tests")
+def q_null_tests(t):
+    cf = t["cancelled_flights"]
+    return cf.select("id", F.col("refund_order_id").isNull().alias("money_missing"),
+                     F.col("refund_order_miles_id").isNotNull().alias("has_miles")).filter(
+        F.col("refund_order_id").isNull() | F.col("refund_order_miles_id").isNull())
+
+
+@register("normalised_match")
+def q_normalised_match(t):
+    """Target rows matched with trimmed lower-case tipo, and the untrimmed test."""
+    tg = t["targets"]
+    return tg.filter((normalised("tipo", "lower", True) == "individual")
+                     & (normalised("origem", "upper", False) == "PRIMARIO")).select(
+        "ref", "indicador", "tipo", "origem",
+        (normalised("tipo", "lower", False) == "individual").alias("untrimmed_match"))
+
+
+@register("trailing_id_window")
+def q_trailing_id_window(t):
+    return trailing_id_window(t["trip_searches"], "id", t["purchase_searches"], "id",
+                              P["dash_last_n"])
+
+
+@register("distinct_rows")
+def q_distinct_rows(t):
+    return t["cancelled_flights"].select("order_id", "reason_id").distinct()
+
+
+@register("inner_join_sales")
+def q_inner_join_sales(t):
+    s, o = t["searches"], t["orders_booked"]
+    j = s.join(o.select(F.col("id").alias("order_id"), "fk_search_id",
+                        F.col("created_at").alias("order_created_at"), "last_status"),
+               s["id"] == F.col("fk_search_id"))
+    return j.select("id", "iata_from", "iata_to", "order_id", "order_created_at", "last_status")
+
+
+@register("left_join_lookup")
+def q_left_join_lookup(t):
+    h, p = t["trip_searches"], t["purchase_searches"]
+    p = p.select(F.col("id").alias("_pid"), "ap")
+    return h.join(p, h["fk_purchase_searchs_id"] == p["_pid"], "left").select(
+        "id", "fk_purchase_searchs_id", "ap")
+
+
+@register("left_join_active")
+def q_left_join_active(t):
+    """Cancellations with their active bank row (inactive rows do not drop the cancellation)."""
+    c, b = t["cancellations"], t["refund_bank_data"]
+    b = b.filter(F.col("is_active") == F.lit(True)).select(
+        "cancellation_id", "code_bank", "account_type")
+    return c.join(b, c["id"] == b["cancellation_id"], "left").select(
+        "id", "code_bank", "account_type")
+
+
+def _sc(t):
+    return _scorecard(t)
+
+
+@register("month_roster_join")
+def q_month_roster_join(t):
+    j = month_roster_join(t["resolutions"], _sc(t).agents, "data_resolucao",
+                          roster_cols=["area", "matricula_supervisor"])
+    return j.select("data_resolucao", "matricula", "quantidade_incidentes", "area",
+                    "matricula_supervisor")
+
+
+@register("month_target_join")
+def q_month_target_join(t):
+    cr = _sc(t).daily_resolved.withColumn("ym", month_key("data_"))
+    j = month_target_join(cr, targets_for(t["targets"], "produtividade"))
+    return j.select("data_", "matricula", "resolvidos_rec", "m_ouro", "p_ouro")
+
+
+@register("collective_month_join")
+def q_collective_month_join(t):
+    sc = _sc(t)
+    c2 = sc.cycle_score_monthly.select(F.make_date("ano_ref", "mes_ref", F.lit(1)).alias("ym"),
+                                       "valor_ciclo_c", "p_ciclo")
+    d = sc.employee_days.withColumn("ym", month_key("dia"))
+    return d.join(F.broadcast(c2), "ym", "left").select("dia", "matricula", "valor_ciclo_c",
+                                                        "p_ciclo")
+
+
+@register("cast_key_join")
+def q_cast_key_join(t):
+    a = t["csat_answers"]
+    ag = _sc(t).agents.select("matricula", month_key("mes_referencia").alias("_ym"))
+    a = a.withColumn("_aym", month_key("data_das_respostas"))
+    j = cast_key_join(ag, a.withColumnRenamed("matricula", "_txt"), "matricula", "_txt")
+    j = j.filter(F.col("_ym") == F.col("_aym"))
+    return j.select("data_das_respostas", "matricula", "media_")
+
+
+@register("latest_log_join")
+def q_latest_log_join(t):
+    cf = t["cancelled_flights"].select("id")
+    n = newest_log_per_flight(t["flight_logs"])
+    j = cf.join(n, cf["id"] == n["cancellation_flight_id"])
+    return j.select(cf["id"], n["id"].alias("log_id"), "cancellation_flight_status_id",
+                    "created_original_at")
+
+
+@register("refund_item_total")
+def q_refund_item_total(t):
+    j = summed_detail_join(t["cancelled_flights"].select("id"), t["refund_items"], "id",
+                           "cancellation_flight_id", "total_refund", "valor_estorno")
+    return j.select("id", "valor_estorno")
+
+
+@register("loss_month_fanout")
+def q_loss_month_fanout(t):
+    """Agent-days joined to daily losses by month: one row per (day, loss day)."""
+    sc = _sc(t)
+    d = sc.employee_days.withColumn("ym", month_key("dia"))
+    lo = sc.loss_penalty_daily.select(month_key("data_ref").alias("ym"), "matricula",
+                                      "data_ref", "p_prejuizo")
+    return d.join(lo, ["matricula", "ym"], "left").select("dia", "matricula", "data_ref",
+                                                          "p_prejuizo")
+
+
+@register("resolution_rate_daily")
+def q_resolution_rate_daily(t):
+    """Weighted resolution rate per (day, agent) without the roster."""
+    y = t["resolutions"]
+    q = F.col("quantidade_incidentes")
+    w = q * queue_weight("fila") * interaction_discount("quantidade_interacoes")
+    g = y.groupBy("data_resolucao", "matricula").agg(F.sum(w).alias("resolvidos"),
+                                                      F.sum(q).alias("_q"))
+    return g.select("data_resolucao", "matricula",
+                    safe_div(F.col("resolvidos"), F.col("_q")).alias("percent_resolucao"),
+                    "resolvidos")
+
+
+@register("monthly_grade_avg")
+def q_monthly_grade_avg(t):
+    return _sc(t).monthly_grade_avg
+
+
+@register("cycle_rate_monthly")
+def q_cycle_rate_monthly(t):
+    return _sc(t).cycle_rate_monthly
+
+
+@register("latest_sale_per_route")
+def q_latest_sale_per_route(t):
+    """Newest (search x order x tracking) row per route, ties by search id then source."""
+    s = t["searches"].select("id", "iata_from", "iata_to")
+    o = rolling_days_filter(t["orders_booked"], "created_at", P["route_as_of"], P["route_days"])
+    o = status_in_filter(o, "last_status", CLOSED_STATUSES).select(
+        F.col("id").alias("_oid"), "fk_search_id", "created_at")
+    tr = rolling_days_filter(t["order_tracking"], "created_at", P["route_as_of"],
+                             P["route_days"]).select("fk_order_id", F.col("source"))
+    j = s.join(o, s["id"] == o["fk_search_id"]).join(tr, F.col("_oid") == tr["fk_order_id"])
+    return latest_per_key(j, ["iata_from", "iata_to"], ["created_at", "fk_search_id", "source"],
+                          ["fk_search_id", "created_at", "source"])
+
+
+@register("sales_count_window")
+def q_sales_count_window(t):
+    """Every sale row with the number of sale rows of its route."""
+    s = t["searches"].select("id", "iata_from", "iata_to")
+    o = rolling_days_filter(t["orders_booked"], "created_at", P["route_as_of"], P["route_days"])
+    o = status_in_filter(o, "last_status", CLOSED_STATUSES).select(
+        F.col("id").alias("_oid"), "fk_search_id", "created_at")
+    tr = rolling_days_filter(t["order_tracking"], "created_at", P["route_as_of"],
+                             P["route_days"]).select("fk_order_id", "source")
+    j = s.join(o, s["id"] == o["fk_search_id"]).join(tr, F.col("_oid") == tr["fk_order_id"])
+    j = j.select("iata_from", "iata_to", "id", "created_at", "source")
+    return partition_count(j, ["iata_from", "iata_to"], "id", "financial_count")
+
+
+@register("worst_production_per_day")
+def q_worst_production_per_day(t):
+    """Lowest production row per agent-day among shift/area rows (no absences)."""
+    p = _sc(t).production_by_shift
+    rank = F.struct(F.col("producao"), F.col("area"), F.col("escala"))
+    pick = F.min_by(F.struct("producao", "area", "escala"), rank)
+    return (p.groupBy("data_resolucao", "matricula").agg(pick.alias("_b"))
+            .select("data_resolucao", "matricula", "_b.producao", "_b.area", "_b.escala"))
+
+
+@register("recontact_events")
+def q_recontact_events(t):
+    """UNION ALL of the two dated events of each recontact."""
+    r = t["recontacts"]
+    return union_all(
+        r.select(F.to_date("data_ultima_criacao").alias("data_"), "matricula", "fila", "area"),
+        r.select(F.to_date("data_respondido_cliente").alias("data_"), "matricula", "fila", "area"))
+
+
+@register("union_distinct")
+def q_union_distinct(t):
+    sc = _sc(t)
+    return union_distinct(sc.production_by_shift.select(
+        "data_resolucao", "matricula", "area", "producao", "escala"), sc.absence_production)
+
+
+@register("union_null_padded")
+def q_union_null_padded(t):
+    """Scored production UNION absence rows that only carry the production points."""
+    sc = _sc(t)
+    full = sc.production_score
+    part = sc.absence_rows.select("data_resolucao", "matricula", "p_produtividade")
+    return union_null_padded(full, part, distinct=True)
+
+
+@register("date_parts")
+def q_date_parts(t):
+    h = t["trip_searches"]
+    p = date_parts("created_at")
+    return h.select("id", p["year"].alias("ano"), p["month"].alias("mes"),
+                    p["day"].alias("dia"), p["date"].alias("data"),
+                    F.to_date("checkin").alias("checkin"))
+
+
+@register("fiscal_shift")
+def q_fiscal_shift(t):
+    """Every contact day and its fiscal day (shift from ``shift_from``)."""
+    d = t["contact_calendar"].select(F.to_date("created").alias("dia")).distinct()
+    return d.select("dia", fiscal_shift("dia", P["shift_from"]).alias("data"))
+
+
+def _scored(t, indicator: str, value_df, value: str, **kw):
+    df = value_df.withColumn("ym", month_key("dia"))
+    j = month_target_join(df, targets_for(t["targets"], indicator))
+    return j.select("dia", "matricula", value, band_score(F.col(value), Bands(), **kw)
+                    .alias("score"))
+
+
+@register("band_score_capped")
+def q_band_score_capped(t):
+    cr = _sc(t).daily_resolved.select(F.col("data_").alias("dia"), "matricula", "resolvidos_rec")
+    return _scored(t, "produtividade", cr, "resolvidos_rec")
+
+
+@register("band_score_extrapolated")
+def q_band_score_extrapolated(t):
+    cr = _sc(t).daily_resolved.select(F.col("data_").alias("dia"), "matricula", "resolvidos_rec")
+    return _scored(t, "produtividade", cr, "resolvidos_rec", above="extrapolate")
+
+
+@register("band_score_descending")
+def q_band_score_descending(t):
+    c = t["cycle_positions"].select(
+        F.col("data_posicao").alias("dia"), F.lit(0).cast("bigint").alias("matricula"),
+        safe_div(F.col("qtde_respondido_dentro_prazo"), F.col("qtde_total")).alias("ratio"))
+    return _scored(t, "recorrencia", c, "ratio", direction="down")
+
+
+@register("band_score_imputed")
+def q_band_score_imputed(t):
+    g = t["monthly_grades"].withColumn("ym", F.make_date("ano_ref", "mes_ref", F.lit(1)))
+    j = month_target_join(g, targets_for(t["targets"], "dto", origem_case="lower"))
+    v, s = imputed_band_score(F.col("nota_dto"), Bands())
+    return j.select("ano_ref", "mes_ref", "matricula", v.alias("dto"), s.alias("p_dto_i"))
+
+
+@register("shift_class_production")
+def q_shift_class_production(t):
+    return _sc(t).production_by_shift.select("data_resolucao", "matricula", "area", "escala",
+                                             "producao")
+
+
+@register("refund_kind")
+def q_refund_kind(t):
+    cf = t["cancelled_flights"]
+    return cf.select("id", "refund_order_id", "refund_order_miles_id",
+                     refund_kind("refund_order_id", "refund_order_miles_id").alias("tipo"))
+
+
+@register("shift_class")
+def q_shift_class(t):
+    r = t["roster"]
+    return r.select("matricula", "mes_referencia", "horario_inicio", "horario_fim",
+                    shift_class("horario_inicio", "horario_fim").alias("escala"))

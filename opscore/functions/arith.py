@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NAN = F.lit(float("nan"))
-_INF = F.lit(float("inf"))
 
 
 def _c(x) -> Column:
@@ -24,6 +22,6 @@ def safe_div(num, den) -> Column:
     n, d = _c(num).cast("double"), _c(den).cast("double")
     return (F.when(n.isNull() | d.isNull(), F.lit(None).cast("double"))
             .when(d != 0, n / F.when(d != 0, d))
-            .when((n == 0) | F.isnan(n), _NAN)
-            .when(n > 0, _INF)
-            .otherwise(-_INF))
+            .when((n == 0) | F.isnan(n), F.lit(float("nan")))
+            .when(n > 0, F.lit(float("inf")))
+            .otherwise(F.lit(float("-inf"))))

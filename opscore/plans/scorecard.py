@@ -210,8 +210,12 @@ class Scorecard:
 
     # ------------------------------------------------------------ team, monthly
     @cached_property
-    def cycle_score_monthly(self) -> DataFrame:
-        """Mean daily on-time ratio of the primary area per month, scored."""
+    def cycle_rate_monthly(self) -> DataFrame:
+        """Mean daily on-time ratio per (month, renamed area).
+
+        ratio = answered-in-time / (total - late-but-resolved), rounded to 2
+        places; 0/0 (NaN) counts as 0, x/0 stays infinite.
+        """
         cp = self.t["cycle_positions"]
         cp = cp.filter((F.col("data_posicao") >= F.lit(self.start))
                        & F.col("area").isin(*CYCLE_AREAS)
@@ -220,11 +224,15 @@ class Scorecard:
                                  F.col("qtde_total")
                                  - F.col("qtde_nao_respondido_fora_prazo_resolvido")), 2)
         val = F.when(F.isnan(ratio), F.lit(0.0)).otherwise(ratio)
-        o = (cp.groupBy(F.month("data_posicao").alias("mes_ref"),
-                        F.year("data_posicao").alias("ano_ref"),
-                        area_rename("area").alias("area"))
-             .agg(F.avg(val).alias("valor_ciclo_c")))
-        o = o.filter(F.lower("area") == PRIMARY_AREA_LOWER)
+        return (cp.groupBy(F.month("data_posicao").alias("mes_ref"),
+                           F.year("data_posicao").alias("ano_ref"),
+                           area_rename("area").alias("area"))
+                .agg(F.avg(val).alias("valor_ciclo_c")))
+
+    @cached_property
+    def cycle_score_monthly(self) -> DataFrame:
+        """Cycle ratio of the primary area per month, scored (team result)."""
+        o = self.cycle_rate_monthly.filter(F.lower("area") == PRIMARY_AREA_LOWER)
         o = o.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         t = self._targets("ciclo 10 dias", tipo="coletivo", trim=False, keep_meta=True)
         j = month_target_join(o, t, drop_meta=False)
@@ -232,11 +240,18 @@ class Scorecard:
                         band_score(F.col("valor_ciclo_c")).alias("p_ciclo"),
                         "area", "tipo", "origem")
 
-    def _grade_team(self, grade: str, indicator: str, value: str, score: str) -> DataFrame:
+    @cached_property
+    def monthly_grade_avg(self) -> DataFrame:
+        """Mean knowledge and DTO grades of rostered agents per month."""
         g = self.t["monthly_grades"]
         g = g.withColumn("_d", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         j = month_roster_join(g, self.agents, "_d", roster_cols=[])
-        o = j.groupBy("ano_ref", "mes_ref").agg(F.avg(grade).alias(value))
+        return j.groupBy("ano_ref", "mes_ref").agg(
+            F.avg("nota_conhecimento").alias("valor_conhec_c"),
+            F.avg("nota_dto").alias("valor_dto_c"))
+
+    def _grade_team(self, grade: str, indicator: str, value: str, score: str) -> DataFrame:
+        o = self.monthly_grade_avg.select("ano_ref", "mes_ref", value)
         o = o.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         t = self._targets(indicator, tipo="coletivo", trim=False, keep_meta=True)
         j = month_target_join(o, t, drop_meta=False)
