@@ -280,7 +280,7 @@ def q_resolution_rate_daily(t):
     g = y.groupBy("data_resolucao", "matricula").agg(F.sum(w).alias("resolvidos"),
                                                       F.sum(q).alias("_q"))
     return g.select("data_resolucao", "matricula",
-                    safe_div(F.col("resolvidos"), F.col("_q")).alias("percent_resolucao"),
+                    safe_div("resolvidos", "_q").alias("percent_resolucao"),
                     "resolvidos")
 
 
@@ -376,8 +376,7 @@ def q_fiscal_shift(t):
 def _scored(t, indicator: str, value_df, value: str, **kw):
     df = value_df.withColumn("ym", month_key("dia"))
     j = month_target_join(df, targets_for(t["targets"], indicator))
-    return j.select("dia", "matricula", value, band_score(F.col(value), Bands(), **kw)
-                    .alias("score"))
+    return j.select("dia", "matricula", value, band_score(value, Bands(), **kw).alias("score"))
 
 
 @register("band_score_capped")
@@ -404,7 +403,7 @@ def q_band_score_descending(t):
 def q_band_score_imputed(t):
     g = t["monthly_grades"].withColumn("ym", F.make_date("ano_ref", "mes_ref", F.lit(1)))
     j = month_target_join(g, targets_for(t["targets"], "dto", origem_case="lower"))
-    v, s = imputed_band_score(F.col("nota_dto"), Bands())
+    v, s = imputed_band_score("nota_dto", Bands())
     return j.select("ano_ref", "mes_ref", "matricula", v.alias("dto"), s.alias("p_dto_i"))
 
 

@@ -30,7 +30,7 @@ from ..functions.scoring import Bands, band_score, imputed_band_score, step_pena
 from ..operators.filters import as_date, as_timestamp, normalised, ts_lit
 from ..operators.joins import (employee_day_spine, month_roster_join, month_target_join,
                                roster_filter, targets_for, try_long)
-from ..operators.setops import union_distinct, union_null_padded
+from ..operators.setops import union_all, union_null_padded
 
 SHIFT_INDICATORS = {"dia": "produtividade", "madrugada": "produtividade_madrugada",
                     "comercial": "produtividade_comercial"}
@@ -92,6 +92,30 @@ class Scorecard:
         return t if keep_meta else t.drop("tipo", "origem")
 
     # ------------------------------------------------------------ daily
+    @cached_property
+    def resolution_day_totals(self) -> DataFrame:
+        """One pass over the resolutions: per (day, agent) the weighted
+        resolved sum, the incident sum and the incident sum with an
+        attendant.  Every daily indicator that reads resolutions starts here,
+        so the largest table is scanned and shuffled once, after partial
+        aggregation (a hot agent costs one row per map task)."""
+        y = self.t["resolutions"]
+        q = F.col("quantidade_incidentes")
+        weighted = q * queue_weight("fila") * interaction_discount("quantidade_interacoes")
+        return y.groupBy("data_resolucao", "matricula").agg(
+            F.sum(weighted).alias("_w"), F.sum(q).alias("_q"),
+            F.sum(F.when(F.col("atendente").isNotNull(), q)).alias("_qa"),
+            F.count(F.when(F.col("atendente").isNotNull(), F.lit(1))).alias("_na"))
+
+    @cached_property
+    def rostered_day_totals(self) -> DataFrame:
+        """Day totals of agents on the roster that month, with the roster
+        columns the daily indicators need (one join for all of them)."""
+        return month_roster_join(
+            self.resolution_day_totals, self.agents, "data_resolucao",
+            roster_cols=["matricula_supervisor", "matricula_coordenador", "matricula_gerente",
+                         "area", "horario_inicio", "horario_fim"])
+
     @cached_property
     def resolution_score_daily(self) -> DataFrame:
         """Weighted resolution rate per agent-day and its band score.
@@ -100,24 +124,17 @@ class Scorecard:
         roster, then re-summed per roster row, which equals summing the
         joined rows (a duplicated roster row doubles both sums alike).
         """
-        y = self.t["resolutions"]
-        q = F.col("quantidade_incidentes")
-        weighted = q * queue_weight("fila") * interaction_discount("quantidade_interacoes")
-        pre = y.groupBy("data_resolucao", "matricula").agg(
-            F.sum(weighted).alias("_w"), F.sum(q).alias("_q"))
-        j = month_roster_join(pre, self.agents, "data_resolucao",
-                              roster_cols=["matricula_supervisor", "matricula_coordenador",
-                                           "matricula_gerente"])
         keys = ["data_resolucao", "matricula", "matricula_supervisor",
                 "matricula_coordenador", "matricula_gerente"]
-        b = j.groupBy(*keys).agg(F.sum("_w").alias("resolvidos"), F.sum("_q").alias("_q"))
-        b = b.withColumn("_pct", safe_div(F.col("resolvidos"), F.col("_q")))
+        b = self.rostered_day_totals.groupBy(*keys).agg(
+            F.sum("_w").alias("resolvidos"), F.sum("_q").alias("_q"))
+        b = b.withColumn("_pct", safe_div("resolvidos", "_q"))
         b = b.withColumn("ym", month_key("data_resolucao"))
         s = month_target_join(b, self._targets("resolutividade"))
         return s.select(
             "data_resolucao", "matricula",
             percent_guard("_pct").alias("percent_resolucao"), "resolvidos",
-            band_score(F.col("_pct"), Bands()).alias("p_resolutividade"),
+            band_score("_pct").alias("p_resolutividade"),
             "matricula_supervisor", "matricula_coordenador", "matricula_gerente")
 
     @cached_property
@@ -138,22 +155,18 @@ class Scorecard:
 
     @cached_property
     def daily_resolved(self) -> DataFrame:
-        """Incidents with an attendant, per (day, agent)."""
-        r = self.t["resolutions"].filter(F.col("atendente").isNotNull())
-        return (r.groupBy(F.col("data_resolucao").alias("data_"), "matricula")
-                .agg(F.sum("quantidade_incidentes").alias("resolvidos_rec")))
+        """Incidents with an attendant, per (day, agent) (all agents)."""
+        return (self.resolution_day_totals.filter(F.col("_na") > 0)
+                .select(F.col("data_resolucao").alias("data_"), "matricula",
+                        F.col("_qa").alias("resolvidos_rec")))
 
     @cached_property
     def production_by_shift(self) -> DataFrame:
         """Incidents per (day, agent, area, shift class)."""
-        y = self.t["resolutions"]
-        pre = y.groupBy("data_resolucao", "matricula").agg(
-            F.sum("quantidade_incidentes").alias("_p"))
-        j = month_roster_join(pre, self.agents, "data_resolucao",
-                              roster_cols=["area", "horario_inicio", "horario_fim"])
+        j = self.rostered_day_totals
         return (j.groupBy("data_resolucao", "matricula", "area",
                           shift_class("horario_inicio", "horario_fim").alias("escala"))
-                .agg(F.sum("_p").alias("producao")))
+                .agg(F.sum("_q").alias("producao")))
 
     @cached_property
     def absence_production(self) -> DataFrame:
@@ -172,9 +185,11 @@ class Scorecard:
 
         NULL production ranks as 0.1.  Equal ranks are broken by area, then
         shift, so the pick is deterministic.  A ``min_by`` aggregate: partial
-        aggregation, no sort per agent-day.
+        aggregation, no sort per agent-day.  The warehouse UNION's duplicate
+        removal is not needed: the minimum of a multiset is the minimum of
+        its set, so the rows are stacked (UNION ALL) and one shuffle saved.
         """
-        base = union_distinct(self.production_by_shift.select(
+        base = union_all(self.production_by_shift.select(
             "data_resolucao", "matricula", "area", "producao", "escala"),
             self.absence_production)
         rank = F.struct(F.coalesce(F.col("producao"), F.lit(ABSENT_FILLER)).alias("_r"),
@@ -205,7 +220,7 @@ class Scorecard:
         base = base.select("*", month_key("data_resolucao").alias("_ym"), ind.alias("_ind"))
         j = base.join(F.broadcast(t3), (base["_ym"] == t3["_tym"]) & (base["_ind"] == t3["_ind"]))
         return j.select("data_resolucao", "matricula", "producao",
-                        band_score(F.col("producao"), Bands(), above="extrapolate")
+                        band_score("producao", above="extrapolate")
                         .alias("p_produtividade")).distinct()
 
     # ------------------------------------------------------------ team, monthly
@@ -237,7 +252,7 @@ class Scorecard:
         t = self._targets("ciclo 10 dias", tipo="coletivo", trim=False, keep_meta=True)
         j = month_target_join(o, t, drop_meta=False)
         return j.select("mes_ref", "ano_ref", "valor_ciclo_c",
-                        band_score(F.col("valor_ciclo_c")).alias("p_ciclo"),
+                        band_score("valor_ciclo_c").alias("p_ciclo"),
                         "area", "tipo", "origem")
 
     @cached_property
@@ -255,7 +270,7 @@ class Scorecard:
         o = o.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         t = self._targets(indicator, tipo="coletivo", trim=False, keep_meta=True)
         j = month_target_join(o, t, drop_meta=False)
-        return j.select("mes_ref", "ano_ref", value, band_score(F.col(value)).alias(score),
+        return j.select("mes_ref", "ano_ref", value, band_score(value).alias(score),
                         "tipo", "origem")
 
     @cached_property
@@ -354,7 +369,7 @@ class Scorecard:
         j = month_target_join(m, self._targets("recorrencia"))
         return j.select("ano_ref", "mes_ref", "matricula", "resolvidos_rec", "recorrencia",
                         "percent_recorrencia",
-                        band_score(F.col("percent_recorrencia"), direction="down")
+                        band_score("percent_recorrencia", direction="down")
                         .alias("p_recorrencia"))
 
     @cached_property
@@ -379,7 +394,7 @@ class Scorecard:
         r = r.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         t = self._targets(indicator, origem_case="lower")
         j = month_target_join(r, t)
-        filled, pts = imputed_band_score(F.col("_v"), Bands())
+        filled, pts = imputed_band_score("_v")
         return j.select("ano_ref", "mes_ref", "matricula", filled.alias(value), pts.alias(score))
 
     @cached_property
@@ -405,7 +420,7 @@ class Scorecard:
         j2 = month_target_join(r, self._targets("csat"))
         return j2.select("ano_ref", "mes_ref", try_long("matricula").alias("matricula"),
                          F.round("_csat", 2).alias("media__csat"),
-                         F.round(band_score(F.col("_csat")), 2).alias("p_csat"))
+                         F.round(band_score("_csat"), 2).alias("p_csat"))
 
     # ------------------------------------------------------------ final
     @cached_property

@@ -80,17 +80,14 @@ class DriverTables:
                 .distinct())
 
     def _supplier_months(self) -> DataFrame:
-        """supplier x months without a nested-loop join.
+        """supplier x months without a join.
 
-        Each supplier row expands the month range given by two scalar
-        subqueries; a broadcast equi-join against the (calendar-bounded)
-        month list keeps only months that exist.
+        The month list is calendar-bounded (at most 12 per year of data), so
+        it is one scalar subquery (an array) that each supplier row expands.
         """
-        lo = self.months.select(F.min("ref")).scalar()
-        hi = self.months.select(F.max("ref")).scalar()
+        month_list = self.months.select(F.sort_array(F.collect_list("ref"))).scalar()
         s = self.raw("supplier")
-        grid = s.select("*", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("ref"))
-        return grid.join(F.broadcast(self.months), "ref")
+        return s.select("*", F.explode(month_list).alias("ref"))
 
     def _supplier_count(self) -> Column:
         return self.raw("supplier").select(F.count(F.lit(1))).scalar()

@@ -18,7 +18,7 @@ BAND_DDL = ", ".join(f"{k}_{lv} double" for k in ("m", "p") for lv in LEVELS)
 def _scores(spark, bands, values, **kw):
     rows = [(v, *[bands[f"{k}_{lv}"] for k in ("m", "p") for lv in LEVELS]) for v in values]
     df = make_df(spark, rows, f"v double, {BAND_DDL}")
-    out = df.select(band_score(F.col("v"), Bands(), **kw).alias("s")).collect()
+    out = df.select(band_score("v", Bands(), **kw).alias("s")).collect()
     return [None if r.s is None else round(r.s, 9) for r in out]
 
 
@@ -48,7 +48,7 @@ def test_band_hits_points_at_thresholds(spark):
 def test_imputed(spark):
     rows = [(None, *[BANDS_UP[f"{k}_{lv}"] for k in ("m", "p") for lv in LEVELS])]
     df = make_df(spark, rows, f"v double, {BAND_DDL}")
-    v, s = imputed_band_score(F.col("v"), Bands())
+    v, s = imputed_band_score("v", Bands())
     r = df.select(v.alias("v"), s.alias("s")).first()
     assert (r.v, r.s) == (0.6, 10.0)
 
@@ -57,7 +57,7 @@ def test_display_guard_and_score_use_raw_value(spark):
     rows = [(1.3, *[BANDS_UP[f"{k}_{lv}"] for k in ("m", "p") for lv in LEVELS])]
     df = make_df(spark, rows, f"v double, {BAND_DDL}")
     r = df.select(percent_guard("v").alias("shown"),
-                  band_score(F.col("v"), Bands()).alias("s")).first()
+                  band_score("v", Bands()).alias("s")).first()
     assert (r.shown, r.s) == (0.0, 50.0)
 
 
