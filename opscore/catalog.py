@@ -58,7 +58,7 @@ def _scorecard(t):
     key = "_scorecard"
     if key not in t._built:
         t._built[key] = Scorecard(t, start_date=P["start_date"], shift_from=P["shift_from"],
-                                  as_of_ts=P["as_of_ts"])
+                                  as_of_ts=P["as_of_ts"], checkpoint=True)
     return t._built[key]
 
 

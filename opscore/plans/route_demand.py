@@ -50,15 +50,16 @@ def sales_by_route(searches: DataFrame, orders: DataFrame, tracking: DataFrame,
     """Per route: number of (search x order x tracking) rows and the newest one.
 
     Each tracking row of an order is a separate sale row (the count is of
-    those rows).  Tracking is reduced to one row per order first - its row
-    count and greatest source, the only fields the report reads - so the
-    join sees one row per order and a heavily tracked order cannot skew it.
-    The newest row is max(created_at, fk_search_id, source): a partial
-    aggregate, no sort of the route's rows.
+    those rows).  Tracking is reduced to one row per (order, source) first -
+    the only tracking fields the report reads - with a hash aggregate
+    (source is a grouping key, so no sort-based aggregation over the largest
+    table), and a heavily tracked order cannot skew the join.  The newest
+    row is max(created_at, fk_search_id, source) over the same candidate
+    tuples: a partial aggregate, no sort of a route's rows in one task.
     """
     t = rolling_days_filter(tracking, "created_at", as_of, days)
-    per_order = t.groupBy("fk_order_id").agg(F.count(F.lit(1)).alias("_rows"),
-                                              F.max("source").alias("_source"))
+    per_order = (t.groupBy("fk_order_id", F.col("source").alias("_source"))
+                 .agg(F.count(F.lit(1)).alias("_rows")))
     o = rolling_days_filter(orders, "created_at", as_of, days)
     o = status_in_filter(o, "last_status", CLOSED_STATUSES)
     s = searches.select("id", "iata_from", "iata_to")

@@ -73,11 +73,12 @@ class Scorecard:
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], start_date="2021-08-01",
-                 shift_from="2022-07-01", as_of_ts=None):
+                 shift_from="2022-07-01", as_of_ts=None, checkpoint: bool = False):
         self.t = tables
         self.start = as_date(start_date)
         self.shift_from = as_date(shift_from)
         self.as_of = as_timestamp(as_of_ts or _dt.datetime.now().replace(microsecond=0))
+        self.checkpoint = checkpoint
 
     # ------------------------------------------------------------ inputs
     @cached_property
@@ -355,10 +356,25 @@ class Scorecard:
         out = union_null_padded(arm1, self.absence_rows, distinct=True)
         return out.filter(F.col("data_resolucao") >= F.lit(self.start))
 
+    @cached_property
+    def scorecard_daily_stable(self) -> DataFrame:
+        """The daily table as read by the monthly and final assemblies.
+
+        With ``checkpoint=True`` it is written once to the session's
+        ``spark.checkpoint.dir`` (a shared folder on a cluster) and both
+        consumers restart from there: lineage is cut and a lost executor does
+        not recompute the daily plan.
+        """
+        if not self.checkpoint:
+            return self.scorecard_daily
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.scorecard_daily.sparkSession)
+        return self.scorecard_daily.checkpoint(eager=True)
+
     # ------------------------------------------------------------ monthly individual
     @cached_property
     def recontact_monthly(self) -> DataFrame:
-        p = self.scorecard_daily
+        p = self.scorecard_daily_stable
         m = (p.groupBy(F.year("data_resolucao").alias("ano_ref"),
                        F.month("data_resolucao").alias("mes_ref"), "matricula")
              .agg(F.sum("resolvidos_rec").alias("resolvidos_rec"),
@@ -431,7 +447,7 @@ class Scorecard:
         month: an agent with n loss days in a month gets each daily row n
         times (warehouse behaviour, kept).
         """
-        z = self.scorecard_daily.withColumn("ym", month_key("data_resolucao")) \
+        z = self.scorecard_daily_stable.withColumn("ym", month_key("data_resolucao")) \
             .drop("recorrencia", "resolvidos_rec")
 
         def monthly(df: DataFrame, cols: list[str]) -> DataFrame:
