@@ -41,10 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is; a fresh temporary folder is only chosen for local runs and tests.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="opscore-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = current or tempfile.mkdtemp(prefix="opscore-ckpt-")
+    if not current:
+        spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # noqa: BLE001  (Spark Connect: the conf alone names the folder)
+        pass
     return path

@@ -9,7 +9,6 @@ the analytics compare wall-clock days, never instants.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
@@ -98,11 +97,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name.lower() not in have]
     if missing:
         raise ContractError(f"{name}: missing columns {missing}")
-    cols = []
+    exprs = []
     for f in schema.fields:
-        src = df[f.name]
+        src = f"`{f.name}`"
         if isinstance(f.dataType, T.DateType):
-            cols.append(F.to_date(src).alias(f.name))
+            exprs.append(f"to_date({src}) AS {src}")
         else:
-            cols.append(src.cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            exprs.append(f"CAST({src} AS {f.dataType.simpleString()}) AS {src}")
+    return df.selectExpr(*exprs)

@@ -44,13 +44,6 @@ LEVELS = ("alerta", "bronze", "prata", "ouro", "1", "2")
 SCORECARD_EPOCH = "2000-01-01"
 
 
-def _case(col: Column, mapping: dict, default=None) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr.otherwise(F.lit(default)) if default is not None else expr
-
-
 class DriverTables:
     """Lazy, memoised logical tables over one driver data folder."""
 
@@ -75,9 +68,8 @@ class DriverTables:
     def months(self) -> DataFrame:
         """Distinct months with orders since the scorecard epoch (calendar-bounded)."""
         o = self.raw("orders")
-        return (o.filter(o.o_orderdate >= F.lit(SCORECARD_EPOCH).cast("timestamp_ntz"))
-                .select(F.to_date(F.date_trunc("month", "o_orderdate")).alias("ref"))
-                .distinct())
+        return (o.where(f"o_orderdate >= TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'")
+                .selectExpr("to_date(date_trunc('month', o_orderdate)) AS ref").distinct())
 
     def _supplier_months(self) -> DataFrame:
         """supplier x months without a join.
@@ -92,231 +84,201 @@ class DriverTables:
     def _supplier_count(self) -> Column:
         return self.raw("supplier").select(F.count(F.lit(1))).scalar()
 
-    def _since_epoch(self, col: str) -> Column:
-        return F.col(col) >= F.lit(SCORECARD_EPOCH).cast("timestamp_ntz")
+    # Each builder is one projection written as SQL expressions (one call
+    # to the JVM per table instead of one per expression node).
 
     # ---- route demand ---------------------------------------------------
     def _build_searches(self) -> DataFrame:
         o, c = self.raw("orders"), self.raw("customer")
-        j = o.join(c, o.o_custkey == c.c_custkey)
-        return j.select(
-            F.col("o_orderkey").alias("id"),
-            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("iata_from"),
-            F.col("o_orderpriority").alias("iata_to"),
-            F.col("o_orderstatus").alias("external_user"),
-            F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "HOUSEHOLD"),
-                   F.lit("ExternalSearch")).otherwise(F.lit("Site")).alias("browser_id"),
-            F.col("o_orderdate").alias("created_at"))
+        return o.join(c, o.o_custkey == c.c_custkey).selectExpr(
+            "o_orderkey AS id", "concat('N', CAST(c_nationkey AS STRING)) AS iata_from",
+            "o_orderpriority AS iata_to", "o_orderstatus AS external_user",
+            "CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD') "
+            "THEN 'ExternalSearch' ELSE 'Site' END AS browser_id",
+            "o_orderdate AS created_at")
 
     def _build_orders_booked(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.select(
-            F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("fk_search_id"),
-            F.col("o_orderdate").alias("created_at"),
-            _case(F.col("o_orderstatus"), {"F": 56, "O": 60}, 1).alias("last_status"))
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS id", "o_orderkey AS fk_search_id", "o_orderdate AS created_at",
+            "CASE o_orderstatus WHEN 'F' THEN 56 WHEN 'O' THEN 60 ELSE 1 END AS last_status")
 
     def _build_order_tracking(self) -> DataFrame:
-        li = self.raw("lineitem")
-        return li.select(
-            F.col("l_orderkey").alias("fk_order_id"), F.col("l_shipdate").alias("created_at"),
-            _case(F.col("l_returnflag"), {"A": "F", "N": "O"}, "P").alias("source"))
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey AS fk_order_id", "l_shipdate AS created_at",
+            "CASE l_returnflag WHEN 'A' THEN 'F' WHEN 'N' THEN 'O' ELSE 'P' END AS source")
 
     # ---- refunds --------------------------------------------------------
     def _build_cancelled_flights(self) -> DataFrame:
-        o = self.raw("orders")
-        not_tenth = (F.col("o_orderkey") % 10) != 0
-        return o.select(
-            F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("order_id"),
-            F.col("o_totalprice").alias("total_refund"),
-            F.when(F.col("o_orderstatus").isin("F", "P") & not_tenth, F.col("o_orderkey"))
-             .alias("refund_order_id"),
-            F.when(F.col("o_orderstatus").isin("O", "P") & not_tenth, F.col("o_orderkey"))
-             .alias("refund_order_miles_id"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("reason_id"),
-            F.col("o_orderdate").alias("created_at"))
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS id", "o_custkey AS order_id", "o_totalprice AS total_refund",
+            "CASE WHEN o_orderstatus IN ('F', 'P') AND o_orderkey % 10 <> 0 "
+            "THEN o_orderkey END AS refund_order_id",
+            "CASE WHEN o_orderstatus IN ('O', 'P') AND o_orderkey % 10 <> 0 "
+            "THEN o_orderkey END AS refund_order_miles_id",
+            "CAST(substr(o_orderpriority, 1, 1) AS INT) AS reason_id",
+            "o_orderdate AS created_at")
 
     def _build_refund_items(self) -> DataFrame:
-        li = self.raw("lineitem")
-        return li.filter(li.l_returnflag == "R").select(
-            F.col("l_orderkey").alias("cancellation_flight_id"),
-            F.col("l_extendedprice").alias("total_refund"))
+        return self.raw("lineitem").where("l_returnflag = 'R'").selectExpr(
+            "l_orderkey AS cancellation_flight_id", "l_extendedprice AS total_refund")
 
     def _build_cancellations(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.select(
-            F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("cancellable_id"),
-            F.concat(F.lit("agent_"), (F.col("o_custkey") % 50).cast("string"))
-             .alias("created_name"))
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS id", "o_orderkey AS cancellable_id",
+            "concat('agent_', CAST(o_custkey % 50 AS STRING)) AS created_name")
 
     def _build_refund_bank_data(self) -> DataFrame:
-        o = self.raw("orders")
-        k = F.col("o_orderkey")
-        return o.filter(k % 5 != 0).select(
-            k.alias("cancellation_id"), (F.col("o_custkey") % 30).cast("int").alias("code_bank"),
-            F.lit("0001").alias("agency"), F.col("o_custkey").cast("string").alias("account_number"),
-            _case(k % 3, {1: 1, 2: 2}).alias("account_type"),
-            F.lit("Holder").alias("cardholder_name"), F.lit("000").alias("cardholder_document"),
-            ((k % 4) != 0).alias("is_active"))
+        return self.raw("orders").where("o_orderkey % 5 <> 0").selectExpr(
+            "o_orderkey AS cancellation_id", "CAST(o_custkey % 30 AS INT) AS code_bank",
+            "'0001' AS agency", "CAST(o_custkey AS STRING) AS account_number",
+            "CASE o_orderkey % 3 WHEN 1 THEN 1 WHEN 2 THEN 2 END AS account_type",
+            "'Holder' AS cardholder_name", "'000' AS cardholder_document",
+            "o_orderkey % 4 <> 0 AS is_active")
 
     def _build_banks(self) -> DataFrame:
-        n = self.raw("nation")
-        return n.select(F.col("n_nationkey").alias("code_bank"), F.col("n_name").alias("short_name"))
+        return self.raw("nation").selectExpr("n_nationkey AS code_bank",
+                                             "n_name AS short_name")
 
-    def _flag_code(self) -> Column:
-        return _case(F.col("l_returnflag"), {"A": 1, "N": 2}, 3)
+    _FLAG_CODE = "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END"
 
     def _build_flight_logs(self) -> DataFrame:
-        li = self.raw("lineitem")
-        return (li.groupBy("l_orderkey", "l_linenumber")
-                .agg(F.max(self._flag_code()).alias("cancellation_flight_status_id"),
+        return (self.raw("lineitem").groupBy("l_orderkey", "l_linenumber")
+                .agg(F.expr(f"max({self._FLAG_CODE})").alias("cancellation_flight_status_id"),
                      F.max("l_shipdate").alias("created_original_at"))
-                .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-                        F.col("l_orderkey").alias("cancellation_flight_id"),
-                        "cancellation_flight_status_id", "created_original_at"))
+                .selectExpr("l_orderkey * 10 + l_linenumber AS id",
+                            "l_orderkey AS cancellation_flight_id",
+                            "cancellation_flight_status_id", "created_original_at"))
 
     def _build_flight_statuses(self) -> DataFrame:
-        li = self.raw("lineitem")
-        return li.select(self._flag_code().alias("id"),
-                         F.concat(F.lit("status_"), F.col("l_returnflag")).alias("description")
-                         ).distinct()
+        return self.raw("lineitem").selectExpr(
+            f"{self._FLAG_CODE} AS id",
+            "concat('status_', l_returnflag) AS description").distinct()
 
     def _build_cancel_reasons(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.select(F.substring("o_orderpriority", 1, 1).cast("int").alias("id"),
-                        F.col("o_orderpriority").alias("description")).distinct()
+        return self.raw("orders").selectExpr(
+            "CAST(substr(o_orderpriority, 1, 1) AS INT) AS id",
+            "o_orderpriority AS description").distinct()
 
     def _build_refund_reports(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.filter(o.o_orderstatus != "O").select(
-            F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+        return self.raw("orders").where("o_orderstatus <> 'O'").selectExpr(
+            "o_orderkey AS id", "o_orderstatus AS status")
 
     def _build_refund_extra(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.filter(o.o_orderstatus != "F").select(
-            F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+        return self.raw("orders").where("o_orderstatus <> 'F'").selectExpr(
+            "o_orderkey AS id", "o_orderstatus AS status")
 
     # ---- search dashboard -----------------------------------------------
     def _build_trip_searches(self) -> DataFrame:
-        e = self.raw("events")
-        return e.select(
-            F.col("event_id").alias("id"), F.col("ts").alias("created_at"),
-            (F.col("user_id") % 20).alias("destination_id"),
-            F.date_add(F.to_date("ts"), (F.col("event_id") % 40).cast("int")).alias("checkin"),
-            F.col("user_id").alias("fk_purchase_searchs_id"))
+        return self.raw("events").selectExpr(
+            "event_id AS id", "ts AS created_at", "user_id % 20 AS destination_id",
+            "date_add(to_date(ts), CAST(event_id % 40 AS INT)) AS checkin",
+            "user_id AS fk_purchase_searchs_id")
 
     def _build_purchase_searches(self) -> DataFrame:
-        c = self.raw("customer")
-        return c.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("ap"))
+        return self.raw("customer").selectExpr("c_custkey AS id", "c_mktsegment AS ap")
 
     # ---- scorecard --------------------------------------------------------
     def _build_roster(self) -> DataFrame:
-        g = self._supplier_months()
-        s = F.col("s_suppkey")
-        nk = F.col("s_nationkey")
-        return g.select(
-            s.alias("matricula"), F.col("ref").alias("mes_referencia"),
-            F.when(s % 5 == 0, F.lit("Chat")).when(s % 5 == 1, F.lit("e-mail"))
-             .otherwise(F.lit("E-MAIL")).alias("funcao"),
-            F.lit("Relacionamento Primário").alias("area"),
-            _case(s % 3, {0: "00:00:00", 1: "06:00:00"}, "08:00:00").alias("horario_inicio"),
-            _case(s % 3, {0: "06:00:00", 1: "15:00:00"}, "17:00:00").alias("horario_fim"),
-            F.lit("PRIMARIO").alias("origem"), F.lit("individual").alias("tipo"),
-            nk.alias("matricula_supervisor"),
-            F.concat(F.lit("S"), nk.cast("string")).alias("supervisor"),
-            (nk % 5).alias("matricula_coordenador"),
-            F.concat(F.lit("C"), (nk % 5).cast("string")).alias("coordenador"),
-            F.lit(1).alias("matricula_gerente"), F.lit("G1").alias("gerente"))
+        return self._supplier_months().selectExpr(
+            "s_suppkey AS matricula", "ref AS mes_referencia",
+            "CASE WHEN s_suppkey % 5 = 0 THEN 'Chat' WHEN s_suppkey % 5 = 1 THEN 'e-mail' "
+            "ELSE 'E-MAIL' END AS funcao",
+            "'Relacionamento Primário' AS area",
+            "CASE s_suppkey % 3 WHEN 0 THEN '00:00:00' WHEN 1 THEN '06:00:00' "
+            "ELSE '08:00:00' END AS horario_inicio",
+            "CASE s_suppkey % 3 WHEN 0 THEN '06:00:00' WHEN 1 THEN '15:00:00' "
+            "ELSE '17:00:00' END AS horario_fim",
+            "'PRIMARIO' AS origem", "'individual' AS tipo",
+            "s_nationkey AS matricula_supervisor",
+            "concat('S', CAST(s_nationkey AS STRING)) AS supervisor",
+            "s_nationkey % 5 AS matricula_coordenador",
+            "concat('C', CAST(s_nationkey % 5 AS STRING)) AS coordenador",
+            "1 AS matricula_gerente", "'G1' AS gerente")
 
     def _build_targets(self) -> DataFrame:
-        sheet = F.array(*[
-            F.struct(F.lit(ind).alias("indicador"), F.lit(tipo).alias("tipo"),
-                     F.lit(orig).alias("origem"),
-                     *[F.lit(v).alias(f"m_{lv}") for lv, v in zip(LEVELS, m)],
-                     *[F.lit(v).alias(f"p_{lv}") for lv, v in zip(LEVELS, p)])
-            for ind, tipo, orig, m, p in TARGET_SHEET])
-        return self.months.select("ref", F.inline(sheet))
+        rows = []
+        for ind, tipo, orig, m, p in TARGET_SHEET:
+            nums = ", ".join(f"CAST({v!r} AS DOUBLE)" for v in (*m, *p))
+            rows.append(f"struct('{ind}', '{tipo}', '{orig}', {nums})")
+        names = ["indicador", "tipo", "origem"] + [f"{k}_{lv}" for k in ("m", "p")
+                                                    for lv in LEVELS]
+        sheet = f"inline(array({', '.join(rows)}))"
+        return self.months.selectExpr("ref", f"{sheet} AS ({', '.join(names)})")
+
+    _SINCE_EPOCH = f"TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'"
 
     def _build_resolutions(self) -> DataFrame:
-        li = self.raw("lineitem").filter(self._since_epoch("l_shipdate"))
-        return li.select(
-            F.to_date("l_shipdate").alias("data_resolucao"), F.col("l_suppkey").alias("matricula"),
-            F.when(F.col("l_linenumber") < 7, F.col("l_linenumber")).alias("quantidade_interacoes"),
-            F.col("l_quantity").alias("quantidade_incidentes"),
-            _case(F.col("l_returnflag"), {"A": "Cancelamento/remarcação", "N": "Remarcação "},
-                  "Pendências Reembolso").alias("fila"),
-            F.when(F.col("l_linestatus") == "O", F.lit("x")).alias("atendente"))
+        return self.raw("lineitem").where(f"l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+            "to_date(l_shipdate) AS data_resolucao", "l_suppkey AS matricula",
+            "CASE WHEN l_linenumber < 7 THEN l_linenumber END AS quantidade_interacoes",
+            "l_quantity AS quantidade_incidentes",
+            "CASE l_returnflag WHEN 'A' THEN 'Cancelamento/remarcação' "
+            "WHEN 'N' THEN 'Remarcação ' ELSE 'Pendências Reembolso' END AS fila",
+            "CASE WHEN l_linestatus = 'O' THEN 'x' END AS atendente")
 
     def _build_recontacts(self) -> DataFrame:
-        li = self.raw("lineitem")
-        li = li.filter((li.l_linenumber >= 5) & self._since_epoch("l_shipdate"))
-        return li.select(
-            F.col("l_shipdate").alias("data_ultima_criacao"),
-            (F.col("l_shipdate") + F.expr("INTERVAL 2 DAYS")).alias("data_respondido_cliente"),
-            F.col("l_suppkey").alias("matricula"),
-            _case(F.col("l_returnflag"), {"A": "Cancelamento/remarcação", "N": "Pacote"},
-                  "Pendências Reembolso").alias("fila"),
-            F.lit("Relacionamento Primário").alias("area"))
+        return self.raw("lineitem").where(
+            f"l_linenumber >= 5 AND l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+            "l_shipdate AS data_ultima_criacao",
+            "l_shipdate + INTERVAL 2 DAYS AS data_respondido_cliente",
+            "l_suppkey AS matricula",
+            "CASE l_returnflag WHEN 'A' THEN 'Cancelamento/remarcação' WHEN 'N' THEN 'Pacote' "
+            "ELSE 'Pendências Reembolso' END AS fila",
+            "'Relacionamento Primário' AS area")
 
     def _build_absences(self) -> DataFrame:
-        o = self.raw("orders")
-        o = o.filter((o.o_orderpriority == "5-LOW") & self._since_epoch("o_orderdate"))
-        st = F.col("o_orderstatus")
+        o = self.raw("orders").where(
+            f"o_orderpriority = '5-LOW' AND o_orderdate >= {self._SINCE_EPOCH}")
         return o.select(
-            F.to_date("o_orderdate").alias("data_ref"),
+            F.expr("to_date(o_orderdate)").alias("data_ref"),
             (F.col("o_custkey") % self._supplier_count()).alias("matricula"),
-            F.lit("Nome").alias("nome_colaborador"), F.lit("PRIMARIO").alias("origem"),
-            F.when(st == "F", 1).otherwise(0).alias("falta_injustificada"),
-            F.when(st == "P", 1).otherwise(0).alias("faltas_justificadas"),
-            F.when(st == "O", 1).otherwise(0).alias("faltas_outros"))
+            F.expr("'Nome'").alias("nome_colaborador"), F.expr("'PRIMARIO'").alias("origem"),
+            F.expr("CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END").alias("falta_injustificada"),
+            F.expr("CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END").alias("faltas_justificadas"),
+            F.expr("CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END").alias("faltas_outros"))
 
     def _build_contact_calendar(self) -> DataFrame:
-        return self.raw("orders").select(F.col("o_orderdate").alias("created"))
+        return self.raw("orders").selectExpr("o_orderdate AS created")
 
     def _build_cycle_positions(self) -> DataFrame:
-        li = self.raw("lineitem").filter(self._since_epoch("l_shipdate"))
-        ln, q = F.col("l_linenumber"), F.col("l_quantity")
-        return li.select(
-            F.to_date("l_shipdate").alias("data_posicao"),
-            F.when(F.col("l_linestatus") == "O", F.lit("Atendimento Primário"))
-             .otherwise(F.lit("Atendimento Especializado")).alias("area"),
-            _case(F.col("l_returnflag"), {"A": "Hotel", "N": "Aéreo"}).alias("fila"),
-            F.when(q == ln - 1, F.lit(0)).otherwise(F.least(ln, q.cast("int")))
-             .alias("qtde_respondido_dentro_prazo"),
-            q.cast("int").alias("qtde_total"),
-            (ln - 1).alias("qtde_nao_respondido_fora_prazo_resolvido"))
+        return self.raw("lineitem").where(f"l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+            "to_date(l_shipdate) AS data_posicao",
+            "CASE WHEN l_linestatus = 'O' THEN 'Atendimento Primário' "
+            "ELSE 'Atendimento Especializado' END AS area",
+            "CASE l_returnflag WHEN 'A' THEN 'Hotel' WHEN 'N' THEN 'Aéreo' END AS fila",
+            "CASE WHEN l_quantity = l_linenumber - 1 THEN 0 "
+            "ELSE least(l_linenumber, CAST(l_quantity AS INT)) END "
+            "AS qtde_respondido_dentro_prazo",
+            "CAST(l_quantity AS INT) AS qtde_total",
+            "l_linenumber - 1 AS qtde_nao_respondido_fora_prazo_resolvido")
 
     def _build_monthly_grades(self) -> DataFrame:
-        g = self._supplier_months()
-        s, mo = F.col("s_suppkey"), F.month("ref")
-        g = g.filter((s + mo) % 4 != 0)
-        return g.select(
-            F.year("ref").alias("ano_ref"), mo.alias("mes_ref"), s.alias("matricula"),
-            (((s * 7 + mo * 3) % 50).cast("double") / 10 + 5).alias("nota_conhecimento"),
-            F.when(s % 7 == 0, F.lit(None))
-             .otherwise(((s * 11 + mo) % 50).cast("double") / 10 + 5).alias("nota_dto"))
+        return self._supplier_months().where("(s_suppkey + month(ref)) % 4 <> 0").selectExpr(
+            "year(ref) AS ano_ref", "month(ref) AS mes_ref", "s_suppkey AS matricula",
+            "CAST((s_suppkey * 7 + month(ref) * 3) % 50 AS DOUBLE) / 10 + 5 "
+            "AS nota_conhecimento",
+            "CASE WHEN s_suppkey % 7 = 0 THEN NULL "
+            "ELSE CAST((s_suppkey * 11 + month(ref)) % 50 AS DOUBLE) / 10 + 5 END AS nota_dto")
 
     def _build_collective_extras(self) -> DataFrame:
-        m = self.months.filter(F.month("ref") != 6)
-        return m.select(
-            F.year("ref").alias("ano_ref"), F.month("ref").alias("mes_ref"),
-            F.month("ref").cast("double").alias("reclamacoes"),
-            F.lit(5.0).alias("p_reclamacoes"), F.lit(70.0).alias("nps"),
-            F.lit(10.0).alias("p_nps"), F.lit(3.0).alias("redes_sociais"),
-            F.lit(2.0).alias("p_redes_sociais"))
+        return self.months.where("month(ref) <> 6").selectExpr(
+            "year(ref) AS ano_ref", "month(ref) AS mes_ref",
+            "CAST(month(ref) AS DOUBLE) AS reclamacoes", "CAST(5 AS DOUBLE) AS p_reclamacoes",
+            "CAST(70 AS DOUBLE) AS nps", "CAST(10 AS DOUBLE) AS p_nps",
+            "CAST(3 AS DOUBLE) AS redes_sociais", "CAST(2 AS DOUBLE) AS p_redes_sociais")
 
     def _build_losses(self) -> DataFrame:
-        o = self.raw("orders")
-        o = o.filter((o.o_orderstatus == "P") & (o.o_orderkey % 7 == 0)
-                     & self._since_epoch("o_orderdate"))
+        o = self.raw("orders").where(
+            f"o_orderstatus = 'P' AND o_orderkey % 7 = 0 AND o_orderdate >= {self._SINCE_EPOCH}")
         return o.select(
-            F.to_date("o_orderdate").alias("data_ref"),
+            F.expr("to_date(o_orderdate)").alias("data_ref"),
             (F.col("o_custkey") % self._supplier_count()).alias("solicitante_matricula"),
-            (F.col("o_totalprice") / 30).cast("string").alias("reembolso_valor_prejuizo"))
+            F.expr("CAST(o_totalprice / 30 AS STRING)").alias("reembolso_valor_prejuizo"))
 
     def _build_csat_answers(self) -> DataFrame:
-        o = self.raw("orders")
-        o = o.filter((o.o_orderpriority == "1-URGENT") & self._since_epoch("o_orderdate"))
+        o = self.raw("orders").where(
+            f"o_orderpriority = '1-URGENT' AND o_orderdate >= {self._SINCE_EPOCH}")
         return o.select(
-            F.to_date("o_orderdate").alias("data_das_respostas"),
+            F.expr("to_date(o_orderdate)").alias("data_das_respostas"),
             (F.col("o_custkey") % self._supplier_count()).cast("string").alias("matricula"),
-            (F.col("o_orderkey") % 6).cast("double").alias("media_"))
+            F.expr("CAST(o_orderkey % 6 AS DOUBLE)").alias("media_"))

@@ -53,6 +53,8 @@ def main() -> int:
             jobs[ev["Job ID"]][1] = ev["Completion Time"]
         elif e == "SparkListenerStageCompleted":
             info = ev["Stage Info"]
+            if "Submission Time" not in info:
+                continue
             acc = {x["Name"]: x.get("Value") for x in info.get("Accumulables", [])}
             stages.append((info["Completion Time"] - info["Submission Time"], info["Stage ID"],
                            info["Number of Tasks"], info["Stage Name"][:60],
@@ -62,6 +64,12 @@ def main() -> int:
     print(f"{a.key}: wall {wall:.2f}s, jobs total {len(jobs)} (second run ~{len(half)})")
     span = [(v[1] - v[0]) for k, v in jobs.items() if v[1]]
     print(f"  sum of job times {sum(span)/1000:.2f}s")
+    first = min(v[0] for k, v in jobs.items() if k in half) if half else 0
+    print("  timeline of the timed run (ms from its first job):")
+    for k in half:
+        st, en, ns = jobs[k]
+        print(f"    job {k:4d} start {st - first:6d} end {(en or st) - first:6d} "
+              f"dur {(en or st) - st:5d} stages {ns}")
     for s in sorted(stages, reverse=True)[: a.top]:
         print(f"  stage {s[1]:4d} {s[0]:6d}ms tasks={s[2]:4d} shuffleW={s[4]} in={s[5]} {s[3]}")
     return 0
