@@ -49,3 +49,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001  (Spark Connect: the conf alone names the folder)
         pass
     return path
+
+
+_MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+               broadcast_mb: int = 64) -> dict[str, str]:
+    """Session settings sized to the data, for a cluster run.
+
+    * file splits of ``target_partition_mb`` for large inputs (fewer, fuller
+      scan tasks), 128 MB below 1 TB;
+    * enough shuffle partitions that each holds about one target partition
+      of input (never fewer than 2 per core); AQE coalesces the small ones;
+    * AQE skew handling: a partition over 4x the median and over
+      2 x target is split, so one hot key cannot hold a reducer;
+    * AQE may broadcast a join side measured below ``broadcast_mb`` at run
+      time (size checked, otherwise it stays a shuffle join).
+
+    Example: 100 TB over 1000 executors x 8 cores -> 256 MB splits and
+    416,000 shuffle partitions (409,600 rounded up to whole waves of 8,000).
+    """
+    big = input_bytes >= (1 << 40)
+    split = target_partition_mb * _MB if big else 128 * _MB
+    parts = max(2 * total_cores, -(-input_bytes // (target_partition_mb * _MB)))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * _MB),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(2 * target_partition_mb * _MB),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_mb * _MB),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * _MB),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
