@@ -105,3 +105,26 @@ def test_band_score_matches_python_model(spark, vals, mode):
             assert got[i] is None
         else:
             assert math.isclose(got[i], want, rel_tol=1e-12, abs_tol=1e-12)
+
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_route_demand_rows_equal_search_groups(spark):
+    from opscore.operators import rolling_days_filter
+    from opscore.plans.route_demand import route_demand
+    from opscore.registry import PARAMS as P
+    from opscore.sources import DriverTables
+    t = DriverTables(spark, SF)
+    out = route_demand(t["searches"], t["orders_booked"], t["order_tracking"],
+                       P["route_as_of"], P["route_days"])
+    s = rolling_days_filter(t["searches"], "created_at", P["route_as_of"], P["route_days"])
+    groups = (s.filter(F.col("browser_id") == "ExternalSearch")
+              .select("iata_from", "iata_to", "external_user").distinct().count())
+    assert out.count() == groups
+
+
+def test_latest_log_join_one_log_per_flight(spark):
+    from opscore import registry
+    df = registry.queries()["latest_log_join"](spark, SF)
+    assert df.count() == df.select("id").distinct().count()
