@@ -430,13 +430,17 @@ class Scorecard:
     @cached_property
     def csat_monthly(self) -> DataFrame:
         """Mean CSAT per agent and reporting month (day >= 26 counts for the next)."""
-        a = self.t["csat_answers"].withColumn("_k", try_long("matricula"))
+        # answers are summed per (day, agent text) first: the roster join and
+        # the monthly mean then work on one row per agent-day.
+        a = (self.t["csat_answers"].groupBy("data_das_respostas", "matricula")
+             .agg(F.sum("media_").alias("_s"), F.count("media_").alias("_c"))
+             .withColumn("_k", try_long("matricula")))
         ag = self.agents.select(F.col("matricula").alias("_rk"),
                                 month_key("mes_referencia").alias("_rym"))
         j = a.join(ag, (a["_k"] == ag["_rk"]) & (month_key("data_das_respostas") == ag["_rym"]))
         cm = cutoff_month("data_das_respostas")
         r = (j.groupBy(F.year(cm).alias("ano_ref"), F.month(cm).alias("mes_ref"), "matricula")
-             .agg(F.avg("media_").alias("_csat")))
+             .agg((F.sum("_s") / F.when(F.sum("_c") > 0, F.sum("_c"))).alias("_csat")))
         r = r.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         j2 = month_target_join(r, self._targets("csat"))
         return j2.select("ano_ref", "mes_ref", try_long("matricula").alias("matricula"),
