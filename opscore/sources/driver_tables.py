@@ -64,22 +64,25 @@ class DriverTables:
         return self._built[name]
 
     # ---- shared helpers -------------------------------------------------
+    @cached_property
+    def month_list(self) -> Column:
+        """Sorted distinct months with orders since the scorecard epoch, as one
+        scalar subquery (an array bounded by the calendar: at most 12 per
+        year).  Every month-derived fixture (roster, targets, grades, team
+        extras) expands this one value instead of rescanning orders."""
+        o = self.raw("orders").where(f"o_orderdate >= TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'")
+        return o.select(F.sort_array(F.collect_set(
+            F.to_date(F.date_trunc("month", "o_orderdate"))))).scalar()
+
     @cached_property
     def months(self) -> DataFrame:
-        """Distinct months with orders since the scorecard epoch (calendar-bounded)."""
-        o = self.raw("orders")
-        return (o.where(f"o_orderdate >= TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'")
-                .selectExpr("to_date(date_trunc('month', o_orderdate)) AS ref").distinct())
+        """One row per month of :attr:`month_list`."""
+        return self.spark.range(1).select(F.explode(self.month_list).alias("ref"))
 
     def _supplier_months(self) -> DataFrame:
-        """supplier x months without a join.
-
-        The month list is calendar-bounded (at most 12 per year of data), so
-        it is one scalar subquery (an array) that each supplier row expands.
-        """
-        month_list = self.months.select(F.sort_array(F.collect_list("ref"))).scalar()
-        s = self.raw("supplier")
-        return s.select("*", F.explode(month_list).alias("ref"))
+        """supplier x months without a join: each supplier row expands the
+        calendar-bounded month list."""
+        return self.raw("supplier").select("*", F.explode(self.month_list).alias("ref"))
 
     def _supplier_count(self) -> Column:
         return self.raw("supplier").select(F.count(F.lit(1))).scalar()
