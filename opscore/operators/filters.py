@@ -26,8 +26,9 @@ def as_timestamp(t) -> _dt.datetime:
 
 
 def ts_lit(t) -> Column:
-    """A wall-clock (TIMESTAMP_NTZ) literal."""
-    return F.lit(as_timestamp(t)).cast("timestamp_ntz")
+    """A wall-clock (TIMESTAMP_NTZ) literal, built from text so neither the
+    session nor the Python process time zone can shift it."""
+    return F.lit(as_timestamp(t).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def rolling_days_filter(df: DataFrame, col: str, as_of, days: int) -> DataFrame:

@@ -62,3 +62,16 @@ def test_entry_smoke(spark):
                           "source"]
     assert df.count() >= 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+@pytest.mark.parametrize("key", ["route_demand", "search_dashboard", "csat_monthly"])
+def test_results_do_not_depend_on_session_time_zone(spark, registry_maps, key):
+    qs, _ = registry_maps
+    before = sorted(map(tuple, qs[key](spark, SF_ORACLE).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        after = sorted(map(tuple, qs[key](spark, SF_ORACLE).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
