@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import month_key
 from .filters import normalised
 
+# The agent role and area of the scorecard roster filter.
 EMAIL_ROLE = "E-MAIL"
 PRIMARY_AREA = "RELACIONAMENTO PRIMÁRIO"
 

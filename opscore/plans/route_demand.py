@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from ..operators.filters import rolling_days_filter, status_in_filter
 from ..operators.windows import ranked
 
+# Order statuses counted as closed sales; the external-search
+# browser tag.
 CLOSED_STATUSES = (56, 60)
 EXTERNAL_BROWSER = "ExternalSearch"
 

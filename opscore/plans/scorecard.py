@@ -26,12 +26,14 @@ from ..functions.arith import safe_div
 from ..functions.calendar import cutoff_month, fiscal_shift, month_key
 from ..functions.labels import (area_rename, interaction_discount, percent_guard,
                                 queue_weight, recontact_ratio, recontact_weight, shift_class)
-from ..functions.scoring import Bands, band_score, imputed_band_score, step_penalty
+from ..functions.scoring import band_score, imputed_band_score, step_penalty
 from ..operators.filters import as_date, as_timestamp, normalised, ts_lit
 from ..operators.joins import (employee_day_spine, month_roster_join, month_target_join,
                                roster_filter, targets_for, try_long)
 from ..operators.setops import union_all, union_null_padded
 
+# Target indicator per shift class, the absence row labels, the
+# cycle report areas and excluded queues, the primary area (lower case).
 SHIFT_INDICATORS = {"dia": "produtividade", "madrugada": "produtividade_madrugada",
                     "comercial": "produtividade_comercial"}
 ABSENT_AREA, ABSENT_SHIFT, ABSENT_FILLER = "FALTA", "dia", 0.1

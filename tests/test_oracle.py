@@ -1,7 +1,6 @@
 """Every registered key against its DuckDB oracle (small scale factor)."""
 
 import math
-import os
 
 import duckdb
 import pytest
