@@ -12,7 +12,6 @@ dates/timestamps/text unchanged.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 4
@@ -37,18 +36,20 @@ def kind_of(dt: T.DataType) -> str:
 
 
 def normalize_df(df: DataFrame) -> DataFrame:
-    cols = []
+    exprs = []
     for f in df.schema.fields:
         k = kind_of(f.dataType)
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if k == "int":
-            c = c.cast("bigint")
+            e = f"CAST({c} AS BIGINT)"
         elif k == "double":
-            c = F.round(F.round(c.cast("double"), SNAP), DIGITS)
+            e = f"round(round(CAST({c} AS DOUBLE), {SNAP}), {DIGITS})"
         elif k == "timestamp":
-            c = c.cast("timestamp_ntz")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"CAST({c} AS TIMESTAMP_NTZ)"
+        else:
+            e = c
+        exprs.append(f"{e} AS {c}")
+    return df.selectExpr(*exprs)
 
 
 def duck_round(expr: str, digits: int) -> str:

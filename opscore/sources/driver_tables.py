@@ -43,6 +43,8 @@ LEVELS = ("alerta", "bronze", "prata", "ouro", "1", "2")
 
 SCORECARD_EPOCH = "2000-01-01"
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
 
 class DriverTables:
     """Lazy, memoised logical tables over one driver data folder."""
@@ -54,8 +56,15 @@ class DriverTables:
         self._built: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
+        """Scan of one driver table.  The relation (file listing and footer
+        schema) is kept per session like a catalog entry; every query still
+        builds its own plan on top of it."""
         if name not in self._raw:
-            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            key = (id(self.spark), path)
+            if key not in _SCANS:
+                _SCANS[key] = self.spark.read.parquet(path)
+            self._raw[name] = _SCANS[key]
         return self._raw[name]
 
     def __getitem__(self, name: str) -> DataFrame:
