@@ -55,9 +55,9 @@ def month_roster_join(df: DataFrame, roster: DataFrame, date_col: str,
     """
     cols = roster_cols if roster_cols is not None else [
         c for c in roster.columns if c not in (key, "mes_referencia")]
-    r = roster.select(F.col(key).alias("_rk"), month_key("mes_referencia").alias("_rym"),
-                      *cols)
-    left = df.withColumn("_ym", month_key(date_col))
+    r = roster.selectExpr(f"`{key}` AS _rk", "trunc(to_date(mes_referencia), 'MM') AS _rym",
+                          *[f"`{c}`" for c in cols])
+    left = df.selectExpr("*", f"trunc(to_date(`{date_col}`), 'MM') AS _ym")
     out = left.join(r, (left[key] == r["_rk"]) & (left["_ym"] == r["_rym"]), how)
     return out.drop("_rk", "_rym", "_ym")
 
@@ -68,14 +68,16 @@ def targets_for(targets: DataFrame, indicator: str, tipo: str | None = "individu
     """Target rows of one indicator: lower(indicador), lower([trimmed] tipo),
     upper/lower(origem).  Returns (ym, m_*, p_*, tipo, origem); bounded by one
     row per month for each matching (tipo, origem)."""
-    t = targets.filter(F.lower("indicador") == indicator.lower())
+    conds = [f"lower(indicador) = '{indicator.lower()}'"]
     if tipo is not None:
-        t = t.filter(normalised("tipo", "lower", trim_tipo) == tipo.lower())
+        col = "trim(tipo)" if trim_tipo else "tipo"
+        conds.append(f"lower({col}) = '{tipo.lower()}'")
     if origem is not None:
-        t = t.filter(normalised("origem", origem_case, False) == (
-            origem.upper() if origem_case == "upper" else origem.lower()))
+        fn = "upper" if origem_case == "upper" else "lower"
+        conds.append(f"{fn}(origem) = '{origem.upper() if fn == 'upper' else origem.lower()}'")
     bands = [c for c in targets.columns if c[:2] in ("m_", "p_")]
-    return t.select(month_key("ref").alias("ym"), *bands, "tipo", "origem")
+    return targets.where(" AND ".join(conds)).selectExpr(
+        "trunc(to_date(ref), 'MM') AS ym", *bands, "tipo", "origem")
 
 
 def month_target_join(df: DataFrame, targets: DataFrame, month_col: str = "ym",

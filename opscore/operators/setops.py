@@ -6,7 +6,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:
@@ -21,9 +20,9 @@ def pad_to(df: DataFrame, like: DataFrame) -> DataFrame:
     """Project ``df`` onto the columns and types of ``like``; absent columns
     become typed NULLs."""
     have = set(df.columns)
-    cols = [(F.col(f.name).cast(f.dataType) if f.name in have
-             else F.lit(None).cast(f.dataType)).alias(f.name) for f in like.schema.fields]
-    return df.select(*cols)
+    exprs = [f"CAST({'`' + f.name + '`' if f.name in have else 'NULL'} AS "
+             f"{f.dataType.simpleString()}) AS `{f.name}`" for f in like.schema.fields]
+    return df.selectExpr(*exprs)
 
 
 def union_null_padded(full: DataFrame, partial: DataFrame, distinct: bool = True) -> DataFrame:
