@@ -43,7 +43,17 @@ LEVELS = ("alerta", "bronze", "prata", "ouro", "1", "2")
 
 SCORECARD_EPOCH = "2000-01-01"
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+
+
+def _application_id(spark: SparkSession) -> str | None:
+    """Id of the running application (a new context gets a new id, so a
+    cached scan never outlives its session); None where there is no
+    SparkContext to ask (Spark Connect), which disables the cache."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return None
 
 
 class DriverTables:
@@ -61,10 +71,14 @@ class DriverTables:
         builds its own plan on top of it."""
         if name not in self._raw:
             path = f"{self.sf_dir}/{name}.parquet"
-            key = (id(self.spark), path)
-            if key not in _SCANS:
-                _SCANS[key] = self.spark.read.parquet(path)
-            self._raw[name] = _SCANS[key]
+            app = _application_id(self.spark)
+            if app is None:
+                self._raw[name] = self.spark.read.parquet(path)
+            else:
+                key = (app, id(self.spark), path)
+                if key not in _SCANS:
+                    _SCANS[key] = self.spark.read.parquet(path)
+                self._raw[name] = _SCANS[key]
         return self._raw[name]
 
     def __getitem__(self, name: str) -> DataFrame:
