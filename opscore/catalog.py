@@ -425,3 +425,11 @@ def q_shift_class(t):
     r = t["roster"]
     return r.select("matricula", "mes_referencia", "horario_inicio", "horario_fim",
                     shift_class("horario_inicio", "horario_fim").alias("escala"))
+
+
+@register("search_dashboard_sql")
+def q_search_dashboard_sql(t):
+    """search_dashboard written as one parameterised spark.sql statement."""
+    from .plans.search_dashboard import search_dashboard_sql
+    return search_dashboard_sql(t["trip_searches"], t["purchase_searches"], P["dash_start"],
+                                P["dash_end"], P["dash_now"], P["dash_last_n"])

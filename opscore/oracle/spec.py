@@ -54,6 +54,7 @@ SPEC = {
     'scorecard_daily': [('data_resolucao', 'date'), ('matricula', 'int'), ('percent_resolucao', 'double'), ('resolvidos', 'double'), ('p_resolutividade', 'double'), ('recorrencia', 'double'), ('resolvidos_rec', 'double'), ('producao', 'double'), ('p_produtividade', 'double'), ('assiduidade', 'int'), ('valor_ciclo_c', 'double'), ('p_ciclo_c', 'double'), ('valor_conhec_c', 'double'), ('p_conhecimento_c', 'double'), ('pontos_ideia_c', 'double'), ('valor_dto_c', 'double'), ('p_dto_c', 'double'), ('reclamacoes', 'double'), ('p_reclamacoes', 'double'), ('nps', 'double'), ('p_nps', 'double'), ('redes_sociais', 'double'), ('p_redes_sociais', 'double'), ('ultima_atualizacao', 'timestamp')],
     'scorecard_final': [('data_resolucao', 'date'), ('matricula', 'int'), ('percent_resolucao', 'double'), ('resolvidos', 'double'), ('p_resolutividade', 'double'), ('percent_recorrencia', 'double'), ('recorrencia', 'double'), ('resolvidos_rec', 'double'), ('p_recorrencia', 'double'), ('media__csat', 'double'), ('p_csat', 'double'), ('producao', 'double'), ('p_produtividade', 'double'), ('assiduidade', 'int'), ('p_prejuizo', 'int'), ('dto', 'double'), ('p_dto_i', 'double'), ('conhecimento_corporativo', 'double'), ('p_cc_i', 'double'), ('valor_ciclo_c', 'double'), ('p_ciclo_c', 'double'), ('valor_conhec_c', 'double'), ('p_conhecimento_c', 'double'), ('pontos_ideia_c', 'double'), ('valor_dto_c', 'double'), ('p_dto_c', 'double'), ('reclamacoes', 'double'), ('p_reclamacoes', 'double'), ('nps', 'double'), ('p_nps', 'double'), ('redes_sociais', 'double'), ('p_redes_sociais', 'double'), ('origem', 'text'), ('tipo', 'text'), ('matricula_supervisor', 'int'), ('supervisor', 'text'), ('matricula_coordenador', 'int'), ('coordenador', 'text'), ('matricula_gerente', 'int'), ('gerente', 'text'), ('ultima_atualizacao', 'timestamp')],
     'search_dashboard': [('Data', 'date'), ('Pesquisas', 'int'), ('destination_id', 'int'), ('Checkin', 'date'), ('ap', 'text')],
+    'search_dashboard_sql': [('Data', 'date'), ('Pesquisas', 'int'), ('destination_id', 'int'), ('Checkin', 'date'), ('ap', 'text')],
     'shift_class': [('matricula', 'int'), ('mes_referencia', 'date'), ('horario_inicio', 'text'), ('horario_fim', 'text'), ('escala', 'text')],
     'shift_class_production': [('data_resolucao', 'date'), ('matricula', 'int'), ('area', 'text'), ('escala', 'text'), ('producao', 'double')],
     'status_in_filter': [('id', 'int'), ('fk_search_id', 'int'), ('created_at', 'timestamp'), ('last_status', 'int')],
