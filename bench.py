@@ -28,8 +28,8 @@ def main() -> None:
     keys = os.environ.get("BENCH_KEYS", ",".join(HEADLINE)).split(",")
 
     from opscore.session import local_session
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
-                          app="opscore-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE", str(2 * int(cpus))))
+    spark = local_session(cpus, shuffle_partitions=shuffle, app="opscore-bench")
     from opscore import registry
     qs = registry.queries()
 
