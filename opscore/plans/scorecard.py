@@ -362,19 +362,26 @@ class Scorecard:
     def scorecard_daily_stable(self) -> DataFrame:
         """The daily table as read by the monthly and final assemblies.
 
-        With ``checkpoint=True`` it is written once to the session's
-        ``spark.checkpoint.dir`` (a shared folder on a cluster) and both
-        consumers restart from there: lineage is cut and a lost executor does
-        not recompute the daily plan.
+        With ``checkpoint=True`` it is written once as a Parquet table under
+        the session's ``spark.checkpoint.dir`` (a shared folder on a cluster)
+        and both consumers read it back: lineage is cut, a lost executor does
+        not recompute the daily plan, the monthly reads prune columns, and
+        AQE plans the rest with real row counts.  The write goes through
+        Spark's commit protocol, so a failed attempt leaves no partial table.
         """
         if not self.checkpoint:
             return self.scorecard_daily
+        import uuid
+
         from ..session import ensure_checkpoint_dir
+        spark = self.scorecard_daily.sparkSession
         try:
-            ensure_checkpoint_dir(self.scorecard_daily.sparkSession)
-            return self.scorecard_daily.checkpoint(eager=True)
+            root = ensure_checkpoint_dir(spark).rstrip("/")
+            path = f"{root}/opscore-scorecard-daily-{uuid.uuid4().hex}"
+            self.scorecard_daily.write.parquet(path)
+            return spark.read.parquet(path)
         except Exception:  # noqa: BLE001
-            # A session that cannot checkpoint still gets the same result,
+            # A session that cannot write there still gets the same result,
             # recomputed from lineage.
             return self.scorecard_daily
 
