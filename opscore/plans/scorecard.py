@@ -307,9 +307,10 @@ class Scorecard:
         j = ab
         for side in (ac, c, cr, e):
             j = j.join(side, ["matricula", "dia"], "left")
-        return j.select(fiscal_shift("dia", self.shift_from).alias("data"), "matricula",
-                        "percent_resolucao", "resolvidos", "p_resolutividade", "recorrencia",
-                        "resolvidos_rec", "producao", "p_produtividade",
+        return j.select(fiscal_shift("dia", self.shift_from).alias("data"),
+                        *[F.col(c) for c in ("matricula", "percent_resolucao", "resolvidos",
+                                             "p_resolutividade", "recorrencia",
+                                             "resolvidos_rec", "producao", "p_produtividade")],
                         F.lit(0).alias("assiduidade"),
                         ts_lit(self.as_of).alias("ultima_atualizacao"))
 
@@ -348,13 +349,10 @@ class Scorecard:
         t = self.daily_table.withColumn("ym", month_key("data"))
         for side in self.team_by_month:
             t = t.join(F.broadcast(side), "ym", "left")
-        arm1 = t.select(
-            F.col("data").alias("data_resolucao"), "matricula", "percent_resolucao",
-            "resolvidos", "p_resolutividade", "recorrencia", "resolvidos_rec", "producao",
-            "p_produtividade", "assiduidade", "valor_ciclo_c", "p_ciclo_c", "valor_conhec_c",
-            "p_conhecimento_c", F.lit(None).cast("double").alias("pontos_ideia_c"),
-            "valor_dto_c", "p_dto_c", "reclamacoes", "p_reclamacoes", "nps", "p_nps",
-            "redes_sociais", "p_redes_sociais", "ultima_atualizacao")
+        arm1 = t.selectExpr(*[
+            {"data_resolucao": "data AS data_resolucao",
+             "pontos_ideia_c": "CAST(NULL AS DOUBLE) AS pontos_ideia_c"}.get(c, c)
+            for c in PRINCIPAL_COLUMNS])
         out = union_null_padded(arm1, self.absence_rows, distinct=True)
         return out.filter(F.col("data_resolucao") >= F.lit(self.start))
 
@@ -487,4 +485,4 @@ class Scorecard:
         for side in (yyy, xxx, aaa, bbb, csat):
             j = j.join(side, ["matricula", "ym"], "left")
         j = j.join(jc, ["matricula", "ym"], "inner")
-        return j.select(*FINAL_COLUMNS)
+        return j.selectExpr(*FINAL_COLUMNS)
