@@ -36,3 +36,26 @@ def test_scan_prunes_columns(spark):
     df = registry.queries()["status_in_filter"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("key,funcs", [
+    ("route_demand", ["partial_count", "partial_max"]),
+    ("refund_ledger", ["partial_max_by", "partial_sum"]),
+    ("search_dashboard", ["partial_count", "partial_sum", "partial_min"]),
+    ("resolution_score_daily", ["partial_sum"]),
+    ("production_with_absence", ["partial_min_by"]),
+    ("csat_monthly", ["partial_sum", "partial_count"]),
+])
+def test_aggregates_are_partial_before_the_shuffle(spark, key, funcs):
+    """Pre-aggregation before shuffling: each listed aggregate has a map-side
+    partial step, so a hot key costs one row per map task."""
+    from opscore import registry
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = registry.queries()[key](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    for f in funcs:
+        assert f + "(" in plan, f"{key}: no {f}"
