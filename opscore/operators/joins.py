@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import month_key
 from .filters import normalised
@@ -122,6 +123,47 @@ def cast_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     return left.join(r, left[left_key] == r["_ck"], how).drop("_ck")
 
 
+# Digits used to encode one ordering column into a sortable DECIMAL(38,0)
+# code: value + offset lands in [1, 10^digits); 0 is NULL (lowest, as in a
+# struct comparison).
+_CODE_PARTS = {
+    T.TimestampNTZType: (18, "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})",
+                         70_000_000_000_000_000),
+    T.TimestampType: (18, "unix_micros({c})", 70_000_000_000_000_000),
+    T.DateType: (7, "unix_date({c})", 4_000_000),
+    T.LongType: (20, "{c}", 2 ** 63 + 1),
+    T.IntegerType: (10, "{c}", 2 ** 31 + 1),
+    T.ShortType: (5, "{c}", 2 ** 15 + 1),
+    T.ByteType: (3, "{c}", 2 ** 7 + 1),
+}
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+                T.TimestampNTZType)
+
+
+def _order_code(df: DataFrame, order_by: list[str]) -> str | None:
+    """SQL for a DECIMAL(38,0) that sorts exactly like the tuple ``order_by``
+    (NULL lowest), or None when the columns do not fit in 38 digits."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    parts, width = [], 0
+    for c in order_by:
+        spec = _CODE_PARTS.get(type(types.get(c)))
+        if spec is None:
+            return None
+        digits, expr, offset = spec
+        parts.append((digits, f"CASE WHEN `{c}` IS NULL THEN CAST(0 AS DECIMAL(38,0)) ELSE "
+                              f"CAST({expr.format(c=f'`{c}`')} AS DECIMAL(38,0)) + "
+                              f"CAST({offset} AS DECIMAL(38,0)) END"))
+        width += digits
+    if width > 38:
+        return None
+    code, shift = None, 0
+    for digits, part in reversed(parts):
+        term = part if shift == 0 else f"({part}) * CAST(1{'0' * shift} AS DECIMAL(38,0))"
+        code = term if code is None else f"{term} + {code}"
+        shift += digits
+    return code
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str],
                    payload: list[str]) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` tuple.
@@ -129,7 +171,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str],
     A ``max_by`` aggregate, so partial aggregation runs before the shuffle
     and a hot key costs one row per map task, not one sort of its group.
     Put a unique column last in ``order_by`` to make ties deterministic.
+
+    When the ordering columns are timestamps/dates/integers that fit one
+    DECIMAL(38,0) code and the payload is fixed-width, each payload column is
+    a ``max_by`` over that code: all aggregation buffers are fixed-width, so
+    Spark uses a hash aggregate instead of sorting every map partition.
+    Otherwise the payload and the order are compared as structs.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    code = _order_code(df, order_by)
+    if code is not None and all(isinstance(types[c], _FIXED_WIDTH) for c in payload):
+        coded = df.select(*keys, *dict.fromkeys(payload), F.expr(code).alias("_order"))
+        return coded.groupBy(*keys).agg(
+            *[F.max_by(c, "_order").alias(c) for c in payload])
     best = F.max_by(F.struct(*[F.col(c) for c in payload]),
                     F.struct(*[F.col(c) for c in order_by]))
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")

@@ -128,3 +128,35 @@ def test_latest_log_join_one_log_per_flight(spark):
     from opscore import registry
     df = registry.queries()["latest_log_join"](spark, SF)
     assert df.count() == df.select("id").distinct().count()
+
+
+def test_latest_per_key_coded_path_matches_brute_force(spark):
+    """(timestamp_ntz, long) ordering goes through the DECIMAL code path:
+    NULL times, negative ids, years 0001..9999 and equal times."""
+    import datetime as dt
+    from pyspark.sql import types as T
+    rnd = random.Random(7)
+    stamps = [None, dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+              dt.datetime(1970, 1, 1), dt.datetime(2024, 3, 10, 2, 30),
+              dt.datetime(9999, 12, 31, 23, 59, 59, 999999)]
+    rows = []
+    for i in range(3000):
+        k = 0 if rnd.random() < 0.35 else rnd.randint(1, 40)
+        ts = rnd.choice(stamps) if rnd.random() < 0.5 else dt.datetime(2000, 1, 1) + \
+            dt.timedelta(seconds=rnd.randint(0, 50))
+        rows.append((k, ts, rnd.randint(-2 ** 63, 2 ** 63 - 1), rnd.randint(0, 9)))
+    schema = T.StructType([T.StructField("k", T.IntegerType()),
+                           T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("id", T.LongType()), T.StructField("st", T.IntegerType())])
+    df = spark.createDataFrame(rows, schema)
+    out = latest_per_key(df, ["k"], ["ts", "id"], ["id", "st", "ts"])
+    assert "struct" not in str(out.schema)            # coded path, flat payload
+    got = {r.k: (r.ts, r.id, r.st) for r in out.collect()}
+
+    def order(r):
+        return (r[1] is not None, r[1] or dt.datetime(1, 1, 1), r[2])
+    want = {}
+    for r in rows:
+        if r[0] not in want or order(r) > order(want[r[0]]):
+            want[r[0]] = r
+    assert got == {k: (r[1], r[2], r[3]) for k, r in want.items()}
