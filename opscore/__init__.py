@@ -14,3 +14,12 @@ oracle/     DuckDB SQL used as an independent correctness oracle
 """
 
 __version__ = "0.1.0"
+
+from .plans.refunds import refund_ledger, refund_status_union  # noqa: E402
+from .plans.route_demand import route_demand  # noqa: E402
+from .plans.scorecard import Scorecard  # noqa: E402
+from .plans.search_dashboard import search_dashboard, search_dashboard_sql  # noqa: E402
+from .sources import CONTRACTS, DriverTables, conform  # noqa: E402
+
+__all__ = ["Scorecard", "route_demand", "refund_ledger", "refund_status_union",
+           "search_dashboard", "search_dashboard_sql", "CONTRACTS", "DriverTables", "conform"]
