@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from .plans.refunds import refund_ledger, refund_status_union
-from .plans.route_demand import (metasearch_by_route, route_demand, sales_by_route,
-                                 tracking_rank)
-from .plans.search_dashboard import search_dashboard
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from .functions import (Bands, band_score, date_parts, fiscal_shift, imputed_band_score,
+                        interaction_discount, month_key, queue_weight, refund_kind, safe_div,
+                        shift_class)
+from .operators import (between_filter, cast_key_join, date_floor_filter, latest_per_key,
+                        month_roster_join, month_target_join, normalised, not_in_filter,
+                        partition_count, rolling_days_filter, roster_filter, status_in_filter,
+                        summed_detail_join, targets_for, trailing_id_window, union_all,
+                        union_distinct, union_null_padded)
+from .plans.refunds import newest_log_per_flight, refund_ledger, refund_status_union
+from .plans.route_demand import (CLOSED_STATUSES, metasearch_by_route, route_demand,
+                                 sales_by_route, tracking_rank)
+from .plans.search_dashboard import search_dashboard, search_dashboard_sql
 from .registry import PARAMS as P
 from .registry import register
 
@@ -96,21 +108,6 @@ for _name, _attr, _doc in [
 # ---------------------------------------------------------------- operator keys
 # Each key below exercises one operator of SURVEY section 2 on the logical
 # tables, at full size (no sampling), with its own oracle SQL.
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from .functions import (Bands, band_score, date_parts, fiscal_shift,  # noqa: E402
-                        imputed_band_score, interaction_discount, month_key, queue_weight,
-                        refund_kind, safe_div, shift_class)
-from .operators import (between_filter, cast_key_join, date_floor_filter,  # noqa: E402
-                        latest_per_key, month_roster_join, month_target_join, normalised,
-                        not_in_filter, partition_count, rolling_days_filter, roster_filter,
-                        status_in_filter, summed_detail_join, targets_for, trailing_id_window,
-                        union_all, union_distinct, union_null_padded)
-from .plans.refunds import newest_log_per_flight  # noqa: E402
-from .plans.route_demand import CLOSED_STATUSES  # noqa: E402
-
 FLOOR_DATE = _dt.date(2001, 1, 1)
 
 
@@ -430,6 +427,5 @@ def q_shift_class(t):
 @register("search_dashboard_sql")
 def q_search_dashboard_sql(t):
     """search_dashboard written as one parameterised spark.sql statement."""
-    from .plans.search_dashboard import search_dashboard_sql
     return search_dashboard_sql(t["trip_searches"], t["purchase_searches"], P["dash_start"],
                                 P["dash_end"], P["dash_now"], P["dash_last_n"])
