@@ -204,3 +204,22 @@ def summed_detail_join(parent: DataFrame, detail: DataFrame, parent_key: str,
     sums = detail.groupBy(detail_fk).agg(F.sum(value).alias(alias))
     out = parent.join(sums, parent[parent_key] == sums[detail_fk], "left")
     return out.drop(sums[detail_fk])
+
+
+def left_join_hot_right(left: DataFrame, right: DataFrame, left_key: str,
+                        right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` that stays balanced
+    when one key holds a large share of the *right* side.
+
+    AQE can split a skewed partition on either side of an inner join, but
+    not on the non-preserved side of an outer join.  So the matches come
+    from an inner join, and the unmatched left rows from a left-anti join
+    against the right side's distinct keys (a partial aggregate, so a hot
+    key is one row).  The two are stacked with the right columns NULL-padded.
+    Same rows as the outer join.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_rk")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_rk"], "left_anti")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(unmatched.select("*", *pad))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import account_kind, refund_kind
-from ..operators.joins import latest_per_key
+from ..operators.joins import latest_per_key, left_join_hot_right
 from ..operators.setops import union_all
 
 
@@ -29,40 +29,49 @@ def refund_item_total(flights: DataFrame, items: DataFrame) -> DataFrame:
 def refund_ledger(flights: DataFrame, cancellations: DataFrame, bank_data: DataFrame,
                   banks: DataFrame, logs: DataFrame, statuses: DataFrame,
                   reasons: DataFrame, items: DataFrame) -> DataFrame:
-    cf = flights.alias("cf")
-    c = cancellations.select("id", "cancellable_id", "created_name").alias("c")
-    cdb = bank_data.filter(F.col("is_active") == F.lit(True)).alias("cdb")
-    b = banks.alias("b")
-    cfl = newest_log_per_flight(logs).alias("cfl")
-    cfs = statuses.alias("cfs")
-    cr = reasons.alias("cr")
-    sums = (items.groupBy("cancellation_flight_id")
-            .agg(F.sum("total_refund").alias("VALORESTORNO")).alias("it"))
+    """One row per refunded flight with its bank data, newest status and totals.
 
-    j = cf.join(c, F.col("cf.id") == F.col("c.cancellable_id"))
-    j = j.join(cdb, F.col("cdb.cancellation_id") == F.col("c.id"), "left")
-    j = j.join(b, F.col("b.code_bank") == F.col("cdb.code_bank"), "left")
-    j = j.join(cfl, F.col("cfl.cancellation_flight_id") == F.col("cf.id"))
-    j = j.join(cfs, F.col("cfl.cancellation_flight_status_id") == F.col("cfs.id"))
-    j = j.join(cr, F.col("cr.id") == F.col("cf.reason_id"))
-    j = j.join(sums, F.col("it.cancellation_flight_id") == F.col("cf.id"), "left")
+    Flights meet their cancellation (inner), the active bank row of the
+    cancellation (left; split so a cancellation with a huge share of bank
+    rows stays balanced), the bank name (left), the newest log of the flight
+    (inner, ``max_by`` per flight), its status and the reason (inner) and
+    the sum of item refunds (left, NULL without items); then DISTINCT.
+    """
+    base = flights.join(cancellations, flights["id"] == cancellations["cancellable_id"]).select(
+        flights["id"].alias("flight_id"), "order_id", "total_refund", "refund_order_id",
+        "refund_order_miles_id", "reason_id", flights["created_at"].alias("flight_created_at"),
+        cancellations["id"].alias("cancellation_key"), "created_name")
+    bank = bank_data.filter(F.col("is_active") == F.lit(True)).select(
+        F.col("cancellation_id").alias("bank_cancellation_id"), "code_bank", "agency",
+        "account_number", "account_type", "cardholder_name", "cardholder_document")
+    j = left_join_hot_right(base, bank, "cancellation_key", "bank_cancellation_id")
+    b = banks.select(F.col("code_bank").alias("_bank_code"), "short_name")
+    j = j.join(b, j["code_bank"] == b["_bank_code"], "left")
+    newest = newest_log_per_flight(logs).select(
+        F.col("cancellation_flight_id").alias("_log_flight"),
+        F.col("cancellation_flight_status_id").alias("_log_status"), "created_original_at")
+    j = j.join(newest, j["flight_id"] == newest["_log_flight"])
+    st = statuses.select(F.col("id").alias("_status_id"), F.col("description").alias("STATUSOR"))
+    j = j.join(st, j["_log_status"] == st["_status_id"])
+    rs = reasons.select(F.col("id").alias("_reason_id"), F.col("description").alias("MOTIVO"))
+    j = j.join(rs, j["reason_id"] == rs["_reason_id"])
+    sums = (items.groupBy(F.col("cancellation_flight_id").alias("_item_flight"))
+            .agg(F.sum("total_refund").alias("VALORESTORNO")))
+    j = j.join(sums, j["flight_id"] == sums["_item_flight"], "left")
     return j.select(
-        F.col("cf.order_id").alias("ID"), F.col("b.short_name").alias("BANCO"),
-        F.col("cdb.code_bank").alias("NUMERO"), F.col("cdb.agency").alias("AGEN"),
-        F.col("cdb.account_number").alias("CONTA"),
-        account_kind(F.col("cdb.account_type")).alias("CORRENTEPOUPANCA"),
-        F.col("cdb.cardholder_name").alias("NOMECOMPLETO"),
-        F.col("cdb.cardholder_document").alias("CPFCNPJ"),
-        F.col("it.VALORESTORNO").alias("VALORESTORNO"),
-        F.col("cf.total_refund").alias("VALOR"),
-        F.col("cf.refund_order_id").alias("ORConvencional"),
-        F.col("cf.refund_order_miles_id").alias("ORMilhas"),
-        refund_kind(F.col("cf.refund_order_id"), F.col("cf.refund_order_miles_id"))
+        F.col("order_id").alias("ID"), F.col("short_name").alias("BANCO"),
+        F.col("code_bank").alias("NUMERO"), F.col("agency").alias("AGEN"),
+        F.col("account_number").alias("CONTA"),
+        account_kind(F.col("account_type")).alias("CORRENTEPOUPANCA"),
+        F.col("cardholder_name").alias("NOMECOMPLETO"),
+        F.col("cardholder_document").alias("CPFCNPJ"), "VALORESTORNO",
+        F.col("total_refund").alias("VALOR"), F.col("refund_order_id").alias("ORConvencional"),
+        F.col("refund_order_miles_id").alias("ORMilhas"),
+        refund_kind(F.col("refund_order_id"), F.col("refund_order_miles_id"))
         .alias("TIPOEDEESTORNO"),
-        F.col("cfs.description").alias("STATUSOR"), F.col("c.created_name").alias("AGENTE"),
-        F.col("cr.description").alias("MOTIVO"),
-        F.col("cfl.created_original_at").alias("DATAULTIMAATUALIZACAO"),
-        F.col("cf.created_at").alias("DATACRIACAOOR"),
+        "STATUSOR", F.col("created_name").alias("AGENTE"), "MOTIVO",
+        F.col("created_original_at").alias("DATAULTIMAATUALIZACAO"),
+        F.col("flight_created_at").alias("DATACRIACAOOR"),
     ).distinct()
 
 

@@ -164,3 +164,15 @@ def test_union_null_padded_types(spark):
     out = union_null_padded(full, part)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double", "string"]
     assert out.count() == 2
+
+
+def test_left_join_hot_right_equals_left_join(spark):
+    from opscore.operators.joins import left_join_hot_right
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (1, "a2")],
+                                 "k int, lv string")
+    right_rows = [(1, f"r{i}") for i in range(300)] + [(2, "x"), (4, "y"), (None, "z")]
+    right = spark.createDataFrame(right_rows, "rk int, rv string")  # key 1 holds most rows
+    got = left_join_hot_right(left, right, "k", "rk")
+    want = left.join(right, left["k"] == right["rk"], "left")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
