@@ -10,6 +10,7 @@ from .functions import (Bands, band_score, date_parts, fiscal_shift, imputed_ban
                         interaction_discount, month_key, queue_weight, refund_kind, safe_div,
                         shift_class)
 from .operators import (between_filter, cast_key_join, date_floor_filter, latest_per_key,
+                        left_join_hot_right,
                         month_roster_join, month_target_join, normalised, not_in_filter,
                         partition_count, rolling_days_filter, roster_filter, status_in_filter,
                         summed_detail_join, targets_for, trailing_id_window, union_all,
@@ -198,7 +199,7 @@ def q_left_join_active(t):
     c, b = t["cancellations"], t["refund_bank_data"]
     b = b.filter(F.col("is_active") == F.lit(True)).select(
         "cancellation_id", "code_bank", "account_type")
-    return c.join(b, c["id"] == b["cancellation_id"], "left").select(
+    return left_join_hot_right(c, b, "id", "cancellation_id").select(
         "id", "code_bank", "account_type")
 
 
