@@ -486,3 +486,11 @@ class Scorecard:
             j = j.join(side, ["matricula", "ym"], "left")
         j = j.join(jc, ["matricula", "ym"], "inner")
         return j.selectExpr(*FINAL_COLUMNS)
+
+
+def production_with_absence(resolutions: DataFrame, roster: DataFrame,
+                            absences: DataFrame) -> DataFrame:
+    """Worst production row per agent-day with absences overlaid (see
+    :attr:`Scorecard.production_with_absence`), from the three tables alone."""
+    return Scorecard({"resolutions": resolutions, "roster": roster,
+                      "absences": absences}).production_with_absence

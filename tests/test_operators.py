@@ -176,3 +176,12 @@ def test_left_join_hot_right_equals_left_join(spark):
     want = left.join(right, left["k"] == right["rk"], "left")
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_production_with_absence_function(spark):
+    from opscore.plans.scorecard import production_with_absence
+    month = D(2024, 3, 1)
+    roster = tbl(spark, "roster", [_roster_row(7, month)])
+    res = tbl(spark, "resolutions", [(D(2024, 3, 5), 7, 1, 8.0, "q", None)])
+    ab = tbl(spark, "absences", [(D(2024, 3, 5), 7, "N", "P", 1, 0, 0)])
+    assert [r.producao for r in production_with_absence(res, roster, ab).collect()] == [0.0]
