@@ -1,6 +1,7 @@
 """Input contracts and loaders."""
 
+from .catalog_tables import CatalogTables
 from .contracts import CONTRACTS, ContractError, conform
 from .driver_tables import DriverTables
 
-__all__ = ["CONTRACTS", "ContractError", "conform", "DriverTables"]
+__all__ = ["CONTRACTS", "CatalogTables", "ContractError", "conform", "DriverTables"]

@@ -30,3 +30,24 @@ def test_every_contract_is_loaded_by_the_driver_tables(spark):
     for name, schema in CONTRACTS.items():
         got = [(f.name, f.dataType) for f in t[name].schema.fields]
         assert got == [(f.name, f.dataType) for f in schema.fields], name
+
+
+def test_catalog_tables_feed_the_plans(spark):
+    """Tables registered in the catalog under any names run the same plans."""
+    from opscore.plans.route_demand import route_demand
+    from opscore.registry import PARAMS as P
+    from opscore.sources import CatalogTables, DriverTables
+    d = DriverTables(spark, "/root/testdata/sf0.001")
+    names = {}
+    for logical in ("searches", "orders_booked", "order_tracking"):
+        view = f"my_{logical}"
+        d[logical].createOrReplaceTempView(view)
+        names[logical] = view
+    c = CatalogTables(spark, names)
+    got = route_demand(c["searches"], c["orders_booked"], c["order_tracking"],
+                       P["route_as_of"], P["route_days"])
+    want = route_demand(d["searches"], d["orders_booked"], d["order_tracking"],
+                        P["route_as_of"], P["route_days"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    with pytest.raises(KeyError):
+        CatalogTables(spark, {"not_a_table": "x"})
