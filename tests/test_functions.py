@@ -151,3 +151,15 @@ def test_round_is_decimal_half_up(spark, digits):
     df = make_df(spark, [(0.285,), (0.125,), (2.5,)], "x double")
     got = [r.r for r in df.select(F.round("x", digits).alias("r")).collect()]
     assert got == [0.29, 0.13, 2.5]
+
+
+def test_band_continuous_at_thresholds(spark):
+    """Just below each threshold the score approaches that threshold's points."""
+    ms = [BANDS_UP[f"m_{lv}"] for lv in LEVELS][1:]
+    ps = [BANDS_UP[f"p_{lv}"] for lv in LEVELS][1:]
+    got = _scores(spark, BANDS_UP, [m - 1e-9 for m in ms])
+    assert all(abs(g - p) < 1e-5 for g, p in zip(got, ps))
+    dm = [BANDS_DOWN[f"m_{lv}"] for lv in LEVELS][1:]
+    dp = [BANDS_DOWN[f"p_{lv}"] for lv in LEVELS][1:]
+    got = _scores(spark, BANDS_DOWN, [m + 1e-9 for m in dm], direction="down")
+    assert all(abs(g - p) < 1e-5 for g, p in zip(got, dp))
