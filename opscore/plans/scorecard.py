@@ -304,9 +304,14 @@ class Scorecard:
                                         "resolvidos_rec")
         e = self.production_score.select(F.col("data_resolucao").alias("dia"), "matricula",
                                          "producao", "p_produtividade")
+        # The spine only holds days from ``start`` on, so each side is cut to
+        # those days before the join (same rows).  The filter is on a grouping
+        # key, so Catalyst moves it below the aggregations towards the scans:
+        # history before the reporting start is never aggregated or shuffled.
+        since = F.col("dia") >= F.lit(self.start)
         j = ab
         for side in (ac, c, cr, e):
-            j = j.join(side, ["matricula", "dia"], "left")
+            j = j.join(side.filter(since), ["matricula", "dia"], "left")
         return j.select(fiscal_shift("dia", self.shift_from).alias("data"),
                         *[F.col(c) for c in ("matricula", "percent_resolucao", "resolvidos",
                                              "p_resolutividade", "recorrencia",
