@@ -59,3 +59,15 @@ def test_aggregates_are_partial_before_the_shuffle(spark, key, funcs):
         spark.conf.set("spark.sql.adaptive.enabled", old)
     for f in funcs:
         assert f + "(" in plan, f"{key}: no {f}"
+
+
+def test_reporting_start_reaches_the_resolution_scans(spark):
+    """History before the scorecard's start date is filtered at the scan,
+    not after aggregating and shuffling it."""
+    from opscore.plans.scorecard import Scorecard
+    from opscore.sources import DriverTables
+    sc = Scorecard(DriverTables(spark, SF_SMALL), "2001-03-01", "2001-07-01",
+                   "2024-01-01 06:00:00")
+    plan = sc.daily_table._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "l_quantity" in ln]
+    assert scans and all("l_shipdate" in ln and "2001-03-01" in ln for ln in scans)
