@@ -486,10 +486,14 @@ class Scorecard:
             "matricula", month_key("mes_referencia").alias("ym"), "origem", "tipo",
             "matricula_supervisor", "supervisor", "matricula_coordenador", "coordenador",
             "matricula_gerente", "gerente")
+        # Daily rows start at ``start``, so only months from its month on can
+        # match: each monthly side is cut to them (same rows).  The filters
+        # are on grouping keys and move below the monthly aggregations.
+        first_month = F.lit(self.start.replace(day=1))
         j = z
         for side in (yyy, xxx, aaa, bbb, csat):
-            j = j.join(side, ["matricula", "ym"], "left")
-        j = j.join(jc, ["matricula", "ym"], "inner")
+            j = j.join(side.filter(F.col("ym") >= first_month), ["matricula", "ym"], "left")
+        j = j.join(jc.filter(F.col("ym") >= first_month), ["matricula", "ym"], "inner")
         return j.selectExpr(*FINAL_COLUMNS)
 
 

@@ -74,3 +74,31 @@ def test_results_do_not_depend_on_session_time_zone(spark, registry_maps, key):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after
+
+
+@pytest.mark.parametrize("key", ["scorecard_daily", "scorecard_final"])
+def test_scorecard_with_later_start_matches_oracle(spark, key):
+    """A reporting start inside the data (so the start-date pruning of the
+    daily and monthly sides really cuts rows) still matches the oracle."""
+    from opscore.oracle.normalize import normalize_df, normalize_sql
+    from opscore.oracle.spec import SPEC
+    from opscore.oracle.sql import ORACLE
+    from opscore.oracle.views import with_views
+    from opscore.plans.scorecard import Scorecard
+    from opscore.registry import PARAMS as P
+    from opscore.sources import DriverTables
+    start, shift = "2001-03-01", "2001-05-01"
+    sc = Scorecard(DriverTables(spark, SF_ORACLE), start, shift, P["as_of_ts"])
+    df = normalize_df(getattr(sc, key))
+    body = ORACLE[key].replace(f"DATE '{P['start_date']:%Y-%m-%d}'", f"DATE '{start}'") \
+                      .replace(f"DATE '{P['shift_from']:%Y-%m-%d}'", f"DATE '{shift}'")
+    sql = normalize_sql(with_views(body), SPEC[key])
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+    rel = con.sql(sql)
+    idx = [rel.columns.index(c) for c in df.columns]
+    want = [tuple(r[i] for i in idx) for r in rel.fetchall()]
+    got = df.collect()
+    assert len(got) > 0 and len(got) == len(want)
+    assert sorted(tuple(map(_norm, r)) for r in got) == sorted(tuple(map(_norm, r)) for r in want)
