@@ -13,9 +13,10 @@ from .operators import (between_filter, cast_key_join, date_floor_filter, latest
                         left_join_hot_right,
                         month_roster_join, month_target_join, normalised, not_in_filter,
                         partition_count, rolling_days_filter, roster_filter, status_in_filter,
-                        summed_detail_join, targets_for, trailing_id_window, union_all,
+                        targets_for, trailing_id_window, union_all,
                         union_distinct, union_null_padded)
-from .plans.refunds import newest_log_per_flight, refund_ledger, refund_status_union
+from .plans.refunds import (newest_log_per_flight, refund_item_total, refund_ledger,
+                             refund_status_union)
 from .plans.route_demand import (CLOSED_STATUSES, metasearch_by_route, route_demand,
                                  sales_by_route, tracking_rank)
 from .plans.search_dashboard import search_dashboard, search_dashboard_sql
@@ -253,9 +254,7 @@ def q_latest_log_join(t):
 
 @register("refund_item_total")
 def q_refund_item_total(t):
-    j = summed_detail_join(t["cancelled_flights"].select("id"), t["refund_items"], "id",
-                           "cancellation_flight_id", "total_refund", "valor_estorno")
-    return j.select("id", "valor_estorno")
+    return refund_item_total(t["cancelled_flights"], t["refund_items"])
 
 
 @register("loss_month_fanout")

@@ -42,10 +42,6 @@ def roster_filter(roster: DataFrame, mode: str = "upper") -> DataFrame:
     return roster.filter(cond)
 
 
-def with_month(df: DataFrame, date_col: str, name: str = "ym") -> DataFrame:
-    return df.withColumn(name, month_key(date_col))
-
-
 def month_roster_join(df: DataFrame, roster: DataFrame, date_col: str,
                       key: str = "matricula", how: str = "inner",
                       roster_cols: list[str] | None = None) -> DataFrame:
