@@ -34,6 +34,7 @@ def q_route_demand(t):
 
 @register("refund_ledger")
 def q_refund_ledger(t):
+    """Refund ledger: flight, active bank row, newest status, reason, item total (DISTINCT)."""
     return refund_ledger(t["cancelled_flights"], t["cancellations"], t["refund_bank_data"],
                          t["banks"], t["flight_logs"], t["flight_statuses"],
                          t["cancel_reasons"], t["refund_items"])
@@ -41,28 +42,33 @@ def q_refund_ledger(t):
 
 @register("refund_status_union")
 def q_refund_status_union(t):
+    """UNION ALL of (id, status) from the two refund report tables."""
     return refund_status_union(t["refund_reports"], t["refund_extra"])
 
 
 @register("search_dashboard")
 def q_search_dashboard(t):
+    """Search volume per day, destination and check-in for the bound date range and id window."""
     return search_dashboard(t["trip_searches"], t["purchase_searches"], P["dash_start"],
                             P["dash_end"], P["dash_now"], P["dash_last_n"])
 
 
 @register("metasearch_by_route")
 def q_metasearch_by_route(t):
+    """External searches per (origin, destination, source) in the window: count, newest time."""
     return metasearch_by_route(t["searches"], P["route_as_of"], P["route_days"])
 
 
 @register("sales_by_route")
 def q_sales_by_route(t):
+    """Per route: sale rows (search x order x tracking) and the newest sale."""
     return sales_by_route(t["searches"], t["orders_booked"], t["order_tracking"],
                           P["route_as_of"], P["route_days"])
 
 
 @register("tracking_rank")
 def q_tracking_rank(t):
+    """Tracking rows of the window with their recency rank per order (kept, not filtered)."""
     return tracking_rank(t["order_tracking"], P["route_as_of"], P["route_days"])
 
 
@@ -124,32 +130,38 @@ def q_roster_filter(t):
 
 @register("rolling_days_filter")
 def q_rolling_days_filter(t):
+    """Tracking rows of the trailing N-day window (filter reaches the scan)."""
     return rolling_days_filter(t["order_tracking"], "created_at", P["route_as_of"],
                                P["route_days"])
 
 
 @register("date_floor_filter")
 def q_date_floor_filter(t):
+    """Cycle positions on or after a fixed start date."""
     return date_floor_filter(t["cycle_positions"], "data_posicao", FLOOR_DATE)
 
 
 @register("between_filter")
 def q_between_filter(t):
+    """Trip searches created within an inclusive timestamp range."""
     return between_filter(t["trip_searches"], "created_at", P["dash_start"], P["dash_end"])
 
 
 @register("status_in_filter")
 def q_status_in_filter(t):
+    """Booked orders whose status is in the closed-sale set."""
     return status_in_filter(t["orders_booked"], "last_status", CLOSED_STATUSES)
 
 
 @register("queue_not_in_filter")
 def q_queue_not_in_filter(t):
+    """Cycle positions outside the excluded queues (NULL queue dropped, as SQL NOT IN)."""
     return not_in_filter(t["cycle_positions"], "fila", ("Hotel", "Pacote"))
 
 
 @register("null_tests")
 def q_null_tests(t):
+    """Flights missing one of the two refund ids, with IS NULL / IS NOT NULL flags."""
     cf = t["cancelled_flights"]
     return cf.select("id", F.col("refund_order_id").isNull().alias("money_missing"),
                      F.col("refund_order_miles_id").isNotNull().alias("has_miles")).filter(
@@ -168,17 +180,20 @@ def q_normalised_match(t):
 
 @register("trailing_id_window")
 def q_trailing_id_window(t):
+    """Trip searches whose id is within N of the newest purchase-search id (scalar subquery)."""
     return trailing_id_window(t["trip_searches"], "id", t["purchase_searches"], "id",
                               P["dash_last_n"])
 
 
 @register("distinct_rows")
 def q_distinct_rows(t):
+    """Distinct (order, reason) pairs of the refunded flights."""
     return t["cancelled_flights"].select("order_id", "reason_id").distinct()
 
 
 @register("inner_join_sales")
 def q_inner_join_sales(t):
+    """Searches joined to the orders booked from them."""
     s, o = t["searches"], t["orders_booked"]
     j = s.join(o.select(F.col("id").alias("order_id"), "fk_search_id",
                         F.col("created_at").alias("order_created_at"), "last_status"),
@@ -188,6 +203,7 @@ def q_inner_join_sales(t):
 
 @register("left_join_lookup")
 def q_left_join_lookup(t):
+    """Trip searches with their purchase-search attribute (left lookup)."""
     h, p = t["trip_searches"], t["purchase_searches"]
     p = p.select(F.col("id").alias("_pid"), "ap")
     return h.join(p, h["fk_purchase_searchs_id"] == p["_pid"], "left").select(
@@ -210,6 +226,7 @@ def _sc(t):
 
 @register("month_roster_join")
 def q_month_roster_join(t):
+    """Resolutions joined to the agent's roster row of the same month (one equi-key)."""
     j = month_roster_join(t["resolutions"], _sc(t).agents, "data_resolucao",
                           roster_cols=["area", "matricula_supervisor"])
     return j.select("data_resolucao", "matricula", "quantidade_incidentes", "area",
@@ -218,6 +235,7 @@ def q_month_roster_join(t):
 
 @register("month_target_join")
 def q_month_target_join(t):
+    """Resolved counts per agent-day with the month's production target row."""
     cr = _sc(t).daily_resolved.withColumn("ym", month_key("data_"))
     j = month_target_join(cr, targets_for(t["targets"], "produtividade"))
     return j.select("data_", "matricula", "resolvidos_rec", "m_ouro", "p_ouro")
@@ -225,6 +243,7 @@ def q_month_target_join(t):
 
 @register("collective_month_join")
 def q_collective_month_join(t):
+    """Every agent-day with the team cycle result of its month (broadcast)."""
     sc = _sc(t)
     c2 = sc.cycle_score_monthly.select(F.make_date("ano_ref", "mes_ref", F.lit(1)).alias("ym"),
                                        "valor_ciclo_c", "p_ciclo")
@@ -235,6 +254,7 @@ def q_collective_month_join(t):
 
 @register("cast_key_join")
 def q_cast_key_join(t):
+    """CSAT answers (agent id as text) joined to the roster by id and month."""
     a = t["csat_answers"]
     ag = _sc(t).agents.select("matricula", month_key("mes_referencia").alias("_ym"))
     a = a.withColumn("_aym", month_key("data_das_respostas"))
@@ -245,6 +265,7 @@ def q_cast_key_join(t):
 
 @register("latest_log_join")
 def q_latest_log_join(t):
+    """Each flight with its newest log (ties: highest id)."""
     cf = t["cancelled_flights"].select("id")
     n = newest_log_per_flight(t["flight_logs"])
     j = cf.join(n, cf["id"] == n["cancellation_flight_id"])
@@ -254,6 +275,7 @@ def q_latest_log_join(t):
 
 @register("refund_item_total")
 def q_refund_item_total(t):
+    """Each flight with the sum of its refund items (NULL without items)."""
     return refund_item_total(t["cancelled_flights"], t["refund_items"])
 
 
@@ -283,11 +305,13 @@ def q_resolution_rate_daily(t):
 
 @register("monthly_grade_avg")
 def q_monthly_grade_avg(t):
+    """Mean knowledge and DTO grades of rostered agents per month."""
     return _sc(t).monthly_grade_avg
 
 
 @register("cycle_rate_monthly")
 def q_cycle_rate_monthly(t):
+    """Mean daily on-time cycle ratio per month and renamed area."""
     return _sc(t).cycle_rate_monthly
 
 
@@ -340,6 +364,7 @@ def q_recontact_events(t):
 
 @register("union_distinct")
 def q_union_distinct(t):
+    """Production rows UNION absence rows (duplicates removed)."""
     sc = _sc(t)
     return union_distinct(sc.production_by_shift.select(
         "data_resolucao", "matricula", "area", "producao", "escala"), sc.absence_production)
@@ -356,6 +381,7 @@ def q_union_null_padded(t):
 
 @register("date_parts")
 def q_date_parts(t):
+    """Year, month, day and calendar dates of trip searches."""
     h = t["trip_searches"]
     p = date_parts("created_at")
     return h.select("id", p["year"].alias("ano"), p["month"].alias("mes"),
@@ -378,18 +404,21 @@ def _scored(t, indicator: str, value_df, value: str, **kw):
 
 @register("band_score_capped")
 def q_band_score_capped(t):
+    """Resolved counts scored on the production bands, capped at the top band."""
     cr = _sc(t).daily_resolved.select(F.col("data_").alias("dia"), "matricula", "resolvidos_rec")
     return _scored(t, "produtividade", cr, "resolvidos_rec")
 
 
 @register("band_score_extrapolated")
 def q_band_score_extrapolated(t):
+    """Resolved counts scored on the production bands, extrapolated above the top."""
     cr = _sc(t).daily_resolved.select(F.col("data_").alias("dia"), "matricula", "resolvidos_rec")
     return _scored(t, "produtividade", cr, "resolvidos_rec", above="extrapolate")
 
 
 @register("band_score_descending")
 def q_band_score_descending(t):
+    """On-time ratios scored on descending (lower is better) bands."""
     c = t["cycle_positions"].select(
         F.col("data_posicao").alias("dia"), F.lit(0).cast("bigint").alias("matricula"),
         safe_div(F.col("qtde_respondido_dentro_prazo"), F.col("qtde_total")).alias("ratio"))
@@ -398,6 +427,7 @@ def q_band_score_descending(t):
 
 @register("band_score_imputed")
 def q_band_score_imputed(t):
+    """Individual DTO grades, missing ones imputed below gold, scored and rounded."""
     g = t["monthly_grades"].withColumn("ym", F.make_date("ano_ref", "mes_ref", F.lit(1)))
     j = month_target_join(g, targets_for(t["targets"], "dto", origem_case="lower"))
     v, s = imputed_band_score("nota_dto", Bands())
@@ -406,12 +436,14 @@ def q_band_score_imputed(t):
 
 @register("shift_class_production")
 def q_shift_class_production(t):
+    """Incidents per agent-day, roster area and shift class."""
     return _sc(t).production_by_shift.select("data_resolucao", "matricula", "area", "escala",
                                              "producao")
 
 
 @register("refund_kind")
 def q_refund_kind(t):
+    """Refund kind of each flight from which refund ids it carries."""
     cf = t["cancelled_flights"]
     return cf.select("id", "refund_order_id", "refund_order_miles_id",
                      refund_kind("refund_order_id", "refund_order_miles_id").alias("tipo"))
@@ -419,6 +451,7 @@ def q_refund_kind(t):
 
 @register("shift_class")
 def q_shift_class(t):
+    """Shift class of each roster row from its start and end times."""
     r = t["roster"]
     return r.select("matricula", "mes_referencia", "horario_inicio", "horario_fim",
                     shift_class("horario_inicio", "horario_fim").alias("escala"))
