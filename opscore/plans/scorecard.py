@@ -147,7 +147,15 @@ class Scorecard:
         Both dates of a recontact count (opened and answered): one scan
         emitting two rows per record instead of a two-scan UNION ALL.
         """
+        return self._recontact_daily(None)
+
+    def _recontact_daily(self, since) -> DataFrame:
         r = self.t["recontacts"]
+        if since is not None:
+            # keep records with at least one date from ``since`` on; the exact
+            # day filter runs after the explode (this one can reach the scan)
+            r = r.filter((F.to_date("data_ultima_criacao") >= F.lit(since))
+                         | (F.to_date("data_respondido_cliente") >= F.lit(since)))
         y = r.select(F.explode(F.array(F.to_date("data_ultima_criacao"),
                                        F.to_date("data_respondido_cliente"))).alias("data_"),
                      "matricula", recontact_weight("fila").alias("_w"))
@@ -299,7 +307,8 @@ class Scorecard:
         ac = self.resolution_score_daily.select(
             F.col("data_resolucao").alias("dia"), "matricula", "percent_resolucao",
             "resolvidos", "p_resolutividade")
-        c = self.recontact_daily.select(F.col("data_").alias("dia"), "matricula", "recorrencia")
+        c = self._recontact_daily(self.start).select(F.col("data_").alias("dia"), "matricula",
+                                                     "recorrencia")
         cr = self.daily_resolved.select(F.col("data_").alias("dia"), "matricula",
                                         "resolvidos_rec")
         e = self.production_score.select(F.col("data_resolucao").alias("dia"), "matricula",
