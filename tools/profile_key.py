@@ -59,8 +59,20 @@ def main() -> int:
             stages.append((info["Completion Time"] - info["Submission Time"], info["Stage ID"],
                            info["Number of Tasks"], info["Stage Name"][:60],
                            acc.get("internal.metrics.shuffle.write.bytesWritten", 0),
-                           acc.get("internal.metrics.input.recordsRead", 0)))
+                           acc.get("internal.metrics.input.recordsRead", 0),
+                           int(acc.get("internal.metrics.memoryBytesSpilled", 0) or 0),
+                           int(acc.get("internal.metrics.diskBytesSpilled", 0) or 0),
+                           ev.get("Stage Info", {}).get("Stage ID")))
     half = sorted(jobs)[len(jobs) // 2:]
+    timed_stages = set()
+    for line in lines:
+        ev = json.loads(line)
+        if ev.get("Event") == "SparkListenerJobStart" and ev["Job ID"] in half:
+            timed_stages.update(ev.get("Stage IDs", []))
+    done = [s for s in stages if s[1] in timed_stages]
+    print(f"  timed run: shuffle write {sum(int(s[4] or 0) for s in done) / 1e6:.1f} MB, "
+          f"spill memory {sum(s[6] for s in done) / 1e6:.1f} MB, "
+          f"spill disk {sum(s[7] for s in done) / 1e6:.1f} MB")
     print(f"{a.key}: wall {wall:.2f}s, jobs total {len(jobs)} (second run ~{len(half)})")
     span = [(v[1] - v[0]) for k, v in jobs.items() if v[1]]
     print(f"  sum of job times {sum(span)/1000:.2f}s")
