@@ -363,12 +363,21 @@ class Scorecard:
         t = self.daily_table.withColumn("ym", month_key("data"))
         for side in self.team_by_month:
             t = t.join(F.broadcast(side), "ym", "left")
-        arm1 = t.selectExpr(*[
-            {"data_resolucao": "data AS data_resolucao",
-             "pontos_ideia_c": "CAST(NULL AS DOUBLE) AS pontos_ideia_c"}.get(c, c)
-            for c in PRINCIPAL_COLUMNS])
-        out = union_null_padded(arm1, self.absence_rows, distinct=True)
-        return out.filter(F.col("data_resolucao") >= F.lit(self.start))
+        # Three columns are the same constant in every row of both arms
+        # (update stamp, attendance 0, no idea points): they cannot change
+        # which rows are distinct, so DISTINCT runs on the other 21 columns
+        # and they are added back afterwards (narrower shuffle, same rows).
+        constant = {"assiduidade": "CAST(0 AS INT) AS assiduidade",
+                    "pontos_ideia_c": "CAST(NULL AS DOUBLE) AS pontos_ideia_c",
+                    "ultima_atualizacao": f"CAST('{self.as_of.isoformat(sep=' ')}' "
+                                          f"AS TIMESTAMP_NTZ) AS ultima_atualizacao"}
+        varying = [c for c in PRINCIPAL_COLUMNS if c not in constant]
+        arm1 = t.selectExpr(*[{"data_resolucao": "data AS data_resolucao"}.get(c, c)
+                              for c in varying])
+        arm2 = self.absence_rows.drop(*constant)
+        out = union_null_padded(arm1, arm2, distinct=True)
+        out = out.filter(F.col("data_resolucao") >= F.lit(self.start))
+        return out.selectExpr(*[constant.get(c, c) for c in PRINCIPAL_COLUMNS])
 
     @cached_property
     def scorecard_daily_stable(self) -> DataFrame:
