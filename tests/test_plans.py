@@ -76,3 +76,18 @@ def test_reporting_start_reaches_the_resolution_scans(spark):
         spark.conf.set("spark.sql.maxMetadataStringLength", old)
     scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "l_quantity" in ln]
     assert scans and all("GreaterThanOrEqual(l_shipdate,2001-03-01" in ln for ln in scans)
+
+
+@pytest.mark.parametrize("key", ["refund_ledger", "latest_log_join"])
+def test_newest_log_is_hash_aggregated(spark, key):
+    """The newest log per flight runs through the fixed-width order code:
+    no sort-based aggregate anywhere in these plans."""
+    from opscore import registry
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = registry.queries()[key](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert "SortAggregate" not in plan and "partial_max_by" in plan
