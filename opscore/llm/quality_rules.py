@@ -32,10 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored
-from .text import Spans, byte_values, covered, mix, repeated, rows_of, slices, word_hashes, words
+from .text import SPACE, Spans, byte_values, covered, mix, per_row, repeated, rows_of, slices, word_hashes, words
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
-          "n_upper", "n_letters", "n_digits", "n_bangs", "n_marked_words", "n_distinct_words"]
+          "n_upper", "n_letters", "n_digits", "n_marked_words"]
 RULES = {  # share: (of, over, reference value)
     "symbol_share": ("n_symbols", "word_chars", 0.1),
     "marked_share": ("n_marked_words", "n_words", 0.3),
@@ -51,32 +51,23 @@ BANDS = [250, 1000]
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
+_MARK = _SYMBOL.copy()
+_MARK[33] = True
 _UPPER, _DIGIT, _LETTER = (np.zeros(256, bool) for _ in range(3))
 _UPPER[65:91] = True
 _DIGIT[48:58] = True
 _LETTER[65:91] = _LETTER[97:123] = True
 
 
-def _per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(flags) + 1, np.int64)
-    np.cumsum(flags, out=sums[1:])
-    return sums[off[1:]] - sums[off[:-1]]
-
-
 def text_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     """The numbers in COUNTS for every row of a slice."""
     n_rows = len(off) - 1
     starts, ends, bounds = words(data, off)
     row = rows_of(bounds)
-    hashes = word_hashes(data, starts, ends)
-    symbol = _SYMBOL[data]
-    code_point = (data & 0xC0) != 0x80
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[starts] += 1
-    np.subtract.at(inside, ends, 1)
-    inside = np.cumsum(inside[:-1]).astype(bool)
-    seen = np.concatenate([[0], np.cumsum(symbol | (data == 33))])
-    marked = seen[ends] > seen[starts]
+    spans = Spans(byte_values(data))
+    hashes = word_hashes(spans, starts, ends)
+    marked = np.zeros(len(starts), bool)
+    marked[np.searchsorted(starts, np.flatnonzero(_MARK[data]), "right") - 1] = True
 
     # lines: cut at \n and at the rows' ends
     breaks = np.flatnonzero(data == 10)
@@ -85,14 +76,12 @@ def text_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     line_row = np.searchsorted(off[:-1], line_start, "right") - 1
     empties = np.flatnonzero(np.diff(off) == 0)
     if len(empties):  # rows without text have one empty line each, at the place of their neighbour
-        line_row = np.sort(np.concatenate([np.repeat(np.arange(n_rows), _per_row(data == 10, off) + 1)]))
+        line_row = np.repeat(np.arange(n_rows), per_row(data == 10, off) + 1)
     has_word = np.searchsorted(starts, line_end) > np.searchsorted(starts, line_start)
-    line_hash = mix(Spans(byte_values(data))(line_start, line_end) ^ mix((line_row + 1).astype(np.uint64)))
+    line_hash = mix(spans(line_start, line_end) ^ mix((line_row + 1).astype(np.uint64)))
     line_hash, line_row = line_hash[has_word], line_row[has_word]
     _, first_line = repeated(line_hash)
 
-    salted = mix(hashes + mix((row + 1).astype(np.uint64)))
-    _, first_word = repeated(salted)
     grams = mix(Spans(hashes).windows(3) + mix((row[:max(0, len(row) - 2)] + 1).astype(np.uint64)))
     whole = np.flatnonzero(row[:len(grams)] == row[2:2 + len(grams)]) if len(grams) else np.zeros(0, np.int64)
     twice, _ = repeated(grams[whole])
@@ -100,12 +89,11 @@ def text_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
 
     by_row = lambda r, w=None: np.bincount(r, w, n_rows).astype(np.int64)
     return {
-        "n_words": np.diff(bounds), "word_chars": _per_row(inside & code_point, off),
-        "n_symbols": _per_row(symbol, off), "n_dup_lines": by_row(line_row[~first_line]),
+        "n_words": np.diff(bounds), "word_chars": per_row(~SPACE[data] & ((data & 0xC0) != 0x80), off),
+        "n_symbols": per_row(_SYMBOL[data], off), "n_dup_lines": by_row(line_row[~first_line]),
         "n_repeat_words": by_row(row, in_repeat), "n_lines": by_row(line_row),
-        "n_upper": _per_row(_UPPER[data], off), "n_letters": _per_row(_LETTER[data], off),
-        "n_digits": _per_row(_DIGIT[data], off), "n_bangs": _per_row(data == 33, off),
-        "n_marked_words": by_row(row, marked), "n_distinct_words": by_row(row, first_word),
+        "n_upper": per_row(_UPPER[data], off), "n_letters": per_row(_LETTER[data], off),
+        "n_digits": per_row(_DIGIT[data], off), "n_marked_words": by_row(row, marked),
     }
 
 

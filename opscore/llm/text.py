@@ -98,8 +98,9 @@ def words(data: np.ndarray, off: np.ndarray, space: np.ndarray = SPACE
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return mix(Spans(_BYTES[data])(starts, ends))
+def word_hashes(spans: Spans, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word, from the hashes of the slice's bytes."""
+    return mix(spans(starts, ends))
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
@@ -111,20 +112,33 @@ def rows_of(bounds: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
 
 
+def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """How many bytes of each row are flagged."""
+    return np.array([np.count_nonzero(flags[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)], np.int64)
+
+
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Which of ``n`` tokens lie in a window of ``size`` that begins at one of ``starts``."""
-    step = np.zeros(n + 1, np.int32)
-    step[starts] = 1
-    np.subtract.at(step, np.minimum(starts + size, n), 1)
-    return np.cumsum(step[:-1]) > 0
+    """Which of ``n`` tokens lie in a window of ``size`` that begins at one of ``starts`` (distinct)."""
+    step = np.zeros(n + size + 1, np.int32)
+    step[starts] += 1
+    step[starts + size] -= 1
+    return np.cumsum(step[:n], dtype=np.int32) > 0
 
 
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key: is it found twice or more, and is it the first of its kind."""
-    order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
     twice, first = np.zeros(len(keys), bool), np.ones(len(keys), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    first[order[1:][same]] = False
+    ordered = np.sort(keys)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if len(again):
+        # a small table finds the few keys that may be among those found again; only they are ordered
+        low = U64(0xFFFF)
+        hint = np.zeros(1 << 16, bool)
+        hint[again & low] = True
+        maybe = np.flatnonzero(hint[keys & low])
+        order = maybe[np.argsort(keys[maybe], kind="stable")]
+        same = keys[order][1:] == keys[order][:-1]
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        first[order[1:][same]] = False
     return twice, first
