@@ -14,53 +14,56 @@ from typing import NamedTuple
 
 import numpy as np
 
-from .text import U64, Spans, check_spans, mix, rows_of
+from .text import U64, Spans, check_spans, mix
 
 _AT = U64((1 << 31) - 1)  # a text has less than 2**31 bytes
 
 
-class Windows(NamedTuple):
-    start: np.ndarray   # first token of each window that lies within one row
+class Runs(NamedTuple):
+    """Runs of neighbouring windows of one row that share an anchor."""
+
+    first: np.ndarray   # first token of the run's first window
+    last: np.ndarray    # first token of its last window
     row: np.ndarray
-    at: np.ndarray      # token at which its anchor gram begins
-    gram: np.ndarray    # hash of that gram
+    gram: np.ndarray    # hash of the anchor gram
     spans: Spans
     values: np.ndarray
 
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First token and run of every window of some runs."""
+        count = self.last[which] - self.first[which] + 1
+        run = np.repeat(which, count)
+        before = np.cumsum(count) - count
+        return self.first[run] + np.arange(len(run)) - np.repeat(before, count), run
+
 
-def windows(values: np.ndarray, bounds: np.ndarray, size: int, gram: int) -> Windows:
-    """All windows of a slice; ``bounds`` are the rows' first tokens (one more at the end)."""
+def runs(values: np.ndarray, bounds: np.ndarray, size: int, gram: int) -> Runs:
+    """The runs of a slice; ``bounds`` are the rows' first tokens (one more at the end)."""
     spans = Spans(values)
     grams = mix(spans.windows(gram))
     width = size - gram + 1
     n = len(grams) - width + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return Windows(none, none, none, np.zeros(0, U64), spans, values)
+        none = np.zeros(0, np.int64)
+        return Runs(none, none, none, np.zeros(0, U64), spans, values)
     least = (grams & ~_AT) | np.arange(len(grams), dtype=U64)
     have = 1
     while 2 * have <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     least = np.minimum(least[:n], least[width - have:width - have + n])
-    row = rows_of(bounds)
-    whole = row[:n] == row[size - 1:size - 1 + n]
-    start = np.flatnonzero(whole)
-    at = (least[start] & _AT).astype(np.int64)
-    return Windows(start, row[start], at, grams[at], spans, values)
-
-
-def first_of_runs(w: Windows) -> np.ndarray:
-    """Index of the first window of each run of neighbours that share an anchor within a row."""
-    if not len(w.at):
-        return np.zeros(0, np.int64)
-    new = np.ones(len(w.at), bool)
-    new[1:] = (w.at[1:] != w.at[:-1]) | (w.row[1:] != w.row[:-1])
-    return np.flatnonzero(new)
+    cuts = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, bounds, bounds - size + 1])
+    cuts = np.unique(cuts[(cuts >= 0) & (cuts < n)])
+    row = np.searchsorted(bounds, cuts, "right") - 1
+    last = np.append(cuts[1:], n) - 1
+    whole = np.flatnonzero((row < len(bounds) - 1) & (cuts + size <= bounds[np.minimum(row + 1, len(bounds) - 1)]))
+    first = cuts[whole]
+    return Runs(first, last[whole], row[whole], grams[(least[first] & _AT).astype(np.int64)], spans, values)
 
 
-def window_keys(w: Windows, which: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """96 bits that name the content of some windows: a 64-bit hash and an independent 32-bit one."""
-    a = w.start[which]
-    check = mix(check_spans(w.values)(a, a + size)) >> U64(32)
-    return mix(w.spans(a, a + size)), check.astype(np.uint32)
+def window_keys(r: Runs, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits that name the content of some spans: a 64-bit hash and an independent 32-bit one."""
+    if not len(starts):
+        return np.zeros(0, U64), np.zeros(0, np.uint32)
+    check = mix(check_spans(r.values)(starts, ends)) >> U64(32)
+    return mix(r.spans(starts, ends)), check.astype(np.uint32)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, ship, substring_dedup
+from . import quality_rules, ship, substring_dedup, suffix_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op1_quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.op3_suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_quality_rules, op9_substring_dedup]
+_QUERIES = [op1_quality_rules, op3_suffix_dedup, op9_substring_dedup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

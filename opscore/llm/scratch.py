@@ -36,9 +36,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what ``stored`` wrote in this process; results that read it must be done."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _MADE:
-        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        path.getFileSystem(conf).delete(path, True)
+        delete(spark, _MADE.pop())

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import sketch
-from .anchors import Windows, first_of_runs, window_keys, windows
+from .anchors import Runs, runs, window_keys
 from .text import Spans, byte_values, covered, mix, repeated, slices, word_hashes, words
 
 SIZE, GRAM = 20, 10
@@ -41,16 +41,16 @@ _KEYS = "h long, c int, doc_id long"
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
 
-def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Windows, np.ndarray, np.ndarray, np.ndarray]]:
+def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Runs, np.ndarray, np.ndarray, np.ndarray]]:
     for lo, hi, data, off in slices(batch.column(column)):
         starts, ends, bounds = words(data, off)
-        yield lo, hi, windows(word_hashes(Spans(byte_values(data)), starts, ends), bounds, SIZE, GRAM), starts, ends, bounds
+        yield lo, hi, runs(word_hashes(Spans(byte_values(data)), starts, ends), bounds, SIZE, GRAM), starts, ends, bounds
 
 
 def _anchor_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
-        for _, _, w, *_ in _slices(batch, 0):
-            yield w.gram[first_of_runs(w)]
+        for _, _, r, *_ in _slices(batch, 0):
+            yield r.gram
 
 
 def _in_row(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -62,13 +62,14 @@ def _firsts(docs: DataFrame, may: object) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, w, *_ in _slices(batch, 1):
-                which = np.flatnonzero(may.value.may(w.gram))
-                h, c = window_keys(w, which, SIZE)
-                _, new = repeated(_in_row(h, w.row[which]))
+            for lo, _, r, *_ in _slices(batch, 1):
+                start, run = r.windows(np.flatnonzero(may.value.may(r.gram)))
+                h, c = window_keys(r, start, start + SIZE)
+                row = r.row[run]
+                _, new = repeated(_in_row(h, row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int32)),
-                     pa.array(ids[lo + w.row[which][new]])], ["h", "c", "doc_id"])
+                    [pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int32)), pa.array(ids[lo + row[new]])],
+                    ["h", "c", "doc_id"])
 
     seen = docs.select("doc_id", "text").mapInArrow(emit, _KEYS)
     return seen.groupBy("h", "c").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(
@@ -92,14 +93,13 @@ def _removed(batch: pa.RecordBatch, may: object) -> Iterator[tuple]:
     lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
     of = np.concatenate([[0], np.cumsum(lengths)])
     held = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    for lo, hi, w, starts, ends, bounds in _slices(batch, text):
-        which = np.flatnonzero(may.value.may(w.gram))
-        a = w.start[which]
-        keys = _in_row(mix(w.spans(a, a + SIZE)), w.row[which])
+    for lo, hi, r, starts, ends, bounds in _slices(batch, text):
+        start, run = r.windows(np.flatnonzero(may.value.may(r.gram)))
+        keys = _in_row(mix(r.spans(start, start + SIZE)), r.row[run])
         own = _in_row(held[of[lo]:of[hi]], np.repeat(np.arange(hi - lo), lengths[lo:hi]))
         _, new = repeated(keys)
         gone = ~(new & np.isin(keys, own))
-        yield lo, hi, starts, ends, bounds, covered(a[gone], SIZE, len(starts))
+        yield lo, hi, starts, ends, bounds, covered(start[gone], SIZE, len(starts))
 
 
 def _digest(may: object):
