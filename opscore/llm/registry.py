@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, ship, substring_dedup, suffix_index
+from . import license_scan, quality_rules, ship, substring_dedup, suffix_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +22,15 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.op3_suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.op6_license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_quality_rules, op3_suffix_dedup, op9_substring_dedup]
+_QUERIES = [op1_quality_rules, op3_suffix_dedup, op6_license_scan, op9_substring_dedup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -40,4 +44,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_license_scan": license_scan.ORACLE_SQL}
