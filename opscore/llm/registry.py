@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, quality_rules, ship, substring_dedup, suffix_index
+from . import jaccard_join, license_scan, quality_rules, ship, substring_dedup, suffix_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,11 +26,15 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.op6_license_scan(_table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op7_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_quality_rules, op3_suffix_dedup, op6_license_scan, op9_substring_dedup]
+_QUERIES = [op1_quality_rules, op3_suffix_dedup, op6_license_scan, op7_jaccard_join, op9_substring_dedup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
