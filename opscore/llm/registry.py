@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, license_scan, quality_rules, ship, substring_dedup, suffix_index
+from . import jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +30,20 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.op7_jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.op4_quality_gam(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.op10_language_crf(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_quality_rules, op3_suffix_dedup, op6_license_scan, op7_jaccard_join, op9_substring_dedup]
+_QUERIES = [op1_quality_rules, op3_suffix_dedup, op4_quality_gam, op6_license_scan, op7_jaccard_join,
+            op9_substring_dedup, op10_language_crf]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
