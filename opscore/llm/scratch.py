@@ -28,12 +28,25 @@ def folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet into the shared folder and read again."""
+    """``df`` written as Parquet into the shared folder and read again.
+
+    The driver then collects garbage: Spark deletes the shuffle files of jobs that nothing
+    refers to any more, which the written table makes superfluous.
+    """
     spark = df.sparkSession
     path = f"{folder(spark)}/opscore-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _MADE.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    found = spark.read.schema(df.schema).parquet(path)
+    found.opscore_path = path
+    return found
+
+
+def drop(table: DataFrame) -> None:
+    """Delete a table that ``stored`` returned and nothing will read again."""
+    _MADE.remove(table.opscore_path)
+    delete(table.sparkSession, table.opscore_path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

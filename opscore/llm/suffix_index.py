@@ -16,11 +16,14 @@ and a suffix is rewritten at most log2(n) times.
 
 The places found are resolved exactly, on the input:
  a. the maximal strings around an anchor (all its windows together) are grouped by
-    content: equal ones need nothing but their first document;
- b. only for anchors with two or more different such strings are the windows themselves
-    grouped, by 96-bit keys and with map-side combining;
- c. every document meets the strings and windows of which it is the first, and drops the
-    bytes that any other repeated one covers.
+    content, with their first document; an anchor with one such string is done;
+ b. the different strings of one anchor meet in a task, with their bytes, and their
+    windows are compared: a bit mask per string says which start earlier elsewhere;
+ c. for anchors with more than ``MOST_STRINGS`` different strings (a common line in
+    ever new surroundings) the windows themselves are grouped by 96-bit keys with
+    map-side combining instead, so no task gets an unbounded group;
+ d. every document meets the strings and windows of which it is the first, and drops the
+    bytes that any other repeated window covers.
 
 A table of all suffixes (8 bytes and more for each byte of text) would exceed the disk
 that such a job should use; the sampled one holds about one in 25 and loses no match.
@@ -46,12 +49,13 @@ from pyspark.sql import functions as F
 
 from . import scratch, sketch
 from .anchors import Runs, runs, window_keys
-from .text import byte_values, covered, mix, repeated, slices
+from .text import Spans, byte_values, covered, mix, repeated, slices
 
 SIZE, GRAM = 100, 50
+MOST_STRINGS = 500
 BATCHES = 4
 _NO_ID = -(1 << 63)  # stands for a null doc_id
-_RUN = np.uint64(0x94D049BB133111EB)  # keeps hashes of strings around anchors apart from those of windows
+_RUN = np.uint64(0x94D049BB133111EB)  # keeps hashes of single windows apart from those of strings
 
 
 def _runs(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Runs, np.ndarray, np.ndarray]]:
@@ -171,13 +175,95 @@ def _strings(docs: DataFrame, may: object) -> DataFrame:
         F.min("doc_id").alias("doc_id"))
 
 
-def _windows(docs: DataFrame, may: object, mixed: object) -> DataFrame:
-    """Windows of anchors with different contexts, with their first document."""
+def _first_key(h: np.ndarray, doc_id: np.ndarray) -> np.ndarray:
+    return mix(h ^ mix(doc_id.view(np.uint64)))
+
+
+def _first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h, doc_id = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+        yield _batch([_first_key(h.view(np.uint64), doc_id).view(np.int64)], ["k"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Masks of strings that come in order of anchor, document and place; an anchor's are kept together."""
+    held = None
+    for batch in _with_end(batches):
+        table = pa.Table.from_batches([b for b in (held, batch) if b is not None]).combine_chunks()
+        rows = table.to_batches()[0] if len(table) else None
+        held = None
+        if rows is None:
+            continue
+        anchors = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        end = len(anchors)
+        if batch is not None:  # the last anchor may go on in the next batch
+            end = int(np.flatnonzero(anchors[1:] != anchors[:-1])[-1]) + 1 if (anchors[1:] != anchors[:-1]).any() else 0
+            held = rows.slice(end)
+        if end:
+            yield _masks(rows.slice(0, end))
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _masks(rows: pa.RecordBatch) -> pa.RecordBatch:
+    anchors = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    texts = rows.column(4).cast(pa.large_binary())
+    off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[off[0]:off[-1]]
+    off = off - off[0]
+    count = np.diff(off) - SIZE + 1
+    string = np.repeat(np.arange(len(count)), count)
+    before = np.cumsum(count) - count
+    k = np.arange(len(string)) - before[string]
+    start = off[string] + k
+    keys = mix(Spans(byte_values(data))(start, start + SIZE) + mix(anchors)[string])
+    _, new = repeated(keys)
+    bits = np.where(new, 0, 1) << k
+    mask = np.bitwise_or.reduceat(bits, before)
+    return pa.RecordBatch.from_arrays([rows.column(2), rows.column(1), pa.array(mask.astype(np.int64))],
+                                      ["doc_id", "h", "mask"])
+
+
+def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object) -> DataFrame:
+    """doc_id, h, mask of the strings of anchors in ``mixed``: windows of that string that start earlier."""
+    spark = docs.sparkSession
+    some = strings.join(mixed, "a", "left_semi").select("h", "doc_id").mapInArrow(_first_keys, "k long")
+    some = scratch.stored(some, "suffix-firsts")
+    first = spark.sparkContext.broadcast(sketch.members(some, "k", some.count()))
+    scratch.drop(some)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = _ids(batch)
+            for lo, _, r, data, _ in _runs(batch, 1):
+                h = mix(r.spans(*_span(r, slice(None))))
+                doc_id = ids[lo + r.row]
+                which = np.flatnonzero(first.value.may(_first_key(h, doc_id)) & ~hot.value.may(r.gram))
+                _, new = repeated(_in_row(h[which], r.row[which]))
+                which = which[new]
+                text = [data[a:b].tobytes() for a, b in zip(*_span(r, which), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r.gram[which].view(np.int64)), pa.array(h[which].view(np.int64)), pa.array(doc_id[which]),
+                     pa.array(r.first[which]), pa.array(text, pa.binary())], ["a", "h", "doc_id", "at", "text"])
+
+    found = docs.mapInArrow(emit, "a long, h long, doc_id long, at long, text binary")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    masks = found.repartition(parts, "a").sortWithinPartitions("a", "doc_id", "at").mapInArrow(
+        _compare, "doc_id long, h long, mask long")
+    # what the filter let through in error is no first occurrence
+    return masks.join(strings.select("doc_id", "h"), ["doc_id", "h"], "left_semi")
+
+
+def _windows(docs: DataFrame, may: object, hot: object) -> DataFrame:
+    """Windows of anchors with very many contexts, with their first document."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch)
             for lo, _, r, *_ in _runs(batch, 1):
-                start, run = r.windows(np.flatnonzero(may.value.may(r.gram) & mixed.value.may(r.gram)))
+                start, run = r.windows(np.flatnonzero(may.value.may(r.gram) & hot.value.may(r.gram)))
                 h, c = window_keys(r, start, start + SIZE)
                 _, new = repeated(_in_row(h, r.row[run]))
                 yield _batch([h[new].view(np.int64), c[new].view(np.int32), ids[lo + r.row[run][new]]],
@@ -186,31 +272,51 @@ def _windows(docs: DataFrame, may: object, mixed: object) -> DataFrame:
     return docs.mapInArrow(emit, "h long, c int, doc_id long").groupBy("h", "c").agg(F.min("doc_id").alias("doc_id"))
 
 
-def _gone(r: Runs, own: np.ndarray, may: object, mixed: object, n: int) -> np.ndarray:
-    """Which bytes of a slice go; ``own``: per row, what its document is the first of."""
+def _own(h: np.ndarray, mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of what a slice's documents are the first of, and their masks."""
+    keys = _in_row(h, row)
+    order = np.argsort(keys)
+    keys, mask = keys[order], mask[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.bitwise_or.reduceat(mask, first) if len(first) else mask
+
+
+def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object, n: int) -> np.ndarray:
+    """Which bytes of a slice go."""
     maybe = may.value.may(r.gram)
-    apart = maybe & mixed.value.may(r.gram)
+    apart = maybe & hot.value.may(r.gram)
+    have, masks = own
+
+    def first_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(have, keys)
+        found = (at < len(have)) & (have[np.minimum(at, len(have) - 1)] == keys) if len(have) else np.zeros(len(keys), bool)
+        _, new = repeated(keys)
+        return found & new, at
+
     whole = np.flatnonzero(maybe & ~apart)
-    keys = _in_row(mix(r.spans(*_span(r, whole))) ^ _RUN, r.row[whole])
-    _, new = repeated(keys)
-    strings = whole[~(new & np.isin(keys, own))]
+    first, at = first_of(_in_row(mix(r.spans(*_span(r, whole))), r.row[whole]))
+    mask = np.full(len(whole), -1, np.int64)
+    mask[first] = masks[at[first]]
+    start, run = r.windows(whole)
+    of = np.searchsorted(whole, run)
+    parts = start[(mask[of] >> (start - r.first[run])) & 1 > 0]
     start, run = r.windows(np.flatnonzero(apart))
-    keys = _in_row(mix(r.spans(start, start + SIZE)), r.row[run])
-    _, new = repeated(keys)
-    single = start[~(new & np.isin(keys, own))]
-    return covered(np.concatenate([r.windows(strings)[0], single]), SIZE, n)
+    first, _ = first_of(_in_row(mix(r.spans(start, start + SIZE)) ^ _RUN, r.row[run]))
+    return covered(np.concatenate([parts, start[~first]]), SIZE, n)
 
 
-def _digest(may: object, mixed: object):
+def _digest(may: object, hot: object):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists = batch.column(0), batch.column(2)
             lengths = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
             of = np.concatenate([[0], np.cumsum(lengths)])
-            held = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            held = lists.flatten()
+            h, mask = (held.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
             for lo, hi, r, data, off in _runs(batch, 1):
-                own = _in_row(held[of[lo]:of[hi]], np.repeat(np.arange(hi - lo), lengths[lo:hi]))
-                gone = _gone(r, own, may, mixed, len(data))
+                own = _own(h[of[lo]:of[hi]].view(np.uint64), mask[of[lo]:of[hi]],
+                           np.repeat(np.arange(hi - lo), lengths[lo:hi]))
+                gone = _gone(r, own, may, hot, len(data))
                 removed, spans, sums = [], [], []
                 for a, b in zip(off[:-1], off[1:], strict=True):
                     out, left = gone[a:b], data[a:b]
@@ -224,7 +330,7 @@ def _digest(may: object, mixed: object):
     return run
 
 
-def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES, most_strings: int = MOST_STRINGS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the digest of the bytes kept, for every document."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
@@ -232,10 +338,14 @@ def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     shared = index_all(docs, batches)
     may = spark.sparkContext.broadcast(sketch.members(shared, "key", shared.count()))
     strings = scratch.stored(_strings(docs, may), "suffix-strings")
-    differ = scratch.stored(strings.groupBy("a").count().filter("count > 1").select("a"), "suffix-contexts")
-    mixed = spark.sparkContext.broadcast(sketch.members(differ, "a", differ.count()))
-    firsts = strings.select("doc_id", F.col("h").bitwiseXOR(F.lit(int(_RUN.astype(np.int64)))).alias("h")).unionAll(
-        _windows(docs, may, mixed).select("doc_id", "h")).groupBy("doc_id").agg(F.collect_list("h").alias("firsts"))
+    contexts = scratch.stored(strings.groupBy("a").count().filter("count > 1"), "suffix-contexts")
+    many = contexts.filter(F.col("count") > most_strings).select("a")
+    hot = spark.sparkContext.broadcast(sketch.members(many, "a", many.count()))
+    masks = scratch.stored(_compared(docs, strings, contexts.filter(F.col("count") <= most_strings), hot), "suffix-masks")
+    single = scratch.stored(_windows(docs, may, hot).select("doc_id", F.col("h").bitwiseXOR(
+        F.lit(int(_RUN.astype(np.int64)))).alias("h"), F.lit(0).cast("long").alias("mask")), "suffix-windows")
+    firsts = strings.select("doc_id", "h", F.lit(0).cast("long").alias("mask")).unionAll(masks).unionAll(single).groupBy(
+        "doc_id").agg(F.collect_list(F.struct("h", "mask")).alias("firsts"))
     return docs.join(firsts, "doc_id", "left").select("doc_id", "text", "firsts").mapInArrow(
-        _digest(may, mixed), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
+        _digest(may, hot), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
         "doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
