@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index
+from . import best_fit, decontaminate, html_extract, jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,12 +38,24 @@ def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.op10_language_crf(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.op5_html_extract(_table(spark, sf_dir, "pages"))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op2_decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.op8_best_fit(_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = [op1_quality_rules, op3_suffix_dedup, op4_quality_gam, op6_license_scan, op7_jaccard_join,
-            op9_substring_dedup, op10_language_crf]
+_QUERIES = [op1_quality_rules, op2_decontaminate, op3_suffix_dedup, op4_quality_gam, op5_html_extract, op6_license_scan,
+            op7_jaccard_join, op8_best_fit, op9_substring_dedup, op10_language_crf]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
