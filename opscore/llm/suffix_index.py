@@ -20,8 +20,9 @@ The places found are resolved exactly, on the input:
  b. the different strings of one anchor meet in a task, with their bytes, and their
     windows are compared: a bit mask per string says which start earlier elsewhere;
  c. for anchors with more than ``MOST_STRINGS`` different strings (a common line in
-    ever new surroundings) the windows themselves are grouped by 96-bit keys with
-    map-side combining instead, so no task gets an unbounded group;
+    ever new surroundings) the windows themselves are grouped by 96-bit keys instead, so
+    no task gets an unbounded group: those that a count-min sketch finds repeated, each
+    once per slice of a task, with its smallest document;
  d. every document meets the strings and windows of which it is the first, and drops the
     bytes that any other repeated window covers.
 
@@ -257,17 +258,29 @@ def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object
     return masks.join(strings.select("doc_id", "h"), ["doc_id", "h"], "left_semi")
 
 
-def _windows(docs: DataFrame, may: object, hot: object) -> DataFrame:
-    """Windows of anchors with very many contexts, with their first document."""
+def _crowded(may: object, hot: object):
+    """Keys of the windows of anchors with very many contexts."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for _, _, r, *_ in _runs(batch, 1):
+                start, _ = r.windows(np.flatnonzero(may.value.may(r.gram) & hot.value.may(r.gram)))
+                yield mix(r.spans(start, start + SIZE))
+    return keys
+
+
+def _windows(docs: DataFrame, may: object, hot: object, again: object) -> DataFrame:
+    """Those of them that may be repeated, with their first document."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch)
             for lo, _, r, *_ in _runs(batch, 1):
                 start, run = r.windows(np.flatnonzero(may.value.may(r.gram) & hot.value.may(r.gram)))
+                some = again.value.may(mix(r.spans(start, start + SIZE)))
+                start, doc_id = start[some], ids[lo + r.row[run[some]]]
                 h, c = window_keys(r, start, start + SIZE)
-                _, new = repeated(_in_row(h, r.row[run]))
-                yield _batch([h[new].view(np.int64), c[new].view(np.int32), ids[lo + r.row[run][new]]],
-                             ["h", "c", "doc_id"])
+                order = np.lexsort((doc_id, h))
+                order = order[np.append(True, h[order][1:] != h[order][:-1])] if len(order) else order
+                yield _batch([h[order].view(np.int64), c[order].view(np.int32), doc_id[order]], ["h", "c", "doc_id"])
 
     return docs.mapInArrow(emit, "h long, c int, doc_id long").groupBy("h", "c").agg(F.min("doc_id").alias("doc_id"))
 
@@ -281,7 +294,7 @@ def _own(h: np.ndarray, mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray,
     return keys[first], np.bitwise_or.reduceat(mask, first) if len(first) else mask
 
 
-def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object, n: int) -> np.ndarray:
+def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object, again: object, n: int) -> np.ndarray:
     """Which bytes of a slice go."""
     maybe = may.value.may(r.gram)
     apart = maybe & hot.value.may(r.gram)
@@ -301,11 +314,14 @@ def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object,
     of = np.searchsorted(whole, run)
     parts = start[(mask[of] >> (start - r.first[run])) & 1 > 0]
     start, run = r.windows(np.flatnonzero(apart))
-    first, _ = first_of(_in_row(mix(r.spans(start, start + SIZE)) ^ _RUN, r.row[run]))
+    keys = mix(r.spans(start, start + SIZE))
+    some = again.value.may(keys)
+    start = start[some]
+    first, _ = first_of(_in_row(keys[some] ^ _RUN, r.row[run[some]]))
     return covered(np.concatenate([parts, start[~first]]), SIZE, n)
 
 
-def _digest(may: object, hot: object):
+def _digest(may: object, hot: object, again: object):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, lists = batch.column(0), batch.column(2)
@@ -316,7 +332,7 @@ def _digest(may: object, hot: object):
             for lo, hi, r, data, off in _runs(batch, 1):
                 own = _own(h[of[lo]:of[hi]].view(np.uint64), mask[of[lo]:of[hi]],
                            np.repeat(np.arange(hi - lo), lengths[lo:hi]))
-                gone = _gone(r, own, may, hot, len(data))
+                gone = _gone(r, own, may, hot, again, len(data))
                 removed, spans, sums = [], [], []
                 for a, b in zip(off[:-1], off[1:], strict=True):
                     out, left = gone[a:b], data[a:b]
@@ -342,10 +358,12 @@ def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES, most_strings: int
     many = contexts.filter(F.col("count") > most_strings).select("a")
     hot = spark.sparkContext.broadcast(sketch.members(many, "a", many.count()))
     masks = scratch.stored(_compared(docs, strings, contexts.filter(F.col("count") <= most_strings), hot), "suffix-masks")
-    single = scratch.stored(_windows(docs, may, hot).select("doc_id", F.col("h").bitwiseXOR(
+    crowd = contexts.filter(F.col("count") > most_strings).agg(F.sum("count")).first()[0] or 0
+    again = spark.sparkContext.broadcast(sketch.repeats(docs, _crowded(may, hot), crowd * GRAM))
+    single = scratch.stored(_windows(docs, may, hot, again).select("doc_id", F.col("h").bitwiseXOR(
         F.lit(int(_RUN.astype(np.int64)))).alias("h"), F.lit(0).cast("long").alias("mask")), "suffix-windows")
     firsts = strings.select("doc_id", "h", F.lit(0).cast("long").alias("mask")).unionAll(masks).unionAll(single).groupBy(
         "doc_id").agg(F.collect_list(F.struct("h", "mask")).alias("firsts"))
     return docs.join(firsts, "doc_id", "left").select("doc_id", "text", "firsts").mapInArrow(
-        _digest(may, hot), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
+        _digest(may, hot, again), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
         "doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
