@@ -9,7 +9,6 @@ operators/  DataFrame-level building blocks: filters, month-keyed joins,
             latest-row joins, aggregates, windows, set operations
 plans/      the finished queries (route demand, refund ledger, search
             dashboard, agent scorecard)
-streaming/  nothing: the analytics this library covers are batch only
 oracle/     DuckDB SQL used as an independent correctness oracle
 """
 

@@ -10,7 +10,6 @@ from .functions import (Bands, band_score, date_parts, fiscal_shift, imputed_ban
                         interaction_discount, month_key, queue_weight, refund_kind, safe_div,
                         shift_class)
 from .operators import (between_filter, cast_key_join, date_floor_filter, latest_per_key,
-                        left_join_hot_right,
                         month_roster_join, month_target_join, normalised, not_in_filter,
                         partition_count, rolling_days_filter, roster_filter, status_in_filter,
                         targets_for, trailing_id_window, union_all,
@@ -78,7 +77,7 @@ def _scorecard(t):
     key = "_scorecard"
     if key not in t._built:
         t._built[key] = Scorecard(t, start_date=P["start_date"], shift_from=P["shift_from"],
-                                  as_of_ts=P["as_of_ts"], checkpoint=True)
+                                  as_of_ts=P["as_of_ts"])
     return t._built[key]
 
 
@@ -216,7 +215,7 @@ def q_left_join_active(t):
     c, b = t["cancellations"], t["refund_bank_data"]
     b = b.filter(F.col("is_active") == F.lit(True)).select(
         "cancellation_id", "code_bank", "account_type")
-    return left_join_hot_right(c, b, "id", "cancellation_id").select(
+    return c.join(b, c["id"] == b["cancellation_id"], "left").select(
         "id", "code_bank", "account_type")
 
 
@@ -243,12 +242,12 @@ def q_month_target_join(t):
 
 @register("collective_month_join")
 def q_collective_month_join(t):
-    """Every agent-day with the team cycle result of its month (broadcast)."""
+    """Every agent-day with the team cycle result of its month."""
     sc = _sc(t)
     c2 = sc.cycle_score_monthly.select(F.make_date("ano_ref", "mes_ref", F.lit(1)).alias("ym"),
                                        "valor_ciclo_c", "p_ciclo")
     d = sc.employee_days.withColumn("ym", month_key("dia"))
-    return d.join(F.broadcast(c2), "ym", "left").select("dia", "matricula", "valor_ciclo_c",
+    return d.join(c2, "ym", "left").select("dia", "matricula", "valor_ciclo_c",
                                                         "p_ciclo")
 
 
@@ -258,8 +257,8 @@ def q_cast_key_join(t):
     a = t["csat_answers"]
     ag = _sc(t).agents.select("matricula", month_key("mes_referencia").alias("_ym"))
     a = a.withColumn("_aym", month_key("data_das_respostas"))
-    j = cast_key_join(ag, a.withColumnRenamed("matricula", "_txt"), "matricula", "_txt")
-    j = j.filter(F.col("_ym") == F.col("_aym"))
+    j = cast_key_join(ag, a.withColumnRenamed("matricula", "_txt"), "matricula", "_txt",
+                      also=[("_ym", "_aym")])
     return j.select("data_das_respostas", "matricula", "media_")
 
 
@@ -325,8 +324,12 @@ def q_latest_sale_per_route(t):
     tr = rolling_days_filter(t["order_tracking"], "created_at", P["route_as_of"],
                              P["route_days"]).select("fk_order_id", F.col("source"))
     j = s.join(o, s["id"] == o["fk_search_id"]).join(tr, F.col("_oid") == tr["fk_order_id"])
-    return latest_per_key(j, ["iata_from", "iata_to"], ["created_at", "fk_search_id", "source"],
-                          ["fk_search_id", "created_at", "source"])
+    # newest per (route, source) by the fixed-width code, then among the few sources
+    per = latest_per_key(j, ["iata_from", "iata_to", "source"], ["created_at", "fk_search_id"],
+                         ["created_at", "fk_search_id"])
+    best = F.array_max(F.collect_list(F.struct("created_at", "fk_search_id", "source")))
+    return (per.groupBy("iata_from", "iata_to").agg(best.alias("_b"))
+            .select("iata_from", "iata_to", "_b.fk_search_id", "_b.created_at", "_b.source"))
 
 
 @register("sales_count_window")
@@ -340,15 +343,18 @@ def q_sales_count_window(t):
                              P["route_days"]).select("fk_order_id", "source")
     j = s.join(o, s["id"] == o["fk_search_id"]).join(tr, F.col("_oid") == tr["fk_order_id"])
     j = j.select("iata_from", "iata_to", "id", "created_at", "source")
-    return partition_count(j, ["iata_from", "iata_to"], "id", "financial_count")
+    # counted from one row per order and route, not from the fanned-out rows
+    per_order = tr.groupBy(F.col("fk_order_id").alias("_order")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = (s.join(o, s["id"] == o["fk_search_id"]).join(per_order, F.col("_oid") == F.col("_order"))
+              .groupBy("iata_from", "iata_to").agg(F.sum("_n").alias("financial_count")))
+    return partition_count(j, ["iata_from", "iata_to"], "id", "financial_count", counts)
 
 
 @register("worst_production_per_day")
 def q_worst_production_per_day(t):
     """Lowest production row per agent-day among shift/area rows (no absences)."""
     p = _sc(t).production_by_shift
-    rank = F.struct(F.col("producao"), F.col("area"), F.col("escala"))
-    pick = F.min_by(F.struct("producao", "area", "escala"), rank)
+    pick = F.array_min(F.collect_list(F.struct("producao", "area", "escala")))
     return (p.groupBy("data_resolucao", "matricula").agg(pick.alias("_b"))
             .select("data_resolucao", "matricula", "_b.producao", "_b.area", "_b.escala"))
 

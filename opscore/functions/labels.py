@@ -48,9 +48,13 @@ def shift_class(start, end) -> Column:
 
 
 def percent_guard(p) -> Column:
-    """Display guard: a ratio above 1 is shown as 0."""
+    """Display guard: a ratio above 1 is shown as 0.
+
+    A NaN is above nothing (as in the warehouse; Spark orders it above all
+    numbers), so it is shown as it is.
+    """
     c = _col(p)
-    return F.when(c > 1, F.lit(0.0)).otherwise(c)
+    return F.when((c > 1) & ~F.isnan(c), F.lit(0.0)).otherwise(c)
 
 
 def area_rename(area) -> Column:

@@ -53,7 +53,7 @@ def band_score_sql(v: str, bands: Bands = Bands(), direction: str = "up",
         if above == "cap":
             tail = f"ELSE {bands.p(5)}"
         elif above == "extrapolate":
-            tail = (f"WHEN {v} > {bands.m(5)} THEN ({v} - {bands.m(5)}) * "
+            tail = (f"WHEN {v} > {bands.m(5)} AND NOT isnan({v}) THEN ({v} - {bands.m(5)}) * "
                     f"{safe_div_sql(bands.p(5), bands.m(5))} + {bands.p(5)}")
         else:
             raise ValueError(f"above={above!r}")
@@ -61,7 +61,8 @@ def band_score_sql(v: str, bands: Bands = Bands(), direction: str = "up",
     elif direction == "down":
         arms = " ".join(f"WHEN {v} > {bands.m(k)} THEN {_interp(v, bands, k - 1, k)}"
                         for k in range(1, 6))
-        expr = (f"CASE WHEN {v} > {bands.m(0)} THEN CAST(0 AS DOUBLE) "
+        arms = f"WHEN isnan({v}) THEN {bands.p(5)} {arms}"
+        expr = (f"CASE WHEN {v} > {bands.m(0)} AND NOT isnan({v}) THEN CAST(0 AS DOUBLE) "
                 f"ELSE CASE {arms} ELSE {bands.p(5)} END END")
     else:
         raise ValueError(f"direction={direction!r}")
@@ -87,6 +88,10 @@ def band_score(v, bands: Bands = Bands(), direction: str = "up",
     direction='down' (lower is better): v > m_alerta scores 0, then the first
     level k with ``v > m_k`` interpolates, else p_2.
 
+    NaN is neither above nor below a threshold (Spark alone would order it
+    above all numbers): it goes to the last arm, p_2 for 'cap' and 'down',
+    NULL for 'extrapolate'.
+
     null_policy='top' keeps the warehouse behaviour where a NULL value falls
     through every test to the last arm (p_2 for 'cap'/'down', NULL for
     'extrapolate'); 'null' returns NULL for a NULL value.

@@ -1,20 +1,19 @@
 """DataFrame-level building blocks shared by the finished queries."""
 
 from .filters import (between_filter, date_floor_filter, future_filter, normalised,
-                      normalised_match, not_in_filter, null_filter, rolling_days_filter,
+                      normalised_match, not_in_filter, rolling_days_filter,
                       status_in_filter, trailing_id_window)
-from .joins import (cast_key_join, employee_day_spine, latest_detail_join, latest_per_key,
-                    left_join_hot_right,
-                    month_roster_join, month_target_join, roster_filter, summed_detail_join,
+from .joins import (cast_key_join, employee_day_spine, latest_per_key,
+                    month_roster_join, month_target_join, roster_filter,
                     targets_for)
 from .setops import pad_to, union_all, union_distinct, union_null_padded
-from .windows import partition_count, ranked, row_number_desc
+from .windows import partition_count, ranked
 
 __all__ = [
     "between_filter", "date_floor_filter", "future_filter", "normalised", "normalised_match",
     "not_in_filter", "null_filter", "rolling_days_filter", "status_in_filter",
-    "trailing_id_window", "cast_key_join", "employee_day_spine", "latest_detail_join",
-    "latest_per_key", "left_join_hot_right", "month_roster_join", "month_target_join", "roster_filter",
-    "summed_detail_join", "targets_for", "pad_to", "union_all", "union_distinct",
-    "union_null_padded", "partition_count", "ranked", "row_number_desc",
+    "trailing_id_window", "cast_key_join", "employee_day_spine", 
+    "latest_per_key", "month_roster_join", "month_target_join", "roster_filter",
+    "targets_for", "pad_to", "union_all", "union_distinct",
+    "union_null_padded", "partition_count", "ranked",
 ]

@@ -61,10 +61,6 @@ def not_in_filter(df: DataFrame, col: str, values) -> DataFrame:
     return df.filter(~F.col(col).isin(*values))
 
 
-def null_filter(df: DataFrame, col: str, is_null: bool = True) -> DataFrame:
-    return df.filter(F.col(col).isNull() if is_null else F.col(col).isNotNull())
-
-
 def normalised(col, case: str = "lower", trim: bool = True) -> Column:
     """Case-folded (and optionally space-trimmed) text for comparisons."""
     c = F.col(col) if isinstance(col, str) else col

@@ -1,11 +1,9 @@
 """Joins.
 
-Size policy: ``F.broadcast`` is only used on relations whose size is bounded
-by the calendar (distinct months or days, the target sheet, one row per
-month of team results).  Everything else is left to the planner; with AQE on,
-a side that turns out small at run time is broadcast after its measured size
-is checked against ``spark.sql.autoBroadcastJoinThreshold``, otherwise it
-stays a shuffle join and skewed partitions are split.
+Size policy: no join forces a broadcast.  With AQE on, a side that turns out
+small at run time is broadcast after its measured size is checked against
+``spark.sql.autoBroadcastJoinThreshold``, otherwise it stays a shuffle join and
+skewed partitions are split.
 """
 
 from __future__ import annotations
@@ -81,12 +79,12 @@ def month_target_join(df: DataFrame, targets: DataFrame, month_col: str = "ym",
                       drop_meta: bool = True) -> DataFrame:
     """Attach target rows by month (inner: the warehouse query filters on
     target columns after a LEFT JOIN, which keeps matches only).  ``targets``
-    comes from :func:`targets_for` and is calendar-bounded, so it is
-    broadcast and the employee-day side is never shuffled for it."""
+    comes from :func:`targets_for`; its measured size decides between a
+    broadcast and a shuffle join."""
     t = targets.withColumnRenamed("ym", "_tym")
     if drop_meta:
         t = t.drop("tipo", "origem")
-    out = df.join(F.broadcast(t), df[month_col] == t["_tym"], "inner")
+    out = df.join(t, df[month_col] == t["_tym"], "inner")
     return out.drop("_tym")
 
 
@@ -94,16 +92,17 @@ def employee_day_spine(calendar: DataFrame, roster: DataFrame, date_col: str = "
                        start=None) -> DataFrame:
     """Every rostered employee x every distinct contact day of that month.
 
-    The distinct days are bounded by the calendar and broadcast; the roster
-    side is reduced to distinct (employee, month) first, so the output is
-    already distinct and the many-to-many month key never shuffles.
+    The days become one row per month (a list of at most 31), the roster side
+    distinct (employee, month): the month join meets one row per month, and the
+    list is expanded behind it, so the output is already distinct.
     """
     days = calendar.select(F.to_date(date_col).alias("dia"))
     if start is not None:
         days = days.filter(F.col("dia") >= F.lit(start))
-    days = days.distinct().withColumn("_ym", month_key("dia"))
+    days = days.distinct().groupBy(month_key("dia").alias("_ym")).agg(
+        F.collect_list("dia").alias("_days"))
     people = roster.select("matricula", month_key("mes_referencia").alias("_ym")).distinct()
-    return people.join(F.broadcast(days), "_ym").select("dia", "matricula")
+    return people.join(days, "_ym").select(F.explode("_days").alias("dia"), "matricula")
 
 
 def try_long(c) -> Column:
@@ -113,10 +112,14 @@ def try_long(c) -> Column:
 
 
 def cast_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  how: str = "inner") -> DataFrame:
-    """Join where one side holds the key as text."""
+                  how: str = "inner", also: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Join where one side holds the key as text; ``also`` lists further (left, right)
+    columns that must be equal."""
     r = right.withColumn("_ck", try_long(right_key))
-    return left.join(r, left[left_key] == r["_ck"], how).drop("_ck")
+    cond = left[left_key] == r["_ck"]
+    for a, b in also or []:
+        cond = cond & (left[a] == r[b])
+    return left.join(r, cond, how).drop("_ck")
 
 
 # Digits used to encode one ordering column into a sortable DECIMAL(38,0)
@@ -136,7 +139,7 @@ _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
                 T.TimestampNTZType)
 
 
-def _order_code(df: DataFrame, order_by: list[str]) -> str | None:
+def order_code(df: DataFrame, order_by: list[str]) -> str | None:
     """SQL for a DECIMAL(38,0) that sorts exactly like the tuple ``order_by``
     (NULL lowest), or None when the columns do not fit in 38 digits."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -175,7 +178,7 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str],
     Otherwise the payload and the order are compared as structs.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    code = _order_code(df, order_by)
+    code = order_code(df, order_by)
     if code is not None and all(isinstance(types[c], _FIXED_WIDTH) for c in payload):
         coded = df.select(*keys, *dict.fromkeys(payload), F.expr(code).alias("_order"))
         return coded.groupBy(*keys).agg(
@@ -183,39 +186,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: list[str],
     best = F.max_by(F.struct(*[F.col(c) for c in payload]),
                     F.struct(*[F.col(c) for c in order_by]))
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
-
-
-def latest_detail_join(parent: DataFrame, detail: DataFrame, parent_key: str,
-                       detail_fk: str, order_by: list[str], payload: list[str],
-                       how: str = "inner") -> DataFrame:
-    """JOIN detail ON detail.id = (SELECT id ... WHERE fk = parent.key
-    ORDER BY ts DESC LIMIT 1): newest detail row per parent, then join."""
-    newest = latest_per_key(detail, [detail_fk], order_by, payload)
-    return parent.join(newest, parent[parent_key] == newest[detail_fk], how)
-
-
-def summed_detail_join(parent: DataFrame, detail: DataFrame, parent_key: str,
-                       detail_fk: str, value: str, alias: str) -> DataFrame:
-    """(SELECT sum(value) FROM detail WHERE fk = parent.key): NULL without details."""
-    sums = detail.groupBy(detail_fk).agg(F.sum(value).alias(alias))
-    out = parent.join(sums, parent[parent_key] == sums[detail_fk], "left")
-    return out.drop(sums[detail_fk])
-
-
-def left_join_hot_right(left: DataFrame, right: DataFrame, left_key: str,
-                        right_key: str) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` that stays balanced
-    when one key holds a large share of the *right* side.
-
-    AQE can split a skewed partition on either side of an inner join, but
-    not on the non-preserved side of an outer join.  So the matches come
-    from an inner join, and the unmatched left rows from a left-anti join
-    against the right side's distinct keys (a partial aggregate, so a hot
-    key is one row).  The two are stacked with the right columns NULL-padded.
-    Same rows as the outer join.
-    """
-    matched = left.join(right, left[left_key] == right[right_key], "inner")
-    keys = right.select(F.col(right_key).alias("_rk")).distinct()
-    unmatched = left.join(keys, left[left_key] == keys["_rk"], "left_anti")
-    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return matched.unionByName(unmatched.select("*", *pad))

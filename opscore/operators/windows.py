@@ -3,8 +3,8 @@
 Per-key "latest row" and "count on every row" are written as aggregates
 (partial aggregation before the shuffle, so a hot key never lands whole in
 one task).  A rank that must be kept on every row needs an ordered window;
-``ranked`` splits the work by a range-partitioned sort so a hot key is
-spread across tasks.
+``ranked`` cuts a key into buckets of its leading order value, so a hot key is
+as many windows as it has buckets.
 """
 
 from __future__ import annotations
@@ -13,57 +13,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def partition_count(df: DataFrame, keys: list[str], col: str | None, alias: str) -> DataFrame:
+def _same_keys(a: DataFrame, b: DataFrame, keys: list[str], prefix: str) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b[f"{prefix}{k}"])
+    return cond
+
+
+def partition_count(df: DataFrame, keys: list[str], col: str | None, alias: str,
+                    counts: DataFrame | None = None) -> DataFrame:
     """COUNT(col) OVER (PARTITION BY keys) on every row.
 
     Counted with a partial aggregate and joined back null-safely (window
-    partitions group NULL keys together, so the join must too).
+    partitions group NULL keys together, so the join must too).  ``counts``
+    (keys and ``alias``) may be given where they can be had from less than a
+    second evaluation of ``df``.
     """
-    cnt = F.count(F.col(col)) if col else F.count(F.lit(1))
-    counts = df.groupBy(*keys).agg(cnt.alias(alias))
+    if counts is None:
+        counts = df.groupBy(*keys).agg(
+            (F.count(F.col(col)) if col else F.count(F.lit(1))).alias(alias))
     counts = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], alias)
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(counts[f"_k_{k}"])
-        cond = c if cond is None else cond & c
-    return df.join(counts, cond, "inner").drop(*[f"_k_{k}" for k in keys])
-
-
-def row_number_desc(keys: list[str], order_desc: list[str]) -> Column:
-    """ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order_desc DESC)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_desc])
-    return F.row_number().over(w)
+    joined = df.join(counts, _same_keys(df, counts, keys, "_k_"), "inner")
+    return joined.drop(*[f"_k_{k}" for k in keys])
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], alias: str = "rn",
-           tie_cols: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """Row number per key under ``order``, without a single task per key.
+           tie_cols: list[str] | None = None, bucket: Column | None = None,
+           descending: bool = True) -> DataFrame:
+    """Row number per key under ``order``; ties go by a hash of ``tie_cols``.
 
-    1. range-partition the rows on (keys, order, row hash): a hot key spans
-       many partitions;
-    2. number rows inside each (partition, key) slice;
-    3. count rows per (partition, key) and turn the counts into offsets with
-       a window per key over at most ``partitions`` rows;
-    4. add the offset of the slice to the local number.
-    The row hash makes ties deterministic under recomputation.
+    Without ``bucket`` this is the plain window, which sorts each key in one
+    task.  ``bucket`` is a coarser form of the leading order value (the day of a
+    timestamp): rows of a lower bucket never precede those of a higher one
+    (``descending``) or the reverse.  Then rows are numbered within
+    (key, bucket), the rows of the buckets before are counted with a partial
+    aggregate and summed up over the few buckets of a key, and the two are joined
+    on (key, bucket).  Both sides follow from row values alone, so the result does
+    not depend on how Spark happens to partition either of them.
     """
-    tie_cols = tie_cols if tie_cols is not None else df.columns
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tie = F.xxhash64(*[F.col(c) for c in tie_cols]).alias("_tie")
-    base = df.select("*", tie)
-    sort_cols = [F.col(k).asc_nulls_first() for k in keys] + list(order) + [F.col("_tie").asc()]
-    spread = (base.repartitionByRange(n, *sort_cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    local_w = Window.partitionBy("_pid", *keys).orderBy(*(list(order) + [F.col("_tie").asc()]))
-    numbered = spread.withColumn("_local", F.row_number().over(local_w))
-    sizes = spread.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", *[F.col(k).alias(f"_o_{k}") for k in keys],
+    tie = F.xxhash64(*[F.col(c) for c in (tie_cols if tie_cols is not None else df.columns)])
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order, tie.asc())
+        return df.withColumn(alias, F.row_number().over(w))
+    base = df.withColumn("_bucket", bucket)
+    local = Window.partitionBy(*keys, "_bucket").orderBy(*order, tie.asc())
+    numbered = base.withColumn("_local", F.row_number().over(local))
+    first = F.col("_bucket").desc_nulls_last() if descending else F.col("_bucket").asc_nulls_first()
+    before = Window.partitionBy(*keys).orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = base.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                           F.col("_bucket").alias("_o__bucket"),
                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    cond = numbered["_pid"] == offsets["_pid"]
-    for k in keys:
-        cond = cond & numbered[k].eqNullSafe(offsets[f"_o_{k}"])
-    out = numbered.join(offsets, cond, "inner")
+    out = numbered.join(offsets, _same_keys(numbered, offsets, [*keys, "_bucket"], "_o_"), "inner")
     return out.select(*[numbered[c] for c in df.columns],
                       (numbered["_local"] + offsets["_off"]).cast("int").alias(alias))

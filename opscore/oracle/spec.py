@@ -1,4 +1,4 @@
-"""Output columns and kinds per key (generated by tools/check.py --gen-spec)."""
+"""Declared output columns and kinds per key; tests hold both sides to them."""
 
 SPEC = {
     'band_score_capped': [('dia', 'date'), ('matricula', 'int'), ('resolvidos_rec', 'double'), ('score', 'double')],

@@ -9,9 +9,23 @@ from __future__ import annotations
 
 import re
 
-from ..sources.driver_tables import LEVELS, SCORECARD_EPOCH, TARGET_SHEET
-
-_EPOCH = f"TIMESTAMP '{SCORECARD_EPOCH} 00:00:00'"
+# The target sheet of FIXTURES.md, kept apart from the Spark side's copy.
+# Six thresholds per row (alerta, bronze, prata, ouro, 1, 2); the points are the same for all.
+LEVELS = ("alerta", "bronze", "prata", "ouro", "1", "2")
+POINTS = (0.0, 20.0, 40.0, 60.0, 80.0, 100.0)
+TARGET_SHEET = [
+    ("Resolutividade", " Individual ", "Primario", (0.1, 0.2, 0.3, 0.4, 0.5, 0.6), POINTS),
+    ("Produtividade", "individual", "PRIMARIO", (5.0, 15.0, 25.0, 35.0, 45.0, 60.0), POINTS),
+    ("Produtividade_madrugada", "individual", "PRIMARIO", (4.0, 12.0, 20.0, 28.0, 36.0, 48.0), POINTS),
+    ("Produtividade_comercial", "individual", "PRIMARIO", (6.0, 18.0, 30.0, 42.0, 54.0, 66.0), POINTS),
+    ("Ciclo 10 dias", "Coletivo", "PRIMARIO", (0.1, 0.2, 0.3, 0.4, 0.5, 0.6), POINTS),
+    ("Conhecimento Corporativo", "coletivo", "PRIMARIO", (5.0, 6.0, 7.0, 8.0, 9.0, 10.0), POINTS),
+    ("Conhecimento Corporativo", "individual", "PRIMARIO", (5.0, 6.0, 7.0, 8.0, 9.0, 10.0), POINTS),
+    ("DTO", "coletivo", "PRIMARIO", (5.0, 6.0, 7.0, 8.0, 9.0, 10.0), POINTS),
+    ("DTO", " Individual ", "primario", (5.0, 6.0, 7.0, 8.0, 9.0, 10.0), POINTS),
+    ("CSAT", "individual", "PRIMARIO", (1.0, 1.5, 2.0, 3.0, 4.0, 5.0), POINTS),
+    ("Recorrencia", "individual", "PRIMARIO", (0.5, 0.4, 0.3, 0.2, 0.1, 0.05), POINTS),
+]
 _NSUP = "(SELECT count(*) FROM supplier)"
 
 
@@ -93,15 +107,16 @@ VIEWS: dict[str, str] = {
     "purchase_searches": "SELECT c_custkey AS id, c_mktsegment AS ap FROM customer",
     "months": f"""
         SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS ref
-        FROM orders WHERE o_orderdate >= {_EPOCH}""",
+        FROM orders""",
     "roster": """
         SELECT s_suppkey AS matricula, ref AS mes_referencia,
                CASE WHEN s_suppkey % 5 = 0 THEN 'Chat' WHEN s_suppkey % 5 = 1 THEN 'e-mail'
                     ELSE 'E-MAIL' END AS funcao,
-               'Relacionamento Primário' AS area,
-               CASE s_suppkey % 3 WHEN 0 THEN '00:00:00' WHEN 1 THEN '06:00:00'
+               CASE extra WHEN 0 THEN 'Relacionamento Primário'
+                    ELSE 'RELACIONAMENTO PRIMÁRIO' END AS area,
+               CASE (s_suppkey + extra) % 3 WHEN 0 THEN '00:00:00' WHEN 1 THEN '06:00:00'
                     ELSE '08:00:00' END AS horario_inicio,
-               CASE s_suppkey % 3 WHEN 0 THEN '06:00:00' WHEN 1 THEN '15:00:00'
+               CASE (s_suppkey + extra) % 3 WHEN 0 THEN '06:00:00' WHEN 1 THEN '15:00:00'
                     ELSE '17:00:00' END AS horario_fim,
                'PRIMARIO' AS origem, 'individual' AS tipo,
                s_nationkey AS matricula_supervisor,
@@ -109,7 +124,8 @@ VIEWS: dict[str, str] = {
                s_nationkey % 5 AS matricula_coordenador,
                concat('C', CAST(s_nationkey % 5 AS VARCHAR)) AS coordenador,
                1 AS matricula_gerente, 'G1' AS gerente
-        FROM supplier CROSS JOIN months""",
+        FROM supplier CROSS JOIN months JOIN (VALUES (0), (1)) AS e(extra)
+          ON extra = 0 OR (s_suppkey % 11 = 2 AND month(ref) % 2 = 0)""",
     "targets": f"""
         SELECT months.ref, t.indicador, t.tipo, t.origem,
                {", ".join(f"CAST(t.{c} AS DOUBLE) AS {c}" for c in _BAND_COLS)}
@@ -123,7 +139,7 @@ VIEWS: dict[str, str] = {
                CASE l_returnflag WHEN 'A' THEN 'Cancelamento/remarcação'
                     WHEN 'N' THEN 'Remarcação ' ELSE 'Pendências Reembolso' END AS fila,
                CASE WHEN l_linestatus = 'O' THEN 'x' END AS atendente
-        FROM lineitem WHERE l_shipdate >= {_EPOCH}""",
+        FROM lineitem""",
     "recontacts": f"""
         SELECT l_shipdate AS data_ultima_criacao,
                l_shipdate + INTERVAL '2' DAY AS data_respondido_cliente,
@@ -131,14 +147,14 @@ VIEWS: dict[str, str] = {
                CASE l_returnflag WHEN 'A' THEN 'Cancelamento/remarcação' WHEN 'N' THEN 'Pacote'
                     ELSE 'Pendências Reembolso' END AS fila,
                'Relacionamento Primário' AS area
-        FROM lineitem WHERE l_linenumber >= 5 AND l_shipdate >= {_EPOCH}""",
+        FROM lineitem WHERE l_linenumber >= 5""",
     "absences": f"""
         SELECT CAST(o_orderdate AS DATE) AS data_ref, o_custkey % {_NSUP} AS matricula,
                'Nome' AS nome_colaborador, 'PRIMARIO' AS origem,
                CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS falta_injustificada,
                CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS faltas_justificadas,
                CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS faltas_outros
-        FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderdate >= {_EPOCH}""",
+        FROM orders WHERE o_orderpriority = '5-LOW'""",
     "contact_calendar": "SELECT o_orderdate AS created FROM orders",
     "cycle_positions": f"""
         SELECT CAST(l_shipdate AS DATE) AS data_posicao,
@@ -150,7 +166,7 @@ VIEWS: dict[str, str] = {
                    AS qtde_respondido_dentro_prazo,
                CAST(l_quantity AS INT) AS qtde_total,
                l_linenumber - 1 AS qtde_nao_respondido_fora_prazo_resolvido
-        FROM lineitem WHERE l_shipdate >= {_EPOCH}""",
+        FROM lineitem""",
     "monthly_grades": """
         SELECT year(ref) AS ano_ref, month(ref) AS mes_ref, s_suppkey AS matricula,
                CAST((s_suppkey * 7 + month(ref) * 3) % 50 AS DOUBLE) / 10 + 5
@@ -169,13 +185,12 @@ VIEWS: dict[str, str] = {
         SELECT CAST(o_orderdate AS DATE) AS data_ref,
                o_custkey % {_NSUP} AS solicitante_matricula,
                CAST(o_totalprice / 30 AS VARCHAR) AS reembolso_valor_prejuizo
-        FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 0
-          AND o_orderdate >= {_EPOCH}""",
+        FROM orders WHERE o_orderstatus = 'P'""",
     "csat_answers": f"""
         SELECT CAST(o_orderdate AS DATE) AS data_das_respostas,
                CAST(o_custkey % {_NSUP} AS VARCHAR) AS matricula,
                CAST(o_orderkey % 6 AS DOUBLE) AS media_
-        FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderdate >= {_EPOCH}""",
+        FROM orders WHERE o_orderpriority = '1-URGENT'""",
 }
 
 _DEPS = {"roster": ["months"], "targets": ["months"], "monthly_grades": ["months"],

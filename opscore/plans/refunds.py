@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import account_kind, refund_kind
-from ..operators.joins import latest_per_key, left_join_hot_right
+from ..operators.joins import latest_per_key
 from ..operators.setops import union_all
 
 
@@ -32,8 +32,7 @@ def refund_ledger(flights: DataFrame, cancellations: DataFrame, bank_data: DataF
     """One row per refunded flight with its bank data, newest status and totals.
 
     Flights meet their cancellation (inner), the active bank row of the
-    cancellation (left; split so a cancellation with a huge share of bank
-    rows stays balanced), the bank name (left), the newest log of the flight
+    cancellation (left), the bank name (left), the newest log of the flight
     (inner, ``max_by`` per flight), its status and the reason (inner) and
     the sum of item refunds (left, NULL without items); then DISTINCT.
     """
@@ -44,7 +43,7 @@ def refund_ledger(flights: DataFrame, cancellations: DataFrame, bank_data: DataF
     bank = bank_data.filter(F.col("is_active") == F.lit(True)).select(
         F.col("cancellation_id").alias("bank_cancellation_id"), "code_bank", "agency",
         "account_number", "account_type", "cardholder_name", "cardholder_document")
-    j = left_join_hot_right(base, bank, "cancellation_key", "bank_cancellation_id")
+    j = base.join(bank, base["cancellation_key"] == bank["bank_cancellation_id"], "left")
     b = banks.select(F.col("code_bank").alias("_bank_code"), "short_name")
     j = j.join(b, j["code_bank"] == b["_bank_code"], "left")
     newest = newest_log_per_flight(logs).select(

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import order_code
 from ..operators.filters import rolling_days_filter, status_in_filter
 from ..operators.windows import ranked
 
@@ -24,14 +25,15 @@ def tracking_rank(tracking: DataFrame, as_of, days: int = 30) -> DataFrame:
 
     Equal times are ordered by source (descending); rows equal in every
     column are interchangeable, so the result is deterministic.  The rank is
-    computed by :func:`ranked`, which spreads a heavily tracked order over
-    many tasks instead of sorting it in one.
+    computed by :func:`ranked` day by day, so a heavily tracked order is one
+    window per day instead of one sort in one task.
     """
     t = rolling_days_filter(tracking, "created_at", as_of, days)
     t = t.select("fk_order_id", "created_at", "source")
     return ranked(t, ["fk_order_id"],
                   [F.col("created_at").desc_nulls_last(), F.col("source").desc_nulls_last()],
-                  alias="rn", tie_cols=["fk_order_id", "created_at", "source"])
+                  alias="rn", tie_cols=["fk_order_id", "created_at", "source"],
+                  bucket=F.to_date("created_at"))
 
 
 def metasearch_by_route(searches: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -57,7 +59,7 @@ def sales_by_route(searches: DataFrame, orders: DataFrame, tracking: DataFrame,
     (source is a grouping key, so no sort-based aggregation over the largest
     table), and a heavily tracked order cannot skew the join.  The newest
     row is max(created_at, fk_search_id, source) over the same candidate
-    tuples: a partial aggregate, no sort of a route's rows in one task.
+    tuples, found per source first.
     """
     t = rolling_days_filter(tracking, "created_at", as_of, days)
     per_order = (t.groupBy("fk_order_id", F.col("source").alias("_source"))
@@ -68,8 +70,16 @@ def sales_by_route(searches: DataFrame, orders: DataFrame, tracking: DataFrame,
     so = s.join(o.select(F.col("id").alias("_oid"), "fk_search_id", "created_at"),
                 s["id"] == F.col("fk_search_id"))
     sot = so.join(per_order, so["_oid"] == per_order["fk_order_id"])
-    newest = F.max(F.struct(F.col("created_at"), F.col("fk_search_id"), F.col("_source")))
-    return (sot.groupBy("iata_from", "iata_to")
+    # the newest sale of each (route, source) by its fixed-width (time, id) code:
+    # a hash aggregate; the few sources of a route then compare as structs
+    code = order_code(sot, ["created_at", "fk_search_id"])
+    per_source = (sot.withColumn("_order", F.expr(code))
+                  .groupBy("iata_from", "iata_to", "_source")
+                  .agg(F.sum("_rows").alias("_rows"), F.max("_order").alias("_order"),
+                       F.max_by("created_at", "_order").alias("created_at"),
+                       F.max_by("fk_search_id", "_order").alias("fk_search_id")))
+    newest = F.array_max(F.collect_list(F.struct("created_at", "fk_search_id", "_source")))
+    return (per_source.groupBy("iata_from", "iata_to")
             .agg(F.sum("_rows").alias("financial_count"), newest.alias("_newest"))
             .select(F.col("iata_from").alias("iata_origem"),
                     F.col("iata_to").alias("iata_destino"), "financial_count",

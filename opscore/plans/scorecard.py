@@ -63,6 +63,22 @@ def _ym_of(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
+class Materialised:
+    """The written daily table of a scorecard."""
+
+    def __init__(self, card: "Scorecard", path: str):
+        self.card, self.path = card, path
+
+    def drop(self) -> None:
+        """Delete the table; the scorecard is lazy again."""
+        spark = self.card.scorecard_daily.sparkSession
+        self.card._written = None
+        for name in ("recontact_monthly", "scorecard_final"):
+            self.card.__dict__.pop(name, None)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scorecard:
     """All scorecard relations over one set of input tables.
 
@@ -75,12 +91,12 @@ class Scorecard:
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], start_date="2021-08-01",
-                 shift_from="2022-07-01", as_of_ts=None, checkpoint: bool = False):
+                 shift_from="2022-07-01", as_of_ts=None):
         self.t = tables
         self.start = as_date(start_date)
         self.shift_from = as_date(shift_from)
+        self._written: DataFrame | None = None
         self.as_of = as_timestamp(as_of_ts or _dt.datetime.now().replace(microsecond=0))
-        self.checkpoint = checkpoint
 
     # ------------------------------------------------------------ inputs
     @cached_property
@@ -195,8 +211,8 @@ class Scorecard:
         """Worst production row per agent-day after overlaying absences.
 
         NULL production ranks as 0.1.  Equal ranks are broken by area, then
-        shift, so the pick is deterministic.  A ``min_by`` aggregate: partial
-        aggregation, no sort per agent-day.  The warehouse UNION's duplicate
+        shift, so the pick is deterministic.  An agent-day has a handful of rows
+        (roster rows of the month, absences), compared as structs.  The warehouse UNION's duplicate
         removal is not needed: the minimum of a multiset is the minimum of
         its set, so the rows are stacked (UNION ALL) and one shuffle saved.
         """
@@ -205,7 +221,7 @@ class Scorecard:
             self.absence_production)
         rank = F.struct(F.coalesce(F.col("producao"), F.lit(ABSENT_FILLER)).alias("_r"),
                         F.col("area"), F.col("escala"), F.col("producao"))
-        pick = F.min_by(F.struct("producao", "area", "escala"), rank)
+        pick = F.array_min(F.collect_list(rank))
         return (base.groupBy("data_resolucao", "matricula").agg(pick.alias("_b"))
                 .select("data_resolucao", "matricula", "_b.producao", "_b.area", "_b.escala"))
 
@@ -213,7 +229,7 @@ class Scorecard:
     def production_score(self) -> DataFrame:
         """Production scored against the target of the agent's shift class.
 
-        One broadcast join on (month, indicator of the shift) replaces three
+        One join on (month, indicator of the shift) replaces three
         filtered scans of the production relation; DISTINCT keeps the
         set semantics of the union it replaces.
         """
@@ -229,7 +245,7 @@ class Scorecard:
             ind = (F.when(F.col("escala") == shift, F.lit(name)) if ind is None
                    else ind.when(F.col("escala") == shift, F.lit(name)))
         base = base.select("*", month_key("data_resolucao").alias("_ym"), ind.alias("_ind"))
-        j = base.join(F.broadcast(t3), (base["_ym"] == t3["_tym"]) & (base["_ind"] == t3["_ind"]))
+        j = base.join(t3, (base["_ym"] == t3["_tym"]) & (base["_ind"] == t3["_ind"]))
         return j.select("data_resolucao", "matricula", "producao",
                         band_score("producao", above="extrapolate")
                         .alias("p_produtividade")).distinct()
@@ -303,23 +319,22 @@ class Scorecard:
     @cached_property
     def daily_table(self) -> DataFrame:
         """Spine with the four daily indicators; ``data`` is the shifted day."""
-        ab = self.employee_days
-        ac = self.resolution_score_daily.select(
+        resolution = self.resolution_score_daily.select(
             F.col("data_resolucao").alias("dia"), "matricula", "percent_resolucao",
             "resolvidos", "p_resolutividade")
-        c = self._recontact_daily(self.start).select(F.col("data_").alias("dia"), "matricula",
-                                                     "recorrencia")
-        cr = self.daily_resolved.select(F.col("data_").alias("dia"), "matricula",
-                                        "resolvidos_rec")
-        e = self.production_score.select(F.col("data_resolucao").alias("dia"), "matricula",
+        recontact = self._recontact_daily(self.start).select(
+            F.col("data_").alias("dia"), "matricula", "recorrencia")
+        attended = self.daily_resolved.select(F.col("data_").alias("dia"), "matricula",
+                                              "resolvidos_rec")
+        production = self.production_score.select(F.col("data_resolucao").alias("dia"), "matricula",
                                          "producao", "p_produtividade")
         # The spine only holds days from ``start`` on, so each side is cut to
         # those days before the join (same rows).  The filter is on a grouping
         # key, so Catalyst moves it below the aggregations towards the scans:
         # history before the reporting start is never aggregated or shuffled.
         since = F.col("dia") >= F.lit(self.start)
-        j = ab
-        for side in (ac, c, cr, e):
+        j = self.employee_days
+        for side in (resolution, recontact, attended, production):
             j = j.join(side.filter(since), ["matricula", "dia"], "left")
         return j.select(fiscal_shift("dia", self.shift_from).alias("data"),
                         *[F.col(c) for c in ("matricula", "percent_resolucao", "resolvidos",
@@ -330,20 +345,20 @@ class Scorecard:
 
     @cached_property
     def team_by_month(self) -> list[DataFrame]:
-        """Team results keyed by ``ym``; one row per month (calendar-bounded)."""
-        c2 = self.cycle_score_monthly.select(
+        """Team results keyed by ``ym``."""
+        cycle = self.cycle_score_monthly.select(
             _ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"), "valor_ciclo_c",
             F.col("p_ciclo").alias("p_ciclo_c"))
-        c5 = self.knowledge_score_monthly.select(
+        knowledge = self.knowledge_score_monthly.select(
             _ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"), "valor_conhec_c",
             F.col("p_conhecimento").alias("p_conhecimento_c"))
-        c6 = self.dto_score_monthly.select(
+        dto = self.dto_score_monthly.select(
             _ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"), "valor_dto_c",
             F.col("p_dto").cast("double").alias("p_dto_c"))
-        cg = self.t["collective_extras"].select(
+        extras = self.t["collective_extras"].select(
             _ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"), "reclamacoes",
             "p_reclamacoes", "nps", "p_nps", "redes_sociais", "p_redes_sociais")
-        return [c2, c5, c6, cg]
+        return [cycle, knowledge, dto, extras]
 
     @cached_property
     def absence_rows(self) -> DataFrame:
@@ -362,7 +377,7 @@ class Scorecard:
         """The 24-column daily scorecard (warehouse CTE ``principal``)."""
         t = self.daily_table.withColumn("ym", month_key("data"))
         for side in self.team_by_month:
-            t = t.join(F.broadcast(side), "ym", "left")
+            t = t.join(side, "ym", "left")
         # Three columns are the same constant in every row of both arms
         # (update stamp, attendance 0, no idea points): they cannot change
         # which rows are distinct, so DISTINCT runs on the other 21 columns
@@ -379,38 +394,30 @@ class Scorecard:
         out = out.filter(F.col("data_resolucao") >= F.lit(self.start))
         return out.selectExpr(*[constant.get(c, c) for c in PRINCIPAL_COLUMNS])
 
-    @cached_property
-    def scorecard_daily_stable(self) -> DataFrame:
-        """The daily table as read by the monthly and final assemblies.
-
-        With ``checkpoint=True`` it is written once as a Parquet table under
-        the session's ``spark.checkpoint.dir`` (a shared folder on a cluster)
-        and both consumers read it back: lineage is cut, a lost executor does
-        not recompute the daily plan, the monthly reads prune columns, and
-        AQE plans the rest with real row counts.  The write goes through
-        Spark's commit protocol, so a failed attempt leaves no partial table.
+    @property
+    def _daily(self) -> DataFrame:
+        """The daily scorecard as the assemblies read it: the materialised table, if any."""
+        return self._written if self._written is not None else self.scorecard_daily
+
+    def materialise_daily(self, folder: str) -> "Materialised":
+        """Write the daily scorecard under ``folder`` (shared by all executors) and let the
+        monthly and final assemblies built afterwards read it back, instead of evaluating
+        it once for each.  Returns a handle; ``handle.drop()`` deletes the table once
+        nothing reads it any more.  A failed write raises and leaves no table behind.
         """
-        if not self.checkpoint:
-            return self.scorecard_daily
         import uuid
-
-        from ..session import ensure_checkpoint_dir
+        path = f"{folder.rstrip('/')}/opscore-scorecard-daily-{uuid.uuid4().hex}"
+        self.scorecard_daily.write.parquet(path)
         spark = self.scorecard_daily.sparkSession
-        try:
-            root = ensure_checkpoint_dir(spark).rstrip("/")
-            path = f"{root}/opscore-scorecard-daily-{uuid.uuid4().hex}"
-            self.scorecard_daily.write.parquet(path)
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001
-            # A session that cannot write there still gets the same result,
-            # recomputed from lineage.
-            return self.scorecard_daily
+        self._written = spark.read.parquet(path)
+        for name in ("recontact_monthly", "scorecard_final"):
+            self.__dict__.pop(name, None)
+        return Materialised(self, path)
 
     # ------------------------------------------------------------ monthly individual
     @cached_property
     def recontact_monthly(self) -> DataFrame:
-        p = self.scorecard_daily_stable
-        m = (p.groupBy(F.year("data_resolucao").alias("ano_ref"),
+        m = (self._daily.groupBy(F.year("data_resolucao").alias("ano_ref"),
                        F.month("data_resolucao").alias("mes_ref"), "matricula")
              .agg(F.sum("resolvidos_rec").alias("resolvidos_rec"),
                   F.sum("recorrencia").alias("recorrencia")))
@@ -486,21 +493,21 @@ class Scorecard:
         month: an agent with n loss days in a month gets each daily row n
         times (warehouse behaviour, kept).
         """
-        z = self.scorecard_daily_stable.withColumn("ym", month_key("data_resolucao")) \
+        z = self._daily.withColumn("ym", month_key("data_resolucao")) \
             .drop("recorrencia", "resolvidos_rec")
 
         def monthly(df: DataFrame, cols: list[str]) -> DataFrame:
             return df.select(_ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"),
                              "matricula", *cols)
 
-        yyy = monthly(self.recontact_monthly, ["percent_recorrencia", "recorrencia",
+        recontact = monthly(self.recontact_monthly, ["percent_recorrencia", "recorrencia",
                                                "resolvidos_rec", "p_recorrencia"])
-        xxx = self.loss_penalty_daily.select(month_key("data_ref").alias("ym"), "matricula",
+        losses = self.loss_penalty_daily.select(month_key("data_ref").alias("ym"), "matricula",
                                              "p_prejuizo")
-        aaa = monthly(self.dto_individual, ["dto", "p_dto_i"])
-        bbb = monthly(self.knowledge_individual, ["conhecimento_corporativo", "p_cc_i"])
+        dto = monthly(self.dto_individual, ["dto", "p_dto_i"])
+        knowledge = monthly(self.knowledge_individual, ["conhecimento_corporativo", "p_cc_i"])
         csat = monthly(self.csat_monthly, ["media__csat", "p_csat"])
-        jc = roster_filter(self.t["roster"], "exact").select(
+        hierarchy = roster_filter(self.t["roster"], "exact").select(
             "matricula", month_key("mes_referencia").alias("ym"), "origem", "tipo",
             "matricula_supervisor", "supervisor", "matricula_coordenador", "coordenador",
             "matricula_gerente", "gerente")
@@ -509,9 +516,9 @@ class Scorecard:
         # are on grouping keys and move below the monthly aggregations.
         first_month = F.lit(self.start.replace(day=1))
         j = z
-        for side in (yyy, xxx, aaa, bbb, csat):
+        for side in (recontact, losses, dto, knowledge, csat):
             j = j.join(side.filter(F.col("ym") >= first_month), ["matricula", "ym"], "left")
-        j = j.join(jc.filter(F.col("ym") >= first_month), ["matricula", "ym"], "inner")
+        j = j.join(hierarchy.filter(F.col("ym") >= first_month), ["matricula", "ym"], "inner")
         return j.selectExpr(*FINAL_COLUMNS)
 
 

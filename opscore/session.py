@@ -7,14 +7,17 @@ exist for tests, the bench and local runs.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "opscore") -> SparkSession:
-    """A local session configured like the cluster one (AQE on, UI off)."""
+                  app: str = "opscore", work_dir: str | None = None) -> SparkSession:
+    """A local session configured like the cluster one (AQE on, UI off).
+
+    ``work_dir`` becomes the session's ``spark.checkpoint.dir``; without it the
+    launch configuration decides, and none need be named.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -28,27 +31,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("OPSCORE_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if work_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", work_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is; a fresh temporary folder is only chosen for local runs and tests.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    path = current or tempfile.mkdtemp(prefix="opscore-ckpt-")
-    if not current:
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # noqa: BLE001  (Spark Connect: the conf alone names the folder)
-        pass
-    return path
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one set on the context, else the one the
+    session was launched with.  Raises where neither is named; a folder that only one
+    machine can see is never chosen in its place."""
+    chosen = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not chosen:
+        raise ValueError("name a folder that all executors share: launch with spark.checkpoint.dir, "
+                         "or call SparkContext.setCheckpointDir")
+    return chosen
 
 
 _MB = 1 << 20
@@ -87,8 +85,3 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 25
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_mb * _MB),
         "spark.sql.autoBroadcastJoinThreshold": str(10 * _MB),
     }
-
-
-def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    for k, v in conf.items():
-        spark.conf.set(k, v)

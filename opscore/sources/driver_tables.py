@@ -41,21 +41,6 @@ TARGET_SHEET = [
 ]
 LEVELS = ("alerta", "bronze", "prata", "ouro", "1", "2")
 
-SCORECARD_EPOCH = "2000-01-01"
-
-_SCANS: dict[tuple[str, int, str], DataFrame] = {}
-
-
-def _application_id(spark: SparkSession) -> str | None:
-    """Id of the running application (a new context gets a new id, so a
-    cached scan never outlives its session); None where there is no
-    SparkContext to ask (Spark Connect), which disables the cache."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return None
-
-
 class DriverTables:
     """Lazy, memoised logical tables over one driver data folder."""
 
@@ -66,19 +51,9 @@ class DriverTables:
         self._built: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """Scan of one driver table.  The relation (file listing and footer
-        schema) is kept per session like a catalog entry; every query still
-        builds its own plan on top of it."""
+        """Scan of one driver table, listed once per object."""
         if name not in self._raw:
-            path = f"{self.sf_dir}/{name}.parquet"
-            app = _application_id(self.spark)
-            if app is None:
-                self._raw[name] = self.spark.read.parquet(path)
-            else:
-                key = (app, id(self.spark), path)
-                if key not in _SCANS:
-                    _SCANS[key] = self.spark.read.parquet(path)
-                self._raw[name] = _SCANS[key]
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -89,12 +64,11 @@ class DriverTables:
     # ---- shared helpers -------------------------------------------------
     @cached_property
     def month_list(self) -> Column:
-        """Sorted distinct months with orders since the scorecard epoch, as one
+        """Sorted distinct months with orders, as one
         scalar subquery (an array bounded by the calendar: at most 12 per
         year).  Every month-derived fixture (roster, targets, grades, team
         extras) expands this one value instead of rescanning orders."""
-        o = self.raw("orders").where(f"o_orderdate >= TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'")
-        return o.select(F.sort_array(F.collect_set(
+        return self.raw("orders").select(F.sort_array(F.collect_set(
             F.to_date(F.date_trunc("month", "o_orderdate"))))).scalar()
 
     @cached_property
@@ -205,14 +179,20 @@ class DriverTables:
 
     # ---- scorecard --------------------------------------------------------
     def _build_roster(self) -> DataFrame:
-        return self._supplier_months().selectExpr(
+        # every eleventh agent also has a second roster row (another shift and
+        # spelling of the area) in the even months
+        rows = self._supplier_months().selectExpr(
+            "*", "explode(CASE WHEN s_suppkey % 11 = 2 AND month(ref) % 2 = 0 "
+            "THEN array(0, 1) ELSE array(0) END) AS extra")
+        return rows.selectExpr(
             "s_suppkey AS matricula", "ref AS mes_referencia",
             "CASE WHEN s_suppkey % 5 = 0 THEN 'Chat' WHEN s_suppkey % 5 = 1 THEN 'e-mail' "
             "ELSE 'E-MAIL' END AS funcao",
-            "'Relacionamento Primário' AS area",
-            "CASE s_suppkey % 3 WHEN 0 THEN '00:00:00' WHEN 1 THEN '06:00:00' "
+            "CASE extra WHEN 0 THEN 'Relacionamento Primário' "
+            "ELSE 'RELACIONAMENTO PRIMÁRIO' END AS area",
+            "CASE (s_suppkey + extra) % 3 WHEN 0 THEN '00:00:00' WHEN 1 THEN '06:00:00' "
             "ELSE '08:00:00' END AS horario_inicio",
-            "CASE s_suppkey % 3 WHEN 0 THEN '06:00:00' WHEN 1 THEN '15:00:00' "
+            "CASE (s_suppkey + extra) % 3 WHEN 0 THEN '06:00:00' WHEN 1 THEN '15:00:00' "
             "ELSE '17:00:00' END AS horario_fim",
             "'PRIMARIO' AS origem", "'individual' AS tipo",
             "s_nationkey AS matricula_supervisor",
@@ -231,10 +211,8 @@ class DriverTables:
         sheet = f"inline(array({', '.join(rows)}))"
         return self.months.selectExpr("ref", f"{sheet} AS ({', '.join(names)})")
 
-    _SINCE_EPOCH = f"TIMESTAMP_NTZ '{SCORECARD_EPOCH} 00:00:00'"
-
     def _build_resolutions(self) -> DataFrame:
-        return self.raw("lineitem").where(f"l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+        return self.raw("lineitem").selectExpr(
             "to_date(l_shipdate) AS data_resolucao", "l_suppkey AS matricula",
             "CASE WHEN l_linenumber < 7 THEN l_linenumber END AS quantidade_interacoes",
             "l_quantity AS quantidade_incidentes",
@@ -243,8 +221,7 @@ class DriverTables:
             "CASE WHEN l_linestatus = 'O' THEN 'x' END AS atendente")
 
     def _build_recontacts(self) -> DataFrame:
-        return self.raw("lineitem").where(
-            f"l_linenumber >= 5 AND l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+        return self.raw("lineitem").where("l_linenumber >= 5").selectExpr(
             "l_shipdate AS data_ultima_criacao",
             "l_shipdate + INTERVAL 2 DAYS AS data_respondido_cliente",
             "l_suppkey AS matricula",
@@ -253,8 +230,7 @@ class DriverTables:
             "'Relacionamento Primário' AS area")
 
     def _build_absences(self) -> DataFrame:
-        o = self.raw("orders").where(
-            f"o_orderpriority = '5-LOW' AND o_orderdate >= {self._SINCE_EPOCH}")
+        o = self.raw("orders").where("o_orderpriority = '5-LOW'")
         return o.select(
             F.expr("to_date(o_orderdate)").alias("data_ref"),
             (F.col("o_custkey") % self._supplier_count()).alias("matricula"),
@@ -267,7 +243,7 @@ class DriverTables:
         return self.raw("orders").selectExpr("o_orderdate AS created")
 
     def _build_cycle_positions(self) -> DataFrame:
-        return self.raw("lineitem").where(f"l_shipdate >= {self._SINCE_EPOCH}").selectExpr(
+        return self.raw("lineitem").selectExpr(
             "to_date(l_shipdate) AS data_posicao",
             "CASE WHEN l_linestatus = 'O' THEN 'Atendimento Primário' "
             "ELSE 'Atendimento Especializado' END AS area",
@@ -294,16 +270,14 @@ class DriverTables:
             "CAST(3 AS DOUBLE) AS redes_sociais", "CAST(2 AS DOUBLE) AS p_redes_sociais")
 
     def _build_losses(self) -> DataFrame:
-        o = self.raw("orders").where(
-            f"o_orderstatus = 'P' AND o_orderkey % 7 = 0 AND o_orderdate >= {self._SINCE_EPOCH}")
+        o = self.raw("orders").where("o_orderstatus = 'P'")
         return o.select(
             F.expr("to_date(o_orderdate)").alias("data_ref"),
             (F.col("o_custkey") % self._supplier_count()).alias("solicitante_matricula"),
             F.expr("CAST(o_totalprice / 30 AS STRING)").alias("reembolso_valor_prejuizo"))
 
     def _build_csat_answers(self) -> DataFrame:
-        o = self.raw("orders").where(
-            f"o_orderpriority = '1-URGENT' AND o_orderdate >= {self._SINCE_EPOCH}")
+        o = self.raw("orders").where("o_orderpriority = '1-URGENT'")
         return o.select(
             F.expr("to_date(o_orderdate)").alias("data_das_respostas"),
             (F.col("o_custkey") % self._supplier_count()).cast("string").alias("matricula"),

@@ -145,7 +145,7 @@ def test_ranked_matches_row_number_with_hot_key(spark):
     rows = [(1 if i % 3 else i, i % 17, f"s{i % 5}") for i in range(3000)]  # key 1 is hot
     df = spark.createDataFrame(rows, "k long, t long, s string")
     order = [F.col("t").desc(), F.col("s").desc()]
-    got = ranked(df, ["k"], order, alias="rn", partitions=8)
+    got = ranked(df, ["k"], order, alias="rn", bucket=F.floor(F.col("t") / 4))
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
     key = ["k", "t", "s", "rn"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(
@@ -166,16 +166,81 @@ def test_union_null_padded_types(spark):
     assert out.count() == 2
 
 
-def test_left_join_hot_right_equals_left_join(spark):
-    from opscore.operators.joins import left_join_hot_right
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n"), (1, "a2")],
-                                 "k int, lv string")
-    right_rows = [(1, f"r{i}") for i in range(300)] + [(2, "x"), (4, "y"), (None, "z")]
-    right = spark.createDataFrame(right_rows, "rk int, rv string")  # key 1 holds most rows
-    got = left_join_hot_right(left, right, "k", "rk")
-    want = left.join(right, left["k"] == right["rk"], "left")
-    assert got.columns == want.columns
-    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+def test_ranked_by_bucket_with_extra_columns_and_a_hot_key(spark):
+    """200,000 rows, a third of one key, a column outside keys and order: same as the plain
+    window, whatever Spark does with exchanges and adaptive plans."""
+    df = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 50 END AS k",
+        "timestamp_seconds((id * 7919) % 2000000) AS t", "id", "concat('x', id % 13) AS extra")
+    order = [F.col("t").desc(), F.col("id").asc()]
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
+    for reuse, aqe in (("true", "true"), ("false", "true"), ("false", "false")):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            got = ranked(df, ["k"], order, bucket=F.to_date("t"))
+            assert got.columns == want.columns
+            assert got.count() == 200_000
+            assert got.exceptAll(want).count() == 0
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ranked_puts_null_keys_and_buckets_last(spark):
+    df = spark.createDataFrame([(None, TS(2024, 1, 2), 1), (None, None, 2), (None, TS(2024, 1, 1), 3),
+                                ("a", None, 4)], "k string, t timestamp_ntz, id int")
+    got = ranked(df, ["k"], [F.col("t").desc_nulls_last()], bucket=F.to_date("t"))
+    assert sorted((r.id, r.rn) for r in got.collect()) == [(1, 1), (2, 3), (3, 2), (4, 1)]
+
+
+def test_oversized_target_sheet_still_joins(spark):
+    """Targets beyond the broadcast threshold: a shuffle join with the same rows."""
+    from opscore.operators.joins import month_target_join, targets_for
+    from opscore.functions.calendar import month_key
+    days = spark.range(300).selectExpr("date_add(date'2024-01-01', CAST(id % 90 AS INT)) AS dia", "id")
+    sheet = spark.range(3000).selectExpr(
+        "'X' AS indicador", "'individual' AS tipo", "'PRIMARIO' AS origem",
+        "add_months(date'2024-01-01', CAST(id % 3 AS INT)) AS ref", "CAST(id AS DOUBLE) AS m_ouro")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = {}
+    for limit in (old, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            j = month_target_join(days.withColumn("ym", month_key("dia")), targets_for(sheet, "x"))
+            plan = j._jdf.queryExecution().executedPlan().toString()
+            rows[limit] = j.agg(F.count("*"), F.sum("m_ouro")).first()
+            assert limit != "-1" or "SortMergeJoin" in plan
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert rows[old] == rows["-1"] and rows[old][0] == 300_000
+
+
+def test_nan_is_above_nothing(spark):
+    from opscore.functions import Bands, band_score
+    from opscore.functions.labels import percent_guard
+    from conftest import BANDS_DOWN
+    df = spark.createDataFrame([(float("nan"),), (2.0,), (0.5,)], "v double")
+    assert [str(r[0]) for r in df.select(percent_guard("v")).collect()] == ["nan", "0.0", "0.5"]
+    wide = df.select("v", *[F.lit(v).alias(k) for k, v in BANDS_DOWN.items()])
+    got = [r[0] for r in wide.select(band_score("v", Bands(), direction="down")).collect()]
+    assert got[0] == BANDS_DOWN["p_2"] and got[1] == 0.0
+
+
+def test_materialised_daily_gives_the_same_final_rows(spark, tmp_path):
+    from conftest import SF_SMALL
+    from opscore.plans.scorecard import Scorecard
+    from opscore.registry import PARAMS as P
+    from opscore.sources import DriverTables
+    sc = Scorecard(DriverTables(spark, SF_SMALL), "2001-03-01", "2001-05-01", P["as_of_ts"])
+    lazy = sc.scorecard_final
+    handle = sc.materialise_daily(str(tmp_path))
+    written = sc.scorecard_final
+    same = lambda a, b: a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    digits = lambda df: df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    assert same(digits(lazy), digits(written))
+    handle.drop()
+    assert list(tmp_path.iterdir()) == []
 
 
 def test_production_with_absence_function(spark):

@@ -60,7 +60,10 @@ def test_entry_smoke(spark):
                           "ultimo_fk_search_id", "ultimo_created_at", "metasearch_created_at",
                           "source"]
     assert df.count() >= 0
-    assert set(e.queries()) == set(e.oracle_sql())
+    from opscore import registry
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(e.queries())
+    assert set(e.oracle_sql()) <= set(e.queries())
 
 
 @pytest.mark.parametrize("key", ["route_demand", "search_dashboard", "csat_monthly"])

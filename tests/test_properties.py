@@ -47,7 +47,7 @@ def test_partition_count_matches_brute_force(spark):
 def test_ranked_matches_brute_force(spark):
     rows = _rows(3)
     df = spark.createDataFrame(rows, "k int, ts int, id int, s string")
-    got = ranked(df, ["k"], [F.col("ts").desc(), F.col("id").asc()], partitions=16)
+    got = ranked(df, ["k"], [F.col("ts").desc(), F.col("id").asc()], bucket=F.floor(F.col("ts") / 3))
     got = {r.id: r.rn for r in got.select("id", "rn").collect()}
     by_key = {}
     for k, ts, i, _ in rows:

@@ -1,4 +1,8 @@
-from opscore.session import ensure_checkpoint_dir, scale_conf
+import os
+import subprocess
+import sys
+
+from opscore.session import scale_conf
 
 
 def test_scale_conf_100tb():
@@ -15,7 +19,26 @@ def test_scale_conf_small_input_keeps_two_per_core():
     assert int(c["spark.sql.shuffle.partitions"]) == 16
 
 
-def test_checkpoint_dir_is_kept_when_set(spark):
-    first = ensure_checkpoint_dir(spark)
-    assert ensure_checkpoint_dir(spark) == first
-    assert spark.conf.get("spark.checkpoint.dir") == first
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+CODE = """
+import sys
+sys.path.insert(0, %r)
+from opscore.session import local_session, shared_folder
+s = local_session(2, 4)
+print("ROWS", s.range(5).count())
+try:
+    shared_folder(s)
+except ValueError as e:
+    print("RAISED", e)
+s.sparkContext.setCheckpointDir(sys.argv[1])
+print("FOLDER", shared_folder(s))
+""" % ROOT
+
+
+def test_session_starts_without_a_spark_configuration(tmp_path):
+    """An empty conf folder: the session starts, and the shared folder is asked for, never made up."""
+    conf = tmp_path / "conf"
+    conf.mkdir()
+    out = subprocess.run([sys.executable, "-c", CODE, str(tmp_path / "work")], capture_output=True, text=True,
+                         timeout=300, env=os.environ | {"SPARK_CONF_DIR": str(conf)}).stdout
+    assert "ROWS 5" in out and "RAISED" in out and str(tmp_path / "work") in out.split("FOLDER")[1]
