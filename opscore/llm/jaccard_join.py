@@ -17,9 +17,10 @@ A-Z lower-cased).  Two documents link when 100 * intersection >= 75 * union.
   between them adds nothing.  For others, with i = common shingles with the hub, the
   overlap of x and y is at most min(ix, iy) + min(nx - ix, ny - iy): the part within the hub
   and the part outside.  Only where that, the sizes and the positions in
-  the list (1 + the fewer shingles that follow) allow a link is the pair verified.  Lists
-  are joined in runs of equal component, size and position, so what cannot link is
-  skipped a block at a time.
+  the list (1 + the fewer shingles that follow) allow a link is the pair verified.
+* Parity signatures: a set's shingles are thrown into ``BITS`` cells, one bit each for an odd
+  count.  Cells in which two sets differ are no more than the shingles in which they do, so
+  pairs with too many are out before any set is read.
 
 Exact: nothing is sampled or capped.  Frequent shingles only move within the order.
 
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sketch
@@ -45,6 +46,7 @@ from .text import LOWER, U64, Spans, byte_values, mix, slices, word_hashes, word
 
 SHINGLE = 5
 LONG_LIST = 64
+BITS = 1024
 _HALF = U64(1 << 63)
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
@@ -80,9 +82,36 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for lo, sets in row_sets(batch.column(1)):
             f1 = np.array([np.add.reduce(s, dtype=U64) for s in sets], U64)
             f2 = np.array([np.bitwise_xor.reduce(mix(s + U64(1))) if len(s) else 0 for s in sets], U64)
+            cells = [np.bincount((mix(s) & U64(BITS - 1)).astype(np.int64), minlength=BITS) & 1 for s in sets]
+            marks = np.packbits(np.array(cells, np.uint8).reshape(-1, BITS), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [_long(ids[lo:lo + len(sets)]), _long(np.array([len(s) for s in sets])), _long(f1), _long(f2)],
-                ["doc_id", "n", "f1", "f2"])
+                [_long(ids[lo:lo + len(sets)]), _long(np.array([len(s) for s in sets])), _long(f1), _long(f2),
+                 *(pa.array(np.ascontiguousarray(marks[:, k])) for k in range(len(MARKS)))], ["doc_id", "n", "f1", "f2", *MARKS])
+
+
+MARKS = [f"m{k}" for k in range(BITS // 64)]
+
+
+def _differ(x: str, y: str) -> Column:
+    """In how many cells two signatures differ: at most the shingles that only one of the sets has."""
+    return sum((F.bit_count(F.col(f"{x}{m}").bitwiseXOR(F.col(f"{y}{m}"))) for m in MARKS[1:]),
+               F.bit_count(F.col(f"{x}{MARKS[0]}").bitwiseXOR(F.col(f"{y}{MARKS[0]}"))))
+
+
+def _need(na: Column, nb: Column) -> Column:
+    """Smallest overlap with which two sets link."""
+    return F.ceil(3 * (na + nb) / 7)
+
+
+def _plausible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) whose sizes and signatures allow a link."""
+    for side in ("a", "b"):
+        own = marks.select(F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n"),
+                           *(F.col(m).alias(f"{side}_{m}") for m in MARKS))
+        pairs = pairs.join(own, side)
+    need = _need(F.col("a_n"), F.col("b_n"))
+    return pairs.filter((F.least("a_n", "b_n") >= need) & (_differ("a_", "b_") <= F.col("a_n") + F.col("b_n") - 2 * need)
+                        ).select("a", "b").distinct()
 
 
 def _low_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -168,7 +197,8 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    measured = stored(docs.mapInArrow(_fingerprints, "doc_id long, n long, f1 long, f2 long"), "shingle-counts")
+    measured = stored(docs.mapInArrow(_fingerprints, "doc_id long, n long, f1 long, f2 long, "
+                                      + ", ".join(f"{m} long" for m in MARKS)), "shingle-counts")
     classes = measured.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
     copies = stored(measured.join(classes, ["n", "f1", "f2"]).filter("doc_id != first").select(
         F.col("doc_id").alias("a"), F.col("first").alias("b")), "copies")
@@ -183,26 +213,30 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
 
     hubs = entries.groupBy("token").agg(F.min("doc_id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     met = entries.join(hubs, "token")
-    answers = stored(_common(stored(met.filter("doc_id != hub").select(
-        F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), "hub-pairs"), docs), "hub-answers")
+    marks = measured.select("doc_id", "n", *MARKS)
+    answers = stored(_common(stored(_plausible(met.filter("doc_id != hub").select(
+        F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), marks), "hub-pairs"), docs), "hub-answers")
     found = answers.filter(_LINKS).select("a", "b")
     parts = components(found)
 
     # what is left: members of one list that are in different components
     member = met.filter("members > 2 AND doc_id != hub").join(
-        answers.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "i"), ["doc_id", "hub"]).join(
+        answers.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), "i"), ["doc_id", "hub"], "left").join(
         parts.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component", F.coalesce("component", "doc_id"))
     mixed = member.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    member = stored(member.join(mixed, "token", "left_semi").select("token", "doc_id", "place", "n", "i", "component"),
-                    "list-members")
+    member = member.join(mixed, "token", "left_semi").select("token", "doc_id", "hub", "place", "n", "i", "component")
+    member = stored(member.join(marks.drop("n"), "doc_id"), "list-members")
     x, y = member.alias("x"), member.alias("y")
-    need = F.ceil(3 * (F.col("x.n") + F.col("y.n")) / 7)
+    need = _need(F.col("x.n"), F.col("y.n"))
+    # unknown where a document cannot link with its hub
+    within = F.least("x.i", "y.i") + F.least(F.expr("x.n - x.i"), F.expr("y.n - y.i")) >= need
     may_link = ((F.col("x.token") == F.col("y.token")) & (F.col("x.doc_id") < F.col("y.doc_id"))
                 & (F.col("x.component") != F.col("y.component"))
                 & (4 * F.least("x.n", "y.n") >= 3 * F.greatest("x.n", "y.n"))
                 & (1 + F.least(F.expr("x.n - x.place - 1"), F.expr("y.n - y.place - 1")) >= need)
-                & (F.least("x.i", "y.i") + F.least(F.expr("x.n - x.i"), F.expr("y.n - y.i")) >= need))
+                & (F.col("x.i").isNull() | F.col("y.i").isNull() | within)
+                & (_differ("x.", "y.") <= F.col("x.n") + F.col("y.n") - 2 * need))
     rest = stored(x.join(y, may_link).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(),
                   "list-pairs")
     more = _common(rest, docs).filter(_LINKS).select("a", "b")
