@@ -195,6 +195,6 @@ def op1_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **how: float) -> DataFrame:
-    """Pipeline stage: the documents that are kept, all columns.  A null doc_id has no verdict and stays out."""
-    good = verdicts(docs, labels, **how).filter("kept").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi")
+    """Pipeline stage: the documents that are kept, all columns; of rows that share a doc_id all, if one is."""
+    good = verdicts(docs, labels, **how).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(good, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")

@@ -210,8 +210,15 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 
 def _masks(rows: pa.RecordBatch) -> pa.RecordBatch:
-    anchors = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-    texts = rows.column(4).cast(pa.large_binary())
+    """A window starts earlier if a smaller document has it, or an earlier place of its own row."""
+    anchors, h, doc_id, text_of = (rows.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 2, 3))
+    # equal rows bring equal strings; one of each is enough
+    same = np.stack([anchors, doc_id, text_of, h])
+    order = np.lexsort(same)
+    one = np.sort(order[np.append(True, (same[:, order][:, 1:] != same[:, order][:, :-1]).any(0))])
+    rows = rows.take(pa.array(one))
+    anchors, h, doc_id, text_of = (x[one] for x in (anchors, h, doc_id, text_of))
+    texts = rows.column(5).cast(pa.large_binary())
     off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8)[off[0]:off[-1]]
     off = off - off[0]
@@ -220,12 +227,25 @@ def _masks(rows: pa.RecordBatch) -> pa.RecordBatch:
     before = np.cumsum(count) - count
     k = np.arange(len(string)) - before[string]
     start = off[string] + k
-    keys = mix(Spans(byte_values(data))(start, start + SIZE) + mix(anchors)[string])
-    _, new = repeated(keys)
-    bits = np.where(new, 0, 1) << k
-    mask = np.bitwise_or.reduceat(bits, before)
-    return pa.RecordBatch.from_arrays([rows.column(2), rows.column(1), pa.array(mask.astype(np.int64))],
-                                      ["doc_id", "h", "mask"])
+    keys = mix(Spans(byte_values(data))(start, start + SIZE) + mix(anchors.view(np.uint64))[string])
+    _, first, kind = np.unique(keys, return_index=True, return_inverse=True)
+    _, new = repeated(mix(keys + mix(text_of.view(np.uint64) ^ doc_id.view(np.uint64))[string]))
+    gone = (doc_id[string][first][kind] != doc_id[string]) | ~new
+    mask = np.bitwise_or.reduceat(gone.astype(np.int64) << k, before)
+    return pa.RecordBatch.from_arrays([rows.column(2), rows.column(1), rows.column(3), pa.array(mask.astype(np.int64))],
+                                      ["doc_id", "h", "text_of", "mask"])
+
+
+def _in_text(h: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """Name of a string within one text."""
+    return mix(h + mix(text_of ^ _RUN))
+
+
+def _own_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        h, text_of = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (1, 2))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_in_text(h, text_of).view(np.int64)), batch.column(3)],
+                                         ["doc_id", "h", "mask"])
 
 
 def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object) -> DataFrame:
@@ -239,7 +259,8 @@ def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = _ids(batch)
-            for lo, _, r, data, _ in _runs(batch, 1):
+            for lo, _, r, data, off in _runs(batch, 1):
+                text_of = mix(r.spans(off[:-1], off[1:]))
                 h = mix(r.spans(*_span(r, slice(None))))
                 doc_id = ids[lo + r.row]
                 which = np.flatnonzero(first.value.may(_first_key(h, doc_id)) & ~hot.value.may(r.gram))
@@ -248,14 +269,16 @@ def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object
                 text = [data[a:b].tobytes() for a, b in zip(*_span(r, which), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r.gram[which].view(np.int64)), pa.array(h[which].view(np.int64)), pa.array(doc_id[which]),
-                     pa.array(r.first[which]), pa.array(text, pa.binary())], ["a", "h", "doc_id", "at", "text"])
+                     pa.array(text_of[r.row[which]].view(np.int64)), pa.array(r.first[which] - off[r.row[which]]),
+                     pa.array(text, pa.binary())], ["a", "h", "doc_id", "text_of", "at", "text"])
 
-    found = docs.mapInArrow(emit, "a long, h long, doc_id long, at long, text binary")
+    found = docs.mapInArrow(emit, "a long, h long, doc_id long, text_of long, at long, text binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    masks = found.repartition(parts, "a").sortWithinPartitions("a", "doc_id", "at").mapInArrow(
-        _compare, "doc_id long, h long, mask long")
+    masks = found.repartition(parts, "a").sortWithinPartitions("a", "doc_id", "text_of", "at").mapInArrow(
+        _compare, "doc_id long, h long, text_of long, mask long")
     # what the filter let through in error is no first occurrence
-    return masks.join(strings.select("doc_id", "h"), ["doc_id", "h"], "left_semi")
+    masks = masks.join(strings.select("doc_id", "h"), ["doc_id", "h"], "left_semi")
+    return masks.select("doc_id", "h", "text_of", "mask").mapInArrow(_own_masks, "doc_id long, h long, mask long")
 
 
 def _crowded(may: object, hot: object):
@@ -294,22 +317,25 @@ def _own(h: np.ndarray, mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray,
     return keys[first], np.bitwise_or.reduceat(mask, first) if len(first) else mask
 
 
-def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object, again: object, n: int) -> np.ndarray:
+def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object, again: object, off: np.ndarray) -> np.ndarray:
     """Which bytes of a slice go."""
     maybe = may.value.may(r.gram)
     apart = maybe & hot.value.may(r.gram)
     have, masks = own
 
-    def first_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def look_up(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(have, keys)
         found = (at < len(have)) & (have[np.minimum(at, len(have) - 1)] == keys) if len(have) else np.zeros(len(keys), bool)
-        _, new = repeated(keys)
-        return found & new, at
+        return found, at
 
     whole = np.flatnonzero(maybe & ~apart)
-    first, at = first_of(_in_row(mix(r.spans(*_span(r, whole))), r.row[whole]))
-    mask = np.full(len(whole), -1, np.int64)
-    mask[first] = masks[at[first]]
+    h, row = mix(r.spans(*_span(r, whole))), r.row[whole]
+    keys = _in_row(h, row)
+    own_first, _ = look_up(keys)
+    _, new = repeated(keys)
+    mask = np.where(own_first & new, 0, -1)
+    compared, at = look_up(_in_row(_in_text(h, mix(r.spans(off[:-1], off[1:]))[row]), row))
+    mask[compared] |= masks[at[compared]]
     start, run = r.windows(whole)
     of = np.searchsorted(whole, run)
     parts = start[(mask[of] >> (start - r.first[run])) & 1 > 0]
@@ -317,8 +343,10 @@ def _gone(r: Runs, own: tuple[np.ndarray, np.ndarray], may: object, hot: object,
     keys = mix(r.spans(start, start + SIZE))
     some = again.value.may(keys)
     start = start[some]
-    first, _ = first_of(_in_row(keys[some] ^ _RUN, r.row[run[some]]))
-    return covered(np.concatenate([parts, start[~first]]), SIZE, n)
+    keys = _in_row(keys[some] ^ _RUN, r.row[run[some]])
+    first, _ = look_up(keys)
+    _, new = repeated(keys)
+    return covered(np.concatenate([parts, start[~(first & new)]]), SIZE, int(off[-1]))
 
 
 def _digest(may: object, hot: object, again: object):
@@ -332,7 +360,7 @@ def _digest(may: object, hot: object, again: object):
             for lo, hi, r, data, off in _runs(batch, 1):
                 own = _own(h[of[lo]:of[hi]].view(np.uint64), mask[of[lo]:of[hi]],
                            np.repeat(np.arange(hi - lo), lengths[lo:hi]))
-                gone = _gone(r, own, may, hot, again, len(data))
+                gone = _gone(r, own, may, hot, again, off)
                 removed, spans, sums = [], [], []
                 for a, b in zip(off[:-1], off[1:], strict=True):
                     out, left = gone[a:b], data[a:b]
