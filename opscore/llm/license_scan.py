@@ -5,11 +5,12 @@ template's label if it holds at least ``THRESHOLD`` of the template's words; wit
 that is an overlap of at least need = ceil(THRESHOLD * n).  The join finds every such
 pair, without comparing each block with each template:
 
-* frequency order: the template words are counted over all blocks of the corpus and put
+* frequency order: the template words are counted over all documents of the corpus and put
   into one global order, the rarest first;
 * prefix filter: of a template only its n - need + 1 rarest words are indexed, as a block
   with enough of its words must have one of those; of a block's words the same holds;
-* length filter: a block with fewer template words than ``need`` is out;
+* length filter: a block with fewer template words than ``need`` is out, and so is a document,
+  before it is cut into lines;
 * positional filter: a pair met at place i of the template and place j of the block can
   share no more than 1 + min(words after i, words after j).
 
@@ -27,13 +28,13 @@ columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import stored
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 THRESHOLD = 0.9
 #: Notices in common use, label first.
@@ -70,22 +71,51 @@ def _literal(words: list[str]) -> Column:
     return F.array(*(F.lit(w) for w in words))
 
 
-def blocks(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """doc_id, line and the template words of each line that has enough of them for some template."""
+def _holds(words: Column, wanted: list[str], least: int | None = None) -> Column:
+    own = sorted(set(wanted))
+    return F.size(F.array_intersect(words, _literal(own))) >= (len(own) if least is None else least)
+
+
+def _any(conditions: list[Column]) -> Column:
+    found = conditions[0]
+    for c in conditions[1:]:
+        found = found | c
+    return found
+
+
+def read(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """One pass over the texts: n_words, base places and labels, the template words of the document
+    (``hits``) and, if it has enough of them for some template, those of each line (``lines``).
+    """
     vocabulary = sorted({w for _, t in templates for w in t.split()})
+    spoken = sorted({w for p in PHRASES for w in p.split()})
+    text = F.col("text")
+    found = docs.select("doc_id", "text", _words(text).alias("words")).select(
+        "doc_id", "text", "words", F.size("words").cast("long").alias("n_words"),
+        F.array_intersect("words", _literal(vocabulary)).alias("hits"),
+        F.array_intersect("words", _literal(spoken)).alias("spoken"))
+    none = F.array().cast("array<int>")
+    places = {label: F.when(_holds(F.col("spoken"), p.split()), _starts(F.col("words"), p.split())).otherwise(none)
+              for p, label in PHRASES.items()}
+    enough = _any([_holds(F.col("hits"), t.split(), need(len(set(t.split())))) for _, t in templates])
+    lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(_words(line), _literal(vocabulary)))
+    return found.select("doc_id", "n_words", "hits", *(c.alias(f"at_{label}") for label, c in places.items()),
+                        F.when(enough, lines).alias("lines"))
+
+
+def blocks(found: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """doc_id, line and the template words of each line that has enough of them for some template."""
     least = min(need(len(set(t.split()))) for _, t in templates)
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line", "block"))
-    return lines.select("doc_id", "line", F.array_intersect(_words(F.col("block")), _literal(vocabulary)).alias("words")
-                        ).filter(F.size("words") >= least)
+    return found.select("doc_id", F.posexplode("lines").alias("line", "words")).filter(F.size("words") >= least)
 
 
-def ordered_templates(lines: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def ordered_templates(found: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """A row for each template word: its place in the global order and within its template."""
-    spark = lines.sparkSession
+    spark = found.sparkSession
     rows = [(i, label, w) for i, (label, text) in enumerate(templates) for w in sorted(set(text.split()))]
     known = spark.createDataFrame(rows, "template int, label string, word string")
     sizes = [(i, len(set(t.split())), need(len(set(t.split())))) for i, (_, t) in enumerate(templates)]
-    counts = lines.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = found.select(F.explode("hits").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     place = Window.partitionBy("template").orderBy(F.coalesce("n", F.lit(0)), "word")
     return known.join(counts, "word", "left").join(
         spark.createDataFrame(sizes, "template int, size int, need int"), "template").withColumns({
@@ -93,18 +123,17 @@ def ordered_templates(lines: DataFrame, templates: list[tuple[str, str]] = TEMPL
             "rank": F.coalesce("n", F.lit(0))})
 
 
-def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def matches(found: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """doc_id, line, label and containment of every block that meets the threshold."""
-    lines = blocks(docs, templates)
-    index = ordered_templates(lines, templates).persist()
-    order = index.select("word", "rank").distinct()
-    # the global order as one small map: word -> (rank, word), at most the templates' words
-    ranks = {r["word"]: i for i, r in enumerate(sorted(order.collect(), key=lambda r: (r["rank"], r["word"])))}
+    lines = blocks(found, templates)
+    index = ordered_templates(found, templates)
+    # the global order as one small map, at most the templates' words
+    order = index.select("word", "rank").distinct().collect()
+    ranks = {r["word"]: i for i, r in enumerate(sorted(order, key=lambda r: (r["rank"], r["word"])))}
     place = F.create_map(*(F.lit(x) for w, i in ranks.items() for x in (w, i)))
     prefix = index.filter(F.col("place") <= F.col("size") - F.col("need")).select(
         "template", "label", "size", "need", "word", "place")
     whole = index.groupBy("template").agg(F.collect_list("word").alias("all_words"))
-    index.unpersist()
     met = lines.withColumn("words", F.transform(
         F.array_sort(F.transform("words", lambda w: F.struct(place[w].alias("at"), w.alias("word")))),
         lambda s: s["word"])).select("doc_id", "line", "words", F.posexplode("words").alias("at", "word"))
@@ -124,22 +153,14 @@ def _starts(words: Column, phrase: list[str]) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(words) - 1), found)
 
 
-def _base(docs: DataFrame) -> DataFrame:
+def _base(found: DataFrame) -> DataFrame:
     """doc_id, n_words, base places (smallest, largest, number) and base labels."""
-    text = F.lower("text")
-    any_phrase = "|".join(_GAP.join(re.escape(w) for w in p.split()) for p in PHRASES)
-    none = F.array().cast("array<int>")
-    found = docs.select("doc_id", _words(F.col("text")).alias("words"),
-                        F.coalesce(text.rlike(any_phrase), F.lit(False)).alias("maybe")).select(
-        "doc_id", F.size("words").alias("n_words"),
-        *(F.when(F.col("maybe") & (F.size("words") > 0), _starts(F.col("words"), p.split())).otherwise(none).alias(label)
-          for p, label in PHRASES.items()))
-    places = F.flatten(F.array(*(F.col(f"`{label}`") for label in PHRASES.values())))
+    labels = list(PHRASES.values())
+    places = F.flatten(F.array(*(F.col(f"`at_{label}`") for label in labels)))
     return found.select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), F.size(places).cast("long").alias("n_base"),
+        "doc_id", "n_words", F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"), F.array_max(places).cast("long").alias("last_word"),
-        F.array_compact(F.array(*(F.when(F.size(F.col(f"`{label}`")) > 0, F.lit(label)) for label in PHRASES.values()))
-                        ).alias("base"))
+        F.array_compact(F.array(*(F.when(F.size(F.col(f"`at_{label}`")) > 0, F.lit(label)) for label in labels))).alias("base"))
 
 
 def op6_license_scan(docs: DataFrame) -> DataFrame:
@@ -149,9 +170,10 @@ def op6_license_scan(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = matches(docs).groupBy(F.col("doc_id").alias("found_in")).agg(
+    table = stored(read(docs), "license-words")
+    found = matches(table).groupBy(F.col("doc_id").alias("found_in")).agg(
         F.collect_set("label").alias("more"), F.max("containment").alias("best"))
-    joined = _base(docs).join(found, F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
+    joined = _base(table).join(found, F.col("doc_id").eqNullSafe(F.col("found_in")), "left")
     none = F.array().cast("array<string>")
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
