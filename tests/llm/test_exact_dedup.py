@@ -2,7 +2,7 @@
 
 import hashlib
 
-import cases
+import cases  # noqa: I001
 import pytest
 
 from opscore.llm import sketch, substring_dedup, suffix_index

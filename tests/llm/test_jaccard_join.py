@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 
-import cases
+import cases  # noqa: I001
 import pytest
 
 from opscore.llm import components, jaccard_join

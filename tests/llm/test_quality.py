@@ -4,7 +4,7 @@ import math
 import re
 from collections import Counter
 
-import cases
+import cases  # noqa: I001
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
