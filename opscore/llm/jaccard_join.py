@@ -262,3 +262,26 @@ def keep_first(docs: DataFrame) -> DataFrame:
     _, _, parts = links(docs)
     later = parts.select(F.col("id").alias("__later"))
     return docs.join(later, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)) == F.col("__later"), "left_anti")
+
+
+#: The same by brute force: every pair that shares a shingle, then what is reachable.
+ORACLE_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 75 * (x.n + y.n - i)),
+reach(id, other) AS (
+  SELECT a, b FROM links
+  UNION SELECT reach.id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(lowest, doc_id)) AS component_id
+FROM docs LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT id AS doc_id, min(other) AS lowest FROM reach GROUP BY id) USING (doc_id)
+"""

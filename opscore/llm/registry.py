@@ -69,4 +69,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_license_scan": license_scan.ORACLE_SQL}
+    return {"op3_suffix_dedup": suffix_index.ORACLE_SQL, "op6_license_scan": license_scan.ORACLE_SQL,
+            "op7_jaccard_join": jaccard_join.ORACLE_SQL, "op9_substring_dedup": substring_dedup.ORACLE_SQL}

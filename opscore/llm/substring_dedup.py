@@ -162,3 +162,24 @@ def dedup(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
+
+
+#: The same by brute force: every window as text.
+ORACLE_SQL = f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+spoken AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs),
+starts AS (SELECT doc_id, concat_ws(' ', {", ".join(f"lead(word, {k}) OVER o" for k in range(SIZE))}) AS words, i,
+                  lead(i, {SIZE - 1}) OVER o AS whole FROM spoken WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1 AS again
+  FROM starts WHERE whole IS NOT NULL),
+marked AS (
+  SELECT s.doc_id, i, word,
+         coalesce(max(again) OVER (PARTITION BY s.doc_id ORDER BY i ROWS {SIZE - 1} PRECEDING), false) AS gone
+  FROM spoken s LEFT JOIN windows USING (doc_id, i)),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS words
+  FROM marked GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

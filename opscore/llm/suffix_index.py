@@ -395,3 +395,27 @@ def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES, most_strings: int
     return docs.join(firsts, "doc_id", "left").select("doc_id", "text", "firsts").mapInArrow(
         _digest(may, hot, again), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
         "doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
+
+
+#: The same by brute force: every window as hexadecimal digits, two to a byte.
+ORACLE_SQL = f"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+bytes AS (SELECT doc_id, i, substr(x, 2 * i - 1, 2) AS byte
+          FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 + 1)) AS i FROM docs)),
+starts AS (SELECT doc_id, i, substr(x, 2 * i - 1, {2 * SIZE}) AS w
+           FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 - {SIZE - 2})) AS i FROM docs)),
+windows AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1 AS again FROM starts),
+marked AS (
+  SELECT b.doc_id, i, byte,
+         coalesce(max(again) OVER (PARTITION BY b.doc_id ORDER BY i ROWS {SIZE - 1} PRECEDING), false) AS gone
+  FROM bytes b LEFT JOIN windows USING (doc_id, i)),
+runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM marked),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
+         string_agg(byte, '' ORDER BY i) FILTER (NOT gone) AS x
+  FROM runs GROUP BY doc_id)
+SELECT doc_id, len(docs.x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.x, ''))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
