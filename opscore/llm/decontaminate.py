@@ -3,14 +3,17 @@
 Texts are cut into blocks of ``BLOCK`` words (lower-cased, punctuation apart); a passage is two
 neighbouring blocks.  Passages are TF-IDF vectors over the words of the benchmark: words
 that no item has add nothing to any inner product.  Document frequencies count every
-block of the corpus.
+block of the corpus; words in more than ``MOST_COMMON`` of all blocks have no weight in
+retrieval, as they would make all passages of a language alike.
 
 * Latent space: a randomised SVD.  A random matrix is multiplied by A'A (A: passages by words)
   a few times, orthonormalised in between; the tasks multiply their own passages and Spark adds
-  up the products.  It is fitted on a bounded sample (at most about ``max_docs``, 20,000 documents
+  up the products.  It is fitted on a bounded sample (at most about ``max_docs``, 10,000 documents
   taken by the hash of doc_id, all their passages) with the items added.
 * Candidates: every passage of every document is projected and compared with every item
-  (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.
+  (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.  Items with
+  fewer than ``FEW`` words of weight have no direction of their own in that space: their
+  passages are those with most of the item's words, found by counting.
 * Check: the heaviest common subsequence of the item and the surroundings of the passage, words
   weighing their idf, as a share of the item's weight.  Paraphrases keep much of it, other
   passages of the language do not.  The answer is the item's last sentence (at most its last
@@ -42,11 +45,13 @@ from pyspark.sql import functions as F
 from .text import LOWER, Spans, byte_values, rows_of, slices, word_hashes, words
 
 BLOCK = 32
-RANK, EXTRA, STEPS = 96, 16, 2
-MIN_COSINE = 0.4
+RANK, EXTRA, STEPS = 288, 16, 2
+MIN_COSINE = 0.35
+MOST_COMMON = 0.01
+FEW = 3
 LCS_ALONE, LCS_WITH_ANSWER = 0.75, 0.6
 ANSWER = 12
-ROUND = 2_000
+ROUND = 256
 _CHUNK = 512  # vocabulary rows in a part of a product
 
 _BREAK = np.ones(256, bool)
@@ -67,8 +72,10 @@ class Items(NamedTuple):
 
 class Space(NamedTuple):
     idf: np.ndarray
-    basis: np.ndarray            # idf-weighted: word, dimension
+    rare: np.ndarray             # words that have weight in retrieval
+    basis: np.ndarray            # weighted: word, dimension
     chunks: np.ndarray           # unit vectors of the item chunks
+    plain: list[int]             # items that are found by counting
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -157,6 +164,8 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
     own: Items = items.value
     size = len(own.vocabulary)
     idf = np.log((total[-1] + 1) / (total[:-1] + 0.5)).clip(0.05).astype(np.float32)
+    rare = total[:-1] <= max(1.0, MOST_COMMON * total[-1])
+    weight = idf * rare
     rank = min(RANK + EXTRA, size)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, rank)))[0].astype(np.float32)
     share = min(1.0, max_docs / max(1, docs.count()))
@@ -164,17 +173,18 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
 
     def product(matrix: object):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weighted = matrix.value * idf[:, None]
+            weighted = matrix.value * weight[:, None]
             out = np.zeros((size, rank))
             for batch in batches:
                 for _, _, index, block, blocks, _ in _blocks(batch.column(0), items.value):
+                    index = _weighty(index, rare)
                     y = _project(index, block, int(blocks.sum()), weighted)
                     known = np.flatnonzero(index >= 0)
                     order = known[np.argsort(index[known], kind="stable")]
                     if len(order):
                         v = index[order]
                         first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
-                        out[v[first]] += np.add.reduceat(y[block[order]], first, axis=0) * idf[v[first], None]
+                        out[v[first]] += np.add.reduceat(y[block[order]], first, axis=0) * weight[v[first], None]
             for part in range(0, size, _CHUNK):
                 rows = out[part:part + _CHUNK]
                 if rows.any():
@@ -194,10 +204,25 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
             rows = np.frombuffer(bytes(r["rows"])).reshape(-1, rank)
             total_product[r["part"]:r["part"] + len(rows)] += rows
         for w in own.chunk_words:
-            np.add.at(total_product, w, idf[w, None] * (basis[w] * idf[w, None]).sum(0))
+            np.add.at(total_product, w, weight[w, None] * (basis[w] * weight[w, None]).sum(0))
         basis = np.linalg.qr(total_product)[0].astype(np.float32)
-    weighted = basis[:, :RANK] * idf[:, None]
-    return Space(idf, weighted, _unit(np.array([weighted[w].sum(0) for w in own.chunk_words], np.float32)))
+    weighted = basis[:, :RANK] * weight[:, None]
+    plain = [i for i, w in enumerate(own.words) if rare[np.unique(w)].sum() < FEW]
+    return Space(idf, rare, weighted, _unit(np.array([weighted[w].sum(0) for w in own.chunk_words], np.float32)), plain)
+
+
+def _weighty(index: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    return np.where((index >= 0) & rare[index], index, -1)
+
+
+def _counted(items: Items, space: Space, index: np.ndarray, block: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(item, blocks that hold, with the next one, most of its words) of the items that are found by counting."""
+    for item in space.plain:
+        own = np.unique(items.words[item])
+        held = np.flatnonzero(np.isin(index, own))
+        pairs = np.unique(np.concatenate([block[held], np.maximum(block[held] - 1, 0)]) * len(space.idf)
+                          + np.tile(index[held], 2))
+        yield item, np.flatnonzero(np.bincount(pairs // len(space.idf), minlength=n) >= LCS_WITH_ANSWER * len(own))
 
 
 def _unit(z: np.ndarray) -> np.ndarray:
@@ -213,13 +238,20 @@ def common_weight(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> float:
     return float(best[-1])
 
 
-def verdict(item: int, items: Items, space: Space, around: np.ndarray) -> tuple[float, bool]:
-    """(share of the item's weight in the common subsequence, is the answer there in order)."""
+def verdict(item: int, items: Items, space: Space, around: np.ndarray, flags: np.ndarray) -> tuple[float, bool]:
+    """(share of the item's weight in the common subsequence, is the answer there in order).
+
+    ``flags``: a False for each word and one more, left as found.  The words that both have bound the share.
+    """
     own = items.words[item]
-    whole = float(space.idf[own].sum())
-    near = around[np.isin(around, own)]
-    if space.idf[own[np.isin(own, near)]].sum() < LCS_WITH_ANSWER * whole:
+    weight = space.idf[own]
+    whole = float(weight.sum())
+    flags[around] = True  # words outside the vocabulary (-1) fall on the last place
+    shared = float(weight[flags[own]].sum())
+    flags[around] = False
+    if shared < LCS_WITH_ANSWER * whole:
         return 0.0, False
+    near = around[np.isin(around, own)]
     answer = items.answers[item]
     ones = np.ones(len(space.idf), np.float32)
     found = common_weight(answer, near, ones) >= len(answer)
@@ -228,21 +260,27 @@ def verdict(item: int, items: Items, space: Space, around: np.ndarray) -> tuple[
 
 def found_in(texts: pa.Array, items: Items, space: Space) -> Iterator[tuple[int, int, float, float, bool]]:
     """(row, item, cosine, share, answer) of every contaminated row and item."""
+    flags = np.zeros(len(items.vocabulary) + 1, bool)
     for lo, _, index, block, blocks, bounds in _blocks(texts, items):
-        z, row, place = _passages(_project(index, block, len(np.repeat(blocks, blocks)), space.basis), blocks)
+        n = int(blocks.sum())
+        z, row, place = _passages(_project(_weighty(index, space.rare), block, n, space.basis), blocks)
         if not len(z):
             continue
         cosine = _unit(z) @ space.chunks.T
+        found = [(int(items.chunk_item[c]), int(row[p]), int(place[p]), float(cosine[p, c]))
+                 for p, c in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True)]
+        first, of = np.cumsum(blocks) - blocks, np.repeat(np.arange(len(blocks)), blocks)
+        found += [(item, int(of[k]), int(k - first[of[k]]), 0.0) for item, some in _counted(items, space, index, block, n)
+                  for k in some]
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for p, c in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
-            item, r = int(items.chunk_item[c]), int(row[p])
+        for item, r, at, near in found:
             margin = len(items.words[item])
             a, b = bounds[r], bounds[r + 1]
-            begin = a + place[p] * BLOCK
+            begin = a + at * BLOCK
             around = index[max(a, begin - margin):min(b, begin + 2 * BLOCK + margin)]
-            share, answer = verdict(item, items, space, around)
+            share, answer = verdict(item, items, space, around, flags)
             if share >= LCS_ALONE or (share >= LCS_WITH_ANSWER and answer):
-                now = (share, float(cosine[p, c]), answer)
+                now = (share, near, answer)
                 best[r, item] = max(best.get((r, item), now), now)
         for (r, item), (share, cos, answer) in sorted(best.items()):
             yield lo + r, item, cos, share, answer
@@ -263,7 +301,7 @@ def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int) -> Iterator[tu
             yield items, sc.broadcast(latent_space(docs, items, total, max_docs))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int = 20_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int = 10_000) -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, answer_found: a row for each document and item it contains."""
     schema = "doc_id long, item_id long, cosine double, lcs_share double, answer_found boolean"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -286,7 +324,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int = 20_000)
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, max_docs: int = 20_000) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, max_docs: int = 10_000) -> DataFrame:
     """Pipeline stage: the documents that contain no benchmark item, all columns."""
     def clean(items: object, space: object, at: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
