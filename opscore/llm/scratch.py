@@ -18,10 +18,10 @@ _LOCAL: dict[str, str] = {}
 
 def folder(spark: SparkSession) -> str:
     """The shared folder of this session; raises on a cluster that names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    sc = spark.sparkContext
     if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return _LOCAL.setdefault(sc.applicationId, "file://" + tempfile.mkdtemp(prefix="opscore-llm-"))
