@@ -47,6 +47,7 @@ from .text import LOWER, U64, Spans, byte_values, mix, slices, word_hashes, word
 SHINGLE = 5
 LONG_LIST = 64
 BITS = 1024
+SALT = 32
 _HALF = U64(1 << 63)
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
@@ -199,8 +200,12 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
                        F.col("text").cast("string").alias("text"))
     measured = stored(docs.mapInArrow(_fingerprints, "doc_id long, n long, f1 long, f2 long, "
                                       + ", ".join(f"{m} long" for m in MARKS)), "shingle-counts")
-    classes = measured.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("first"))
-    copies = stored(measured.join(classes, ["n", "f1", "f2"]).filter("doc_id != first").select(
+    classes = measured.filter("n > 0").groupBy("n", "f1", "f2").agg(
+        F.min("doc_id").alias("first"), F.count("*").alias("rows"))
+    # copies meet their first in SALT parts: one text may be a third of all rows
+    several = classes.filter("rows > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    salted = measured.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
+    copies = stored(salted.join(several, ["n", "f1", "f2", "salt"]).filter("doc_id != first").select(
         F.col("doc_id").alias("a"), F.col("first").alias("b")), "copies")
     firsts = classes.select(F.col("first").alias("doc_id")).distinct()
 
