@@ -11,9 +11,12 @@ retrieval, as they would make all passages of a language alike.
   up the products.  It is fitted on a bounded sample (at most about ``max_docs``, 10,000 documents
   taken by the hash of doc_id, all their passages) with the items added.
 * Candidates: every passage of every document is projected and compared with every item
-  (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.  Items with
-  fewer than ``FEW`` words of weight have no direction of their own in that space: their
-  passages are those with most of the item's words, found by counting.
+  (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.
+* Bound: the space has fewer directions than words, and the words around a copy weigh on its
+  cosine, so retrieval alone loses leaks.  Beside it the weight of the item's words that stand
+  in a passage's surroundings is counted exactly, for every item and passage, whatever the
+  item's length and its words' frequencies.  All pairs go on that have the ``LCS_WITH_ANSWER``
+  without which the check fails: no leak that the check would accept at any passage is lost.
 * Check: the heaviest common subsequence of the item and the surroundings of the passage, words
   weighing their idf, as a share of the item's weight.  Paraphrases keep much of it, other
   passages of the language do not.  The answer is the item's last sentence (at most its last
@@ -48,11 +51,11 @@ BLOCK = 32
 RANK, EXTRA, STEPS = 288, 16, 2
 MIN_COSINE = 0.35
 MOST_COMMON = 0.01
-FEW = 3
 LCS_ALONE, LCS_WITH_ANSWER = 0.75, 0.6
 ANSWER = 12
 ROUND = 256
 _CHUNK = 512  # vocabulary rows in a part of a product
+_GROUP = 32  # items that are counted at once
 
 _BREAK = np.ones(256, bool)
 _BREAK[48:58] = _BREAK[65:91] = _BREAK[97:123] = False
@@ -75,7 +78,6 @@ class Space(NamedTuple):
     rare: np.ndarray             # words that have weight in retrieval
     basis: np.ndarray            # weighted: word, dimension
     chunks: np.ndarray           # unit vectors of the item chunks
-    plain: list[int]             # items that are found by counting
 
 
 def _hashes(text: str) -> np.ndarray:
@@ -207,22 +209,66 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
             np.add.at(total_product, w, weight[w, None] * (basis[w] * weight[w, None]).sum(0))
         basis = np.linalg.qr(total_product)[0].astype(np.float32)
     weighted = basis[:, :RANK] * weight[:, None]
-    plain = [i for i, w in enumerate(own.words) if rare[np.unique(w)].sum() < FEW]
-    return Space(idf, rare, weighted, _unit(np.array([weighted[w].sum(0) for w in own.chunk_words], np.float32)), plain)
+    return Space(idf, rare, weighted, _unit(np.array([weighted[w].sum(0) for w in own.chunk_words], np.float32)))
 
 
 def _weighty(index: np.ndarray, rare: np.ndarray) -> np.ndarray:
     return np.where((index >= 0) & rare[index], index, -1)
 
 
-def _counted(items: Items, space: Space, index: np.ndarray, block: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(item, blocks that hold, with the next one, most of its words) of the items that are found by counting."""
-    for item in space.plain:
-        own = np.unique(items.words[item])
-        held = np.flatnonzero(np.isin(index, own))
-        pairs = np.unique(np.concatenate([block[held], np.maximum(block[held] - 1, 0)]) * len(space.idf)
-                          + np.tile(index[held], 2))
-        yield item, np.flatnonzero(np.bincount(pairs // len(space.idf), minlength=n) >= LCS_WITH_ANSWER * len(own))
+class Postings(NamedTuple):
+    """A group of items by their words: those of word w lie at first[w]:first[w + 1]."""
+
+    base: int                    # the group's first item
+    first: np.ndarray
+    item: np.ndarray             # counted from ``base``
+    weight: np.ndarray           # idf by how often the item has the word
+    least: np.ndarray            # of each item: the weight without which the check fails
+    before: np.ndarray           # of each item: blocks that the surroundings of a passage reach back
+
+
+def postings(items: Items, idf: np.ndarray) -> list[Postings]:
+    out = []
+    for base in range(0, len(items.words), _GROUP):
+        own = items.words[base:base + _GROUP]
+        found = [np.unique(w, return_counts=True) for w in own]
+        word = np.concatenate([w for w, _ in found])
+        item = np.repeat(np.arange(len(found)), [len(w) for w, _ in found])
+        weight = idf[word].astype(np.float64) * np.concatenate([n for _, n in found])
+        order = np.argsort(word, kind="stable")
+        whole = np.bincount(item, weight, minlength=len(found))
+        out.append(Postings(base, np.searchsorted(word[order], np.arange(len(idf) + 1)), item[order], weight[order],
+                            whole * LCS_WITH_ANSWER * (1 - 1e-5), np.array([-(-len(w) // BLOCK) for w in own])))
+    return out
+
+
+def _counted(groups: list[Postings], index: np.ndarray, block: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(item, first blocks of the passages whose surroundings have enough of its weight).
+
+    The surroundings are taken in whole blocks.  A word of a block counts in all windows that begin at
+    most a window's length before it, but after the block that had the word last.
+    """
+    n = int(blocks.sum())
+    own = np.flatnonzero(index >= 0)
+    held = np.unique(index[own] * n + block[own])
+    word, at = held // n, held % n
+    row_first = np.repeat(np.cumsum(blocks) - blocks, blocks)
+    after = row_first[at]
+    again = np.flatnonzero(word[1:] == word[:-1]) + 1
+    after[again] = np.maximum(after[again], at[again - 1] + 1)
+    for g in groups:
+        m = len(g.least)
+        several = g.first[word + 1] - g.first[word]
+        pair = np.repeat(np.arange(len(held)), several)
+        post = np.arange(len(pair)) + np.repeat(g.first[word] - (np.cumsum(several) - several), several)
+        item, weight, last = g.item[post], g.weight[post], at[pair]
+        begin = np.maximum(after[pair], last - 2 * g.before[item] - 1)
+        shared = np.bincount(begin * m + item, weight, minlength=(n + 1) * m)
+        shared -= np.bincount((last + 1) * m + item, weight, minlength=(n + 1) * m)
+        enough = np.cumsum(shared.reshape(n + 1, m), axis=0)[:n] >= g.least
+        for i in np.flatnonzero(enough.any(axis=0)):
+            # windows reach back from the passage's first block, but not beyond the row
+            yield g.base + int(i), np.flatnonzero(enough[np.maximum(np.arange(n) - g.before[i], row_first), i])
 
 
 def _unit(z: np.ndarray) -> np.ndarray:
@@ -261,19 +307,30 @@ def verdict(item: int, items: Items, space: Space, around: np.ndarray, flags: np
 def found_in(texts: pa.Array, items: Items, space: Space) -> Iterator[tuple[int, int, float, float, bool]]:
     """(row, item, cosine, share, answer) of every contaminated row and item."""
     flags = np.zeros(len(items.vocabulary) + 1, bool)
+    known = postings(items, space.idf)
+    chunks_of = [np.flatnonzero(items.chunk_item == i) for i in range(len(items.ids))]
     for lo, _, index, block, blocks, bounds in _blocks(texts, items):
         n = int(blocks.sum())
         z, row, place = _passages(_project(_weighty(index, space.rare), block, n, space.basis), blocks)
         if not len(z):
             continue
         cosine = _unit(z) @ space.chunks.T
-        found = [(int(items.chunk_item[c]), int(row[p]), int(place[p]), float(cosine[p, c]))
-                 for p, c in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True)]
-        first, of = np.cumsum(blocks) - blocks, np.repeat(np.arange(len(blocks)), blocks)
-        found += [(item, int(of[k]), int(k - first[of[k]]), 0.0) for item, some in _counted(items, space, index, block, n)
-                  for k in some]
+        found: dict[tuple[int, int, int], float] = {}
+        for p, c in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
+            key = (int(items.chunk_item[c]), int(row[p]), int(place[p]))
+            found[key] = max(found.get(key, 0.0), float(cosine[p, c]))
+        # the last block of a row has no passage of its own: it is in the one before
+        first = np.cumsum(blocks) - blocks
+        of = np.repeat(np.arange(len(blocks)), blocks)
+        passage = np.cumsum(np.maximum(blocks - 1, blocks > 0)) - np.maximum(blocks - 1, blocks > 0)
+        for item, some in _counted(known, index, block, blocks):
+            r = of[some]
+            at = np.minimum(some - first[r], np.maximum(blocks[r] - 2, 0))
+            near = cosine[np.ix_(passage[r] + at, chunks_of[item])].max(axis=1)
+            for key in zip([item] * len(some), r.tolist(), at.tolist(), near.tolist(), strict=True):
+                found.setdefault(key[:3], key[3])
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for item, r, at, near in found:
+        for (item, r, at), near in found.items():
             margin = len(items.words[item])
             a, b = bounds[r], bounds[r + 1]
             begin = a + at * BLOCK

@@ -86,6 +86,59 @@ def test_leaks_are_found_and_clean_documents_left_alone(spark, leaks):
         r.doc_id for r in docs.collect() if r.doc_id not in bad)
 
 
+def test_every_copy_of_a_full_round_is_found(spark):
+    """256 items, short and long, each inside three other documents; against the check at every passage."""
+    sf = "/root/testdata/sf0.01"
+    texts = [r.text.split() for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect() if r.text]
+    rng = np.random.default_rng(5)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").collect()]
+    sources = [w for w in texts[400:] if len(w) > 140]
+    for k in range(decontaminate.ROUND - len(items)):
+        w, n = sources[k % len(sources)], (10, 14, 40, 120)[k % 4]
+        at = int(rng.integers(0, len(w) - n))
+        items.append((10_000 + k, " ".join(w[at:at + n])))
+    rows, planted = [(k, " ".join(w)) for k, w in enumerate(texts[:200])], set()
+    for item, text in items:
+        for _ in range(3):
+            host = texts[int(rng.integers(0, 400))]
+            at = int(rng.integers(0, len(host) + 1))
+            planted.add((1000 + len(rows), item))
+            rows.append((1000 + len(rows), " ".join(host[:at] + text.split() + host[at:])))
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string").repartition(8), spark.createDataFrame(
+        items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.op2_decontaminate(docs, benchmark).collect()}
+    assert planted <= got
+
+
+def test_bound_loses_nothing_that_the_check_accepts():
+    """found_in with a space that retrieves nothing equals the check at every passage."""
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(400)]
+    say = lambda n: [words[int(k)] for k in rng.zipf(1.3, n) % 400]
+    rows = [(k, " ".join(say(n))) for k, n in enumerate((1, 5, 20, 31, 32, 33, 64, 65, 97, 130, 200) * 4)]
+    items = decontaminate.items_of(rows)
+    texts = ["", None, "w1"]
+    for _, text in rows:
+        w = [x for k, x in enumerate(text.split()) if k % 7 != 3]
+        spread = [x for k, x in enumerate(w) for x in (x, *(say(1) if k % 3 == 0 else ()))]
+        texts += [" ".join(say(int(rng.integers(0, 150))) + x + say(int(rng.integers(0, 150)))) for x in (text.split(), w, spread)]
+    size = len(items.vocabulary)
+    idf = rng.uniform(0.05, 8, size).astype(np.float32)
+    space = decontaminate.Space(idf, np.zeros(size, bool), np.zeros((size, 4), np.float32), np.zeros((len(items.chunk_words), 4), np.float32))
+    got = {(r, i) for r, i, *_ in decontaminate.found_in(pa.array(texts), items, space)}
+    want, flags = set(), np.zeros(size + 1, bool)
+    for lo, _, index, _, blocks, bounds in decontaminate._blocks(pa.array(texts), items):
+        for r in range(len(blocks)):
+            for begin in range(bounds[r], bounds[r] + max(1, blocks[r] - 1) * decontaminate.BLOCK if blocks[r] else 0, decontaminate.BLOCK):
+                for i, own in enumerate(items.words):
+                    around = index[max(bounds[r], begin - len(own)):min(bounds[r + 1], begin + 2 * decontaminate.BLOCK + len(own))]
+                    share, answer = decontaminate.verdict(i, items, space, around, flags)
+                    if share >= decontaminate.LCS_ALONE or (share >= decontaminate.LCS_WITH_ANSWER and answer):
+                        want.add((lo + r, i))
+    assert len(want) >= 2 * len(rows) and got == want
+
+
 def test_decontamination_odd_cases(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     odd = spark.createDataFrame([(1, None), (2, ""), (3, "!!"), (None, "never seen words qqq rrr")], "item_id long, text string")
