@@ -110,6 +110,18 @@ def test_every_copy_of_a_full_round_is_found(spark):
     assert planted <= got
 
 
+def test_long_item_that_many_rows_have_is_found(spark):
+    """Copies make the item's words frequent; it has more distinct words than two blocks hold."""
+    item = " ".join(f"long{k}" for k in range(150))
+    other = lambda k, n: " ".join(f"o{(k * 37 + j) % 900}" for j in range(n))
+    rows = [(k, f"{other(k, 40 + k)} {item} {other(k + 9, 50)}" if k % 3 == 0 else other(k, 240)) for k in range(60)]
+    # a third of the copies lack every sixth word
+    rows = [(k, " ".join(w for j, w in enumerate(t.split()) if k % 9 or j % 6)) for k, t in rows]
+    docs, benchmark = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.op2_decontaminate(docs, benchmark).collect()) == list(range(0, 60, 3))
+    assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, benchmark).collect()) == [k for k in range(60) if k % 3]
+
+
 def test_bound_loses_nothing_that_the_check_accepts():
     """found_in with a space that retrieves nothing equals the check at every passage."""
     import pyarrow as pa
