@@ -1,6 +1,8 @@
 """License scan as an exact set-similarity join (DataFrame functions only).
 
-Text blocks (lines) and license templates are sets of words.  A block carries a
+Text blocks and license templates are sets of words.  Blocks are the lines and, as notices are
+wrapped, overlapping windows of consecutive words across lines: ``WIDE`` times as long as the
+longest template, one at each such length, so any run of twice that length is whole in one.  A block carries a
 template's label if it holds at least ``THRESHOLD`` of the template's words; with n words
 that is an overlap of at least need = ceil(THRESHOLD * n).  The join finds every such
 pair, without comparing each block with each template:
@@ -10,7 +12,7 @@ pair, without comparing each block with each template:
 * prefix filter: of a template only its n - need + 1 rarest words are indexed, as a block
   with enough of its words must have one of those; of a block's words the same holds;
 * length filter: a block with fewer template words than ``need`` is out, and so is a document,
-  before it is cut into lines;
+  before it is cut into blocks;
 * positional filter: a pair met at place i of the template and place j of the block can
   share no more than 1 + min(words after i, words after j).
 
@@ -37,6 +39,7 @@ from .scratch import stored
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 THRESHOLD = 0.9
+WIDE = 3
 #: Notices in common use, label first.
 TEMPLATES = [
     ("apache-2.0", "licensed under the apache license version 2 0"),
@@ -85,7 +88,7 @@ def _any(conditions: list[Column]) -> Column:
 
 def read(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """One pass over the texts: n_words, base places and labels, the template words of the document
-    (``hits``) and, if it has enough of them for some template, those of each line (``lines``).
+    (``hits``) and, if it has enough of them for some template, those of each block (``lines``).
     """
     vocabulary = sorted({w for _, t in templates for w in t.split()})
     spoken = sorted({w for p in PHRASES for w in p.split()})
@@ -99,12 +102,15 @@ def read(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
               for p, label in PHRASES.items()}
     enough = _any([_holds(F.col("hits"), t.split(), need(len(set(t.split())))) for _, t in templates])
     lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(_words(line), _literal(vocabulary)))
+    step = max(len(t.split()) for _, t in templates)
+    windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(step)),
+                          lambda i: F.array_intersect(F.slice("words", i, WIDE * step), _literal(vocabulary)))
     return found.select("doc_id", "n_words", "hits", *(c.alias(f"at_{label}") for label, c in places.items()),
-                        F.when(enough, lines).alias("lines"))
+                        F.when(enough, F.concat(lines, windows)).alias("lines"))
 
 
 def blocks(found: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """doc_id, line and the template words of each line that has enough of them for some template."""
+    """doc_id, line and the template words of each block that has enough of them for some template."""
     least = min(need(len(set(t.split()))) for _, t in templates)
     return found.select("doc_id", F.posexplode("lines").alias("line", "words")).filter(F.size("words") >= least)
 

@@ -41,6 +41,28 @@ def test_license_scan_equals_every_line_against_every_template(spark, docs, tmp_
     assert by[2_000_003].n_base == 2 and by[2_000_004].labels == "" and by[2_000_007].n_words == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    notices = {
+        "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted",
+        "unlicense": "# This is free\n# and unencumbered\n# software released\n# into the public\n# domain.",
+    }
+    lead = "some other words of the file that come before\n"
+    rows, want = [], {}
+    for label, text in notices.items():
+        for k in range(60):  # at every place of the windows
+            words = " ".join((lead * 8).split(" ")[:k])
+            want[len(rows)] = label
+            rows.append((len(rows), f"{words} {text}\n{lead * 3}"))
+    far = "redistribution and use in source " + lead * 12 + "and binary forms with or without " + lead * 12 + "modification are permitted"
+    want[len(rows)] = ""
+    rows.append((len(rows), far))
+    got = license_scan.op6_license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in got} == want
+    assert all(r.score == (1.0 if want[r.doc_id] else 0.0) for r in got)
+
+
 def test_license_scan_is_native_and_takes_an_empty_table(spark, docs):
     plan = license_scan.op6_license_scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
