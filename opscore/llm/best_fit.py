@@ -1,14 +1,15 @@
 """Best-fit packing of documents into fixed-length training sequences, with conflicts.
 
 A bin holds ``CAPACITY`` words.  Two pieces conflict, and never share a bin, if they come
-from one source or from one duplicate cluster (by default: texts that are equal but for
-case and white space).  A longer document is cut into whole bins of its own and a rest.
+from one source or from one duplicate cluster: texts that are equal but for case and white
+space, and in ``op8_best_fit`` also the components of near copies of ``jaccard_join`` (five
+words, 0.75).  A longer document is cut into whole bins of its own and a rest.
 
 Pieces are dealt by hash into shards of about ``SHARD`` pieces, so neither a hot source nor a
 group of copies gathers in one task, and the work per shard is bounded at any
 size.  Within a shard the pieces go in order of size, the largest first.  Open bins are
-ordered by the room they have left, and carry bitmaps of the sources and clusters
-they hold.  A piece looks up the successor of its size among the bins' room and goes on from
+ordered by the room they have left, and carry bitmaps of the sources, clusters and
+components they hold.  A piece looks up the successor of its size among the bins' room and goes on from
 there until a bin without a conflict is found: the tightest compatible one.  Without one
 it opens a new bin.  Sources and clusters with a single piece in the shard need no bit.
 
@@ -24,6 +25,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .jaccard_join import _NO_ID as NO_ID
+from .jaccard_join import links
+
 CAPACITY = 2048
 SHARD = 4096
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -82,19 +86,24 @@ def best_fit(sizes: np.ndarray, marks: list[np.ndarray], capacity: int, stride:
 
 def same_text(text: Column) -> Column:
     """Cluster of equal texts but for case and white space."""
-    return F.xxhash64(F.regexp_replace(F.lower(F.trim(text)), r"[\x20\x09-\x0D]+", " "))
+    return F.xxhash64(F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " ")))
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None, near: DataFrame | None = None) -> DataFrame:
     """A row for each piece: doc_id, piece, first_word, n_words, bin_id and how full that bin is.
 
     Documents of ``capacity`` words and more: whole bins come first, the rest is the last piece.
+    ``near``: id and component of documents that have near copies; one component conflicts too.
     """
     text = F.col("text").cast("string")
     measured = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(_WORD)).cast("long").alias("total"),
         (same_text(text) if cluster is None else cluster).alias("cluster")).filter("total > 0")
+    if near is None:
+        measured = measured.withColumn("component", F.lit(None).cast("string"))
+    else:
+        measured = measured.join(near.select("id", F.col("component").cast("string").alias("component")), F.coalesce("doc_id", F.lit(NO_ID)) == F.col("id"), "left").drop("id")
     pieces = measured.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(capacity).cast("long"))
                                                ).alias("piece", "first_word")).withColumn(
         "n_words", F.least(F.lit(capacity), F.col("total") - F.col("first_word")))
@@ -109,8 +118,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["n_words", "doc_id", "cluster", "source"], ascending=[False, True, True, True],
                                   kind="stable", na_position="first").reset_index(drop=True)
-        group["bin"] = best_fit(group["n_words"].to_numpy(), [group["source"].to_numpy(object), group["cluster"].to_numpy()],
-                                capacity)
+        group["bin"] = best_fit(group["n_words"].to_numpy(), [group["source"].to_numpy(object), group["cluster"].to_numpy(),
+                                                                  group["component"].to_numpy()], capacity)
         group["bin_words"] = group.groupby("bin")["n_words"].transform("sum")
         return group[["doc_id", "piece", "first_word", "n_words", "shard", "bin", "bin_words"]]
 
@@ -120,4 +129,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
 
 
 def op8_best_fit(docs: DataFrame) -> DataFrame:
-    return pack(docs)
+    _, _, parts = links(docs)
+    # a component's smallest document is in no row of its own
+    near = parts.unionAll(parts.select(F.col("component").alias("id"), "component").distinct())
+    return pack(docs, near=near)

@@ -267,6 +267,24 @@ def test_packing_is_whole_and_without_conflict(spark, docs):
     assert best_fit.pack(cases.empty(spark)).count() == 0
 
 
+def test_near_copies_share_no_bin(spark):
+    rows = []
+    for g in range(10):
+        base = [f"g{g}w{k}" for k in range(60)]
+        for c in range(6):
+            rows.append((10 * g + c, " ".join(base[:5 * c] + [f"new{c}"] + base[5 * c + 1:]), f"s{g}_{c}"))
+    rows += [(200, "a b\n", "x1"), (201, "a b", "x2"), (202, "\tA  b", "x3"), (203, "\u00c9 b", "x4"), (204, "\u00e9 b", "x5")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    group = lambda i: i // 10 if i < 200 else (200 if i < 203 else 203)
+    bins: dict = {}
+    for p in best_fit.op8_best_fit(docs).collect():
+        bins.setdefault(p.bin_id, []).append(group(p.doc_id))
+    assert sum(map(len, bins.values())) == len(rows) and all(len(set(b)) == len(b) for b in bins.values())
+    # the plain packing has no components, but white space at the ends is none of a text
+    by = {p.doc_id: p.bin_id for p in best_fit.pack(docs.filter("doc_id >= 200")).collect()}
+    assert len({by[i] for i in (200, 201, 202)}) == 3
+
+
 def test_tightest_compatible_bin_is_taken():
     rng = np.random.default_rng(9)
     for _ in range(20):
