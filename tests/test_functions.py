@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import BANDS_DOWN, BANDS_UP, make_df
+from support import BANDS_DOWN, BANDS_UP, make_df
 from opscore.functions import (account_kind, band_score, cutoff_month, fiscal_shift,
                                imputed_band_score, interaction_discount, percent_guard,
                                queue_weight, recontact_ratio, refund_kind, safe_div,

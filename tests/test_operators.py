@@ -219,7 +219,7 @@ def test_oversized_target_sheet_still_joins(spark):
 def test_nan_is_above_nothing(spark):
     from opscore.functions import Bands, band_score
     from opscore.functions.labels import percent_guard
-    from conftest import BANDS_DOWN
+    from support import BANDS_DOWN
     df = spark.createDataFrame([(float("nan"),), (2.0,), (0.5,)], "v double")
     assert [str(r[0]) for r in df.select(percent_guard("v")).collect()] == ["nan", "0.0", "0.5"]
     wide = df.select("v", *[F.lit(v).alias(k) for k, v in BANDS_DOWN.items()])
@@ -228,7 +228,7 @@ def test_nan_is_above_nothing(spark):
 
 
 def test_materialised_daily_gives_the_same_final_rows(spark, tmp_path):
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     from opscore.plans.scorecard import Scorecard
     from opscore.registry import PARAMS as P
     from opscore.sources import DriverTables

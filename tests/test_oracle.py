@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_ORACLE
+from support import SF_ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events").split()
 

@@ -3,7 +3,7 @@ key; filters reach the Parquet scans."""
 
 import pytest
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
              "ArrowEvalPython")

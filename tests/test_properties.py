@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import BANDS_DOWN, BANDS_UP
+from support import BANDS_DOWN, BANDS_UP
 from opscore.functions import band_score
 from opscore.functions.scoring import Bands, LEVELS
 from opscore.operators import latest_per_key, partition_count, ranked
