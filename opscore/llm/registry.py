@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, decontaminate, html_extract, jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index
+from . import best_fit, decontaminate, html_extract, jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index, window_packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op9_substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.op11_window_packing(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = [op1_quality_rules, op2_decontaminate, op3_suffix_dedup, op4_quality_gam, op5_html_extract, op6_license_scan,
-            op7_jaccard_join, op8_best_fit, op9_substring_dedup, op10_language_crf]
+            op7_jaccard_join, op8_best_fit, op9_substring_dedup, op10_language_crf,
+            op11_window_packing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
