@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import best_fit, decontaminate, html_extract, impact_search, jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index, window_packing
+from . import best_fit, decontaminate, hard_negatives, html_extract, impact_search, jaccard_join, language_crf, license_scan, quality_gam, quality_rules, ship, substring_dedup, suffix_index, window_packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,13 +58,17 @@ def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_packing.op11_window_packing(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.op12_hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_search.op13_impact_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 _QUERIES = [op1_quality_rules, op2_decontaminate, op3_suffix_dedup, op4_quality_gam, op5_html_extract, op6_license_scan,
             op7_jaccard_join, op8_best_fit, op9_substring_dedup, op10_language_crf,
-            op11_window_packing, op13_impact_search]
+            op11_window_packing, op12_hard_negatives, op13_impact_search]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -80,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {"op3_suffix_dedup": suffix_index.ORACLE_SQL, "op6_license_scan": license_scan.ORACLE_SQL,
             "op7_jaccard_join": jaccard_join.ORACLE_SQL, "op9_substring_dedup": substring_dedup.ORACLE_SQL,
-            "op13_impact_search": impact_search.ORACLE_SQL}
+            "op12_hard_negatives": hard_negatives.ORACLE_SQL, "op13_impact_search": impact_search.ORACLE_SQL}
