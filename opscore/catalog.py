@@ -11,7 +11,7 @@ from .functions import (Bands, band_score, date_parts, fiscal_shift, imputed_ban
                         shift_class)
 from .operators import (between_filter, cast_key_join, date_floor_filter, latest_per_key,
                         month_roster_join, month_target_join, normalised, not_in_filter,
-                        partition_count, rolling_days_filter, roster_filter, status_in_filter,
+                        partition_count, rolling_days_filter, roster_filter, split_left_join, status_in_filter,
                         targets_for, trailing_id_window, union_all,
                         union_distinct, union_null_padded)
 from .plans.refunds import (newest_log_per_flight, refund_item_total, refund_ledger,
@@ -19,6 +19,7 @@ from .plans.refunds import (newest_log_per_flight, refund_item_total, refund_led
 from .plans.route_demand import (CLOSED_STATUSES, metasearch_by_route, route_demand,
                                  sales_by_route, tracking_rank)
 from .plans.search_dashboard import search_dashboard, search_dashboard_sql
+from .plans.scorecard import LOSSES_A_TASK
 from .registry import PARAMS as P
 from .registry import register
 
@@ -215,7 +216,7 @@ def q_left_join_active(t):
     c, b = t["cancellations"], t["refund_bank_data"]
     b = b.filter(F.col("is_active") == F.lit(True)).select(
         "cancellation_id", "code_bank", "account_type")
-    return c.join(b, c["id"] == b["cancellation_id"], "left").select(
+    return split_left_join(c, b.withColumnRenamed("cancellation_id", "id"), ["id"]).select(
         "id", "code_bank", "account_type")
 
 
@@ -285,8 +286,8 @@ def q_loss_month_fanout(t):
     d = sc.employee_days.withColumn("ym", month_key("dia"))
     lo = sc.loss_penalty_daily.select(month_key("data_ref").alias("ym"), "matricula",
                                       "data_ref", "p_prejuizo")
-    return d.join(lo, ["matricula", "ym"], "left").select("dia", "matricula", "data_ref",
-                                                          "p_prejuizo")
+    return split_left_join(d, lo, ["matricula", "ym"], least_rows=LOSSES_A_TASK).select(
+        "dia", "matricula", "data_ref", "p_prejuizo")
 
 
 @register("resolution_rate_daily")

@@ -1,9 +1,10 @@
 """Joins.
 
-Size policy: no join forces a broadcast.  With AQE on, a side that turns out
+Size policy: no join forces a broadcast of data.  With AQE on, a side that turns out
 small at run time is broadcast after its measured size is checked against
 ``spark.sql.autoBroadcastJoinThreshold``, otherwise it stays a shuffle join and
-skewed partitions are split.
+skewed partitions are split.  The one thing that is broadcast is the list of heavy keys of
+``split_left_join``, which has at most ``HEAVY_KEYS`` rows by construction.
 """
 
 from __future__ import annotations
@@ -105,6 +106,42 @@ def employee_day_spine(calendar: DataFrame, roster: DataFrame, date_col: str = "
     return people.join(days, "_ym").select(F.explode("_days").alias("dia"), "matricula")
 
 
+#: A key is heavy with more than this fraction of all rows, so there are fewer heavy keys than this.
+HEAVY_KEYS = 1000
+
+
+def heavy_keys(df: DataFrame, keys: list[str], least_rows: int = 10_000) -> DataFrame:
+    """The keys that hold more than 1/``HEAVY_KEYS`` of all rows, and more than ``least_rows``: the keys and
+    ``_parts``, into how many parts of about that size their rows should go.
+
+    A count over the key columns alone, partial before its shuffle.  Less than ``HEAVY_KEYS`` rows, whatever the data.
+    """
+    total = df.select(F.count(F.lit(1))).scalar()
+    bound = F.greatest(F.lit(least_rows), total / F.lit(HEAVY_KEYS))
+    counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > bound).select(
+        *keys, F.least(F.lit(HEAVY_KEYS), F.ceil(F.col("_rows") / bound)).cast("int").alias("_parts"))
+
+
+def split_left_join(left: DataFrame, right: DataFrame, keys: list[str], least_rows: int = 10_000) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on ``keys``, where a key may have very many right rows.
+
+    A left outer join can be split on its left side alone, so a heavy right key stays in one task.  Here the right
+    rows of a heavy key are dealt over parts by a hash of the row, and the left rows of that key go to each of
+    the parts.  A left row may find nothing in one of them; as its key has rows, such an
+    empty answer is dropped.  Left rows of other keys, matched or not, go once, and each side is evaluated once
+    (the count reads the key columns of ``right``).  Right rows equal in every column go to one part.
+    """
+    heavy = F.broadcast(heavy_keys(right, keys, least_rows))
+    mine = left.join(heavy, keys, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
+    row = F.xxhash64(*right.columns)
+    theirs = right.join(heavy, keys, "left").withColumn(
+        "_part", F.pmod(row, F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts").withColumn("_found", F.lit(True))
+    out = mine.join(theirs, [*keys, "_part"], "left").filter(F.col("_parts").isNull() | F.col("_found").isNotNull())
+    return out.drop("_part", "_parts", "_found")
+
+
 def try_long(c) -> Column:
     """Text/number key to BIGINT; unparsable text becomes NULL (never matches)."""
     col = F.col(c) if isinstance(c, str) else c

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import account_kind, refund_kind
-from ..operators.joins import latest_per_key
+from ..operators.joins import latest_per_key, split_left_join
 from ..operators.setops import union_all
 
 
@@ -41,9 +41,10 @@ def refund_ledger(flights: DataFrame, cancellations: DataFrame, bank_data: DataF
         "refund_order_miles_id", "reason_id", flights["created_at"].alias("flight_created_at"),
         cancellations["id"].alias("cancellation_key"), "created_name")
     bank = bank_data.filter(F.col("is_active") == F.lit(True)).select(
-        F.col("cancellation_id").alias("bank_cancellation_id"), "code_bank", "agency",
+        F.col("cancellation_id").alias("cancellation_key"), "code_bank", "agency",
         "account_number", "account_type", "cardholder_name", "cardholder_document")
-    j = base.join(bank, base["cancellation_key"] == bank["bank_cancellation_id"], "left")
+    # a cancellation may have very many bank rows: its part of the join is split
+    j = split_left_join(base, bank, ["cancellation_key"])
     b = banks.select(F.col("code_bank").alias("_bank_code"), "short_name")
     j = j.join(b, j["code_bank"] == b["_bank_code"], "left")
     newest = newest_log_per_flight(logs).select(

@@ -29,7 +29,7 @@ from ..functions.labels import (area_rename, interaction_discount, percent_guard
 from ..functions.scoring import band_score, imputed_band_score, step_penalty
 from ..operators.filters import as_date, as_timestamp, normalised, ts_lit
 from ..operators.joins import (employee_day_spine, month_roster_join, month_target_join,
-                               roster_filter, targets_for, try_long)
+                               roster_filter, split_left_join, targets_for, try_long)
 from ..operators.setops import union_all, union_null_padded
 
 # Target indicator per shift class, the absence row labels, the
@@ -41,6 +41,9 @@ CYCLE_AREAS = ("Atendimento Primário", "Atendimento Especializado")
 CYCLE_EXCLUDED_QUEUES = ("Hotel", "Pacote")
 PRIMARY_AREA_LOWER = "relacionamento primário"
 
+#: Loss days of an agent-month that are joined in one task.
+LOSSES_A_TASK = 256
+
 PRINCIPAL_COLUMNS = [
     "data_resolucao", "matricula", "percent_resolucao", "resolvidos", "p_resolutividade",
     "recorrencia", "resolvidos_rec", "producao", "p_produtividade", "assiduidade",
@@ -63,6 +66,19 @@ def _ym_of(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
+def _lookup(monthly: DataFrame, key: str, month: Column | None = None) -> Column:
+    """The rows of a monthly sheet for this row's month, as an array of structs (NULL where there are none).
+
+    The sheet is one scalar subquery, a map over the months: it is bounded by the calendar (a few target
+    or team rows a month), is evaluated once, and spares the fact rows a shuffle by month, which a
+    handful of keys would make as uneven as the months are.
+    """
+    rows = monthly.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.collect_list(F.struct(*[c for c in monthly.columns if c != key])).alias("_rows"))
+    sheet = rows.select(F.map_from_entries(F.collect_list(F.struct(key, "_rows")))).scalar()
+    return F.try_element_at(sheet, F.col(key) if month is None else month)
+
+
 class Materialised:
     """The written daily table of a scorecard."""
 
@@ -73,7 +89,7 @@ class Materialised:
         """Delete the table; the scorecard is lazy again."""
         spark = self.card.scorecard_daily.sparkSession
         self.card._written = None
-        for name in ("recontact_monthly", "scorecard_final"):
+        for name in ("_recontact_days", "recontact_monthly", "scorecard_final"):
             self.card.__dict__.pop(name, None)
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
@@ -87,18 +103,42 @@ class Scorecard:
     collective_extras, losses, csat_answers) to DataFrames.
     ``start_date`` is the first reported day, ``shift_from`` the first day
     the fiscal shift applies, ``as_of_ts`` the stamp written as
-    ``ultima_atualizacao``.
+    ``ultima_atualizacao``.  ``months``: only report these fiscal months (all by
+    default); daily inputs outside their days are not read.  ``one_team_row``: a month has at most one
+    row of each team result, so the monthly recontacts need no team result (checked when they
+    run); pass False where a month's targets or extras may differ between rows.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], start_date="2021-08-01",
-                 shift_from="2022-07-01", as_of_ts=None):
+                 shift_from="2022-07-01", as_of_ts=None, months=None, one_team_row: bool = True):
         self.t = tables
         self.start = as_date(start_date)
         self.shift_from = as_date(shift_from)
+        self.months = None if months is None else sorted({as_date(m).replace(day=1) for m in months})
+        self.one_team_row = one_team_row
         self._written: DataFrame | None = None
         self.as_of = as_timestamp(as_of_ts or _dt.datetime.now().replace(microsecond=0))
 
     # ------------------------------------------------------------ inputs
+    def _read_days(self, day: Column) -> Column:
+        """Is this day read: from ``start`` on and, with ``months``, from the 26th before the first to the end
+        of the last (literal bounds, so they reach the scan)."""
+        if self.months is None:
+            return day >= F.lit(self.start)
+        first = max(self.start, self.months[0] - _dt.timedelta(days=6))
+        after = (self.months[-1] + _dt.timedelta(days=31)).replace(day=1)
+        return (day >= F.lit(first)) & (day < F.lit(after))
+
+    def _reported(self, df: DataFrame, day: str) -> DataFrame:
+        """Rows whose (shifted) day is reported."""
+        df = df.filter(F.col(day) >= F.lit(self.start))
+        return df if self.months is None else df.filter(month_key(day).isin(self.months))
+
+    def _reported_months(self, df: DataFrame) -> DataFrame:
+        """Rows of the months (``ym``) that can be reported."""
+        df = df.filter(F.col("ym") >= F.lit(self.start.replace(day=1)))
+        return df if self.months is None else df.filter(F.col("ym").isin(self.months))
+
     @cached_property
     def agents(self) -> DataFrame:
         """Roster rows of e-mail agents of the primary area (upper-case match)."""
@@ -225,6 +265,16 @@ class Scorecard:
         return (base.groupBy("data_resolucao", "matricula").agg(pick.alias("_b"))
                 .select("data_resolucao", "matricula", "_b.producao", "_b.area", "_b.escala"))
 
+    @property
+    def _shift_targets(self) -> DataFrame:
+        """Target rows of the three shift indicators by month."""
+        tg = self.t["targets"]
+        t3 = tg.filter(F.lower("indicador").isin(*SHIFT_INDICATORS.values())
+                       & (normalised("tipo", "lower", True) == "individual")
+                       & (F.upper("origem") == "PRIMARIO"))
+        bands = [c for c in tg.columns if c[:2] in ("m_", "p_")]
+        return t3.select(month_key("ref").alias("_tym"), F.lower("indicador").alias("_ind"), *bands)
+
     @cached_property
     def production_score(self) -> DataFrame:
         """Production scored against the target of the agent's shift class.
@@ -233,12 +283,7 @@ class Scorecard:
         filtered scans of the production relation; DISTINCT keeps the
         set semantics of the union it replaces.
         """
-        tg = self.t["targets"]
-        t3 = tg.filter(F.lower("indicador").isin(*SHIFT_INDICATORS.values())
-                       & (normalised("tipo", "lower", True) == "individual")
-                       & (F.upper("origem") == "PRIMARIO"))
-        bands = [c for c in tg.columns if c[:2] in ("m_", "p_")]
-        t3 = t3.select(month_key("ref").alias("_tym"), F.lower("indicador").alias("_ind"), *bands)
+        t3 = self._shift_targets
         base = self.production_with_absence
         ind = None
         for shift, name in SHIFT_INDICATORS.items():
@@ -316,32 +361,96 @@ class Scorecard:
         return employee_day_spine(self.t["contact_calendar"], self.agents, "created",
                                   start=self.start)
 
+    @cached_property
+    def agent_day_totals(self) -> DataFrame:
+        """Everything the daily indicators read, per (agent, day) from ``start`` on, in one grouped relation.
+
+        Resolutions, recontact dates and absences are stacked with the columns of the others
+        empty, so all of them are summed in one aggregate behind one shuffle (partial sums
+        first: a hot agent costs one row per map task and day).  ``_absent`` is the rank of the worst
+        absence: 0 for an unjustified one, else the filler.
+        """
+        q, served = F.col("quantidade_incidentes"), F.col("atendente").isNotNull()
+        blank = {"_w": "double", "_q": "double", "_qa": "double", "_na": "int", "_res": "int", "_rw": "double",
+                 "_rec": "int", "_absent": "double"}
+
+        def rows(df: DataFrame, dia: str, **given) -> DataFrame:
+            return df.select("matricula", F.col(dia).alias("dia"),
+                             *[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in blank.items()])
+
+        resolutions = rows(
+            self.t["resolutions"].filter(self._read_days(F.col("data_resolucao"))), "data_resolucao",
+            _w=q * queue_weight("fila") * interaction_discount("quantidade_interacoes"), _q=q,
+            _qa=F.when(served, q), _na=F.when(served, F.lit(1)), _res=F.lit(1))
+        r = self.t["recontacts"]
+        opened, answered = F.to_date("data_ultima_criacao"), F.to_date("data_respondido_cliente")
+        r = r.filter(self._read_days(opened) | self._read_days(answered)).select(
+            "matricula", "fila", F.explode(F.array(opened, answered)).alias("dia")).filter(self._read_days(F.col("dia")))
+        recontacts = rows(r, "dia", _rw=recontact_weight("fila"), _rec=F.lit(1))
+        absences = rows(self.t["absences"].filter(self._read_days(F.col("data_ref"))), "data_ref",
+                        _absent=F.when(F.col("falta_injustificada") >= 1, F.lit(0.0)).otherwise(F.lit(ABSENT_FILLER)))
+        return union_all(union_all(resolutions, recontacts), absences).groupBy("matricula", "dia").agg(
+            *[F.sum(c).alias(c) for c in ("_w", "_q", "_qa", "_rw")], F.count("_na").alias("_na"),
+            F.count("_res").alias("_res"), F.count("_rec").alias("_rec"), F.min("_absent").alias("_absent"))
+
+    @cached_property
+    def agent_months(self) -> DataFrame:
+        """Per (agent, month) of the roster, how its rows multiply a day's totals: the number of rows of
+        each hierarchy (``_hier``), of each area (``_areas``) and of each area and shift (``_shifts``)."""
+        hierarchy = ("matricula_supervisor", "matricula_coordenador", "matricula_gerente")
+        distinct = self.agents.groupBy(
+            "matricula", month_key("mes_referencia").alias("ym"), *hierarchy, "area",
+            shift_class("horario_inicio", "horario_fim").alias("escala")).agg(F.count(F.lit(1)).alias("n"))
+        months = distinct.groupBy("matricula", "ym").agg(
+            F.collect_list(F.struct(F.struct(*hierarchy).alias("h"), "area", "escala", "n")).alias("_rows"))
+
+        def counted(kind: str) -> str:
+            return (f"transform(array_distinct(transform(_rows, r -> {kind})), k -> struct(k, aggregate("
+                    f"filter(_rows, r -> {kind} <=> k), 0L, (total, r) -> total + r.n) AS n))")
+
+        return months.selectExpr("matricula", "ym", f"{counted('r.h')}.n AS _hier", f"{counted('r.area')}.n AS _areas",
+                                 f"transform({counted('struct(r.area, r.escala)')}, x -> struct("
+                                 "x.k.area AS area, x.k.escala AS escala, x.n AS n)) AS _shifts")
+
     @cached_property
     def daily_table(self) -> DataFrame:
-        """Spine with the four daily indicators; ``data`` is the shifted day."""
-        resolution = self.resolution_score_daily.select(
-            F.col("data_resolucao").alias("dia"), "matricula", "percent_resolucao",
-            "resolvidos", "p_resolutividade")
-        recontact = self._recontact_daily(self.start).select(
-            F.col("data_").alias("dia"), "matricula", "recorrencia")
-        attended = self.daily_resolved.select(F.col("data_").alias("dia"), "matricula",
-                                              "resolvidos_rec")
-        production = self.production_score.select(F.col("data_resolucao").alias("dia"), "matricula",
-                                         "producao", "p_produtividade")
-        # The spine only holds days from ``start`` on, so each side is cut to
-        # those days before the join (same rows).  The filter is on a grouping
-        # key, so Catalyst moves it below the aggregations towards the scans:
-        # history before the reporting start is never aggregated or shuffled.
-        since = F.col("dia") >= F.lit(self.start)
-        j = self.employee_days
-        for side in (resolution, recontact, attended, production):
-            j = j.join(side.filter(since), ["matricula", "dia"], "left")
-        return j.select(fiscal_shift("dia", self.shift_from).alias("data"),
-                        *[F.col(c) for c in ("matricula", "percent_resolucao", "resolvidos",
-                                             "p_resolutividade", "recorrencia",
-                                             "resolvidos_rec", "producao", "p_produtividade")],
-                        F.lit(0).alias("assiduidade"),
-                        ts_lit(self.as_of).alias("ultima_atualizacao"))
+        """Spine with the four daily indicators; ``data`` is the shifted day.
+
+        Each (agent, day) of the spine carries its month's roster counts and meets its totals once.
+        The indicators are then computed in the row; what a row stands for several times (roster rows,
+        target rows of a month) is expanded last.
+        """
+        days = self.t["contact_calendar"].select(F.to_date("created").alias("dia")).filter(
+            self._read_days(F.col("dia"))).distinct().groupBy(month_key("dia").alias("ym")).agg(
+            F.collect_list("dia").alias("_days"))
+        spine = self.agent_months.join(days, "ym").select(
+            "matricula", F.explode("_days").alias("dia"), "ym", "_hier", "_areas", "_shifts")
+        j = spine.join(self.agent_day_totals, ["matricula", "dia"], "left")
+
+        bands = [c for c in self.t["targets"].columns if c[:2] in ("m_", "p_")]
+        j = j.withColumn("_t", _lookup(self._targets("resolutividade"), "ym"))
+        j = j.withColumn("_r", F.explode_outer(F.expr(
+            "CASE WHEN _res > 0 THEN flatten(transform(_hier, n -> transform(_t, t -> struct(n, t)))) END")))
+        j = j.selectExpr("*", "_r.n * _w AS resolvidos", "_r.n * _q AS _incidentes", "_r.t.*").withColumn(
+            "_pct", safe_div("resolvidos", "_incidentes")).withColumn("p_resolutividade", band_score("_pct")).drop(*bands)
+
+        j = j.withColumn("recorrencia", F.explode_outer(F.expr(
+            "CASE WHEN _rec > 0 THEN transform(_areas, n -> n * _rw) END")))
+
+        worst = (f"array_min(concat(CASE WHEN _res > 0 THEN transform(_shifts, s -> struct("
+                 f"coalesce(s.n * _q, {ABSENT_FILLER}D) AS rank, s.area AS area, s.escala AS escala, s.n * _q AS producao)) "
+                 f"ELSE array() END, CASE WHEN _absent IS NOT NULL THEN array(struct(_absent AS rank, '{ABSENT_AREA}' AS area, "
+                 f"'{ABSENT_SHIFT}' AS escala, CASE WHEN _absent = 0 THEN 0D END AS producao)) ELSE array() END))")
+        j = j.withColumn("_worst", F.expr(worst)).withColumn("_t", _lookup(self._shift_targets, "_tym", F.col("ym")))
+        indicator = " ".join(f"WHEN '{shift}' THEN '{name}'" for shift, name in SHIFT_INDICATORS.items())
+        j = j.withColumn("_t", F.explode_outer(F.expr(
+            f"filter(_t, t -> t._ind = CASE _worst.escala {indicator} END)"))).selectExpr(
+            "*", "CASE WHEN _t IS NOT NULL THEN _worst.producao END AS producao", "_t.*")
+        j = j.withColumn("p_produtividade", band_score("producao", above="extrapolate"))
+        return j.select(fiscal_shift("dia", self.shift_from).alias("data"), "matricula",
+                        percent_guard("_pct").alias("percent_resolucao"), "resolvidos", "p_resolutividade", "recorrencia",
+                        F.when(F.col("_na") > 0, F.col("_qa")).alias("resolvidos_rec"), "producao", "p_produtividade",
+                        F.lit(0).alias("assiduidade"), ts_lit(self.as_of).alias("ultima_atualizacao"))
 
     @cached_property
     def team_by_month(self) -> list[DataFrame]:
@@ -363,8 +472,9 @@ class Scorecard:
     @cached_property
     def absence_rows(self) -> DataFrame:
         """Absence days of agents as scorecard rows (only production points)."""
-        a = self.t["absences"].filter(
-            F.col("data_ref") >= F.lit(self.start - _dt.timedelta(days=6)))
+        a = self.t["absences"].filter(F.col("data_ref") >= F.lit(self.start - _dt.timedelta(days=6)))
+        if self.months is not None:
+            a = a.filter(self._read_days(F.col("data_ref")) | (F.col("data_ref") < F.lit(self.start)))
         a = month_roster_join(a, self.agents, "data_ref", roster_cols=[])
         return a.select(
             fiscal_shift("data_ref", self.shift_from).alias("data_resolucao"), "matricula",
@@ -375,9 +485,11 @@ class Scorecard:
     @cached_property
     def scorecard_daily(self) -> DataFrame:
         """The 24-column daily scorecard (warehouse CTE ``principal``)."""
+        team = self.team_by_month[0]
+        for side in self.team_by_month[1:]:
+            team = team.join(side, "ym", "full")
         t = self.daily_table.withColumn("ym", month_key("data"))
-        for side in self.team_by_month:
-            t = t.join(side, "ym", "left")
+        t = t.select("*", F.explode_outer(_lookup(team, "ym")).alias("_team")).select("*", "_team.*")
         # Three columns are the same constant in every row of both arms
         # (update stamp, attendance 0, no idea points): they cannot change
         # which rows are distinct, so DISTINCT runs on the other 21 columns
@@ -391,8 +503,7 @@ class Scorecard:
                               for c in varying])
         arm2 = self.absence_rows.drop(*constant)
         out = union_null_padded(arm1, arm2, distinct=True)
-        out = out.filter(F.col("data_resolucao") >= F.lit(self.start))
-        return out.selectExpr(*[constant.get(c, c) for c in PRINCIPAL_COLUMNS])
+        return self._reported(out, "data_resolucao").selectExpr(*[constant.get(c, c) for c in PRINCIPAL_COLUMNS])
 
     @property
     def _daily(self) -> DataFrame:
@@ -410,15 +521,50 @@ class Scorecard:
         self.scorecard_daily.write.parquet(path)
         spark = self.scorecard_daily.sparkSession
         self._written = spark.read.parquet(path)
-        for name in ("recontact_monthly", "scorecard_final"):
+        for name in ("_recontact_days", "recontact_monthly", "scorecard_final"):
             self.__dict__.pop(name, None)
         return Materialised(self, path)
 
     # ------------------------------------------------------------ monthly individual
+    @cached_property
+    def _team_rows_differ(self) -> Column:
+        """How many (month, team result) have more than one distinct row (scalar subquery over the small sheets)."""
+        bands = [c for c in self.t["targets"].columns if c[:2] in ("m_", "p_")]
+        sheets = None
+        for name in ("ciclo 10 dias", "conhecimento corporativo", "dto"):
+            one = self._targets(name, tipo="coletivo", trim=False).select(
+                F.lit(name).alias("k"), "ym", F.xxhash64(*bands).alias("h"))
+            sheets = one if sheets is None else sheets.unionAll(one)
+        extras = self.t["collective_extras"]
+        sheets = sheets.unionAll(extras.select(
+            F.lit("extras").alias("k"), _ym_of(F.col("ano_ref"), F.col("mes_ref")).alias("ym"),
+            F.xxhash64(*[c for c in extras.columns if c not in ("ano_ref", "mes_ref")]).alias("h")))
+        several = sheets.groupBy("k", "ym").agg(F.count_distinct("h").alias("n")).filter("n > 1")
+        return several.select(F.count(F.lit(1))).scalar()
+
+    @cached_property
+    def _recontact_days(self) -> DataFrame:
+        """The columns of the daily card that the monthly recontacts need, with as many rows.
+
+        A team result depends on the month alone, so it cannot make two rows of a day differ: where a month has
+        one row of each, the card's DISTINCT can be taken over the agent's own columns, and
+        the team results are not computed.
+        """
+        if self._written is not None or not self.one_team_row:
+            return self._daily.select("data_resolucao", "matricula", "resolvidos_rec", "recorrencia")
+        own = self.daily_table.drop("assiduidade", "ultima_atualizacao").distinct().select(
+            F.col("data").alias("data_resolucao"), "matricula", "resolvidos_rec", "recorrencia")
+        message = "a month has several team rows: pass one_team_row=False or materialise the daily card"
+        checked = own.filter(F.coalesce(
+            F.when(self._team_rows_differ > 0, F.raise_error(F.lit(message)).cast("boolean")), F.lit(True)))
+        absent = self.absence_rows.select("data_resolucao", "matricula", F.lit(None).cast("double").alias("resolvidos_rec"),
+                                          F.lit(None).cast("double").alias("recorrencia"))
+        return self._reported(union_all(checked, absent), "data_resolucao")
+
     @cached_property
     def recontact_monthly(self) -> DataFrame:
-        m = (self._daily.groupBy(F.year("data_resolucao").alias("ano_ref"),
-                       F.month("data_resolucao").alias("mes_ref"), "matricula")
+        m = (self._recontact_days.groupBy(F.year("data_resolucao").alias("ano_ref"),
+                                          F.month("data_resolucao").alias("mes_ref"), "matricula")
              .agg(F.sum("resolvidos_rec").alias("resolvidos_rec"),
                   F.sum("recorrencia").alias("recorrencia")))
         m = m.withColumn("percent_recorrencia",
@@ -511,14 +657,14 @@ class Scorecard:
             "matricula", month_key("mes_referencia").alias("ym"), "origem", "tipo",
             "matricula_supervisor", "supervisor", "matricula_coordenador", "coordenador",
             "matricula_gerente", "gerente")
-        # Daily rows start at ``start``, so only months from its month on can
-        # match: each monthly side is cut to them (same rows).  The filters
-        # are on grouping keys and move below the monthly aggregations.
-        first_month = F.lit(self.start.replace(day=1))
+        # Only months that can be reported match: each monthly side is cut to them (same rows).
+        # The filters are on grouping keys and move below the monthly aggregations.
         j = z
-        for side in (recontact, losses, dto, knowledge, csat):
-            j = j.join(side.filter(F.col("ym") >= first_month), ["matricula", "ym"], "left")
-        j = j.join(hierarchy.filter(F.col("ym") >= first_month), ["matricula", "ym"], "inner")
+        for side in (recontact, dto, knowledge, csat):
+            j = j.join(self._reported_months(side), ["matricula", "ym"], "left")
+        j = j.join(self._reported_months(hierarchy), ["matricula", "ym"], "inner")
+        # the losses multiply rows, so they come last, and an agent-month with very many is split
+        j = split_left_join(j, self._reported_months(losses), ["matricula", "ym"], least_rows=LOSSES_A_TASK)
         return j.selectExpr(*FINAL_COLUMNS)
 
 
