@@ -510,6 +510,12 @@ class Scorecard:
         """The daily scorecard as the assemblies read it: the materialised table, if any."""
         return self._written if self._written is not None else self.scorecard_daily
 
+    def read_daily(self, written: DataFrame) -> None:
+        """Let the monthly and final assemblies built from now on read this daily card."""
+        self._written = written
+        for name in ("_recontact_days", "recontact_monthly", "scorecard_final"):
+            self.__dict__.pop(name, None)
+
     def materialise_daily(self, folder: str) -> "Materialised":
         """Write the daily scorecard under ``folder`` (shared by all executors) and let the
         monthly and final assemblies built afterwards read it back, instead of evaluating
@@ -519,10 +525,7 @@ class Scorecard:
         import uuid
         path = f"{folder.rstrip('/')}/opscore-scorecard-daily-{uuid.uuid4().hex}"
         self.scorecard_daily.write.parquet(path)
-        spark = self.scorecard_daily.sparkSession
-        self._written = spark.read.parquet(path)
-        for name in ("_recontact_days", "recontact_monthly", "scorecard_final"):
-            self.__dict__.pop(name, None)
+        self.read_daily(self.scorecard_daily.sparkSession.read.parquet(path))
         return Materialised(self, path)
 
     # ------------------------------------------------------------ monthly individual
