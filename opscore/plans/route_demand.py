@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import order_code
 from ..operators.filters import rolling_days_filter, status_in_filter
-from ..operators.windows import ranked
+from ..operators.windows import WINDOW_ROWS, ranked
 
 # Order statuses counted as closed sales; the external-search
 # browser tag.
@@ -20,20 +20,21 @@ CLOSED_STATUSES = (56, 60)
 EXTERNAL_BROWSER = "ExternalSearch"
 
 
-def tracking_rank(tracking: DataFrame, as_of, days: int = 30) -> DataFrame:
+def tracking_rank(tracking: DataFrame, as_of, days: int = 30, least_rows: int = WINDOW_ROWS) -> DataFrame:
     """Tracking rows of the window with their recency rank per order (rn=1 newest).
 
     Equal times are ordered by source (descending); rows equal in every
     column are interchangeable, so the result is deterministic.  The rank is
-    computed by :func:`ranked` day by day, so a heavily tracked order is one
-    window per day instead of one sort in one task.
+    computed by :func:`ranked` day by day, and by cuts of a day with very many rows, so a
+    heavily tracked order is many windows instead of one sort in one task.
     """
     t = rolling_days_filter(tracking, "created_at", as_of, days)
     t = t.select("fk_order_id", "created_at", "source")
     return ranked(t, ["fk_order_id"],
                   [F.col("created_at").desc_nulls_last(), F.col("source").desc_nulls_last()],
                   alias="rn", tie_cols=["fk_order_id", "created_at", "source"],
-                  bucket=F.to_date("created_at"))
+                  bucket=F.to_date("created_at"), value=F.unix_micros(F.col("created_at").cast("timestamp")),
+                  least_rows=least_rows)
 
 
 def metasearch_by_route(searches: DataFrame, as_of, days: int = 30) -> DataFrame:

@@ -66,6 +66,29 @@ def _ym_of(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
+# Sums of weighted counts must not depend on the order of the rows: a score at a band's edge could
+# flip with the partitioning.  The weights are whole hundredths or tenths, so whole numbers are
+# added, exactly, and divided once.
+
+def _hundredths(q: Column) -> Column:
+    """``q`` by queue and interaction weight, in hundredths."""
+    weight = queue_weight("fila") * interaction_discount("quantidade_interacoes") * 100
+    return q * F.round(weight, 0)
+
+
+def _tenths(fila: str) -> Column:
+    """The recontact weight in tenths."""
+    return F.round(recontact_weight(fila) * 10, 0)
+
+
+def _mean_of_hundredths(val: Column) -> Column:
+    """Mean of values of two decimals; one infinite value makes it infinite (two of different sign NaN)."""
+    limit = F.lit(float("inf"))
+    finite = F.sum(F.when(F.abs(val) < limit, F.round(val * 100, 0))) / 100
+    infinite = F.sum(F.when(F.abs(val) == limit, val))
+    return (F.coalesce(finite, F.lit(0.0)) + F.coalesce(infinite, F.lit(0.0))) / F.nullif(F.count(val), F.lit(0))
+
+
 def _lookup(monthly: DataFrame, key: str, month: Column | None = None) -> Column:
     """The rows of a monthly sheet for this row's month, as an array of structs (NULL where there are none).
 
@@ -160,9 +183,8 @@ class Scorecard:
         aggregation (a hot agent costs one row per map task)."""
         y = self.t["resolutions"]
         q = F.col("quantidade_incidentes")
-        weighted = q * queue_weight("fila") * interaction_discount("quantidade_interacoes")
         return y.groupBy("data_resolucao", "matricula").agg(
-            F.sum(weighted).alias("_w"), F.sum(q).alias("_q"),
+            (F.sum(_hundredths(q)) / 100).alias("_w"), F.sum(q).alias("_q"),
             F.sum(F.when(F.col("atendente").isNotNull(), q)).alias("_qa"),
             F.count(F.when(F.col("atendente").isNotNull(), F.lit(1))).alias("_na"))
 
@@ -214,8 +236,8 @@ class Scorecard:
                          | (F.to_date("data_respondido_cliente") >= F.lit(since)))
         y = r.select(F.explode(F.array(F.to_date("data_ultima_criacao"),
                                        F.to_date("data_respondido_cliente"))).alias("data_"),
-                     "matricula", recontact_weight("fila").alias("_w"))
-        pre = y.groupBy("data_", "matricula").agg(F.sum("_w").alias("_w"))
+                     "matricula", _tenths("fila").alias("_w"))
+        pre = y.groupBy("data_", "matricula").agg((F.sum("_w") / 10).alias("_w"))
         j = month_roster_join(pre, self.agents, "data_", how="left", roster_cols=["area"])
         return (j.groupBy("data_", "matricula", F.col("area").alias("area_gabi"))
                 .agg(F.sum("_w").alias("recorrencia")))
@@ -314,7 +336,7 @@ class Scorecard:
         return (cp.groupBy(F.month("data_posicao").alias("mes_ref"),
                            F.year("data_posicao").alias("ano_ref"),
                            area_rename("area").alias("area"))
-                .agg(F.avg(val).alias("valor_ciclo_c")))
+                .agg(_mean_of_hundredths(val).alias("valor_ciclo_c")))
 
     @cached_property
     def cycle_score_monthly(self) -> DataFrame:
@@ -380,17 +402,18 @@ class Scorecard:
 
         resolutions = rows(
             self.t["resolutions"].filter(self._read_days(F.col("data_resolucao"))), "data_resolucao",
-            _w=q * queue_weight("fila") * interaction_discount("quantidade_interacoes"), _q=q,
+            _w=_hundredths(q), _q=q,
             _qa=F.when(served, q), _na=F.when(served, F.lit(1)), _res=F.lit(1))
         r = self.t["recontacts"]
         opened, answered = F.to_date("data_ultima_criacao"), F.to_date("data_respondido_cliente")
         r = r.filter(self._read_days(opened) | self._read_days(answered)).select(
             "matricula", "fila", F.explode(F.array(opened, answered)).alias("dia")).filter(self._read_days(F.col("dia")))
-        recontacts = rows(r, "dia", _rw=recontact_weight("fila"), _rec=F.lit(1))
+        recontacts = rows(r, "dia", _rw=_tenths("fila"), _rec=F.lit(1))
         absences = rows(self.t["absences"].filter(self._read_days(F.col("data_ref"))), "data_ref",
                         _absent=F.when(F.col("falta_injustificada") >= 1, F.lit(0.0)).otherwise(F.lit(ABSENT_FILLER)))
         return union_all(union_all(resolutions, recontacts), absences).groupBy("matricula", "dia").agg(
-            *[F.sum(c).alias(c) for c in ("_w", "_q", "_qa", "_rw")], F.count("_na").alias("_na"),
+            (F.sum("_w") / 100).alias("_w"), F.sum("_q").alias("_q"), F.sum("_qa").alias("_qa"),
+            (F.sum("_rw") / 10).alias("_rw"), F.count("_na").alias("_na"),
             F.count("_res").alias("_res"), F.count("_rec").alias("_rec"), F.min("_absent").alias("_absent"))
 
     @cached_property
