@@ -116,9 +116,9 @@ def heavy_keys(df: DataFrame, keys: list[str], least_rows: int = 10_000) -> Data
 
     A count over the key columns alone, partial before its shuffle.  Less than ``HEAVY_KEYS`` rows, whatever the data.
     """
-    total = df.select(F.count(F.lit(1))).scalar()
-    bound = F.greatest(F.lit(least_rows), total / F.lit(HEAVY_KEYS))
     counts = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.select(F.sum("_rows")).scalar()  # over the same shuffle, which AQE runs once
+    bound = F.greatest(F.lit(least_rows), F.coalesce(total, F.lit(0)) / F.lit(HEAVY_KEYS))
     return counts.filter(F.col("_rows") > bound).select(
         *keys, F.least(F.lit(HEAVY_KEYS), F.ceil(F.col("_rows") / bound)).cast("int").alias("_parts"))
 

@@ -508,11 +508,9 @@ class Scorecard:
     @cached_property
     def scorecard_daily(self) -> DataFrame:
         """The 24-column daily scorecard (warehouse CTE ``principal``)."""
-        team = self.team_by_month[0]
-        for side in self.team_by_month[1:]:
-            team = team.join(side, "ym", "full")
         t = self.daily_table.withColumn("ym", month_key("data"))
-        t = t.select("*", F.explode_outer(_lookup(team, "ym")).alias("_team")).select("*", "_team.*")
+        for side in self.team_by_month:
+            t = t.select("*", F.explode_outer(_lookup(side, "ym")).alias("_team")).select("*", "_team.*").drop("_team")
         # Three columns are the same constant in every row of both arms
         # (update stamp, attendance 0, no idea points): they cannot change
         # which rows are distinct, so DISTINCT runs on the other 21 columns
