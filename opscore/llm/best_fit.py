@@ -14,23 +14,27 @@ there until a bin without a conflict is found: the tightest compatible one.  Wit
 it opens a new bin.  Sources and clusters with a single piece in the shard need no bit.
 
 Defined cases: null texts and texts without a word have no piece; a null source or cluster
-conflicts with nothing; ties go by doc_id and place; rows that share a doc_id are packed each; an
+conflicts with nothing; ties go by doc_id, then by row; rows that share a doc_id are packed each; an
 empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .jaccard_join import _NO_ID as NO_ID
 from .jaccard_join import links
+from .scratch import stored
+from .text import U64, Spans, byte_values, mix, slices, word_hashes, words
 
 CAPACITY = 2048
 SHARD = 4096
-_WORD = r"[^\x20\x09-\x0D]+"
 PIECES = "doc_id long, piece int, first_word long, n_words long, shard long, bin long"
 
 
@@ -84,9 +88,30 @@ def best_fit(sizes: np.ndarray, marks: list[np.ndarray], capacity: int, stride:
     return out
 
 
-def same_text(text: Column) -> Column:
-    """Cluster of equal texts but for case and white space."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.lower(text), r"[\x20\x09-\x0D]+", " ")))
+def measured(docs: DataFrame, cluster: Column | None = None) -> DataFrame:
+    """A row for each document with words (stored): row, doc_id, source, total (words) and cluster.
+
+    The texts are read once.  Without a ``cluster`` it is a hash of the lower-cased words: texts equal
+    but for case and white space have one.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in slices(batch.column(3)):
+                starts, ends, bounds = words(data, off)
+                same = Spans(word_hashes(Spans(byte_values(data)), starts, ends))(bounds[:-1], bounds[1:])
+                total = np.diff(bounds)
+                some = pa.array(np.flatnonzero(total))
+                part = batch.slice(lo, hi - lo).take(some)
+                own = pa.array(mix(same + total.astype(U64)).view(np.int64)).take(some) if cluster is None else part.column(2)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(total).take(some), own],
+                                                 ["doc_id", "source", "total", "cluster"])
+
+    given = F.lit(None).cast("long") if cluster is None else F.xxhash64(cluster)
+    given = given if cluster is None else F.when(cluster.isNotNull(), given)
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                        given.alias("cluster"), F.lower(F.col("text").cast("string")).alias("text"))
+    rows = plain.mapInArrow(run, "doc_id long, source string, total long, cluster long")
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "*"), "word-counts")
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = None, near: DataFrame | None = None) -> DataFrame:
@@ -95,28 +120,25 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
     Documents of ``capacity`` words and more: whole bins come first, the rest is the last piece.
     ``near``: id and component of documents that have near copies; one component conflicts too.
     """
-    text = F.col("text").cast("string")
-    measured = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.regexp_count(text, F.lit(_WORD)).cast("long").alias("total"),
-        (same_text(text) if cluster is None else cluster).alias("cluster")).filter("total > 0")
+    rows = measured(docs, cluster)
+    shards = max(1, -(-rows.count() // SHARD))
     if near is None:
-        measured = measured.withColumn("component", F.lit(None).cast("string"))
+        rows = rows.withColumn("component", F.lit(None).cast("string"))
     else:
-        measured = measured.join(near.select("id", F.col("component").cast("string").alias("component")), F.coalesce("doc_id", F.lit(NO_ID)) == F.col("id"), "left").drop("id")
-    pieces = measured.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(capacity).cast("long"))
+        rows = rows.join(near.select("id", F.col("component").cast("string").alias("component")),
+                         F.coalesce("doc_id", F.lit(NO_ID)) == F.col("id"), "left").drop("id")
+    pieces = rows.select("*", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(capacity).cast("long"))
                                                ).alias("piece", "first_word")).withColumn(
         "n_words", F.least(F.lit(capacity), F.col("total") - F.col("first_word")))
     full = pieces.filter(F.col("n_words") == capacity).select(
         "doc_id", "piece", "first_word", "n_words", F.concat_ws(
-            "-", F.lit("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.monotonically_increasing_id()
-        ).alias("bin_id"), F.lit(capacity).cast("long").alias("bin_words"))
+            "-", F.lit("whole"), "row", "piece").alias("bin_id"), F.lit(capacity).cast("long").alias("bin_words"))
     rest = pieces.filter(F.col("n_words") < capacity)
-    shards = max(1, -(-rest.count() // SHARD))
-    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n_words"), F.lit(shards)))
+    # the row number deals equal rows over the shards too
+    rest = rest.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "n_words", "row"), F.lit(shards)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_words", "doc_id", "cluster", "source"], ascending=[False, True, True, True],
+        group = group.sort_values(["n_words", "doc_id", "cluster", "source", "row"], ascending=[False, True, True, True, True],
                                   kind="stable", na_position="first").reset_index(drop=True)
         group["bin"] = best_fit(group["n_words"].to_numpy(), [group["source"].to_numpy(object), group["cluster"].to_numpy(),
                                                                   group["component"].to_numpy()], capacity)

@@ -308,9 +308,34 @@ def test_tightest_compatible_bin_is_taken():
         assert load(list(got)) == load(want) or abs(len(set(got)) - len(set(want))) <= 2
 
 
+def test_every_piece_goes_to_the_fullest_compatible_bin():
+    rng = np.random.default_rng(10)
+    for _ in range(10):
+        sizes = np.sort(rng.integers(1, 60, 300))[::-1].copy()
+        marks = [np.array([None if x == 9 else f"s{x}" for x in rng.integers(0, 10, 300)], object), rng.integers(0, 90, 300)]
+        room: dict = {}
+        held: dict = {}
+        for i, b in enumerate(best_fit.best_fit(sizes, marks, 100, stride=5)):
+            own = {(k, m[i]) for k, m in enumerate(marks) if m[i] is not None}
+            fits = [room[x] for x in room if room[x] >= sizes[i] and not own & held[x]]
+            assert room[b] == min(fits) if b in room else not fits
+            assert not own & held.setdefault(b, set())
+            held[b] |= own
+            room[b] = room.get(b, 100) - sizes[i]
+
+
+def test_one_row_repeated_very_often_is_dealt_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(best_fit, "SHARD", 100)
+    docs = spark.createDataFrame([(1, "one text of some words", "s")] * 3_000 + [(None, "other text", None)] * 500,
+                                 "doc_id long, text string, source string").repartition(6)
+    got = best_fit.pack(docs).collect()
+    assert len(got) == 3_500 and len({p.bin_id for p in got if p.doc_id == 1}) == 3_000
+    assert len({p.bin_id.split("-")[0] for p in got}) > 25
+
+
 # ------------------------------------------------------------------ registry and pipeline
-def test_registry_names_all_ten():
-    assert sorted(int(q[2:].split("_")[0]) for q in registry.queries()) == list(range(1, 11))
+def test_registry_names_all():
+    assert sorted(int(q[2:].split("_")[0]) for q in registry.queries()) == list(range(1, 14))
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
