@@ -1,7 +1,8 @@
 """Input contracts and loaders."""
 
 from .catalog_tables import CatalogTables
-from .contracts import CONTRACTS, ContractError, conform
+from .contracts import CONTRACTS, CheckedRead, ContractError, ContractReport, conform, conform_checked
 from .driver_tables import DriverTables
 
-__all__ = ["CONTRACTS", "CatalogTables", "ContractError", "conform", "DriverTables"]
+__all__ = ["CONTRACTS", "CatalogTables", "CheckedRead", "ContractError", "ContractReport", "conform", "conform_checked",
+           "DriverTables"]

@@ -8,7 +8,10 @@ the analytics compare wall-clock days, never instants.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
@@ -105,3 +108,68 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         else:
             exprs.append(f"CAST({src} AS {f.dataType.simpleString()}) AS {src}")
     return df.selectExpr(*exprs)
+
+
+@dataclass(frozen=True)
+class ContractReport:
+    """What a checked read saw: rows, and by column the NULLs and the values that the contract type cannot
+    hold (they became NULL).  ``distinct_keys`` is an estimate (about 1 %), NULL keys left out."""
+
+    rows: int
+    nulls: dict[str, int]
+    unparsable: dict[str, int]
+    distinct_keys: int | None
+
+    @property
+    def repeated_keys(self) -> int | None:
+        """About how many rows repeat the key of another one; differences within the estimate's error count as none."""
+        if self.distinct_keys is None:
+            return None
+        extra = self.rows - self.distinct_keys
+        return extra if extra > 0.03 * self.rows else 0
+
+    @property
+    def clean(self) -> bool:
+        return not any(self.unparsable.values()) and not self.repeated_keys
+
+
+class CheckedRead:
+    """A table under its contract whose first full evaluation also counts what is wrong with it."""
+
+    def __init__(self, rows: DataFrame, observed: Observation, columns: list[str], keyed: bool):
+        self.rows, self._observed, self._columns, self._keyed = rows, observed, columns, keyed
+
+    def report(self) -> ContractReport:
+        """The counts, once an action has read ``rows`` (waits for one)."""
+        seen = self._observed.get
+        return ContractReport(seen["rows"], {c: seen[f"null_{i}"] for i, c in enumerate(self._columns)},
+                              {c: seen[f"bad_{i}"] for i, c in enumerate(self._columns)},
+                              seen["keys"] if self._keyed else None)
+
+
+def conform_checked(df: DataFrame, name: str, keys: list[str] | None = None) -> CheckedRead:
+    """``conform`` for data that may not fit: a value that cannot be cast becomes NULL instead of failing the job.
+
+    NULLs, such values and distinct ``keys`` are counted by observed metrics of the very scan that the caller's action
+    runs, so there is no second read.  All contract columns are read, as all are checked: prefer ``conform`` where
+    the data is known to fit.
+    """
+    schema = CONTRACTS[name]
+    have = {c.lower() for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in have]
+    if missing:
+        raise ContractError(f"{name}: missing columns {missing}")
+    columns = [f.name for f in schema.fields]
+    both = df.selectExpr(*[f"`{c}` AS _in_{i}" for i, c in enumerate(columns)],
+                         *[f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        counts += [F.count_if(F.col(f"_in_{i}").isNull()).alias(f"null_{i}"),
+                   F.count_if(F.col(f"_in_{i}").isNotNull() & F.col(c).isNull()).alias(f"bad_{i}")]
+    if keys:
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        counts.append(F.approx_count_distinct(F.when(whole, F.xxhash64(*keys)), 0.01).alias("keys"))
+    observed = Observation()
+    return CheckedRead(both.observe(observed, *counts).select(*columns), observed, columns, bool(keys))

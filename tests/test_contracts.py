@@ -51,3 +51,30 @@ def test_catalog_tables_feed_the_plans(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     with pytest.raises(KeyError):
         CatalogTables(spark, {"not_a_table": "x"})
+
+
+def test_checked_read_counts_what_does_not_fit(spark):
+    from opscore.sources import conform_checked
+    rows = [("1", "2024-03-05", "9.5"), ("2", "not a day", "x"), ("2", None, "7"), (None, "2024-03-06", None), ("six", "2024-03-07", "1")]
+    df = spark.createDataFrame(rows, "solicitante_matricula string, data_ref string, reembolso_valor_prejuizo string").repartition(3)
+    read = conform_checked(df, "losses", keys=["solicitante_matricula"])
+    got = {tuple(r) for r in read.rows.collect()}
+    assert (dt.date(2024, 3, 5), 1, "9.5") in got and (None, 2, "x") in got and (dt.date(2024, 3, 7), None, "1") in got
+    report = read.report()
+    assert report.rows == 5
+    assert report.nulls == {"data_ref": 1, "solicitante_matricula": 1, "reembolso_valor_prejuizo": 1}
+    assert report.unparsable == {"data_ref": 1, "solicitante_matricula": 1, "reembolso_valor_prejuizo": 0}
+    assert report.distinct_keys == 2 and report.repeated_keys == 3 and not report.clean
+
+
+def test_checked_read_is_one_scan_and_equals_conform(spark):
+    from opscore.sources import DriverTables, conform_checked
+    raw = DriverTables(spark, "/root/testdata/sf0.001")._build_resolutions()
+    read = conform_checked(raw, "resolutions")
+    plan = read.rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "CollectMetrics" in plan
+    assert read.rows.exceptAll(conform(raw, "resolutions")).count() == 0
+    report = read.report()
+    assert report.clean and report.rows == raw.count() and report.distinct_keys is None
+    with pytest.raises(ContractError, match="ap"):
+        conform_checked(spark.createDataFrame([(1,)], "id long"), "purchase_searches")
