@@ -11,8 +11,8 @@ largest sum of word probabilities, and the score that sum's share.
 Training maximises the likelihood of the words' languages in sequences that join pieces of
 several documents, so transitions are learned from switches and from runs.  It uses a
 bounded sample: at most about ``max_pieces`` (6,000) pieces of 64 words, cut by Spark from
-some ``max_docs`` (4,000) training documents taken by the hash of doc_id.  All texts are
-scored whole.  The chain over a batch of texts is evaluated in blocks whose
+some ``max_docs`` (4,000) training documents taken by the hash of doc_id, equal numbers of each
+language (all of a rare one).  All texts are scored whole.  The chain over a batch of texts is evaluated in blocks whose
 transfer matrices are multiplied first, so that a long text is not a long loop.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every
@@ -77,9 +77,23 @@ def emissions(weights: np.ndarray, feature: np.ndarray, word: np.ndarray, n: int
 
 def forward_backward(e: np.ndarray, first: np.ndarray, start: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Probability of each language for each word; ``first``: words that begin a chain."""
+    return _chain(e, first, start, moves)[0]
+
+
+def expected_pairs(e: np.ndarray, first: np.ndarray, start: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities of the words' languages, expected number of each pair of languages of neighbours in a chain)."""
+    found, forward, backward = _chain(e, first, start, moves)
+    inner = np.flatnonzero(~first)
+    pair = forward[inner - 1][:, :, None] * np.exp(moves) * backward[inner][:, None, :]
+    return found, (pair / pair.sum((1, 2), keepdims=True)).sum(0)
+
+
+def _chain(e: np.ndarray, first: np.ndarray, start: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each word: its probabilities, what comes from the words up to it, and from it and the words after
+    (each up to a factor)."""
     n, k = e.shape
     if not n:
-        return np.zeros((0, k))
+        return (np.zeros((0, k)),) * 3
     blocks = -(-n // BLOCK)
     pad = blocks * BLOCK - n
     local = np.exp(e - e.max(1, keepdims=True))
@@ -109,14 +123,16 @@ def forward_backward(e: np.ndarray, first: np.ndarray, start: np.ndarray, moves:
         a = np.where(begins[c][:, None], s, a @ t) * local[c]
         a = a / a.sum(1, keepdims=True)
         forward[c] = a
+    found, after = np.empty_like(forward), np.empty_like(forward)
     b = back
     for c in reversed(range(BLOCK)):
-        forward[c] *= b
+        found[c] = forward[c] * b
         b = b * local[c]
+        after[c] = b
         b = np.where(begins[c][:, None], (b * s).sum(1, keepdims=True), b @ t.T)
         b = b / b.sum(1, keepdims=True)
-    found = forward / forward.sum(2, keepdims=True)
-    return found.swapaxes(0, 1).reshape(-1, k)[:n]
+    found = found / found.sum(2, keepdims=True)
+    return tuple(x.swapaxes(0, 1).reshape(-1, k)[:n] for x in (found, forward, after))
 
 
 def fit(pieces: list[str], langs: list[str], epochs: int = 3, rate: float = 0.3, batch: int = 96, seed: int = 7) -> Crf:
@@ -147,16 +163,14 @@ def fit(pieces: list[str], langs: list[str], epochs: int = 3, rate: float = 0.3,
             first[0] = True
             feature, word = word_features(LOWER[data], starts, ends)
             e = emissions(model.weights, feature, word, len(starts))
-            found = forward_backward(e, first, model.start, model.moves)
+            found, pairs = expected_pairs(e, first, model.start, model.moves)
             off_by = -found
             off_by[np.arange(len(truth)), truth] += 1
             dw = np.column_stack([np.bincount(feature, off_by[word, c], 1 << BITS) for c in range(k)]) / len(starts) * 8
             ds = off_by[first].sum(0) / len(starts) * 8
-            # transitions: observed minus expected pairs, with pair probabilities from the neighbours' marginals
+            # transitions: observed minus expected pairs
             inner = np.flatnonzero(~first)
-            pair = np.exp(model.moves)[None] * found[inner - 1][:, :, None] * found[inner][:, None, :]
-            pair /= pair.sum((1, 2), keepdims=True)
-            dm = -pair.sum(0)
+            dm = -pairs
             np.add.at(dm, (truth[inner - 1], truth[inner]), 1)
             dm = dm / len(starts) * 8
             for x, g, acc in zip(model[1:], (dw, ds, dm), seen, strict=True):
@@ -203,19 +217,34 @@ def _predict(model: object):
     return run
 
 
+def shares(counts: dict[str, int], most: int) -> dict[str, float]:
+    """Which share of each language's rows to take: equal numbers, and all rows of languages with fewer."""
+    found: dict[str, float] = {}
+    left = most
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        found[lang] = min(1.0, left / (len(counts) - k) / n)
+        left -= min(n, left / (len(counts) - k))
+    return found
+
+
+def _sample(rows: DataFrame, most: int, *key: str) -> DataFrame:
+    """About ``most`` rows by the hash of ``key``, as many of each language as there are (few languages)."""
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return rows
+    pairs = [F.lit(x) for lang, share in shares(counts, most).items() for x in (lang, int(share * (1 << 40)))]
+    return rows.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 40)) < F.create_map(*pairs)[F.col("lang")])
+
+
 def train(docs: DataFrame, max_docs: int = 4_000, max_pieces: int = 6_000) -> Crf:
     """The model from a hash sample of ``docs`` (doc_id, text, lang), all of which may be learned from."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_million = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1_000_000))
-    share = min(1.0, max_docs / max(1, known.count()))
-    cut = known.filter(per_million("doc_id") < int(share * 1_000_000)).select(
+    cut = _sample(known, max_docs, "doc_id").select(
         "doc_id", "lang", F.split(F.trim("text"), r"[\x20\x09-\x0D]+").alias("w")).select(
         "doc_id", "lang", F.posexplode(F.transform(
             F.sequence(F.lit(0), F.floor((F.size("w") - 1) / PIECE).cast("int")),
             lambda i: F.array_join(F.slice("w", i * PIECE + 1, F.lit(PIECE)), " "))).alias("piece", "words"))
-    share = min(1.0, max_pieces / max(1, cut.count()))
-    rows = cut.filter(per_million("doc_id", "piece") < int(share * 1_000_000)).orderBy("doc_id", "piece").select(
-        "words", "lang").collect()
+    rows = _sample(cut, max_pieces, "doc_id", "piece").orderBy("doc_id", "piece").select("words", "lang").collect()
     if not rows:
         return Crf([], np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0)))
     return fit([r["words"] for r in rows], [r["lang"] for r in rows])

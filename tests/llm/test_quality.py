@@ -153,3 +153,36 @@ def test_forward_backward_equals_the_plain_recursion():
             back[-1] /= back[-1].sum()
         want = np.array(f) * np.array(back[::-1])
         assert np.allclose(got[a:b], want / want.sum(1, keepdims=True), atol=1e-9)
+
+
+def test_transition_gradient_by_finite_differences():
+    """Observed minus expected pairs is the slope of the likelihood of the labels, by enumeration of all labellings."""
+    import itertools
+    rng = np.random.default_rng(3)
+    n, k = 6, 3
+    e, start, moves = rng.normal(size=(n, k)), rng.normal(size=k), rng.normal(size=(k, k))
+    first = np.array([True, False, False, True, False, False])
+    truth = rng.integers(0, k, n)
+
+    def total(y, moves):
+        return sum(e[i, y[i]] + (start[y[i]] if first[i] else moves[y[i - 1], y[i]]) for i in range(n))
+
+    def likelihood(moves):
+        return total(truth, moves) - np.log(sum(np.exp(total(y, moves)) for y in itertools.product(range(k), repeat=n)))
+
+    found, pairs = language_crf.expected_pairs(e, first, start, moves)
+    slope = -pairs
+    inner = np.flatnonzero(~first)
+    np.add.at(slope, (truth[inner - 1], truth[inner]), 1)
+    for a in range(k):
+        for b in range(k):
+            step = np.zeros((k, k))
+            step[a, b] = 1e-5
+            assert abs((likelihood(moves + step) - likelihood(moves - step)) / 2e-5 - slope[a, b]) < 1e-6
+    assert abs(pairs.sum() - len(inner)) < 1e-9
+
+
+def test_a_rare_language_is_learned_whole():
+    got = language_crf.shares({"en": 1_000_000, "de": 1_000_000, "xx": 20}, 4_000)
+    assert got["xx"] == 1 and abs(got["en"] * 1_000_000 - 1_990) < 1
+    assert language_crf.shares({"en": 3}, 10) == {"en": 1.0} and language_crf.shares({}, 10) == {}
