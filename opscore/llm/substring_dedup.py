@@ -13,7 +13,9 @@ also starts earlier (in a smaller doc_id, or earlier in the same document).
    covered by any other window estimated repeated.
 
 Grouping is by window with a partial ``min``, so a passage in a third of all documents
-is one row per task.  What meets in one task per document is bounded by its own windows.
+is one row per task.  What meets in one task per document is bounded by its own windows;
+where doc_ids repeat (or several are null), the list of firsts is kept for each different
+text of an id, so it holds no other row's windows.
 
 Defined cases: null text is empty; texts of fewer than ``size`` words keep all;
 rows that share a doc_id are each judged alone against all other doc_ids; a null doc_id
@@ -34,10 +36,9 @@ from pyspark.sql.types import StructType
 
 from . import sketch
 from .anchors import Runs, runs, window_keys
-from .text import Spans, byte_values, covered, mix, repeated, slices, word_hashes, words
+from .text import Spans, byte_values, covered, ids_repeat, mix, repeated, slices, word_hashes, words
 
 SIZE, GRAM = 20, 10
-_KEYS = "h long, c int, doc_id long"
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
 
@@ -57,23 +58,31 @@ def _in_row(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
     return mix(keys + mix((row + 1).astype(np.uint64)))
 
 
-def _firsts(docs: DataFrame, may: object) -> DataFrame:
-    """doc_id and the windows, among those estimated repeated, that no smaller doc_id has."""
+def _firsts(docs: DataFrame, may: object, by: list[str]) -> DataFrame:
+    """doc_id and the windows, among those estimated repeated, that no smaller doc_id has.
+
+    Where ids repeat, ``by`` names the text too: each text of an id gets its own windows among
+    those of which the id is the first.  One list for the id would hold the windows of all
+    its rows and meet each of them.
+    """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, r, *_ in _slices(batch, 1):
+            owner = [c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]
+            for lo, _, r, *_ in _slices(batch, 0):
                 start, run = r.windows(np.flatnonzero(may.value.may(r.gram)))
                 h, c = window_keys(r, start, start + SIZE)
                 row = r.row[run]
                 _, new = repeated(_in_row(h, row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int32)), pa.array(ids[lo + row[new]])],
-                    ["h", "c", "doc_id"])
+                    [pa.array(h[new].view(np.int64)), pa.array(c[new].view(np.int32)),
+                     *(pa.array(o[lo + row[new]]) for o in owner)], ["h", "c", *by])
 
-    seen = docs.select("doc_id", "text").mapInArrow(emit, _KEYS)
-    return seen.groupBy("h", "c").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(
-        F.collect_list("h").alias("__firsts"))
+    seen = docs.select("text", *by).mapInArrow(emit, ", ".join(["h long", "c int", *(f"{k} long" for k in by)]))
+    firsts = seen.groupBy("h", "c").agg(F.min("doc_id").alias("doc_id"))
+    if len(by) > 1:
+        # equal rows bring equal windows: a partial distinct leaves one of each
+        firsts = seen.distinct().join(firsts, ["h", "c", "doc_id"], "left_semi")
+    return firsts.groupBy(*by).agg(F.collect_list("h").alias("__firsts"))
 
 
 def _with_firsts(docs: DataFrame) -> tuple[DataFrame, object]:
@@ -82,9 +91,12 @@ def _with_firsts(docs: DataFrame) -> tuple[DataFrame, object]:
     docs = docs.withColumns({"doc_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)),
                              "text": F.col("text").cast("string")})
     octets = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    by = ["doc_id"]
+    if ids_repeat(docs):
+        by, docs = ["doc_id", "__tag"], docs.withColumn("__tag", F.xxhash64("text"))
     may = spark.sparkContext.broadcast(
         sketch.repeats(docs.select("text"), _anchor_grams, octets // (3 * (SIZE - GRAM + 2))))
-    return docs.join(_firsts(docs, may), "doc_id", "left"), may
+    return docs.join(_firsts(docs, may, by), by, "left").drop("__tag"), may
 
 
 def _removed(batch: pa.RecordBatch, may: object) -> Iterator[tuple]:

@@ -24,7 +24,8 @@ The places found are resolved exactly, on the input:
     no task gets an unbounded group: those that a count-min sketch finds repeated, each
     once per slice of a task, with its smallest document;
  d. every document meets the strings and windows of which it is the first, and drops the
-    bytes that any other repeated window covers.
+    bytes that any other repeated window covers; where doc_ids repeat (or several are
+    null), each different text of an id meets only those that it holds itself.
 
 A table of all suffixes (8 bytes and more for each byte of text) would exceed the disk
 that such a job should use; the sampled one holds about one in 25 and loses no match.
@@ -50,7 +51,7 @@ from pyspark.sql import functions as F
 
 from . import scratch, sketch
 from .anchors import Runs, runs, window_keys
-from .text import Spans, byte_values, covered, mix, repeated, slices
+from .text import Spans, byte_values, covered, ids_repeat, mix, repeated, slices
 
 SIZE, GRAM = 100, 50
 MOST_STRINGS = 500
@@ -190,11 +191,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Masks of strings that come in order of anchor, document and place; an anchor's are kept together."""
     held = None
     for batch in _with_end(batches):
-        table = pa.Table.from_batches([b for b in (held, batch) if b is not None]).combine_chunks()
-        rows = table.to_batches()[0] if len(table) else None
+        parts = [b for b in (held, batch) if b is not None and len(b)]
         held = None
-        if rows is None:
+        if not parts:
             continue
+        rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
         anchors = rows.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         end = len(anchors)
         if batch is not None:  # the last anchor may go on in the next batch
@@ -244,12 +245,12 @@ def _in_text(h: np.ndarray, text_of: np.ndarray) -> np.ndarray:
 def _own_masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h, text_of = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for i in (1, 2))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_in_text(h, text_of).view(np.int64)), batch.column(3)],
-                                         ["doc_id", "h", "mask"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(_in_text(h, text_of).view(np.int64)),
+                                          batch.column(3)], ["doc_id", "tag", "h", "mask"])
 
 
 def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object) -> DataFrame:
-    """doc_id, h, mask of the strings of anchors in ``mixed``: windows of that string that start earlier."""
+    """doc_id, tag, h, mask of the strings of anchors in ``mixed``: windows of that string that start earlier."""
     spark = docs.sparkSession
     some = strings.join(mixed, "a", "left_semi").select("h", "doc_id").mapInArrow(_first_keys, "k long")
     some = scratch.stored(some, "suffix-firsts")
@@ -278,7 +279,8 @@ def _compared(docs: DataFrame, strings: DataFrame, mixed: DataFrame, hot: object
         _compare, "doc_id long, h long, text_of long, mask long")
     # what the filter let through in error is no first occurrence
     masks = masks.join(strings.select("doc_id", "h"), ["doc_id", "h"], "left_semi")
-    return masks.select("doc_id", "h", "text_of", "mask").mapInArrow(_own_masks, "doc_id long, h long, mask long")
+    return masks.select("doc_id", "h", "text_of", "mask").mapInArrow(
+        _own_masks, "doc_id long, tag long, h long, mask long")
 
 
 def _crowded(may: object, hot: object):
@@ -308,6 +310,39 @@ def _windows(docs: DataFrame, may: object, hot: object, again: object) -> DataFr
     return docs.mapInArrow(emit, "h long, c int, doc_id long").groupBy("h", "c").agg(F.min("doc_id").alias("doc_id"))
 
 
+def _tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every document with the name of its text."""
+    for batch in batches:
+        tags = [mix(r.spans(off[:-1], off[1:])).view(np.int64) for *_, r, _, off in _runs(batch, 1)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0, np.int64), *tags]))],
+                                         ["doc_id", "text", "tag"])
+
+
+def _of_each_text(docs: DataFrame, firsts: DataFrame, may: object, hot: object, again: object) -> DataFrame:
+    """doc_id, tag, h of what each text holds of the strings and windows of which its doc_id is the first.
+
+    One list for an id that many rows share would hold the strings of them all and meet each row.
+    """
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, tags = _ids(batch), batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, _, r, *_ in _runs(batch, 1):
+                maybe = may.value.may(r.gram)
+                apart = maybe & hot.value.may(r.gram)
+                which = np.flatnonzero(maybe)
+                start, run = r.windows(np.flatnonzero(apart))
+                keys = mix(r.spans(start, start + SIZE))
+                some = again.value.may(keys)
+                keys = np.concatenate([mix(r.spans(*_span(r, which))), keys[some] ^ _RUN])
+                row = np.concatenate([r.row[which], r.row[run[some]]])
+                _, new = repeated(_in_row(keys, row))
+                row = lo + row[new]
+                yield _batch([ids[row], tags[row], keys[new].view(np.int64)], ["doc_id", "tag", "h"])
+
+    held = docs.mapInArrow(emit, "doc_id long, tag long, h long").distinct()
+    return held.join(firsts, ["doc_id", "h"], "left_semi").select("doc_id", "tag", "h")
+
+
 def _own(h: np.ndarray, mask: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys of what a slice's documents are the first of, and their masks."""
     keys = _in_row(h, row)
@@ -389,10 +424,15 @@ def op3_suffix_dedup(docs: DataFrame, batches: int = BATCHES, most_strings: int
     crowd = contexts.filter(F.col("count") > most_strings).agg(F.sum("count")).first()[0] or 0
     again = spark.sparkContext.broadcast(sketch.repeats(docs, _crowded(may, hot), crowd * GRAM))
     single = scratch.stored(_windows(docs, may, hot, again).select("doc_id", F.col("h").bitwiseXOR(
-        F.lit(int(_RUN.astype(np.int64)))).alias("h"), F.lit(0).cast("long").alias("mask")), "suffix-windows")
-    firsts = strings.select("doc_id", "h", F.lit(0).cast("long").alias("mask")).unionAll(masks).unionAll(single).groupBy(
-        "doc_id").agg(F.collect_list(F.struct("h", "mask")).alias("firsts"))
-    return docs.join(firsts, "doc_id", "left").select("doc_id", "text", "firsts").mapInArrow(
+        F.lit(int(_RUN.astype(np.int64)))).alias("h")), "suffix-windows")
+    own = strings.select("doc_id", "h").unionAll(single)
+    by, whole = ["doc_id"], docs
+    if ids_repeat(docs):
+        by, whole = ["doc_id", "tag"], docs.mapInArrow(_tagged, "doc_id long, text string, tag long")
+        own = _of_each_text(whole, own, may, hot, again)
+    firsts = own.select(*by, "h", F.lit(0).cast("long").alias("mask")).unionAll(masks.select(*by, "h", "mask")).groupBy(
+        *by).agg(F.collect_list(F.struct("h", "mask")).alias("firsts"))
+    return whole.join(firsts, by, "left").select("doc_id", "text", "firsts").mapInArrow(
         _digest(may, hot, again), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
         "doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -24,6 +25,11 @@ LOWER[65:91] += 32
 _BYTES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.int64).astype(U64) * U64(2) + U64(1)
 
 
+def ids_repeat(docs: DataFrame) -> bool:
+    """Do some rows share a doc_id?  Counted over all rows, on the ids alone."""
+    return not docs.groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over all output bits (a bijection on 64 bits)."""
     x = x ^ (x >> U64(33))

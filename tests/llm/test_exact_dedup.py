@@ -49,6 +49,45 @@ def test_bytes(docs, batches, most):
     assert sorted(map(tuple, got), key=cases.key) == want
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark):
+    """Many rows without an id or with the same one: texts of their own, a passage of all, equal rows."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(None if k % 3 else 7, f"{' '.join(f'w{k}x{i}' for i in range(60))} {passage if k % 2 else ''}") for k in range(600)]
+    rows += [(None, rows[1][1])] * 200 + [(8, f"{rows[3][1]} {passage} {passage}"), (9, None), (None, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(7), rows
+
+
+def test_words_of_many_rows_that_share_an_id(shared_ids):
+    docs, rows = shared_ids
+    got = substring_dedup.op9_substring_dedup(docs).collect()
+    want = expected(rows, lambda t: t.encode().split(), b" ".join, 20)
+    assert sorted(map(tuple, got), key=cases.key) == sorted(((a, b, c, e) for a, b, c, _, e in want), key=cases.key)
+
+
+@pytest.mark.parametrize("most", [500, 2])
+def test_bytes_of_many_rows_that_share_an_id(shared_ids, most):
+    docs, rows = shared_ids
+    got = suffix_index.op3_suffix_dedup(docs, 2, most).collect()
+    want = expected(rows, lambda t: [bytes([b]) for b in t.encode()], b"".join, 100)
+    assert sorted(map(tuple, got), key=cases.key) == want
+
+
+def test_a_row_meets_its_own_windows_only(shared_ids):
+    found, _ = substring_dedup._with_firsts(shared_ids[0])
+    rows = found.selectExpr("size(split(trim(text), ' ')) - 19 AS windows", "size(__firsts) AS firsts").collect()
+    assert len(rows) == len(shared_ids[1]) and max(r.firsts or 0 for r in rows) > 0
+    assert all((r.firsts or 0) <= max(r.windows or 0, 0) for r in rows)
+
+
+def test_comparing_the_strings_of_no_anchor():
+    """A task may get no rows, or batches without any."""
+    import pyarrow as pa
+    assert list(suffix_index._compare(iter([]))) == []
+    empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 5 + [pa.array([], pa.binary())], list("abcdef"))
+    assert list(suffix_index._compare(iter([empty, empty]))) == []
+
+
 def test_dedup_stage_keeps_columns_and_clean_documents(spark, docs):
     got = {}
     stage = substring_dedup.dedup(docs[0])
