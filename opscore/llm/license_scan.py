@@ -192,7 +192,8 @@ def _sql_words(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '{WORD}')"
 
 
-#: The same by brute force: every line against every template.
+_STEP = max(len(t.split()) for _, t in TEMPLATES)
+#: The same by brute force: every line and every window of words against every template.
 ORACLE_SQL = f"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, {_sql_words("coalesce(text, '')")} AS w FROM documents),
 phrases(phrase, label) AS (VALUES {", ".join(f"({[*p.split()]!r}, '{label}')" for p, label in PHRASES.items())}),
@@ -203,7 +204,10 @@ base AS (
   SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
   FROM places GROUP BY doc_id),
 templates(label, t) AS (VALUES {", ".join(f"('{label}', {sorted(set(t.split()))!r})" for label, t in TEMPLATES)}),
-lines AS (SELECT doc_id, {_sql_words("unnest(string_split(text, chr(10)))")} AS w FROM docs),
+lines AS (
+  SELECT doc_id, {_sql_words("unnest(string_split(text, chr(10)))")} AS w FROM docs
+  UNION ALL
+  SELECT doc_id, w[i:i + {WIDE * _STEP - 1}] FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1, {_STEP})) AS i FROM docs)),
 hits AS (
   SELECT doc_id, label, len(list_intersect(list_distinct(w), t)) / len(t) AS part FROM lines, templates
   WHERE len(list_intersect(list_distinct(w), t)) >= ceil({THRESHOLD} * len(t) - 1e-9)),
