@@ -1,6 +1,6 @@
 """Joins.
 
-Size policy: no join forces a broadcast of data.  With AQE on, a side that turns out
+Size policy: no join forces a broadcast of data, and the roster's joins rule it out.  Elsewhere, with AQE on, a side that turns out
 small at run time is broadcast after its measured size is checked against
 ``spark.sql.autoBroadcastJoinThreshold``, otherwise it stays a shuffle join and
 skewed partitions are split.  The one thing that is broadcast is the list of heavy keys of
@@ -47,14 +47,35 @@ def month_roster_join(df: DataFrame, roster: DataFrame, date_col: str,
     """Attach the roster row of the same employee and month.
 
     ``month(a)=month(b) AND year(a)=year(b)`` becomes one equi-key
-    ``trunc(date,'MM')``, so the join hash-partitions on (employee, month).
+    ``trunc(date,'MM')``, so the join hash-partitions on (employee, month).  It is a merge join by hint: the
+    roster grows with employees and months, but the planner takes one that is expanded from a short table (or
+    a month list) for as small as that table, and a copy of it would be held by every task.
     """
     cols = roster_cols if roster_cols is not None else [
         c for c in roster.columns if c not in (key, "mes_referencia")]
     r = roster.selectExpr(f"`{key}` AS _rk", "trunc(to_date(mes_referencia), 'MM') AS _rym",
                           *[f"`{c}`" for c in cols])
     left = df.selectExpr("*", f"trunc(to_date(`{date_col}`), 'MM') AS _ym")
-    out = left.join(r, (left[key] == r["_rk"]) & (left["_ym"] == r["_rym"]), how)
+    out = left.join(r.hint("merge"), (left[key] == r["_rk"]) & (left["_ym"] == r["_rym"]), how)
+    return out.drop("_rk", "_rym", "_ym")
+
+
+def month_roster_counts(df: DataFrame, roster: DataFrame, date_col: str, cols: list[str | Column],
+                        key: str = "matricula", how: str = "inner") -> DataFrame:
+    """:func:`month_roster_join` with equal roster rows taken together.
+
+    Each row of ``df`` comes once for every different combination of ``cols`` among the roster rows of its
+    employee and month, with ``_rows``: how many roster rows have it (1 where a left join finds none).
+    Where ``df`` has one row per (employee, day), so has the result per combination: a sum over the joined rows
+    is the value times ``_rows`` and needs no further table of groups in the task.
+    """
+    r = roster.select(F.col(key).alias("_rk"), F.expr("trunc(to_date(mes_referencia), 'MM')").alias("_rym"), *cols)
+    # dealt out first: a roster expanded from a short table may come from a single task
+    r = r.repartition("_rk", "_rym").groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    left = df.selectExpr("*", f"trunc(to_date(`{date_col}`), 'MM') AS _ym")
+    out = left.join(r.hint("merge"), (left[key] == r["_rk"]) & (left["_ym"] == r["_rym"]), how)
+    if how == "left":
+        out = out.withColumn("_rows", F.coalesce("_rows", F.lit(1)))
     return out.drop("_rk", "_rym", "_ym")
 
 

@@ -28,7 +28,7 @@ from ..functions.labels import (area_rename, interaction_discount, percent_guard
                                 queue_weight, recontact_ratio, recontact_weight, shift_class)
 from ..functions.scoring import band_score, imputed_band_score, step_penalty
 from ..operators.filters import as_date, as_timestamp, normalised, ts_lit
-from ..operators.joins import (employee_day_spine, month_roster_join, month_target_join,
+from ..operators.joins import (employee_day_spine, month_roster_counts, month_roster_join, month_target_join,
                                roster_filter, split_left_join, targets_for, try_long)
 from ..operators.setops import union_all, union_null_padded
 
@@ -188,27 +188,17 @@ class Scorecard:
             F.sum(F.when(F.col("atendente").isNotNull(), q)).alias("_qa"),
             F.count(F.when(F.col("atendente").isNotNull(), F.lit(1))).alias("_na"))
 
-    @cached_property
-    def rostered_day_totals(self) -> DataFrame:
-        """Day totals of agents on the roster that month, with the roster
-        columns the daily indicators need (one join for all of them)."""
-        return month_roster_join(
-            self.resolution_day_totals, self.agents, "data_resolucao",
-            roster_cols=["matricula_supervisor", "matricula_coordenador", "matricula_gerente",
-                         "area", "horario_inicio", "horario_fim"])
-
     @cached_property
     def resolution_score_daily(self) -> DataFrame:
         """Weighted resolution rate per agent-day and its band score.
 
         Resolutions are pre-aggregated per (day, agent) before meeting the
-        roster, then re-summed per roster row, which equals summing the
-        joined rows (a duplicated roster row doubles both sums alike).
+        roster, whose equal rows are counted: the totals times their number are the sums
+        of the joined rows (a duplicated roster row doubles both sums alike).
         """
-        keys = ["data_resolucao", "matricula", "matricula_supervisor",
-                "matricula_coordenador", "matricula_gerente"]
-        b = self.rostered_day_totals.groupBy(*keys).agg(
-            F.sum("_w").alias("resolvidos"), F.sum("_q").alias("_q"))
+        b = month_roster_counts(self.resolution_day_totals, self.agents, "data_resolucao",
+                                ["matricula_supervisor", "matricula_coordenador", "matricula_gerente"])
+        b = b.withColumn("resolvidos", F.col("_w") * F.col("_rows")).withColumn("_q", F.col("_q") * F.col("_rows"))
         b = b.withColumn("_pct", safe_div("resolvidos", "_q"))
         b = b.withColumn("ym", month_key("data_resolucao"))
         s = month_target_join(b, self._targets("resolutividade"))
@@ -238,9 +228,9 @@ class Scorecard:
                                        F.to_date("data_respondido_cliente"))).alias("data_"),
                      "matricula", _tenths("fila").alias("_w"))
         pre = y.groupBy("data_", "matricula").agg((F.sum("_w") / 10).alias("_w"))
-        j = month_roster_join(pre, self.agents, "data_", how="left", roster_cols=["area"])
-        return (j.groupBy("data_", "matricula", F.col("area").alias("area_gabi"))
-                .agg(F.sum("_w").alias("recorrencia")))
+        j = month_roster_counts(pre, self.agents, "data_", ["area"], how="left")
+        return j.select("data_", "matricula", F.col("area").alias("area_gabi"),
+                        (F.col("_w") * F.col("_rows")).alias("recorrencia"))
 
     @cached_property
     def daily_resolved(self) -> DataFrame:
@@ -252,10 +242,10 @@ class Scorecard:
     @cached_property
     def production_by_shift(self) -> DataFrame:
         """Incidents per (day, agent, area, shift class)."""
-        j = self.rostered_day_totals
-        return (j.groupBy("data_resolucao", "matricula", "area",
-                          shift_class("horario_inicio", "horario_fim").alias("escala"))
-                .agg(F.sum("_q").alias("producao")))
+        j = month_roster_counts(self.resolution_day_totals, self.agents, "data_resolucao",
+                                ["area", shift_class("horario_inicio", "horario_fim").alias("escala")])
+        return j.select("data_resolucao", "matricula", "area", "escala",
+                        (F.col("_q") * F.col("_rows")).alias("producao"))
 
     @cached_property
     def absence_production(self) -> DataFrame:

@@ -176,3 +176,37 @@ def test_mean_of_hundredths_keeps_infinity(spark):
     df = spark.createDataFrame(data, "k int, v double").groupBy("k").agg(_mean_of_hundredths(F.col("v")).alias("m"))
     got = {r["k"]: r["m"] for r in df.collect()}
     assert abs(got[1] - 0.15) < 1e-12 and got[2] == inf and got[3] is None and got[4] != got[4]
+
+
+# ---------------------------------------------------------------- roster joins
+def test_month_roster_counts_equal_the_sums_of_the_joined_rows(spark):
+    from opscore.operators import month_roster_counts, month_roster_join
+    days = spark.createDataFrame(
+        [(k, dt.date(2024, m, d), v) for k in (1, 2, 3, None) for m in (1, 2) for d, v in ((3, 1.5), (9, None), (28, 0.25))]
+        + [(1, None, 4.0)], "matricula long, dia date, v double")
+    roster = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 1), "a")] * 3 + [(1, dt.date(2024, 1, 1), "b"), (2, dt.date(2024, 2, 1), None),
+                                               (2, dt.date(2024, 2, 7), None), (None, dt.date(2024, 1, 1), "c"), (3, None, "d")],
+        "matricula long, mes_referencia date, area string")
+    for how in ("inner", "left"):
+        want = (month_roster_join(days, roster, "dia", how=how, roster_cols=["area"])
+                .groupBy("matricula", "dia", "area").agg(F.sum("v").alias("v")))
+        got = month_roster_counts(days, roster, "dia", ["area"], how=how).select(
+            "matricula", "dia", "area", (F.col("v") * F.col("_rows")).alias("v"))
+        assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("key", ["union_distinct", "production_score", "production_with_absence", "recontact_daily",
+                                 "shift_class_production", "union_null_padded", "worst_production_per_day",
+                                 "resolution_score_daily"])
+def test_no_task_holds_a_copy_of_the_roster(spark, key):
+    """The roster is planned for as small as the suppliers it is expanded from, yet no join broadcasts it."""
+    from opscore import registry
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    joins = [ln for ln in plan.splitlines() if "_rk" in ln and "Join" in ln]
+    assert joins and all("SortMergeJoin" in ln for ln in joins)
