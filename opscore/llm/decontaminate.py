@@ -8,8 +8,8 @@ retrieval, as they would make all passages of a language alike.
 
 * Latent space: a randomised SVD.  A random matrix is multiplied by A'A (A: passages by words)
   a few times, orthonormalised in between; the tasks multiply their own passages and Spark adds
-  up the products.  It is fitted on a bounded sample (at most about ``max_docs``, 10,000 documents
-  taken by the hash of doc_id, all their passages) with the items added.
+  up the products, one at a time.  It is fitted on the passages of every document, with the items added (a caller may
+  bound it to about ``max_docs`` documents, taken by the hash of doc_id).
 * Candidates: every passage of every document is projected and compared with every item
   (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.
 * Bound: the space has fewer directions than words, and the words around a copy weigh on its
@@ -40,7 +40,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +53,7 @@ MOST_COMMON = 0.01
 LCS_ALONE, LCS_WITH_ANSWER = 0.75, 0.6
 ANSWER = 12
 ROUND = 256
-_CHUNK = 512  # vocabulary rows in a part of a product
+_CHUNK = 32  # vocabulary rows in a part of a product: every task sends its parts, and many tasks add them up
 _GROUP = 32  # items that are counted at once
 
 _BREAK = np.ones(256, bool)
@@ -161,7 +160,22 @@ def _passages(z: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return z[some] + two[some], row[some], place[some]
 
 
-def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: int, seed: int = 11) -> Space:
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """part, rows: the sums of the products of each part, whose rows are all in this task; one sum is held per part."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for part, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            product = np.frombuffer(rows.as_buffer())
+            if part in total:
+                total[part] += product
+            else:
+                total[part] = product.copy()
+    for part, rows in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([rows.tobytes()], pa.binary())],
+                                         ["part", "rows"])
+
+
+def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: int | None = None, seed: int = 11) -> Space:
     spark = docs.sparkSession
     own: Items = items.value
     size = len(own.vocabulary)
@@ -170,8 +184,10 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
     weight = idf * rare
     rank = min(RANK + EXTRA, size)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, rank)))[0].astype(np.float32)
-    share = min(1.0, max_docs / max(1, docs.count()))
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select("text")
+    fitted = docs
+    if max_docs is not None:
+        share = min(1.0, max_docs / max(1, docs.count()))
+        fitted = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def product(matrix: object):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,15 +210,11 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
                                                      ["part", "rows"])
         return run
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        rows = sum(np.frombuffer(r) for r in group["rows"])
-        return pd.DataFrame({"part": [group["part"].iloc[0]], "rows": [rows.tobytes()]})
-
     for _ in range(STEPS):
         sent = spark.sparkContext.broadcast(basis)
         total_product = np.zeros((size, rank))
-        for r in sample.mapInArrow(product(sent), "part long, rows binary").groupBy("part").applyInPandas(
-                add, "part long, rows binary").collect():
+        for r in fitted.select("text").mapInArrow(product(sent), "part long, rows binary").repartition("part").mapInArrow(
+                _added, "part long, rows binary").collect():
             rows = np.frombuffer(bytes(r["rows"])).reshape(-1, rank)
             total_product[r["part"]:r["part"] + len(rows)] += rows
         for w in own.chunk_words:
@@ -343,7 +355,7 @@ def found_in(texts: pa.Array, items: Items, space: Space) -> Iterator[tuple[int,
             yield lo + r, item, cos, share, answer
 
 
-def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int) -> Iterator[tuple[object, object]]:
+def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int | None) -> Iterator[tuple[object, object]]:
     """Broadcast items and latent space, round by round."""
     sc = docs.sparkSession.sparkContext
     n = benchmark.count()
@@ -358,7 +370,7 @@ def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int) -> Iterator[tu
             yield items, sc.broadcast(latent_space(docs, items, total, max_docs))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int = 10_000) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int | None = None) -> DataFrame:
     """doc_id, item_id, cosine, lcs_share, answer_found: a row for each document and item it contains."""
     schema = "doc_id long, item_id long, cosine double, lcs_share double, answer_found boolean"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -381,7 +393,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int = 10_000)
     return out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, max_docs: int = 10_000) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, max_docs: int | None = None) -> DataFrame:
     """Pipeline stage: the documents that contain no benchmark item, all columns."""
     def clean(items: object, space: object, at: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

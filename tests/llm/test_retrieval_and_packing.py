@@ -193,6 +193,31 @@ def test_decontamination_odd_cases(spark, docs):
     assert decontaminate.op2_decontaminate(cases.empty(spark), odd).count() == 0
 
 
+def test_latent_space_is_fitted_on_every_document(spark):
+    """The space of 12,000 documents is that of the same products by brute force over all of them."""
+    rng = np.random.default_rng(8)
+    items = decontaminate.items_of([(k, " ".join(f"w{int(j)}" for j in rng.integers(0, 60, 12))) for k in range(10)])
+    texts = [" ".join(f"w{int(j)}" for j in rng.integers(0, 80, 6)) for _ in range(12_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    sent, size = spark.sparkContext.broadcast(items), len(items.vocabulary)
+    total = decontaminate.document_frequencies(docs, sent, size)
+    total[-1] *= 1000  # no word is common
+    got = decontaminate.latent_space(docs, sent, total)
+    place = {int(h): k for k, h in enumerate(items.vocabulary)}
+    counts = np.zeros((len(texts) + len(items.chunk_words), size))
+    for row, words in enumerate([*([place.get(int(h), -1) for h in decontaminate._hashes(t)] for t in texts), *items.chunk_words]):
+        for w in words:
+            counts[row, w] += w >= 0
+    counts *= got.idf
+    rank = min(decontaminate.RANK + decontaminate.EXTRA, size)
+    basis = np.linalg.qr(np.random.default_rng(11).standard_normal((size, rank)))[0]
+    for _ in range(decontaminate.STEPS):
+        basis = np.linalg.qr(counts.T @ (counts @ basis))[0]
+    assert np.allclose(np.abs(got.basis), np.abs(basis[:, :decontaminate.RANK] * got.idf[:, None]), atol=2e-3)
+    few = decontaminate.latent_space(docs, sent, total, max_docs=2_000)
+    assert not np.allclose(np.abs(few.basis), np.abs(got.basis), atol=2e-3)
+
+
 def test_weighted_common_subsequence():
     rng = np.random.default_rng(3)
     weight = rng.random(6).astype(np.float32)
