@@ -1,20 +1,25 @@
 """Main-text extraction with union-free regular-expression wrappers, inferred per host.
 
-Pages of one host mostly come from one template.  A bounded sample of a host's
-pages (at most ``SAMPLE``, the smallest hash in each of as many buckets) is turned into a
-wrapper: starting from the first page, each further page is aligned with it, element by
-element.  Equal elements are unified; consecutive equal siblings fold into a repeated
+Pages of one host mostly come from one template.  All different pages of a host are turned into
+a wrapper: page by page, each is aligned with what the others gave, element by
+element (the common elements of most text are paired).  Equal elements are unified; consecutive equal siblings fold into a repeated
 group ``(...)+``; elements that one side lacks become optional ``(...)?``; texts that differ
 become slots, texts that never do stay constants.  No alternatives arise, so the wrapper
 is a union-free regular expression.  Its main container is found from the slots: from the root on, the
 child with more than half of the text in slots (an ``article`` or ``main`` needs a third, and ends the
 search), parts that are never article text (menus, forms, adverts, comments, ...) left aside.
 Every page of the host is then cut with the wrapper: what its slots and groups hold in the container stays,
-and blocks that are constants of the wrapper, the same in all of ``LEAST`` or more different
-sampled pages, go (headings stay).  A page in which the main container is missing gets a wrapper of
+and blocks that are constants of the wrapper, the same in all of the host's ``LEAST`` or more different
+pages, go (headings stay).  A page in which the main container is missing gets a wrapper of
 its own, without constants.  Outside the container, names of classes tell what is no article
 text; within it only those of adverts, comments, menus and the like do: a ``related-work`` section stays.
 
+The wrapper does not depend on how Spark deals the pages.  A page's tree travels alone, its texts as 64-bit
+hashes; a host's trees meet in groups of about ``GROUP`` by the pages' hashes, in their order, and the groups'
+wrappers in groups of ``FAN``, so a host with a third of all pages is in no task as a whole.  A wrapper grows with the
+template, not with the pages: an element's children that every page has are no more than the smallest page has, and where more than
+``WIDEST`` others gather, equal ones become one optional repeated group (by tag alone, ``tag.*``, where that is not enough).
+
 Blocks are the runs of text between block-level tags; ``<br>`` is white space.
 
 Defined cases: null or empty html gives an empty text; broken markup is read as far as it
@@ -24,22 +29,29 @@ goes (unclosed elements end with their parent); a null url, or one without a hos
 
 from __future__ import annotations
 
+import copy
+import hashlib
 import html as entities
 import json
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import sketch
+from . import scratch, sketch
 from .text import U64
 
-SAMPLE = 8
+GROUP = 256       # pages of a host that are aligned in one go, about
+FAN = 16          # wrappers of such groups that are aligned in one go
+WIDEST = 64       # optional children of an element before equal ones are taken together
+MOST_CELLS = 40_000  # of an alignment table; longer lists of children are matched by their longest blocks
 LEAST = 3
 SALT = 32
 MOST_DEPTH = 100  # the wrapper has deeper elements' children at this depth; pages are cut at any depth
@@ -147,16 +159,17 @@ def events(page: str) -> Iterator[tuple[str, str, int]]:
 class Element:
     """A node of a page's tree or of a wrapper: signature, children, how often, texts."""
 
-    __slots__ = ("sig", "never", "kids", "optional", "repeated", "text", "varies", "chars", "texts")
+    __slots__ = ("sig", "never", "kids", "optional", "repeated", "text", "varies", "chars", "size", "texts")
 
-    def __init__(self, sig: str, never: int = 0, text: str = ""):
+    def __init__(self, sig: str, never: int = 0, text: str | bytes = "", chars: int = 0):
         self.sig, self.never, self.kids, self.text = sig, never, [], text
         self.optional = self.repeated = self.varies = False
-        self.chars = len(text)
+        self.chars = self.size = chars  # its own, and with its children's
         self.texts = frozenset((text,) if text else ())  # that every page has here
 
 
-def tree(page: str) -> Element:
+def tree(page: str, name: Callable[[str], str | bytes] = str) -> Element:
+    """``name``: what stands for a text."""
     root = Element("")
     path = [root]
     for kind, what, never in events(page):
@@ -169,7 +182,8 @@ def tree(page: str) -> Element:
         elif kind == "close":
             path.pop()
         elif kind == "text" and what.strip():
-            path[-1].kids.append(Element("#", 0, " ".join(what.split())))
+            text = " ".join(what.split())
+            path[-1].kids.append(Element("#", 0, name(text), len(text)))
     return _fold(root)
 
 
@@ -182,10 +196,63 @@ def _fold(e: Element) -> Element:
             kids[-1].repeated = True
         else:
             kids.append(kid)
-    e.kids = kids
+    e.kids, e.size = kids, e.chars + sum(k.size for k in kids)
     return e
 
 
+def _aligned(a: list[Element], b: list[Element]) -> list[tuple[int, int]]:
+    """Places of equal elements, in order on both sides; of all ways the one with most text in them."""
+    left, right = [x.sig for x in a], [x.sig for x in b]
+    if left == right:
+        return [(i, i) for i in range(len(a))]
+    if len(a) * len(b) > MOST_CELLS:
+        return [(m.a + k, m.b + k) for m in SequenceMatcher(None, left, right, False).get_matching_blocks() for k in range(m.size)]
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        here, below = best[i], best[i + 1]
+        for j in range(len(b) - 1, -1, -1):
+            most = below[j] if below[j] >= here[j + 1] else here[j + 1]
+            if left[i] == right[j]:
+                most = max(most, a[i].size + b[j].size + 1 + below[j + 1])
+            here[j] = most
+    pairs, i, j = [], 0, 0
+    while i < len(a) and j < len(b):
+        if left[i] == right[j] and best[i][j] == a[i].size + b[j].size + 1 + best[i + 1][j + 1]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def _as_optional(e: Element) -> Element:
+    if not e.optional:
+        e = copy.copy(e)
+        e.optional = True
+    return e
+
+
+def _gathered(kids: list[Element]) -> list[Element]:
+    """Not more than ``WIDEST`` optional children where equal signatures, or else equal tags, allow it."""
+    for general in (False, True):
+        if sum(k.optional for k in kids) <= WIDEST:
+            break
+        out: list[Element] = []
+        place: dict[tuple[str, int], int] = {}
+        for k in kids:
+            sig = f"{k.sig.split('.')[0]}.*" if general else k.sig
+            at = place.setdefault((sig, k.never), len(out)) if k.optional else len(out)
+            if at == len(out):
+                out.append(k)
+            else:
+                out[at] = unify(out[at], k)
+                out[at].sig, out[at].repeated = sig, True
+        kids = out
+    return kids
+
+
 def unify(a: Element, b: Element, one_page: bool = False) -> Element:
     """The smallest wrapper that matches what ``a`` and ``b`` match; both have one signature.
 
@@ -193,15 +260,15 @@ def unify(a: Element, b: Element, one_page: bool = False) -> Element:
     """
     out = Element(a.sig, min(a.never, b.never), a.text)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
-    out.varies, out.chars = a.varies or b.varies or a.text != b.text, a.chars + b.chars
+    out.varies, out.chars, out.size = a.varies or b.varies or a.text != b.text, a.chars + b.chars, a.size + b.size
     out.texts = a.texts | b.texts if one_page else a.texts & b.texts
-    for what, i, j, k, m in SequenceMatcher(None, [x.sig for x in a.kids], [x.sig for x in b.kids], False).get_opcodes():
-        if what == "equal":
-            out.kids += [unify(x, y, one_page) for x, y in zip(a.kids[i:j], b.kids[k:m], strict=True)]
-        else:
-            for x in a.kids[i:j] + b.kids[k:m]:
-                x.optional = True
-                out.kids.append(x)
+    i = j = 0
+    for k, m in [*_aligned(a.kids, b.kids), (len(a.kids), len(b.kids))]:
+        out.kids += map(_as_optional, a.kids[i:k] + b.kids[j:m])
+        if k < len(a.kids) and m < len(b.kids):
+            out.kids.append(unify(a.kids[k], b.kids[m], one_page))
+        i, j = k + 1, m + 1
+    out.kids = _gathered(out.kids)
     return out
 
 
@@ -254,6 +321,8 @@ def main_path(wrapper: Element) -> list[str]:
         best = max(range(len(share)), key=lambda k: (share[k], named[k]), default=None)
         if best is None or not total or here.kids[best].sig.split(".")[0] in _LEAF or share[best] < total or share[best] == total and not named[best]:
             break
+        if here.kids[best].sig.endswith(".*"):  # several elements, none of them the container
+            break
         here = here.kids[best]
         path.append(here.sig)
     return path
@@ -344,28 +413,93 @@ def main_text(page: str | None, path: list[str] | None, without: Iterable[str] =
     return "\n".join(blocks)
 
 
-def _wrapper_of(group: pd.DataFrame) -> pd.DataFrame:
-    pages = list(dict.fromkeys(p for p in group.sort_values("h")["html"] if p))
-    wrapper = infer(pages) if pages else Element("")
-    path = main_path(wrapper)
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "path": [json.dumps(path)],
-                         "constants": [constants(wrapper, path, len(pages))], "wrapper": [expression(wrapper)]})
+def _name(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+
 
+def _packed(e: Element) -> tuple:
+    return (e.sig, e.never, e.optional, e.repeated, e.varies, e.text, e.chars, e.size, b"".join(sorted(e.texts)),
+            [_packed(k) for k in e.kids])
+
+
+def _unpacked(row: tuple) -> Element:
+    e = Element(row[0], row[1])
+    e.optional, e.repeated, e.varies, e.text, e.chars, e.size = row[2:8]
+    e.texts = frozenset(row[8][i:i + 8] for i in range(0, len(row[8]), 8))
+    e.kids = [_unpacked(k) for k in row[9]]
+    return e
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host, path (of the main container, JSON), constants and wrapper of every host, from its sampled pages."""
-    rows = pages.select(*_page(pages)).withColumn("h", F.xxhash64("page_id", "html")).withColumn(
-        "bucket", F.pmod("h", F.lit(SAMPLE))).select("host", "bucket", "h", "html")
-    # the hashes are chosen first, and pages of other hashes (but a few) left out before any page is moved
-    chosen = rows.groupBy("host", "bucket").agg(F.min("h").alias("h"))
-    wanted = rows.sparkSession.sparkContext.broadcast(sketch.members(chosen, "h", chosen.count()))
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_TREES = "host string, bucket long, k binary, pages long, h long, html string, tree binary"
+
+
+def _trees(wanted: object, bits: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each page's tree, once a batch; those that may be their host's first page keep their html."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(wanted.value.may(batch.column(2).to_numpy().view(U64))))
+            hashes = batch.column(1).to_numpy().view(U64)
+            found: dict[tuple[str, bytes], tuple] = {}
+            for host, h, first, page in zip(batch.column(0).to_pylist(), hashes.tolist(), wanted.value.may(hashes).tolist(),
+                                            batch.column(2).to_pylist(), strict=True):
+                k = hashlib.blake2b(page.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                if (host, k) not in found:
+                    found[host, k] = (host, h >> (64 - bits.value.get(host, 0)), k, 1, h, page if first else None,
+                                      pickle.dumps(_packed(tree(page, _name)), 5))
+            host, bucket, k, one, h, html, trees = zip(*found.values(), strict=True) if found else [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(host, pa.string()), pa.array(bucket, pa.int64()), pa.array(k, pa.binary()), pa.array(one, pa.int64()),
+                 pa.array(np.array(h, U64).view(np.int64)), pa.array(html, pa.string()), pa.array(trees, pa.binary())],
+                ["host", "bucket", "k", "pages", "h", "html", "tree"])
+    return run
+
+
+def _together(group: pd.DataFrame) -> pd.DataFrame:
+    """One wrapper of a group's different pages, or of its wrappers."""
+    group = group.drop_duplicates("k").sort_values("k")
+    wrapper = None
+    for row in group["tree"]:
+        one = _unpacked(pickle.loads(row))
+        wrapper = one if wrapper is None else unify(wrapper, one)
+    first = group.iloc[[int(group["h"].argmin())]]
+    return first.assign(k=group["k"].iloc[0], pages=int(group["pages"].sum()), tree=pickle.dumps(_packed(wrapper), 5))
+
+
+def _with_texts(e: Element, texts: dict[bytes, str]) -> Element:
+    e.text = texts.get(e.text, "#TEXT") if e.text else ""
+    e.texts = frozenset(texts[x] for x in e.texts if x in texts)
+    e.kids = [_with_texts(k, texts) for k in e.kids]
+    return e
 
-    sample = rows.mapInArrow(some, rows.schema).join(chosen, ["host", "bucket", "h"]).dropDuplicates(["host", "bucket", "h"])
-    return sample.groupBy("host").applyInPandas(_wrapper_of, "host string, path string, constants array<string>, wrapper string")
+
+def _wrapper_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Constants are in every page, so one page has their texts."""
+    for batch in batches:
+        rows = []
+        for row in batch.to_pylist():
+            texts = {_name(text): text for kind, what, _ in events(row["html"] or "") if kind == "text" and (text := " ".join(what.split()))}
+            wrapper = _with_texts(_unpacked(pickle.loads(row["tree"])), texts)
+            path = main_path(wrapper)
+            rows.append((row["host"], json.dumps(path), constants(wrapper, path, row["pages"]), expression(wrapper)))
+        kinds = (pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                                         ["host", "path", "constants", "wrapper"])
+
+
+def wrappers(pages: DataFrame, group: int = GROUP) -> DataFrame:
+    """host, path (of the main container, JSON), constants and wrapper of every host, from all its pages (but empty ones)."""
+    context = pages.sparkSession.sparkContext
+    rows = pages.select(*_page(pages)).filter("html != ''").select("host", F.xxhash64("html").alias("h"), "html")
+    hosts = scratch.stored(rows.select("host", "h").distinct().groupBy("host").agg(
+        F.count("*").alias("pages"), F.min("h").alias("h")), "hosts")
+    wanted = context.broadcast(sketch.members(hosts, "h", hosts.count()))
+    large = {r["host"]: (-(-r["pages"] // group) - 1).bit_length() for r in hosts.filter(F.col("pages") > group).collect()}
+    found = rows.mapInArrow(_trees(wanted, context.broadcast(large)), _TREES)
+    for level in range(1 + -(-max(large.values(), default=0) // (FAN - 1).bit_length())):
+        if level:
+            found = found.withColumn("bucket", F.shiftright("bucket", (FAN - 1).bit_length()))
+        found = found.groupBy("host", "bucket").applyInPandas(_together, _TREES)
+    return found.select("host", "pages", "html", "tree").mapInArrow(
+        _wrapper_rows, "host string, path string, constants array<string>, wrapper string")
 
 
 def _page(pages: DataFrame) -> list:

@@ -87,3 +87,44 @@ def test_headings_stay():
 def test_a_broken_page_of_very_many_open_elements():
     page = "<html><body><article>" + "<div><span><p>x" * 20_000
     assert H.main_text(page, ["html", "body", "article"]).count("x") == 20_000
+
+
+def host_pages(n: int, lacking: int | None = None) -> list[tuple]:
+    """A host whose container has one block on all pages, and one on all but the page ``lacking``."""
+    rnd = random.Random(17)
+    return [(i, f"https://large.example/{i}", "<html><body><nav>menu</nav><article>"
+             + "".join(f"<p>{words(rnd, 20)}</p>" for _ in range(rnd.randint(1, 4)))
+             + "<div>on all pages</div>" + ("" if i == lacking else "<section>on nearly all pages</section>")
+             + "</article></body></html>") for i in range(n)]
+
+
+def test_a_constant_is_on_all_pages_of_the_host(spark):
+    for lacking in (3, 44):
+        pages = spark.createDataFrame(host_pages(60, lacking), "page_id long, url string, html string")
+        texts = {r["page_id"]: r["text"].split("\n") for r in H.op5_html_extract(pages).collect()}
+        assert all(("on nearly all pages" in t) == (i != lacking) and "on all pages" not in t for i, t in texts.items())
+
+
+def test_the_wrapper_does_not_depend_on_the_partitions(spark):
+    rows = host_pages(90, 8) + [(1_000 + i, f"https://other.example/{i}", site_page(random.Random(i), i % 4)[0]) for i in range(40)]
+    rows += rows[:30] * 3
+    found = []
+    for parts, order in ((1, 1), (7, -1)):
+        pages = spark.createDataFrame(rows[::order], "page_id long, url string, html string").repartition(parts)
+        found.append(sorted(map(tuple, H.wrappers(pages, group=4).collect())))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == ["large.example", "other.example"]
+    assert found[0][0][2] == ["on all pages"]
+
+
+def test_a_wrapper_stays_as_narrow_as_the_template():
+    rnd = random.Random(5)
+    tags = ("p", "ul", "h2", "pre", "table", "blockquote")
+    pages = ["<html><body><article>" + "".join(f"<{t}>{words(rnd, 3)}</{t}>" for t in rnd.choices(tags, k=30))
+             + f'<div class="c{words(rnd, 1)}"><p>{words(rnd, 3)}</p></div></article><p>always</p></body></html>' for _ in range(300)]
+    wrapper = H.infer(pages)
+
+    def width(e: H.Element) -> int:
+        return max([len(e.kids), *map(width, e.kids)])
+
+    assert width(wrapper) < 2 * H.WIDEST + 32 and H.main_path(wrapper) == ["html", "body", "article"]
+    assert wrapper.size == sum(H.tree(p).size for p in pages)
