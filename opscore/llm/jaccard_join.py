@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from . import sketch
 from .components import components
 from .scratch import stored
-from .text import LOWER, U64, Spans, byte_values, mix, slices, word_hashes, words
+from .text import LOWER, SLICE, U64, Spans, byte_values, mix, slices, word_hashes, words
 
 SHINGLE = 5
 LONG_LIST = 64
@@ -54,7 +54,7 @@ _NO_ID = -(1 << 63)  # stands for a null doc_id
 
 def row_sets(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, the sorted distinct shingles of each row) by slices."""
-    for lo, _, data, off in slices(texts):
+    for lo, _, data, off in slices(texts, SLICE):
         data = LOWER[data]
         starts, ends, bounds = words(data, off)
         spans = Spans(word_hashes(Spans(byte_values(data)), starts, ends))

@@ -38,32 +38,44 @@ def cells(keys: np.ndarray, bits: int, row: int) -> np.ndarray:
     return (low >> U64(64 - bits)).astype(np.int64)
 
 
+def _marks(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the packed bits of sorted cells, each byte once, and their bits in it."""
+    byte = at >> 3
+    first = np.flatnonzero(np.append(True, byte[1:] != byte[:-1])[:len(byte)])
+    bit = (128 >> (at & 7)).astype(np.uint8)
+    return byte[first], np.bitwise_or.reduceat(bit, first) if len(first) else bit
+
+
 class Counts:
-    """A task's own sketch."""
+    """A task's own sketch: two bits a cell, counted and counted again."""
 
     def __init__(self, bits: int):
         self.bits = bits
-        self.rows = [np.zeros(1 << bits, np.uint8) for _ in range(DEPTH)]
+        self.once, self.twice = ([np.zeros((1 << bits) // 8, np.uint8) for _ in range(DEPTH)] for _ in range(2))
+
+    @property
+    def rows(self) -> list[np.ndarray]:
+        """The counters, up to two, one a cell."""
+        return [np.unpackbits(a) + np.unpackbits(b) for a, b in zip(self.once, self.twice, strict=True)]
 
     def add(self, keys: np.ndarray) -> None:
-        for r, counts in enumerate(self.rows):
-            at = cells(keys, self.bits, r)
-            once = counts[at] > 0
-            counts[at[once]] = 2
-            counts[at] |= 1  # a cell that is new here; those hit twice by this very batch:
-            again = np.sort(at)
-            counts[again[1:][again[1:] == again[:-1]]] = 2
+        for r, (once, twice) in enumerate(zip(self.once, self.twice, strict=True)):
+            at = np.sort(cells(keys, self.bits, r))
+            byte, bit = _marks(at)
+            twice[byte] |= once[byte] & bit
+            once[byte] |= bit
+            byte, bit = _marks(at[1:][at[1:] == at[:-1]])  # hit twice by this very batch
+            twice[byte] |= bit
 
     def parts(self) -> Iterator[pa.RecordBatch]:
         """Non-empty chunks, compressed, a few megabytes to a batch."""
         codec = pa.Codec("zstd", compression_level=1)
-        size = min(_CHUNK, 1 << self.bits)
+        size = min(_CHUNK, 1 << self.bits) // 8
         held: list[tuple[int, bytes, bytes]] = []
-        for r, counts in enumerate(self.rows):
-            for c, chunk in enumerate(counts.reshape(-1, size)):
-                if chunk.any():
-                    held.append((r << 20 | c, *(codec.compress(np.packbits(x).tobytes(), asbytes=True)
-                                                for x in (chunk > 0, chunk > 1))))
+        for r, both in enumerate(zip(self.once, self.twice, strict=True)):
+            for c, chunks in enumerate(zip(*(x.reshape(-1, size) for x in both), strict=True)):
+                if chunks[0].any():
+                    held.append((r << 20 | c, *(codec.compress(x.tobytes(), asbytes=True) for x in chunks)))
                 if len(held) >= 256:
                     yield _batch(held)
                     held = []

@@ -36,14 +36,14 @@ from pyspark.sql.types import StructType
 
 from . import sketch
 from .anchors import Runs, runs, window_keys
-from .text import Spans, byte_values, covered, ids_repeat, mix, repeated, slices, word_hashes, words
+from .text import SLICE, Spans, byte_values, covered, ids_repeat, mix, repeated, slices, word_hashes, words
 
 SIZE, GRAM = 20, 10
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, Runs, np.ndarray, np.ndarray, np.ndarray]]:
-    for lo, hi, data, off in slices(batch.column(column)):
+    for lo, hi, data, off in slices(batch.column(column), SLICE):
         starts, ends, bounds = words(data, off)
         yield lo, hi, runs(word_hashes(Spans(byte_values(data)), starts, ends), bounds, SIZE, GRAM), starts, ends, bounds
 

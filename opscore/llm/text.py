@@ -2,7 +2,8 @@
 
 The operators get Arrow batches from Spark.  ``slices`` cuts a batch into runs
 of rows with about a megabyte of text (a longer text is a slice of its own), so
-that the working arrays stay small whatever the batch holds.
+that the working arrays stay small whatever the batch holds; the operators whose arrays take
+many times the text cut ``SLICE`` bytes.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BASE2 = 0xC2B2AE3D27D4EB4F
+SLICE = 1 << 18
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 SPACE = np.zeros(256, bool)
@@ -43,7 +45,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(20, int(n).bit_length())
+        size = 1 << max(18, int(n).bit_length())
         steps = [np.full(size, b, U64) for b in (base, pow(base, -1, 1 << 64))]
         for s in steps:
             s[0] = 1

@@ -3,6 +3,8 @@
 import hashlib
 
 import cases  # noqa: I001
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from opscore.llm import sketch, substring_dedup, suffix_index
@@ -134,3 +136,21 @@ def test_sketch_never_underestimates():
     for r in range(sketch.DEPTH):
         assert twice[r][sketch.cells(keys[2_000:3_000], 16, r)].all()
     assert sum((twice[0][sketch.cells(keys, 16, 0)]) & (twice[1][sketch.cells(keys, 16, 1)])) < 1_400
+
+
+def test_sketch_takes_two_bits_a_cell():
+    rng = np.random.default_rng(8)
+    counts, want = sketch.Counts(16), [np.zeros(1 << 16, np.int64) for _ in range(sketch.DEPTH)]
+    for n in (0, 1, 5_000, 5_000):
+        keys = rng.integers(0, 2**63, n).astype(np.uint64)
+        counts.add(keys)
+        for r, cells in enumerate(want):
+            np.add.at(cells, sketch.cells(keys, 16, r), 1)
+    assert all((np.minimum(a, 2) == b).all() for a, b in zip(want, counts.rows, strict=True))
+    held = sum(x.nbytes for v in vars(counts).values() if isinstance(v, list) for x in v)
+    assert held == sketch.DEPTH * (1 << 16) // 4
+
+
+def test_working_arrays_of_a_slice_are_small():
+    texts = pa.array(["some words of a text " * 500] * 200)
+    assert max(len(data) for _, _, _, data, _ in suffix_index._runs(pa.RecordBatch.from_arrays([texts], ["text"]), 0)) <= 1 << 18
