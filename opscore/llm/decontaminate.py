@@ -6,16 +6,21 @@ that no item has add nothing to any inner product.  Document frequencies count e
 block of the corpus; words in more than ``MOST_COMMON`` of all blocks have no weight in
 retrieval, as they would make all passages of a language alike.
 
-* Latent space: a randomised SVD.  A random matrix is multiplied by A'A (A: passages by words)
-  a few times, orthonormalised in between; the tasks multiply their own passages and Spark adds
-  up the products, one at a time.  It is fitted on the passages of every document, with the items added (a caller may
+The texts are cut into words once: a written table holds each word's place in the vocabulary of the items, and
+the passes below read that.
+
+* Latent space: a randomised SVD.  A random matrix is multiplied by A'A (A: blocks by words)
+  a few times, orthonormalised in between.  A'A is how often two words stand in one block, by their weights: the
+  tasks count the pairs of their own blocks, Spark adds them up, and each product reads these sums only.  It is fitted on
+  the blocks of every document, with the items added (a caller may
   bound it to about ``max_docs`` documents, taken by the hash of doc_id).
 * Candidates: every passage of every document is projected and compared with every item
   (long ones in chunks) by cosine; all pairs with at least ``MIN_COSINE`` go on.
 * Bound: the space has fewer directions than words, and the words around a copy weigh on its
   cosine, so retrieval alone loses leaks.  Beside it the weight of the item's words that stand
   in a passage's surroundings is counted exactly, for every item and passage, whatever the
-  item's length and its words' frequencies.  All pairs go on that have the ``LCS_WITH_ANSWER``
+  item's length and its words' frequencies; an item's commonest words, up to ``SPARE`` of its weight, count as
+  there without a look.  All pairs go on that have the ``LCS_WITH_ANSWER``
   without which the check fails: no leak that the check would accept at any passage is lost.
 * Check: the heaviest common subsequence of the item and the surroundings of the passage, words
   weighing their idf, as a share of the item's weight.  Paraphrases keep much of it, other
@@ -44,6 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import scratch
 from .text import LOWER, Spans, byte_values, rows_of, slices, word_hashes, words
 
 BLOCK = 32
@@ -52,9 +58,12 @@ MIN_COSINE = 0.35
 MOST_COMMON = 0.01
 LCS_ALONE, LCS_WITH_ANSWER = 0.75, 0.6
 ANSWER = 12
+SPARE = 0.15
 ROUND = 256
-_CHUNK = 32  # vocabulary rows in a part of a product: every task sends its parts, and many tasks add them up
+_CHUNK = 32  # vocabulary rows in a part of A'A: every task sends its parts, and many tasks add them up
 _GROUP = 32  # items that are counted at once
+_PAIRS = 1 << 21  # pairs of words that a task holds before it adds them up
+_WORDS = 1 << 17  # words in a slice of a coded table: those of about a megabyte of text
 
 _BREAK = np.ones(256, bool)
 _BREAK[48:58] = _BREAK[65:91] = _BREAK[97:123] = False
@@ -102,22 +111,65 @@ def items_of(rows: list[tuple[int, str]]) -> Items:
     return Items([i for i, _ in rows], found, answers, vocabulary, np.array(chunk_item, np.int64), chunk_words)
 
 
-def _blocks(texts: pa.Array, items: Items) -> Iterator[tuple]:
-    """By slices: rows, each word's vocabulary index (-1: none) and block, blocks per row, first words."""
+def _indexed(texts: pa.Array, items: Items) -> Iterator[tuple]:
+    """By slices: rows, each word's vocabulary index (-1: none), first words."""
     for lo, hi, data, off in slices(texts):
         data = LOWER[data]
         starts, ends, bounds = words(data, off, _BREAK)
         h = word_hashes(Spans(byte_values(data)), starts, ends)
         at = np.minimum(np.searchsorted(items.vocabulary, h), len(items.vocabulary) - 1)
-        index = np.where(items.vocabulary[at] == h, at, -1)
+        yield lo, hi, np.where(items.vocabulary[at] == h, at, -1), bounds
+
+
+def _code(size: int) -> np.dtype:
+    """How a coded table holds the places in a vocabulary of ``size`` words."""
+    return np.dtype("<i2" if size < 1 << 15 else "<i4")
+
+
+def _decoded(codes: pa.Array, items: Items) -> Iterator[tuple]:
+    """The same from a coded table."""
+    kind = _code(len(items.vocabulary))
+    codes = codes.cast(pa.large_binary())
+    if not len(codes):
+        return
+    _, at, data = codes.buffers()
+    off = np.frombuffer(at, np.int64)[codes.offset:codes.offset + len(codes) + 1] // kind.itemsize
+    data = np.frombuffer(data, kind, off[-1]) if off[-1] else np.zeros(0, kind)
+    lo = 0
+    while lo < len(codes):
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + _WORDS, "right")) - 1)
+        yield lo, hi, data[off[lo]:off[hi]].astype(np.int64), off[lo:hi + 1] - off[lo]
+        lo = hi
+
+
+def _blocks(texts: pa.Array, items: Items) -> Iterator[tuple]:
+    """By slices of texts, or of codes: rows, each word's vocabulary index (-1: none) and block, blocks per row, first words."""
+    for lo, hi, index, bounds in (_decoded if pa.types.is_binary(texts.type) else _indexed)(texts, items):
         n = np.diff(bounds)
         blocks = -(-n // BLOCK)
         first = np.cumsum(blocks) - blocks
         row = rows_of(bounds)
-        block = first[row] + (np.arange(len(starts)) - bounds[row]) // BLOCK
+        block = first[row] + (np.arange(len(index)) - bounds[row]) // BLOCK
         yield lo, hi, index, block, blocks, bounds
 
 
+def coded(docs: DataFrame, items: object) -> DataFrame:
+    """doc_id, codes of every row (stored): its words as places in the vocabulary, so that its text is cut once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _code(len(items.value.vocabulary))
+        for batch in batches:
+            for lo, hi, index, bounds in _indexed(batch.column(1), items.value):
+                codes = pa.Array.from_buffers(pa.binary(), hi - lo, [
+                    None, pa.py_buffer((bounds * kind.itemsize).astype(np.int32)), pa.py_buffer(index.astype(kind))])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), codes], ["doc_id", "codes"])
+
+    return scratch.stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id long, codes binary"), "item-words")
+
+
+def _words_of(docs: DataFrame) -> DataFrame:
+    return docs.select("codes" if "codes" in docs.columns else "text")
+
+
 def document_frequencies(docs: DataFrame, items: object, size: int) -> np.ndarray:
     """In how many blocks each vocabulary word is; the last entry: how many blocks there are."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +183,7 @@ def document_frequencies(docs: DataFrame, items: object, size: int) -> np.ndarra
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["word", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = _words_of(docs).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(size + 1)
     for r in rows:
         total[r["word"]] = r["n"]
@@ -143,9 +195,18 @@ def _project(index: np.ndarray, block: np.ndarray, n: int, matrix: np.ndarray) -
     known = np.flatnonzero(index >= 0)
     out = np.zeros((n, matrix.shape[1]), matrix.dtype)
     if len(known):
-        at = block[known]
+        at, word = block[known], index[known]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        out[at[first]] = np.add.reduceat(matrix[index[known]], first, axis=0)
+        count = np.diff(np.append(first, len(at)))
+        order = np.argsort(-count, kind="stable")
+        for lo in range(0, len(order), 512):  # the first words of some blocks, then their second ones, and so on
+            some = order[lo:lo + 512]
+            begin, more = first[some], count[some]
+            total = matrix[word[begin]]
+            for k in range(1, int(more[0])):
+                m = int(np.searchsorted(-more, -k))
+                total[:m] += matrix[word[begin[:m] + k]]
+            out[at[begin]] = total
     return out
 
 
@@ -160,19 +221,84 @@ def _passages(z: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return z[some] + two[some], row[some], place[some]
 
 
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """part, rows: the sums of the products of each part, whose rows are all in this task; one sum is held per part."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for part, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            product = np.frombuffer(rows.as_buffer())
-            if part in total:
-                total[part] += product
-            else:
-                total[part] = product.copy()
-    for part, rows in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([rows.tobytes()], pa.binary())],
-                                         ["part", "rows"])
+def _pairs(index: np.ndarray, block: np.ndarray, size: int) -> np.ndarray:
+    """Pairs of the words of each block, in both orders as one (a * size + b, a <= b): none with itself."""
+    known = np.flatnonzero(index >= 0)
+    word, at = index[known], block[known]
+    out = [np.zeros(0, np.int64)]
+    for k in range(1, BLOCK):
+        same = np.flatnonzero(at[:-k] == at[k:])
+        if not len(same):
+            break
+        a, b = word[same], word[same + k]
+        out.append(np.minimum(a, b) * size + np.maximum(a, b))
+    return np.concatenate(out)
+
+
+def _cells(pairs: list[np.ndarray], single: np.ndarray, size: int) -> Iterator[pa.RecordBatch]:
+    """part, cells, counts: what some pairs and single words add to each part of A'A."""
+    keys, n = np.unique(np.concatenate(pairs), return_counts=True)
+    word = np.flatnonzero(single)
+    a, b = keys // size, keys % size  # twice on the diagonal for two places of one word, as it should
+    row, column = np.concatenate([a, b, word]), np.concatenate([b, a, word])
+    n = np.concatenate([n, n, single[word]])
+    cell, of = np.unique(row * size + column, return_inverse=True)
+    n = np.bincount(of, n, len(cell)).astype(np.int64)
+    edges = np.searchsorted(cell, np.arange(0, size + _CHUNK, _CHUNK) * size)
+    for part, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        if hi > lo:
+            yield _part(part, (cell[lo:hi] - part * _CHUNK * size), n[lo:hi])
+
+
+def _part(part: int, cells: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int64()), pa.array([cells.astype(np.int32).tobytes()], pa.binary()),
+         pa.array([n.astype(np.int64).tobytes()], pa.binary())], ["part", "cells", "counts"])
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for part, cells, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        yield part, np.frombuffer(cells.as_buffer(), np.int32), np.frombuffer(n.as_buffer(), np.int64)
+
+
+def together(docs: DataFrame, items: object, rare: np.ndarray) -> DataFrame:
+    """part, cells, counts (stored): A'A without weights, how often two rare words stand in one block.
+
+    A task adds up ``_PAIRS`` pairs at a time, and one part when the parts' sums meet, in order.
+    """
+    size = len(rare)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, single = [], 0, np.zeros(size, np.int64)
+        for batch in batches:
+            for _, _, index, block, _, _ in _blocks(batch.column(0), items.value):
+                index = _weighty(index, rare)
+                held.append(_pairs(index, block, size))
+                n += len(held[-1])
+                single += np.bincount(index[index >= 0], minlength=size)
+                if n >= _PAIRS:
+                    yield from _cells(held, single, size)
+                    held, n, single = [], 0, np.zeros(size, np.int64)
+        if held:
+            yield from _cells(held, single, size)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(_CHUNK * size, np.int64)
+        for batch in batches:
+            for part, cells, n in _parts(batch):
+                if now is not None and part != now:
+                    some = np.flatnonzero(total)
+                    yield _part(now, some, total[some])
+                    total[:] = 0
+                now = part
+                total[cells] += n  # each cell once
+        if now is not None:
+            some = np.flatnonzero(total)
+            yield _part(now, some, total[some])
+
+    schema = "part long, cells binary, counts binary"
+    found = _words_of(docs).mapInArrow(count, schema).repartition("part").sortWithinPartitions("part")
+    return scratch.stored(found.mapInArrow(add, schema), "word-pairs")
 
 
 def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: int | None = None, seed: int = 11) -> Space:
@@ -189,37 +315,30 @@ def latent_space(docs: DataFrame, items: object, total: np.ndarray, max_docs: in
         share = min(1.0, max_docs / max(1, docs.count()))
         fitted = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
+    pairs = together(fitted, items, rare)
+
     def product(matrix: object):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weighted = matrix.value * weight[:, None]
-            out = np.zeros((size, rank))
+            weighted = matrix.value * weight[:, None].astype(float)
             for batch in batches:
-                for _, _, index, block, blocks, _ in _blocks(batch.column(0), items.value):
-                    index = _weighty(index, rare)
-                    y = _project(index, block, int(blocks.sum()), weighted)
-                    known = np.flatnonzero(index >= 0)
-                    order = known[np.argsort(index[known], kind="stable")]
-                    if len(order):
-                        v = index[order]
-                        first = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
-                        out[v[first]] += np.add.reduceat(y[block[order]], first, axis=0) * weight[v[first], None]
-            for part in range(0, size, _CHUNK):
-                rows = out[part:part + _CHUNK]
-                if rows.any():
-                    yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([rows.tobytes()], pa.binary())],
-                                                     ["part", "rows"])
+                for part, cells, n in _parts(batch):
+                    first = part * _CHUNK
+                    counts = np.zeros((_CHUNK, size))
+                    counts.reshape(-1)[cells] = n
+                    rows = (counts @ weighted)[:size - first] * weight[first:first + _CHUNK, None]
+                    yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([rows.tobytes()], pa.binary())], ["first", "rows"])
         return run
 
     for _ in range(STEPS):
         sent = spark.sparkContext.broadcast(basis)
         total_product = np.zeros((size, rank))
-        for r in fitted.select("text").mapInArrow(product(sent), "part long, rows binary").repartition("part").mapInArrow(
-                _added, "part long, rows binary").collect():
+        for r in pairs.mapInArrow(product(sent), "first long, rows binary").collect():
             rows = np.frombuffer(bytes(r["rows"])).reshape(-1, rank)
-            total_product[r["part"]:r["part"] + len(rows)] += rows
+            total_product[r["first"]:r["first"] + len(rows)] += rows
         for w in own.chunk_words:
             np.add.at(total_product, w, weight[w, None] * (basis[w] * weight[w, None]).sum(0))
         basis = np.linalg.qr(total_product)[0].astype(np.float32)
+    scratch.drop(pairs)
     weighted = basis[:, :RANK] * weight[:, None]
     return Space(idf, rare, weighted, _unit(np.array([weighted[w].sum(0) for w in own.chunk_words], np.float32)))
 
@@ -235,7 +354,7 @@ class Postings(NamedTuple):
     first: np.ndarray
     item: np.ndarray             # counted from ``base``
     weight: np.ndarray           # idf by how often the item has the word
-    least: np.ndarray            # of each item: the weight without which the check fails
+    least: np.ndarray            # of each item: the weight of these words without which the check fails
     before: np.ndarray           # of each item: blocks that the surroundings of a passage reach back
 
 
@@ -243,14 +362,21 @@ def postings(items: Items, idf: np.ndarray) -> list[Postings]:
     out = []
     for base in range(0, len(items.words), _GROUP):
         own = items.words[base:base + _GROUP]
-        found = [np.unique(w, return_counts=True) for w in own]
-        word = np.concatenate([w for w, _ in found])
-        item = np.repeat(np.arange(len(found)), [len(w) for w, _ in found])
-        weight = idf[word].astype(np.float64) * np.concatenate([n for _, n in found])
+        words, weights, least = [], [], []
+        for w in own:
+            word, n = np.unique(w, return_counts=True)
+            weight = idf[word].astype(np.float64) * n
+            order = np.argsort(idf[word], kind="stable")  # the commonest first
+            spared = np.cumsum(weight[order])
+            looked = order[spared > SPARE * spared[-1]]
+            words.append(word[looked])
+            weights.append(weight[looked])
+            least.append(spared[-1] * LCS_WITH_ANSWER * (1 - 1e-5) - (spared[-1] - weight[looked].sum()))
+        word, weight = np.concatenate(words), np.concatenate(weights)
+        item = np.repeat(np.arange(len(own)), [len(w) for w in words])
         order = np.argsort(word, kind="stable")
-        whole = np.bincount(item, weight, minlength=len(found))
         out.append(Postings(base, np.searchsorted(word[order], np.arange(len(idf) + 1)), item[order], weight[order],
-                            whole * LCS_WITH_ANSWER * (1 - 1e-5), np.array([-(-len(w) // BLOCK) for w in own])))
+                            np.array(least), np.array([-(-len(w) // BLOCK) for w in own])))
     return out
 
 
@@ -317,7 +443,7 @@ def verdict(item: int, items: Items, space: Space, around: np.ndarray, flags: np
 
 
 def found_in(texts: pa.Array, items: Items, space: Space) -> Iterator[tuple[int, int, float, float, bool]]:
-    """(row, item, cosine, share, answer) of every contaminated row and item."""
+    """(row, item, cosine, share, answer) of every contaminated row (a text, or its codes) and item."""
     flags = np.zeros(len(items.vocabulary) + 1, bool)
     known = postings(items, space.idf)
     chunks_of = [np.flatnonzero(items.chunk_item == i) for i in range(len(items.ids))]
@@ -355,8 +481,8 @@ def found_in(texts: pa.Array, items: Items, space: Space) -> Iterator[tuple[int,
             yield lo + r, item, cos, share, answer
 
 
-def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int | None) -> Iterator[tuple[object, object]]:
-    """Broadcast items and latent space, round by round."""
+def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int | None) -> Iterator[tuple[object, object, DataFrame]]:
+    """Broadcast items and latent space, and the coded documents, round by round."""
     sc = docs.sparkSession.sparkContext
     n = benchmark.count()
     rounds = max(1, -(-n // ROUND))
@@ -366,8 +492,9 @@ def _rounds(docs: DataFrame, benchmark: DataFrame, max_docs: int | None) -> Iter
         items = sc.broadcast(items_of([(r[0], r[1]) for r in rows]))
         size = len(items.value.vocabulary)
         if size:
-            total = document_frequencies(docs, items, size)
-            yield items, sc.broadcast(latent_space(docs, items, total, max_docs))
+            codes = coded(docs, items)
+            total = document_frequencies(codes, items, size)
+            yield items, sc.broadcast(latent_space(codes, items, total, max_docs)), codes
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int | None = None) -> DataFrame:
@@ -388,8 +515,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_docs: int | None = N
         return run
 
     out = docs.sparkSession.createDataFrame([], schema)
-    for items, space in _rounds(docs, benchmark, max_docs):
-        out = out.unionAll(docs.mapInArrow(search(items, space), schema))
+    for items, space, codes in _rounds(docs, benchmark, max_docs):
+        out = out.unionAll(codes.mapInArrow(search(items, space), schema))
     return out
 
 
@@ -405,7 +532,8 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, max_docs: int | None = Non
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = docs
-    for items, space in _rounds(plain, benchmark, max_docs):
+    for items, space, codes in _rounds(plain, benchmark, max_docs):
+        scratch.drop(codes)
         out = out.mapInArrow(clean(items, space, docs.columns.index("text")), docs.schema)
     return out
 

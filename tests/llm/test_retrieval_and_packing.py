@@ -218,6 +218,53 @@ def test_latent_space_is_fitted_on_every_document(spark):
     assert not np.allclose(np.abs(few.basis), np.abs(got.basis), atol=2e-3)
 
 
+def test_texts_are_cut_into_words_once(spark, monkeypatch):
+    """The coded table has the words of every text; document frequencies and A'A are those of the texts."""
+    rng = np.random.default_rng(9)
+    items = decontaminate.items_of([(k, " ".join(f"w{int(j)}" for j in rng.integers(0, 90, 12))) for k in range(10)])
+    texts = [None, "", "none of it", *(" ".join(f"w{int(j)}" for j in rng.zipf(1.5, n) % 100) for n in [1, 32, 33, 70, 500] * 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    sent, size = spark.sparkContext.broadcast(items), len(items.vocabulary)
+    codes = decontaminate.coded(docs, sent)
+    assert codes.count() == len(texts)
+    total = decontaminate.document_frequencies(codes, sent, size)
+    assert (total == decontaminate.document_frequencies(docs, sent, size)).all()
+    rare = total[:-1] < np.median(total[:-1])
+    want = np.zeros((size, size), np.int64)
+    place = {int(h): k for k, h in enumerate(items.vocabulary)}
+    for t in texts:
+        w = [place.get(int(h), -1) for h in decontaminate._hashes(t or "")]
+        for at in range(0, len(w), decontaminate.BLOCK):
+            counts = np.bincount([x for x in w[at:at + decontaminate.BLOCK] if x >= 0 and rare[x]], minlength=size)
+            want += np.outer(counts, counts)
+    monkeypatch.setattr(decontaminate, "_PAIRS", 50)  # many sums to a task
+    got = np.zeros((size, size), np.int64)
+    for r in decontaminate.together(codes, sent, rare).collect():
+        cells = np.frombuffer(r["cells"], np.int32) + r["part"] * decontaminate._CHUNK * size
+        got.reshape(-1)[cells] += np.frombuffer(r["counts"], np.int64)
+    assert want.any() and (got == want).all()
+
+
+def test_space_reads_the_documents_once(spark, monkeypatch):
+    """Each step of the space multiplies sums of pairs, not the documents again."""
+    read = []
+    monkeypatch.setattr(decontaminate, "_words_of", lambda docs, f=decontaminate._words_of: read.append(1) or f(docs))
+    items = spark.sparkContext.broadcast(decontaminate.items_of([(1, "one two three four"), (2, "five six")]))
+    docs = spark.createDataFrame([(1, "one two x"), (2, "six five four")], "doc_id long, text string")
+    decontaminate.latent_space(docs, items, decontaminate.document_frequencies(docs, items, 6))
+    assert len(read) == 2
+
+
+def test_block_sums_are_those_of_each_word():
+    rng = np.random.default_rng(6)
+    block = np.sort(rng.integers(0, 900, 9_000))
+    index = rng.integers(-1, 50, 9_000)
+    matrix = rng.random((50, 7)).astype(np.float32)
+    want = np.zeros((901, 7))
+    np.add.at(want, block[index >= 0], matrix[index[index >= 0]])
+    assert np.allclose(decontaminate._project(index, block, 901, matrix), want, rtol=1e-5)
+
+
 def test_weighted_common_subsequence():
     rng = np.random.default_rng(3)
     weight = rng.random(6).astype(np.float32)
