@@ -154,3 +154,47 @@ def test_sketch_takes_two_bits_a_cell():
 def test_working_arrays_of_a_slice_are_small():
     texts = pa.array(["some words of a text " * 500] * 200)
     assert max(len(data) for _, _, _, data, _ in suffix_index._runs(pa.RecordBatch.from_arrays([texts], ["text"]), 0)) <= 1 << 18
+
+
+def test_a_task_gives_each_crowded_window_once(spark):
+    """Windows that many slices of a task share are combined before they are shuffled."""
+    class Some:  # takes every key
+        value = type("", (), {"may": staticmethod(lambda keys: np.ones(len(keys), bool))})
+    line = "".join(f"{k} of a common line, " for k in range(40))
+    docs = spark.createDataFrame([(k, line) for k in range(400, 0, -1)], "doc_id long, text string").coalesce(1)
+    assert 400 * len(line) > 4 * suffix_index.SLICE
+    plan = suffix_index._windows(docs, Some, Some, Some)
+    assert {r.doc_id for r in plan.collect()} == {1} and plan.count() == len({line[k:k + 100] for k in range(len(line) - 99)})
+    h, c, i = (np.array(x) for x in ([5, 5, 5, 2], [1, 1, 0, 1], [9, 3, 4, 8]))
+    assert [x.tolist() for x in suffix_index._firsts([(h, c, i), (h, c, i - 1)])] == [[2, 5, 5], [1, 0, 1], [7, 3, 2]]
+
+
+def test_suffixes_are_dealt_by_bucket_before_they_are_counted(spark, monkeypatch):
+    """No task holds the counts of all its own suffixes: the exchange comes before the aggregate."""
+    plans = []
+    monkeypatch.setattr(suffix_index.SuffixIndex, "_write", lambda self, df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or spark.createDataFrame([], "key long, copies long, doc_id long").createOrReplaceTempView("none") or "none")
+    suffix_index.SuffixIndex(spark).add(spark.createDataFrame([(1, "a" * 300)], "doc_id long, text string"))
+    assert plans[0].count("Exchange") == 1 and "partial_sum" in plans[0].split("Exchange")[0]
+
+
+def test_arrow_batches_are_small_and_the_setting_comes_back(spark):
+    """No batch that op3's tasks get has more than MOST_ROWS documents, whatever the session says."""
+    before, name = spark.conf.get(suffix_index._ROWS), suffix_index._ROWS
+    docs = spark.range(5_000).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+
+    def largest():
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+        return docs.mapInArrow(run, "n long").agg({"n": "max"}).first()[0]
+
+    try:
+        for given in ("10000", "0", "70"):
+            spark.conf.set(name, given)
+            with suffix_index._small_batches(spark):
+                assert largest() == min(int(given) or 10_000, suffix_index.MOST_ROWS)
+            assert spark.conf.get(name) == given
+        assert suffix_index.op3_suffix_dedup(docs).count() == 5_000 and spark.conf.get(name) == given
+    finally:
+        spark.conf.set(name, before)
