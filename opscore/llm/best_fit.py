@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .jaccard_join import _NO_ID as NO_ID
 from .jaccard_join import links
-from .scratch import stored
+from .scratch import drop, stored
 from .text import U64, Spans, byte_values, mix, slices, word_hashes, words
 
 CAPACITY = 2048
@@ -151,7 +151,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, cluster: Column | None = Non
 
 
 def op8_best_fit(docs: DataFrame) -> DataFrame:
-    _, _, parts = links(docs)
+    measured_sets, every, parts = links(docs)
+    drop(measured_sets)
+    drop(every)
     # a component's smallest document is in no row of its own
     near = parts.unionAll(parts.select(F.col("component").alias("id"), "component").distinct())
     return pack(docs, near=near)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import drop, stored
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -20,7 +20,10 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, component (the smallest id reachable) of every id in ``links`` (columns a, b) but the smallest ones."""
+    """id, component (the smallest id reachable) of every id in ``links`` (columns a, b) but the smallest ones.
+
+    A round's tables go when the next one is written; the last is the result's (``scratch.drop`` takes it).
+    """
     edges = stored(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                    "links")
     before = None
@@ -32,5 +35,10 @@ def components(links: DataFrame) -> DataFrame:
         large = stored(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        done = edges
         edges = stored(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "small-star")
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        drop(done)
+        drop(large)
+    found = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    found.opscore_path = edges.opscore_path
+    return found

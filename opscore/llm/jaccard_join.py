@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 
 from . import sketch
 from .components import components
-from .scratch import stored
-from .text import LOWER, SLICE, U64, Spans, byte_values, mix, slices, word_hashes, words
+from .scratch import drop, stored
+from .text import LOWER, U64, Spans, byte_values, distinct, mix, slices, word_hashes, words
 
 SHINGLE = 5
 LONG_LIST = 64
 BITS = 1024
 SALT = 32
+SLICE = 1 << 17  # bytes: arrays of eight times that stay in a core's caches
 _HALF = U64(1 << 63)
 _NO_ID = -(1 << 63)  # stands for a null doc_id
 
@@ -60,11 +61,11 @@ def row_sets(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
         spans = Spans(word_hashes(Spans(byte_values(data)), starts, ends))
         grams = mix(spans.windows(SHINGLE))
         sets = []
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             if b - a >= SHINGLE:
-                sets.append(np.unique(grams[a:b - SHINGLE + 1]))
+                sets.append(distinct(grams[a:b - SHINGLE + 1]))
             else:
-                whole = spans(np.array([a]), np.array([b])) + U64(int(b - a))
+                whole = spans(np.array([a]), np.array([b])) + U64(b - a)
                 sets.append(mix(whole) if b > a else np.zeros(0, U64))
         yield lo, sets
 
@@ -81,12 +82,18 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         ids = _ids(batch)
         for lo, sets in row_sets(batch.column(1)):
-            f1 = np.array([np.add.reduce(s, dtype=U64) for s in sets], U64)
-            f2 = np.array([np.bitwise_xor.reduce(mix(s + U64(1))) if len(s) else 0 for s in sets], U64)
-            cells = [np.bincount((mix(s) & U64(BITS - 1)).astype(np.int64), minlength=BITS) & 1 for s in sets]
-            marks = np.packbits(np.array(cells, np.uint8).reshape(-1, BITS), axis=1).view(np.int64)
+            n = np.array([len(s) for s in sets], np.int64)
+            every, some = np.concatenate([np.zeros(0, U64), *sets]), np.flatnonzero(n)
+            first = (np.cumsum(n) - n)[some]
+            f1, f2 = np.zeros(len(sets), U64), np.zeros(len(sets), U64)
+            if len(some):
+                f1[some] = np.add.reduceat(every, first)
+                f2[some] = np.bitwise_xor.reduceat(mix(every + U64(1)), first)
+            cell = np.repeat(np.arange(len(sets)) * BITS, n) + (mix(every) & U64(BITS - 1)).astype(np.int64)
+            odd = (np.bincount(cell, minlength=len(sets) * BITS) & 1).astype(np.uint8)
+            marks = np.packbits(odd.reshape(-1, BITS), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [_long(ids[lo:lo + len(sets)]), _long(np.array([len(s) for s in sets])), _long(f1), _long(f2),
+                [_long(ids[lo:lo + len(sets)]), _long(n), _long(f1), _long(f2),
                  *(pa.array(np.ascontiguousarray(marks[:, k])) for k in range(len(MARKS)))], ["doc_id", "n", "f1", "f2", *MARKS])
 
 
@@ -175,15 +182,15 @@ def _sets(docs: DataFrame, wanted: object) -> DataFrame:
     return docs.mapInArrow(emit, "doc_id long, shingles array<long>")
 
 
-def _common(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with the exact overlap i and the set sizes na, nb."""
+def _common(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` (a, b) with the exact overlap i and the set sizes na, nb; the table of sets that they read."""
     spark = docs.sparkSession
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     wanted = spark.sparkContext.broadcast(sketch.members(ids, "id", ids.count()))
     sets = stored(_sets(docs, wanted).join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "shingle-sets")
     left = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
     return left.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").select(
-        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb"))
+        "a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), F.size("sa").alias("na"), F.size("sb").alias("nb")), sets
 
 
 _LINKS = "100 * i >= 75 * (na + nb - i)"
@@ -193,7 +200,7 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
     """(measured documents, links that join all components, components).
 
     The measured documents have doc_id, n and fingerprint; every link between different sets is
-    either in the second table or implied by its components.
+    either in the second table or implied by its components.  What else was written on the way is deleted.
     """
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"),
@@ -214,13 +221,18 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
     counts = _prefixes(docs, may, None).groupBy("token").count()
     lengthy = stored(counts.filter(F.col("count") > long_list).select("token"), "long-lists")
     long_ = spark.sparkContext.broadcast(sketch.members(lengthy, "token", lengthy.count()))
+    drop(lengthy)
     entries = stored(_prefixes(docs, may, long_).join(firsts, "doc_id", "left_semi"), "entries")
 
     hubs = entries.groupBy("token").agg(F.min("doc_id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     met = entries.join(hubs, "token")
     marks = measured.select("doc_id", "n", *MARKS)
-    answers = stored(_common(stored(_plausible(met.filter("doc_id != hub").select(
-        F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), marks), "hub-pairs"), docs), "hub-answers")
+    pairs = stored(_plausible(met.filter("doc_id != hub").select(
+        F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), marks), "hub-pairs")
+    common, sets = _common(pairs, docs)
+    answers = stored(common, "hub-answers")
+    drop(pairs)
+    drop(sets)
     found = answers.filter(_LINKS).select("a", "b")
     parts = components(found)
 
@@ -244,15 +256,21 @@ def links(docs: DataFrame, long_list: int = LONG_LIST) -> tuple[DataFrame, DataF
                 & (_differ("x.", "y.") <= F.col("x.n") + F.col("y.n") - 2 * need))
     rest = stored(x.join(y, may_link).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct(),
                   "list-pairs")
-    more = _common(rest, docs).filter(_LINKS).select("a", "b")
+    for table in (member, answers, entries):
+        drop(table)
+    common, sets = _common(rest, docs)
+    more = common.filter(_LINKS).select("a", "b")
     every = stored(copies.unionAll(parts.select(F.col("id").alias("a"), F.col("component").alias("b"))).unionAll(more),
                    "all-links")
+    for table in (rest, sets, copies, parts):
+        drop(table)
     return measured, every, components(every)
 
 
 def op7_jaccard_join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
-    measured, _, parts = links(docs)
+    measured, every, parts = links(docs)
+    drop(every)
     joined = measured.join(parts.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     real = lambda c: F.when(c != _NO_ID, c)
     return joined.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
@@ -264,7 +282,9 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     A null doc_id is linked like any other; its rows stay, as the smallest of their group.
     """
-    _, _, parts = links(docs)
+    measured, every, parts = links(docs)
+    drop(measured)
+    drop(every)
     later = parts.select(F.col("id").alias("__later"))
     return docs.join(later, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)) == F.col("__later"), "left_anti")
 

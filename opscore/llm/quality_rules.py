@@ -30,9 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .scratch import stored
-from .text import SPACE, Spans, byte_values, covered, mix, per_row, repeated, rows_of, slices, word_hashes, words
+from .scratch import drop, stored
+from .text import SPACE, Spans, byte_values, covered, ids_repeat, mix, per_row, repeated, rows_of, slices, word_hashes, words
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
           "n_upper", "n_letters", "n_digits", "n_marked_words"]
@@ -49,6 +50,8 @@ CUTS = [3.0, 2.5, 2.0, 1.75, 1.5, 1.25, 1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3,
 #: Strata: documents with fewer words than the first number, than the second, ...
 BANDS = [250, 1000]
 
+_OWN = "__quality_"  # before the names of columns that stand beside the caller's own
+
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _MARK = _SYMBOL.copy()
@@ -97,6 +100,17 @@ def text_counts(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def _measure_beside(text: str):
+    """The rows with their counts beside them, under names with ``_OWN`` before."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, off in slices(batch.column(batch.schema.get_field_index(text))):
+                found, part = text_counts(data, off), batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(found[c], pa.int64()) for c in COUNTS)],
+                                                 [*part.schema.names, *(_OWN + c for c in COUNTS)])
+    return run
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
@@ -116,11 +130,25 @@ def _band(n_words: Column) -> Column:
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, the shares, the base verdict and the stratum of each document."""
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
-    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_measure, schema)
-    shares = {r: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0) for r, (a, b, _) in RULES.items()}
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return found.withColumns(shares | {"base_failed": failed, "band": _band(F.col("n_words"))}).withColumn(
-        "severity", F.greatest(*(F.col(r) / ref for r, (_, _, ref) in RULES.items())))
+    return _rated(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_measure, schema))
+
+
+def _rated(counted: DataFrame, own: str = "") -> DataFrame:
+    """Counts with the shares, the base verdict, the stratum and the severity; all names begin with ``own``."""
+    col = lambda name: F.col(own + name)
+    shares = {own + r: F.when(col(b) > 0, col(a) / col(b)).otherwise(0.0) for r, (a, b, _) in RULES.items()}
+    failed = (col("n_words") < 50) | (100 * col("n_repeat_words") > 50 * col("n_words"))
+    return counted.withColumns(shares | {own + "base_failed": failed, own + "band": _band(col("n_words"))}).withColumn(
+        own + "severity", F.greatest(*(col(r) / ref for r, (_, _, ref) in RULES.items())))
+
+
+def _judged(rated: DataFrame, cutoffs: dict[int, float], own: str = "") -> DataFrame:
+    """Rated rows with their cutoff and whether they are kept."""
+    cutoff = F.lit(None).cast("double")
+    for band, cut in cutoffs.items():
+        cutoff = F.when(F.col(own + "band") == band, cut).otherwise(cutoff)
+    within = F.col(own + "cutoff").isNull() | (F.col(own + "severity") <= F.col(own + "cutoff"))
+    return rated.withColumn(own + "cutoff", cutoff).withColumn(own + "kept", ~F.col(own + "base_failed") & within)
 
 
 def upper_bound(k: int, n: int, error: float) -> float:
@@ -178,13 +206,9 @@ def fit(measured: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float
 def verdicts(docs: DataFrame, labels: DataFrame, **how: float) -> DataFrame:
     """One row per document: doc_id, counts, base_failed, kept and the rules that spoke against it."""
     measured = stored(measures(docs), "quality-measures")
-    cutoff = F.lit(None).cast("double")
-    for band, cut in fit(measured, labels, **how).items():
-        cutoff = F.when(F.col("band") == band, cut).otherwise(cutoff)
     broken = F.array(*(F.when(F.col(r) / ref > F.col("cutoff"), F.lit(r)) for r, (_, _, ref) in RULES.items()))
-    return measured.withColumn("cutoff", cutoff).withColumns({
-        "broken_rules": F.array_join(F.array_sort(F.array_compact(broken)), ","),
-        "kept": ~F.col("base_failed") & (F.col("cutoff").isNull() | (F.col("severity") <= F.col("cutoff")))})
+    return _judged(measured, fit(measured, labels, **how)).withColumn(
+        "broken_rules", F.array_join(F.array_sort(F.array_compact(broken)), ","))
 
 
 def op1_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -195,6 +219,17 @@ def op1_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **how: float) -> DataFrame:
-    """Pipeline stage: the documents that are kept, all columns; of rows that share a doc_id all, if one is."""
+    """Pipeline stage: the documents that are kept, all columns; of rows that share a doc_id all, if one is.
+
+    Where no rows share a doc_id a row's own counts decide: it is measured once more beside its
+    columns, and no text is shuffled.
+    """
+    if not ids_repeat(docs.select(F.col("doc_id").cast("long").alias("doc_id"))):
+        measured = stored(measures(docs), "quality-measures")
+        cutoffs = fit(measured, labels, **how)
+        drop(measured)
+        schema = StructType([*docs.schema.fields, *(StructField(_OWN + c, LongType()) for c in COUNTS)])
+        counted = docs.mapInArrow(_measure_beside("text"), schema)
+        return _judged(_rated(counted, _OWN), cutoffs, _OWN).filter(F.col(_OWN + "kept")).select(*docs.columns)
     good = verdicts(docs, labels, **how).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(good, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")

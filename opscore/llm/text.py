@@ -125,14 +125,24 @@ def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.array([np.count_nonzero(flags[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)], np.int64)
 
 
-def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
-    """Which of ``n`` tokens lie in a window of ``size`` that begins at one of ``starts`` (distinct)."""
+def covered(starts: np.ndarray, size: int, n: int, spans: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Which of ``n`` tokens lie in a window of ``size`` that begins at one of ``starts`` (distinct), or in one of
+    some spans (distinct first tokens, distinct ends)."""
     step = np.zeros(n + size + 1, np.int32)
     step[starts] += 1
     step[starts + size] -= 1
+    if spans is not None:
+        step[spans[0]] += 1
+        step[spans[1]] -= 1
     return np.cumsum(step[:n], dtype=np.int32) > 0
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The different keys, sorted (``np.unique`` hashes them first, which takes longer)."""
+    ordered = np.sort(keys)
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]]
+
+
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key: is it found twice or more, and is it the first of its kind."""
     twice, first = np.zeros(len(keys), bool), np.ones(len(keys), bool)

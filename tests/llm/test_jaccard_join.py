@@ -92,3 +92,33 @@ def test_signatures_never_exclude_a_link():
     for s, a in zip(sets, cells, strict=True):
         for t, b in zip(sets, cells, strict=True):
             assert (a != b).sum() <= len(np.setxor1d(s, t))
+
+
+def test_sets_of_a_slice():
+    """Slices are small; the sets are sorted and distinct, the signatures those of each row alone."""
+    import numpy as np
+    import pyarrow as pa
+    texts = ["some words of a text again " * 300, None, "", "one", "A b c d e", "a b c d e f a b c d e f"] * 60
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    sets = []
+    for lo, own in jaccard_join.row_sets(batch.column(1)):
+        assert lo == len(sets) and sum(len(t or "") for t in texts[lo:lo + len(own)]) <= 1 << 17
+        sets += own
+    assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    assert all((np.diff(s.astype(object)) > 0).all() for s in sets)
+    rows = pa.Table.from_batches(list(jaccard_join._fingerprints(iter([batch])))).to_pylist()
+    for r, s in zip(rows, sets, strict=True):
+        bits = np.packbits(np.bincount((jaccard_join.mix(s) & np.uint64(1023)).astype(int), minlength=1024).astype(np.uint8) & 1)
+        assert (r["n"], r["f1"] % 2**64) == (len(s), int(s.sum(dtype=np.uint64)))
+        assert r["f2"] % 2**64 == int(np.bitwise_xor.reduce(jaccard_join.mix(s + np.uint64(1)))) if len(s) else r["f2"] == 0
+        assert [r[m] for m in jaccard_join.MARKS] == bits.view(np.int64).tolist()
+
+
+def test_the_stage_leaves_one_table_on_disk(family):
+    """Tables written on the way are deleted as soon as nothing reads them: the next stages need the disk."""
+    from opscore.llm import scratch
+    before = list(scratch._MADE)
+    kept = jaccard_join.keep_first(family)
+    left = [p for p in scratch._MADE if p not in before]
+    assert len(left) == 1 and "small-star" in left[0]
+    assert 0 < kept.count() < family.count()
