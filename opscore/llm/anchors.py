@@ -52,8 +52,12 @@ def runs(values: np.ndarray, bounds: np.ndarray, size: int, gram: int) -> Runs:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     least = np.minimum(least[:n], least[width - have:width - have + n])
-    cuts = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1, bounds, bounds - size + 1])
-    cuts = np.unique(cuts[(cuts >= 0) & (cuts < n)])
+    cut = np.zeros(n, bool)
+    cut[0] = True
+    cut[1:] = least[1:] != least[:-1]
+    for at in (bounds, bounds - size + 1):
+        cut[at[(at >= 0) & (at < n)]] = True
+    cuts = np.flatnonzero(cut)
     row = np.searchsorted(bounds, cuts, "right") - 1
     last = np.append(cuts[1:], n) - 1
     whole = np.flatnonzero((row < len(bounds) - 1) & (cuts + size <= bounds[np.minimum(row + 1, len(bounds) - 1)]))

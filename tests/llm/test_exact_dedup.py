@@ -198,3 +198,51 @@ def test_arrow_batches_are_small_and_the_setting_comes_back(spark):
         assert suffix_index.op3_suffix_dedup(docs).count() == 5_000 and spark.conf.get(name) == given
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_string_that_goes_whole_is_one_stretch(monkeypatch):
+    """Only strings of which some windows stay are taken apart into windows."""
+    class May:
+        def __init__(self, says):
+            self.value, self.says = self, says
+
+        def may(self, keys):
+            return np.full(len(keys), self.says)
+
+    text = "".join(f"{k} of a repeated text, " for k in range(60))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, text[:700] + "x" * 300])], ["doc_id", "text"])
+    ((_, _, r, _, off),) = suffix_index._runs(batch, 1)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    listed = []
+    real = type(r).windows
+    monkeypatch.setattr(type(r), "windows", lambda self, which: listed.append(int((self.last[which] - self.first[which] + 1).sum())) or real(self, which))
+    gone = suffix_index._gone(r, none, May(True), May(False), May(False), off)
+    assert gone.all() and sum(listed) == 0
+    # one string is the text's own: its windows stay, the rest go
+    h = np.sort(suffix_index._in_row(suffix_index.mix(r.spans(*suffix_index._span(r, np.array([3])))), r.row[[3]]))
+    gone = suffix_index._gone(r, (h, np.zeros(1, np.int64)), May(True), May(False), May(False), off)
+    want = np.zeros(len(gone), bool)
+    for k in range(len(r.first)):
+        if k != 3:
+            want[r.first[k]:r.last[k] + suffix_index.SIZE] = True
+    assert (gone == want).all()
+    # some of its windows go
+    name = suffix_index._in_row(suffix_index._in_text(suffix_index.mix(r.spans(*suffix_index._span(r, np.array([3])))),
+                                                      suffix_index.mix(r.spans(off[:-1], off[1:]))[r.row[[3]]]), r.row[[3]])
+    have = np.concatenate([h, name])
+    order = np.argsort(have)
+    partly = suffix_index._gone(r, (have[order], np.array([0, 1])[order]), May(True), May(False), May(False), off)
+    want[r.first[3]:r.first[3] + suffix_index.SIZE] = True
+    assert (partly == want).all() and sum(listed) == r.last[3] - r.first[3] + 1
+
+
+def test_suffixes_of_a_batch_are_counted_once():
+    text = "".join(f"{k % 7} of a repeated text, " for k in range(60))
+    batch = pa.RecordBatch.from_arrays([pa.array([9, 2, 5]), pa.array([text, text + "!", None])], ["doc_id", "text"])
+    found = pa.Table.from_batches(list(suffix_index._suffixes(iter([batch])))).to_pylist()
+    ((_, _, r, _, _),) = suffix_index._runs(batch, 1)
+    want = {}
+    for g, row in zip(r.gram.view(np.int64).tolist(), r.row.tolist(), strict=True):
+        n, first = want.get(g, (0, 99))
+        want[g] = n + 1, min(first, [9, 2, 5][row])
+    assert {x["key"]: (x["copies"], x["doc_id"]) for x in found} == want and len(found) == len(want)
