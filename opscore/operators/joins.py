@@ -3,8 +3,9 @@
 Size policy: no join forces a broadcast of data, and the roster's joins rule it out.  Elsewhere, with AQE on, a side that turns out
 small at run time is broadcast after its measured size is checked against
 ``spark.sql.autoBroadcastJoinThreshold``, otherwise it stays a shuffle join and
-skewed partitions are split.  The one thing that is broadcast is the list of heavy keys of
-``split_left_join``, which has at most ``HEAVY_KEYS`` rows by construction.
+skewed partitions are split.  Two things are broadcast by hint: the list of heavy keys of
+``split_left_join``, which has at most ``HEAVY_KEYS`` rows by construction, and the scorecard's contact days,
+one row per month.
 """
 
 from __future__ import annotations

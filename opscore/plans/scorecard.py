@@ -436,7 +436,8 @@ class Scorecard:
         days = self.t["contact_calendar"].select(F.to_date("created").alias("dia")).filter(
             self._read_days(F.col("dia"))).distinct().groupBy(month_key("dia").alias("ym")).agg(
             F.collect_list("dia").alias("_days"))
-        spine = self.agent_months.join(days, "ym").select(
+        # one row per month is copied to every task, never the agents' months, whatever the planner takes them for
+        spine = self.agent_months.join(F.broadcast(days), "ym").select(
             "matricula", F.explode("_days").alias("dia"), "ym", "_hier", "_areas", "_shifts")
         j = spine.join(self.agent_day_totals, ["matricula", "dia"], "left")
 
@@ -601,13 +602,15 @@ class Scorecard:
 
     def _grade_individual(self, grade: str, indicator: str, value: str,
                           score: str) -> DataFrame:
+        """Own grades of the rostered agents, scored.  The grades grow with agents and months: joined by merge
+        (see :func:`month_roster_join`)."""
         e = roster_filter(self.t["roster"], "lower").select(
             F.year("mes_referencia").alias("ano_ref"), F.month("mes_referencia").alias("mes_ref"),
             "matricula")
         g = self.t["monthly_grades"].select(
             F.col("ano_ref").alias("_a"), F.col("mes_ref").alias("_m"),
             F.col("matricula").alias("_k"), F.round(grade, 2).alias("_v"))
-        r = e.join(g, (e["matricula"] == g["_k"]) & (e["ano_ref"] == g["_a"])
+        r = e.join(g.hint("merge"), (e["matricula"] == g["_k"]) & (e["ano_ref"] == g["_a"])
                    & (e["mes_ref"] == g["_m"]), "left")
         r = r.withColumn("ym", _ym_of(F.col("ano_ref"), F.col("mes_ref")))
         t = self._targets(indicator, origem_case="lower")
@@ -634,7 +637,7 @@ class Scorecard:
              .withColumn("_k", try_long("matricula")))
         ag = self.agents.select(F.col("matricula").alias("_rk"),
                                 month_key("mes_referencia").alias("_rym"))
-        j = a.join(ag, (a["_k"] == ag["_rk"]) & (month_key("data_das_respostas") == ag["_rym"]))
+        j = a.join(ag.hint("merge"), (a["_k"] == ag["_rk"]) & (month_key("data_das_respostas") == ag["_rym"]))
         cm = cutoff_month("data_das_respostas")
         r = (j.groupBy(F.year(cm).alias("ano_ref"), F.month(cm).alias("mes_ref"), "matricula")
              .agg((F.sum("_s") / F.when(F.sum("_c") > 0, F.sum("_c"))).alias("_csat")))
@@ -649,9 +652,9 @@ class Scorecard:
     def scorecard_final(self) -> DataFrame:
         """Daily scorecard with monthly indicators and the agent's hierarchy.
 
-        All joins are on (matricula, ym).  Loss rows are daily, joined by
-        month: an agent with n loss days in a month gets each daily row n
-        times (warehouse behaviour, kept).
+        All joins are on (matricula, ym), by merge (see :func:`month_roster_join`): every monthly side grows
+        with the agents.  Loss rows are daily, joined by month: an agent with n loss days in a month gets
+        each daily row n times (warehouse behaviour, kept).
         """
         z = self._daily.withColumn("ym", month_key("data_resolucao")) \
             .drop("recorrencia", "resolvidos_rec")
@@ -675,8 +678,8 @@ class Scorecard:
         # The filters are on grouping keys and move below the monthly aggregations.
         j = z
         for side in (recontact, dto, knowledge, csat):
-            j = j.join(self._reported_months(side), ["matricula", "ym"], "left")
-        j = j.join(self._reported_months(hierarchy), ["matricula", "ym"], "inner")
+            j = j.join(self._reported_months(side).hint("merge"), ["matricula", "ym"], "left")
+        j = j.join(self._reported_months(hierarchy).hint("merge"), ["matricula", "ym"], "inner")
         # the losses multiply rows, so they come last, and an agent-month with very many is split
         j = split_left_join(j, self._reported_months(losses), ["matricula", "ym"], least_rows=LOSSES_A_TASK)
         return j.selectExpr(*FINAL_COLUMNS)

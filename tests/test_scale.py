@@ -210,3 +210,31 @@ def test_no_task_holds_a_copy_of_the_roster(spark, key):
         spark.conf.set("spark.sql.adaptive.enabled", old)
     joins = [ln for ln in plan.splitlines() if "_rk" in ln and "Join" in ln]
     assert joins and all("SortMergeJoin" in ln for ln in joins)
+
+
+@pytest.mark.parametrize("name", ["scorecard_final", "scorecard_daily", "csat_monthly", "dto_individual", "knowledge_individual"])
+def test_the_card_broadcasts_nothing_that_grows_with_the_agents(spark, name):
+    """Roster, grades and targets are expanded from one row and planned for as small as that; only what a month
+    has a few rows of, and the heavy keys of the losses, may be sent to every task."""
+    import re
+
+    from opscore.plans.scorecard import Scorecard
+    from opscore.sources import CONTRACTS
+    short = {"roster": 2_000, "monthly_grades": 2_000, "targets": 3, "collective_extras": 3}
+    tables = {}
+    for table, schema in CONTRACTS.items():
+        if table in short:
+            df = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(short[table]))).alias("n"))
+            tables[table] = df.select(*[F.col("n").cast("string").cast(f.dataType).alias(f.name) for f in schema])
+        else:
+            tables[table] = spark.createDataFrame([], schema)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(spark, getattr(Scorecard(tables, "2001-03-01", "2001-05-01", "2024-01-01 06:00:00"), name))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    sent = [re.sub(r"#\d+L?", "", ln.split("BroadcastHashJoin ")[1]) for ln in plan.splitlines() if "BroadcastHashJoin" in ln]
+    by_month = [ln for ln in sent if re.match(r"\[_?ym\], \[_?t?ym\], Inner, BuildRight", ln)]
+    heavy = [ln for ln in sent if ln.startswith("[matricula, ym], [matricula, ym], LeftOuter, BuildRight")]
+    assert by_month and len(heavy) == 2 * (name == "scorecard_final") and len(by_month) + len(heavy) == len(sent), sent
